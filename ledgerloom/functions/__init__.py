@@ -5,6 +5,7 @@ from ledgerloom.functions.scalars import (  # noqa: F401
     code_before_comma,
     contains_tag,
     exact,
+    exact_sum,
     guarded_ratio,
     in_period,
     month_index,

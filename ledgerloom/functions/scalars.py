@@ -7,6 +7,8 @@ helpers that take plain ``str`` work on column *names* (metadata) only.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -130,6 +132,20 @@ def as_double(col: Column) -> Column:
     return col.cast("double")
 
 
+def exact_sum(col: Column, scale: int = 2) -> Column:
+    """Aggregate: order-independent sum at ``scale`` decimals, as ``decimal(38, scale)``.
+
+    Each value is rounded to ``scale`` decimals (half-even) and summed as a
+    64-bit integer count of ``10^-scale`` units, which stays on Spark's fast
+    long-sum path (a ``decimal(18,2)`` sum would fall back to BigDecimal per
+    row); only the per-group result is turned back into a decimal. A group
+    total beyond +-9.2e18 units raises (ANSI overflow) rather than wrapping.
+    """
+    units = F.rint(col.cast("double") * F.lit(float(10 ** scale))).cast("long")
+    return ((F.sum(units).cast("decimal(38,0)") / F.lit(Decimal(10 ** scale)))
+            .cast(f"decimal(38,{scale})"))
+
+
 # ---------------------------------------------------------------------------
 # periods and calendar
 # ---------------------------------------------------------------------------

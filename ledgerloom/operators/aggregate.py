@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.scalars import exact_sum
+
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -26,19 +28,17 @@ def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def grouped_sum(df: DataFrame, keys: Sequence[str], measures: Sequence[str],
-                decimal: tuple[int, int] | None = None,
+                scale: int | None = None,
                 zero_if_all_null: bool = True) -> DataFrame:
     """Sum ``measures`` per ``keys``; NULL-key rows dropped, all-NULL sums -> 0.
 
-    ``decimal=(precision, scale)`` sums exactly (order-independent) by casting
-    each value first; the result keeps the decimal type.
+    ``scale=s`` sums exactly at ``s`` decimals (order-independent, see
+    :func:`exact_sum`) and returns ``decimal(38, s)``; without it the
+    column's own type is summed.
     """
     aggs = []
     for m in measures:
-        v = F.col(m)
-        if decimal is not None:
-            v = v.cast(f"decimal({decimal[0]},{decimal[1]})")
-        s = F.sum(v)
+        s = exact_sum(F.col(m), scale) if scale is not None else F.sum(m)
         if zero_if_all_null:
             s = F.coalesce(s, F.lit(0))
         aggs.append(s.alias(m))
@@ -57,37 +57,37 @@ def last_non_null(value: Column, order: Column) -> Column:
 
 def sum_and_first(df: DataFrame, keys: Sequence[str], sum_cols: Sequence[str],
                   first_cols: Sequence[str], order: str | Column,
-                  decimal: tuple[int, int] | None = None) -> DataFrame:
+                  scale: int | None = None) -> DataFrame:
     """Per group: sums (all-NULL -> 0) and the first non-NULL value in row order."""
     order_c = _col(order)
     aggs = []
     for m in sum_cols:
-        v = F.col(m)
-        if decimal is not None:
-            v = v.cast(f"decimal({decimal[0]},{decimal[1]})")
-        aggs.append(F.coalesce(F.sum(v), F.lit(0)).alias(m))
+        s = exact_sum(F.col(m), scale) if scale is not None else F.sum(m)
+        aggs.append(F.coalesce(s, F.lit(0)).alias(m))
     for c in first_cols:
         aggs.append(first_non_null(F.col(c), order_c).alias(c))
     return drop_null_keys(df, keys).groupBy(*keys).agg(*aggs)
 
 
 def control_totals(df: DataFrame, by: Sequence[str], measure: str,
-                   flag: Column | None = None, decimal: tuple[int, int] = (18, 2)) -> DataFrame:
+                   flag: Column | None = None, scale: int = 2) -> DataFrame:
     """Reconciliation figures per group: row count, total, mean, and (optionally)
     the total and count of the rows where ``flag`` holds.
 
-    Totals are exact decimals cast to double; the mean is total / count.
+    Totals are exact sums at ``scale`` decimals, cast to double; the mean is
+    total / count of values.
     """
-    v = F.col(measure).cast(f"decimal({decimal[0]},{decimal[1]})")
-    total = F.coalesce(F.sum(v), F.lit(0))
+    v = F.col(measure)
+    total = exact_sum(v, scale)
     aggs = [
         F.count(F.lit(1)).alias("n_rows"),
-        total.cast("double").alias("total"),
-        (F.sum(v).cast("double") / F.count(v)).alias("mean"),
+        F.coalesce(total, F.lit(0)).cast("double").alias("total"),
+        (total.cast("double") / F.count(v)).alias("mean"),
     ]
     if flag is not None:
         aggs += [
-            F.coalesce(F.sum(F.when(flag, v)), F.lit(0)).cast("double").alias("flagged_total"),
+            F.coalesce(exact_sum(F.when(flag, v), scale), F.lit(0)).cast("double")
+            .alias("flagged_total"),
             F.count(F.when(flag, F.lit(1))).alias("flagged_rows"),
         ]
     return df.groupBy(*by).agg(*aggs)

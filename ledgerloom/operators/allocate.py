@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.scalars import guarded_ratio
+from ledgerloom.functions.scalars import exact_sum, guarded_ratio
 
 
 def dense_sales_share(sales: DataFrame, year: int, month: int, depts: Sequence,
@@ -25,14 +25,14 @@ def dense_sales_share(sales: DataFrame, year: int, month: int, depts: Sequence,
                       store_col: str = "filid", dept_col: str = "depid",
                       year_col: str = "year", month_col: str = "month",
                       type_col: str = "type_oper", sales_type: str = "sales",
-                      amount_col: str = "sumout") -> DataFrame:
+                      amount_col: str = "sumout", scale: int | None = 2) -> DataFrame:
     """Per (year, month, store, department): department sales and store sales.
 
     * stores: every store ever seen in ``sales`` (any year);
     * departments: those of ``depts`` with any row in ``year``;
     * months: ``(year, month)`` if the calendar has it (default: it does);
     * missing sales are 0; ``sumout_filial`` is the store's total that month.
-    Amounts are summed as given (pass decimals for order-independent sums).
+    Amounts are summed exactly at ``scale`` decimals (``None``: as given).
     """
     depts = list(depts)
     stores = sales.select(store_col).where(F.col(store_col).isNotNull()).distinct()
@@ -54,7 +54,8 @@ def dense_sales_share(sales: DataFrame, year: int, month: int, depts: Sequence,
     sums = (sales.where(in_list & (F.col(type_col) == sales_type)
                         & (F.col(year_col) == year) & (F.col(month_col) == month))
             .groupBy(year_col, month_col, store_col, dept_col)
-            .agg(F.sum(amount_col).alias("sumout_dep")))
+            .agg((exact_sum(F.col(amount_col), scale) if scale is not None
+                  else F.sum(amount_col)).alias("sumout_dep")))
     keys = [year_col, month_col, store_col, dept_col]
     tt = (grid.join(sums, keys, "left")
           .withColumn("sumout_dep", F.coalesce(F.col("sumout_dep"), F.lit(0))))

@@ -166,8 +166,15 @@ def anomaly_all_periods(facts: DataFrame, categories: Sequence[str], group_keys:
                             F.sum("__s").over(w_glob).alias("__gsum"),
                             F.sum("__c").over(w_glob).alias("__gcnt"))
 
+    # null-safe keys: no inferred IS NOT NULL filter is pushed into this branch
+    # alone, so both branches keep one identical subtree and Spark reuses its
+    # exchange (the fact table is scanned and shuffled once)
+    g = glob.select(F.col("category").alias("__gcat"), F.col(_MI).alias("__gmi"),
+                    "__gsum", "__gcnt")
     j = (stats.where(F.col("__rows") > 0)
-         .join(F.broadcast(glob), ["category", _MI], "left"))
+         .join(F.broadcast(g), F.col("category").eqNullSafe(F.col("__gcat"))
+               & F.col(_MI).eqNullSafe(F.col("__gmi")), "left")
+         .drop("__gcat", "__gmi"))
     c = {k: F.col(k) for k in ("__cur", "__n", "__zeros", "__own_sum", "__gsum", "__gcnt")}
     flagged = j.where(_flag(c["__cur"], c["__n"], c["__zeros"], c["__own_sum"], c["__gsum"],
                             c["__gcnt"], threshold, gt, months_back))

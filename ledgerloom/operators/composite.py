@@ -31,7 +31,7 @@ RENTAL_TAG = "(Оренда)"
 
 def tariff_by_cost_centre(df: DataFrame, key: str = "mvz", kwt: str = "kwt", uah: str = "uah",
                           keys: Sequence[str] = (), vat: str = VAT,
-                          decimal: tuple[int, int] | None = (18, 2)) -> DataFrame:
+                          scale: int | None = 2) -> DataFrame:
     """Sum kWh and cost per trimmed, valid cost-centre code; cost x VAT; price = cost / kWh.
 
     Invalid codes (NULL, blank, ``-``) are removed before grouping. The price
@@ -40,7 +40,7 @@ def tariff_by_cost_centre(df: DataFrame, key: str = "mvz", kwt: str = "kwt", uah
     """
     rows = (df.where(valid_key(F.col(key)))
             .withColumn(key, F.trim(F.col(key).cast("string"))))
-    g = grouped_sum(rows, [*keys, key], [kwt, uah], decimal=decimal)
+    g = grouped_sum(rows, [*keys, key], [kwt, uah], scale=scale)
     cost = F.col(uah) * F.lit(Decimal(vat))
     return g.select(
         *keys, F.col(key).alias("mvz"),
@@ -56,21 +56,21 @@ DC_COST_KEYS = ["year", "month", "ym", "rcid", "postid", "lagerid"]
 
 def store_costs(df: DataFrame, keys: Sequence[str] = STORE_COST_KEYS,
                 costs: str = "costs") -> DataFrame:
-    """Exact decimal(12,2) cost sums per store-cost key; rows with a NULL key are dropped."""
-    return grouped_sum(df, list(keys), [costs], decimal=(12, 2))
+    """Exact cost sums (2 decimals) per store-cost key; rows with a NULL key are dropped."""
+    return grouped_sum(df, list(keys), [costs], scale=2)
 
 
 def dc_costs(df: DataFrame, keys: Sequence[str] = DC_COST_KEYS,
              logistics: str = "costsLogistics", other: str = "costsOther",
-             decimal: tuple[int, int] = (18, 2)) -> DataFrame:
+             scale: int = 2) -> DataFrame:
     """Logistics and other costs per DC key (all-NULL -> 0) and ``costs`` = their sum."""
-    g = grouped_sum(df, list(keys), [logistics, other], decimal=decimal)
+    g = grouped_sum(df, list(keys), [logistics, other], scale=scale)
     return g.withColumn("costs", F.col(logistics) + F.col(other))
 
 
 def meter_rollup(df: DataFrame, groups: Mapping[str, Sequence[str]], name_col: str,
                  store_col: str, keys: Sequence[str], numeric_cols: Sequence[str],
-                 tag: str = RENTAL_TAG, decimal: tuple[int, int] = (18, 4)) -> DataFrame:
+                 tag: str = RENTAL_TAG, scale: int = 4) -> DataFrame:
     """Meter readings -> kitchen groups per ``keys``.
 
     Drops rental duplicates (all meters empty and the name tagged), rolls the
@@ -79,10 +79,10 @@ def meter_rollup(df: DataFrame, groups: Mapping[str, Sequence[str]], name_col: s
     """
     kept = drop_empty_tagged_rows(df, numeric_cols, name_col, tag)
     cast = kept.select(*[F.col(c) for c in kept.columns if c not in numeric_cols],
-                       *[F.col(c).cast(f"decimal({decimal[0]},{decimal[1]})").alias(c)
-                         for c in numeric_cols])
+                       *[F.col(c).cast("double").alias(c) for c in numeric_cols])
     wide = rollup_columns(cast, groups, keep=list(keys))
-    out = grouped_sum(wide.where(F.col(store_col).isNotNull()), list(keys), list(groups))
+    out = grouped_sum(wide.where(F.col(store_col).isNotNull()), list(keys), list(groups),
+                      scale=scale)
     return out.select(*keys, *[F.col(g).cast("double").alias(g) for g in groups])
 
 
@@ -110,7 +110,7 @@ def accounts_by_store(report: DataFrame, directory: DataFrame, code_col: str, na
                           dir_code_col="mvz", how="inner")
     joined = joined.withColumn("account", F.col("account").cast("bigint"))
     out = sum_and_first(joined, ["filid", "account", "name", *keys], ["uah_value"], [share_col],
-                        order=F.col(order_col), decimal=(18, 2))
+                        order=F.col(order_col), scale=2)
     return out.select("filid", "account", "name", *keys,
                       F.col("uah_value").cast("double").alias("sum"),
                       F.col(share_col).cast("double").alias("share_TO"))

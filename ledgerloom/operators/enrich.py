@@ -16,7 +16,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.scalars import parse_number
+from ledgerloom.functions.scalars import exact_sum, parse_number
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
@@ -90,24 +90,24 @@ def lookup(df: DataFrame, table: DataFrame, keys: Sequence[str],
 
 
 def role_means(card: DataFrame, role_col: str, rate_col: str,
-               decimal: tuple[int, int] = (18, 4)) -> DataFrame:
+               scale: int = 4) -> DataFrame:
     """Mean rate per role over *all* rate-card rows of that role (exact sum / count)."""
-    r = F.col(rate_col).cast(f"decimal({decimal[0]},{decimal[1]})")
+    r = F.col(rate_col)
     return (card.where(F.col(role_col).isNotNull())
             .groupBy(role_col)
-            .agg((F.sum(r).cast("double") / F.count(r)).alias("__role_mean")))
+            .agg((exact_sum(r, scale).cast("double") / F.count(r)).alias("__role_mean")))
 
 
 def rate_fill(hours: DataFrame, card: DataFrame, role_col: str, store_col: str,
               rate_col: str, hours_col: str, out_rate: str = "cost_hour",
-              out_cost: str = "cost_labor", decimal: tuple[int, int] = (18, 4)) -> DataFrame:
+              out_cost: str = "cost_labor", scale: int = 4) -> DataFrame:
     """Rate per (role, store) from the card, else the role's mean rate; cost = rate * hours.
 
     The card is expected to hold one row per (role, store). Rows whose role has
     no card at all keep a NULL rate and cost.
     """
     exact_rate = card.select(role_col, store_col, F.col(rate_col).cast("double").alias("__rate"))
-    means = role_means(card, role_col, rate_col, decimal)
+    means = role_means(card, role_col, rate_col, scale)
     out = (hours.join(exact_rate, [role_col, store_col], "left")
            .join(means, role_col, "left"))
     rate = F.coalesce(F.col("__rate"), F.col("__role_mean"))

@@ -6,8 +6,8 @@ the columns used, so ``nullif`` makes some where a NULL rule is exercised.
 
 Each function takes ``(spark, sf_dir)`` and returns a lazy DataFrame; every
 one reads whole tables (a period filter is the feature only where the
-operator is a one-month operator). Amounts are summed as exact decimals and
-leave as doubles, so results do not depend on row order.
+operator is a one-month operator). Amounts are summed exactly at a fixed
+number of decimals and leave as doubles, so results do not depend on row order.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.scalars import (
     calendar_columns,
-    exact,
     in_period,
     parse_number,
     period_from_name,
@@ -53,8 +52,8 @@ def _store_month(spark: SparkSession, sf: str, where=None) -> DataFrame:
     if where is not None:
         li = li.where(where)
     wide = li.select("l_suppkey", *_ym(), *[
-        F.when(F.col("l_returnflag") == f, exact(F.col("l_extendedprice"))).alias(f) for f in FLAGS])
-    return agg.grouped_sum(wide, ["l_suppkey", "year", "month"], FLAGS)
+        F.when(F.col("l_returnflag") == f, F.col("l_extendedprice")).alias(f) for f in FLAGS])
+    return agg.grouped_sum(wide, ["l_suppkey", "year", "month"], FLAGS, scale=2)
 
 
 # ---------------------------------------------------------------------------
@@ -66,12 +65,12 @@ def tariff_by_cost_centre(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem", "l_partkey", "l_quantity", "l_extendedprice")
     part = table(spark, sf, "part", "p_partkey", "p_brand")
     per_part = agg.grouped_sum(
-        li.select("l_partkey", exact(F.col("l_quantity")).alias("kwt"),
-                  exact(F.col("l_extendedprice")).alias("uah")),
-        ["l_partkey"], ["kwt", "uah"], zero_if_all_null=False)
+        li.select("l_partkey", F.col("l_quantity").alias("kwt"),
+                  F.col("l_extendedprice").alias("uah")),
+        ["l_partkey"], ["kwt", "uah"], scale=2, zero_if_all_null=False)
     rows = per_part.join(part, per_part["l_partkey"] == part["p_partkey"]).select(
         F.col("p_brand").alias("mvz"), "kwt", "uah")
-    return composite.tariff_by_cost_centre(rows, decimal=None)
+    return composite.tariff_by_cost_centre(rows, scale=None)
 
 
 def anomaly_one_period_q(spark: SparkSession, sf: str) -> DataFrame:
@@ -100,7 +99,7 @@ def _sales(spark: SparkSession, sf: str) -> DataFrame:
     return li.select(
         F.col("l_suppkey").alias("filid"), F.col("l_returnflag").alias("depid"), *_ym(),
         F.when(F.col("l_linestatus") == "F", "sales").otherwise("other").alias("type_oper"),
-        exact(F.col("l_extendedprice")).alias("sumout"))
+        F.col("l_extendedprice").alias("sumout"))
 
 
 def dense_sales_share_q(spark: SparkSession, sf: str) -> DataFrame:
@@ -127,8 +126,8 @@ def _hours(spark: SparkSession, sf: str) -> DataFrame:
     """Hours of 1997-06 per (store, role) = quantity."""
     lines = _lines_with_type(spark, sf, _between_months("l_shipdate", (YEAR, MONTH), (YEAR, MONTH)))
     rows = lines.select(F.col("l_suppkey").alias("filid"), F.col("p_type").alias("role"),
-                        exact(F.col("l_quantity")).alias("hours"))
-    return agg.grouped_sum(rows, ["filid", "role"], ["hours"])
+                        F.col("l_quantity").alias("hours"))
+    return agg.grouped_sum(rows, ["filid", "role"], ["hours"], scale=2)
 
 
 def rate_fill_q(spark: SparkSession, sf: str) -> DataFrame:
@@ -187,9 +186,9 @@ def grouped_sum_q(spark: SparkSession, sf: str) -> DataFrame:
     """Flag N made NULL: its rows vanish from the grouping."""
     li = table(spark, sf, "lineitem", "l_returnflag", "l_quantity", "l_extendedprice")
     rows = li.select(F.nullif(F.col("l_returnflag"), F.lit("N")).alias("flag"),
-                     exact(F.col("l_quantity")).alias("sum_qty"),
-                     exact(F.col("l_extendedprice")).alias("sum_price"))
-    g = agg.grouped_sum(rows, ["flag"], ["sum_qty", "sum_price"])
+                     F.col("l_quantity").alias("sum_qty"),
+                     F.col("l_extendedprice").alias("sum_price"))
+    g = agg.grouped_sum(rows, ["flag"], ["sum_qty", "sum_price"], scale=2)
     return g.select("flag", F.col("sum_qty").cast("double").alias("sum_qty"),
                     F.col("sum_price").cast("double").alias("sum_price"))
 
@@ -215,7 +214,7 @@ def sum_and_first_q(spark: SparkSession, sf: str) -> DataFrame:
     rows = o.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                     F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("first_priority"))
     g = agg.sum_and_first(rows, ["o_custkey", "o_orderstatus"], ["o_totalprice"],
-                          ["first_priority"], order="o_orderkey", decimal=(18, 2))
+                          ["first_priority"], order="o_orderkey", scale=2)
     return g.select("o_custkey", "o_orderstatus",
                     F.col("o_totalprice").cast("double").alias("total_price"), "first_priority")
 
@@ -225,10 +224,10 @@ def rollup_columns_q(spark: SparkSession, sf: str) -> DataFrame:
     g3 = an absent meter (0), then summed per store and month."""
     li = table(spark, sf, "lineitem", "l_suppkey", "l_returnflag", "l_quantity", "l_shipdate")
     wide = li.select("l_suppkey", *_ym(), *[
-        F.when(F.col("l_returnflag") == f, exact(F.col("l_quantity"))).alias(f) for f in FLAGS])
+        F.when(F.col("l_returnflag") == f, F.col("l_quantity")).alias(f) for f in FLAGS])
     rolled = reshape.rollup_columns(wide, {"g1": ["A", "R"], "g2": ["N"], "g3": ["X"]},
                                     keep=["l_suppkey", "year", "month"])
-    g = agg.grouped_sum(rolled, ["l_suppkey", "year", "month"], ["g1", "g2", "g3"])
+    g = agg.grouped_sum(rolled, ["l_suppkey", "year", "month"], ["g1", "g2", "g3"], scale=2)
     return g.select("l_suppkey", "year", "month",
                     *[F.col(c).cast("double").alias(c) for c in ("g1", "g2", "g3")])
 
@@ -303,12 +302,12 @@ def dc_costs_q(spark: SparkSession, sf: str) -> DataFrame:
 def replace_period_q(spark: SparkSession, sf: str) -> DataFrame:
     """Store-month quantities; 1997-06 replaced by a reload (x2, flag N left out)."""
     li = table(spark, sf, "lineitem", "l_suppkey", "l_returnflag", "l_quantity", "l_shipdate")
-    existing = agg.grouped_sum(li.select("l_suppkey", *_ym(), exact(F.col("l_quantity")).alias("qty")),
-                               ["l_suppkey", "year", "month"], ["qty"])
+    existing = agg.grouped_sum(li.select("l_suppkey", *_ym(), F.col("l_quantity").alias("qty")),
+                               ["l_suppkey", "year", "month"], ["qty"], scale=2)
     reload = (li.where(_between_months("l_shipdate", (YEAR, MONTH), (YEAR, MONTH))
                        & (F.col("l_returnflag") != "N"))
-              .select("l_suppkey", *_ym(), (exact(F.col("l_quantity")) * 2).alias("qty")))
-    new = agg.grouped_sum(reload, ["l_suppkey", "year", "month"], ["qty"])
+              .select("l_suppkey", *_ym(), (F.col("l_quantity") * 2).alias("qty")))
+    new = agg.grouped_sum(reload, ["l_suppkey", "year", "month"], ["qty"], scale=2)
     out = sink.replace_period_frame(existing, new, YEAR, MONTH)
     return out.withColumn("qty", F.col("qty").cast("double"))
 

@@ -35,6 +35,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         builder = builder.master(master)
     builder = (builder
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
+               # call-site capture per DataFrame call is for interactive debugging
+               .config("spark.python.sql.dataFrameDebugging.enabled", "false")
                .config("spark.driver.memory", os.environ.get("LEDGERLOOM_DRIVER_MEMORY", "16g"))
                .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if shuffle_partitions:

@@ -9,6 +9,14 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Read one table; listing ``columns`` keeps the scan's ReadSchema narrow."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read one table; listing ``columns`` keeps the scan's ReadSchema narrow.
+
+    The test tables are read-only, so the scan's DataFrame (its file listing
+    and footer schema, not any data) is kept per session and reused.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    scans = spark.__dict__.setdefault("_ledgerloom_scans", {})
+    df = scans.get(path)
+    if df is None:
+        df = scans[path] = spark.read.parquet(path)
     return df.select(*columns) if columns else df
