@@ -198,8 +198,8 @@ def period_from_name(path: Column, strict: bool = True) -> Column:
     """
     base = F.regexp_extract(path, r"([^/\\]*)$", 1)
     yymm = F.regexp_extract(base, _PERIOD_RE, 1)
-    year = (F.lit(2000) + F.substring(yymm, 1, 2).cast("int")).cast("int")
-    month = F.substring(yymm, 3, 2).cast("int")
+    year = (F.lit(2000) + F.substring(yymm, 1, 2).try_cast("int")).cast("int")
+    month = F.substring(yymm, 3, 2).try_cast("int")
     good = (yymm != "") & month.between(1, 12)
     if strict:
         bad = F.raise_error(F.concat(F.lit("no yymm period in file name: "), base))
