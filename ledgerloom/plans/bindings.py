@@ -365,6 +365,65 @@ def dq_report_q(spark: SparkSession, sf: str) -> DataFrame:
     ])
 
 
+def meter_rollup_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines read as meter readings of the supplier's store.
+
+    Store label ``'<suppkey>, Store'`` tagged ``(Оренда)`` on R lines; meters:
+    pizza oven = quantity of F lines, bake-off = discount, grill = tax.
+    Empty tagged readings are dropped, the store code before the comma is
+    matched to the supplier directory, meters roll up into the kitchen groups.
+    """
+    from ledgerloom.functions.scalars import code_before_comma
+    from ledgerloom.plans.contracts import METER_GROUPS, METER_OUTPUT_GROUPS, normalized_groups
+
+    li = table(spark, sf, "lineitem", "l_suppkey", "l_returnflag", "l_linestatus", "l_quantity",
+               "l_discount", "l_tax", "l_shipdate")
+    readings = li.select(
+        *_ym(),
+        F.concat(F.col("l_suppkey").cast("string"), F.lit(", Store"),
+                 F.when(F.col("l_returnflag") == "R", F.lit(" " + composite.RENTAL_TAG))
+                 .otherwise(F.lit(""))).alias("магазин"),
+        F.when(F.col("l_linestatus") == "F", F.col("l_quantity")).alias("пічпіца"),
+        F.col("l_discount").alias("пквдопік"), F.col("l_tax").alias("пкв"))
+    sup = table(spark, sf, "supplier", "s_suppkey")
+    directory = enrich.store_directory(
+        sup.select(F.col("s_suppkey").alias("id"),
+                   F.col("s_suppkey").cast("string").alias("AccountantNumber")),
+        name_col=None, mvz_col=None)
+    code = parse_number(code_before_comma(F.col("магазин")), integral=True)
+    enriched = enrich.enrich_store(readings, directory, code, out_col="filid")
+    out = composite.meter_rollup(enriched, normalized_groups(METER_GROUPS), "магазин", "filid",
+                                 ["year", "month", "filid"], ["пічпіца", "пквдопік", "пкв"])
+    return out.select("year", "month", "filid", *METER_OUTPUT_GROUPS)
+
+
+def accounts_by_store_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Each user's events read as an account report, in event-id order.
+
+    A signup is an article row: code ``'840' || event_id``, name = its props
+    where its value is at least 50 (else empty, so the previous name stays).
+    Other events are store rows: cost-centre code = the user id, amount
+    ``'<value> UAH'``, share = value / 100 where value is at least 50. Store
+    rows meet the customer directory on the trimmed code.
+    """
+    ev = table(spark, sf, "events", "event_id", "user_id", "event_type", "value", "props")
+    signup = F.col("event_type") == "signup"
+    report = ev.select(
+        "user_id", F.col("event_id").alias("row_no"),
+        F.when(signup, F.concat(F.lit(composite.ARTICLE_PREFIX), F.col("event_id").cast("string")))
+        .otherwise(F.col("user_id").cast("string")).alias("code"),
+        F.when(signup, F.when(F.col("value") >= 50, F.col("props")))
+        .otherwise(F.col("event_type")).alias("name"),
+        F.concat(F.col("value").cast("string"), F.lit(" UAH")).alias("uah"),
+        F.when(F.col("value") >= 50, F.col("value") / 100).alias("percent"))
+    cust = table(spark, sf, "customer", "c_custkey")
+    directory = enrich.store_directory(
+        cust.select(F.col("c_custkey").alias("id"), F.lit(None).cast("string").alias("AccountantNumber"),
+                    F.col("c_custkey").cast("string").alias("MVZ")), name_col=None)
+    return composite.accounts_by_store(report, directory, "code", "name", "uah", "percent",
+                                       "row_no", partition_by=["user_id"])
+
+
 QUERIES = {
     "tariff_by_cost_centre": tariff_by_cost_centre,
     "anomaly_one_period": anomaly_one_period_q,
@@ -394,4 +453,6 @@ QUERIES = {
     "rate_summary": rate_summary_q,
     "duplicate_keys": duplicate_keys_q,
     "dq_report": dq_report_q,
+    "meter_rollup": meter_rollup_q,
+    "accounts_by_store": accounts_by_store_q,
 }

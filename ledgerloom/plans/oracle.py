@@ -433,5 +433,58 @@ FROM orders o WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.
 UNION ALL
 SELECT 'lineitem', NULL, NULL, 'duplicate_key', 'l_orderkey,l_partkey', CAST(COUNT(*) AS BIGINT), NULL
 FROM (SELECT l_orderkey, l_partkey FROM lineitem GROUP BY l_orderkey, l_partkey HAVING COUNT(*) > 1)
+""",
+
+    "meter_rollup": """
+WITH r AS (
+  SELECT l_shipdate,
+         CAST(l_suppkey AS VARCHAR) || ', Store'
+           || CASE WHEN l_returnflag = 'R' THEN ' (Оренда)' ELSE '' END AS store,
+         CASE WHEN l_linestatus = 'F' THEN l_quantity END AS m_pizza,
+         l_discount AS m_dopik, l_tax AS m_grill
+  FROM lineitem
+),
+kept AS (
+  SELECT * FROM r
+  WHERE NOT (COALESCE(m_pizza, 0) = 0 AND COALESCE(m_dopik, 0) = 0 AND COALESCE(m_grill, 0) = 0
+             AND strpos(store, '(Оренда)') > 0)
+),
+dir AS (SELECT s_suppkey AS code, MIN(s_suppkey) AS filid FROM supplier GROUP BY s_suppkey)
+SELECT CAST(year(k.l_shipdate) AS INTEGER) AS year, CAST(month(k.l_shipdate) AS INTEGER) AS month,
+       CAST(d.filid AS INTEGER) AS filid,
+       CAST(SUM(CAST(COALESCE(k.m_pizza, 0) AS DECIMAL(18,4))) AS DOUBLE) AS "Пиццерия",
+       CAST(0 AS DOUBLE) AS "Стрит-Фуд",
+       CAST(0 AS DOUBLE) AS "Пекарня",
+       CAST(SUM(CAST(COALESCE(k.m_dopik, 0) AS DECIMAL(18,4))) AS DOUBLE) AS "Допёк",
+       CAST(SUM(CAST(COALESCE(k.m_grill, 0) AS DECIMAL(18,4))) AS DOUBLE) AS "Гриль"
+FROM kept k JOIN dir d ON d.code = CAST(trim(split_part(k.store, ',', 1)) AS BIGINT)
+GROUP BY year(k.l_shipdate), month(k.l_shipdate), d.filid
+""",
+
+    "accounts_by_store": """
+WITH m AS (
+  SELECT user_id, event_id AS row_no,
+         CASE WHEN event_type = 'signup' THEN '840' || CAST(event_id AS VARCHAR)
+              ELSE CAST(user_id AS VARCHAR) END AS code,
+         CASE WHEN event_type = 'signup' THEN CASE WHEN value >= 50 THEN props END
+              ELSE event_type END AS name,
+         value,
+         CASE WHEN value >= 50 THEN value / 100 END AS percent
+  FROM events
+),
+f AS (
+  SELECT *,
+         last_value(CASE WHEN starts_with(code, '840') THEN code END IGNORE NULLS) OVER w AS account,
+         last_value(CASE WHEN starts_with(code, '840') THEN name END IGNORE NULLS) OVER w AS hname
+  FROM m
+  WINDOW w AS (PARTITION BY user_id ORDER BY row_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+),
+dir AS (SELECT CAST(c_custkey AS VARCHAR) AS mvz, MIN(c_custkey) AS filid FROM customer GROUP BY 1)
+SELECT CAST(d.filid AS INTEGER) AS filid, CAST(f.account AS BIGINT) AS account, f.hname AS name,
+       CAST(SUM(CAST(f.value AS DECIMAL(18,2))) AS DOUBLE) AS sum,
+       arg_min(f.percent, f.row_no) FILTER (WHERE f.percent IS NOT NULL) AS "share_TO"
+FROM f JOIN dir d ON d.mvz = trim(f.code)
+WHERE NOT starts_with(f.code, '840') AND f.account IS NOT NULL AND f.hname IS NOT NULL
+GROUP BY d.filid, f.account, f.hname
 """,
 }
