@@ -189,14 +189,24 @@ def in_period(ts: Column, year: int, month: int) -> Column:
 _PERIOD_RE = r"(?<![0-9])([0-9]{4})(?![0-9])"
 
 
+def drop_name(path: Column) -> Column:
+    """Name of the drop a file belongs to: the file name, or the folder name for
+    the ``part-*`` files of a dataset folder written by Spark or Hadoop."""
+    leaf = F.regexp_extract(path, r"([^/\\]*)$", 1)
+    folder = F.regexp_extract(path, r"([^/\\]*)[/\\][^/\\]*$", 1)
+    return F.when(leaf.startswith("part-") & (folder != ""), folder).otherwise(leaf)
+
+
 def period_from_name(path: Column, strict: bool = True) -> Column:
     """``struct(year, month)`` read from a file name such as ``fema_2605.xlsx``.
 
-    Only the base name is searched, so a dated folder does not win. A name
-    without a four-digit run, or with a month outside 1..12, raises when
-    ``strict`` (default) and gives NULLs otherwise.
+    Only the drop's own name is searched, so a dated folder does not win:
+    the file name, or - for the ``part-*`` files of a dataset folder written
+    by Spark or Hadoop - the name of that folder. A name without a four-digit
+    run, or with a month outside 1..12, raises when ``strict`` (default) and
+    gives NULLs otherwise.
     """
-    base = F.regexp_extract(path, r"([^/\\]*)$", 1)
+    base = drop_name(path)
     yymm = F.regexp_extract(base, _PERIOD_RE, 1)
     year = (F.lit(2000) + F.substring(yymm, 1, 2).try_cast("int")).cast("int")
     month = F.substring(yymm, 3, 2).try_cast("int")

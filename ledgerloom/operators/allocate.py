@@ -64,6 +64,48 @@ def dense_sales_share(sales: DataFrame, year: int, month: int, depts: Sequence,
                      F.sum("sumout_dep").over(w).alias("sumout_filial"))
 
 
+# the dense share as parameterised SQL; the grid is an explode of the department
+# list onto the distinct stores, not a cross join
+_SHARE_SQL = """
+WITH stores AS (
+  SELECT DISTINCT filid FROM {sales} WHERE filid IS NOT NULL
+),
+seen AS (
+  SELECT DISTINCT depid FROM {sales}
+  WHERE array_contains(:depts, depid) AND year = :year
+),
+pairs AS (
+  SELECT s.filid, d.depid FROM stores s LATERAL VIEW explode(:depts) d AS depid
+),
+grid AS (
+  SELECT p.filid, p.depid, :year AS year, :month AS month
+  FROM pairs p LEFT SEMI JOIN seen ON seen.depid = p.depid
+),
+sums AS (
+  SELECT year, month, filid, depid, SUM(sumout) AS sumout_dep
+  FROM {sales}
+  WHERE array_contains(:depts, depid) AND type_oper = 'sales' AND year = :year AND month = :month
+  GROUP BY year, month, filid, depid
+)
+SELECT g.year, g.month, g.filid, g.depid, COALESCE(s.sumout_dep, 0) AS sumout_dep,
+       SUM(COALESCE(s.sumout_dep, 0)) OVER (PARTITION BY g.year, g.month, g.filid) AS sumout_filial
+FROM grid g LEFT JOIN sums s
+  ON s.year = g.year AND s.month = g.month AND s.filid = g.filid AND s.depid = g.depid
+"""
+
+
+def dense_sales_share_sql(spark, sales: DataFrame, year: int, month: int,
+                          depts: Sequence) -> DataFrame:
+    """:func:`dense_sales_share` written as SQL with named parameters.
+
+    ``sales`` must have the default column names (filid, depid, year, month,
+    type_oper, sumout); amounts are summed as given.
+    """
+    return spark.sql(_SHARE_SQL, args={"year": year, "month": month,
+                                       "depts": F.array(*[F.lit(d) for d in depts])},
+                     sales=sales)
+
+
 def labor_allocation(labor: DataFrame, share: DataFrame, shared_dept,
                      store_col: str = "filid", dept_col: str = "depid",
                      hours_col: str = "hours", rate_col: str = "cost_hour",

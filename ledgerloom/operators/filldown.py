@@ -32,6 +32,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# the chunk search is a CASE tree with one leaf per chunk; past about a thousand
+# leaves its generated code outgrows a JVM method and the stage loses codegen
+MAX_CHUNKS = 1024
+
+
 def _cols(cs: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cs]
 
@@ -54,7 +59,7 @@ def fill_down(df: DataFrame, order_by: Sequence[str], fill: Mapping[str, Column]
         marked = marked.withColumn(f"__v_{o}", F.when(F.col("__hdr"), fill[o]))
 
     if chunk is None:
-        n = n_chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        n = n_chunks or min(MAX_CHUNKS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
         chunk = sampled_chunk(df, pcols + list(order_by), n)
     marked = marked.withColumn("__chunk", chunk)
 

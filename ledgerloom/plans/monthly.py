@@ -201,7 +201,7 @@ def accounts_drop(spark: SparkSession, path: str | Sequence[str], directory: Dat
     report = raw.withColumn(row_no, F.col(row_no).cast("long"))
     result = composite.accounts_by_store(
         _period_cols(report), directory, code, name, "uah", "percent", row_no,
-        partition_by=["file_name"], keys=["year", "month"])
+        partition_by=["file_drop"], keys=["year", "month"])
     dq = quality.dq_report([
         quality.duplicate_count(result, ["filid", "account", "name", "year", "month"], c.name),
     ])

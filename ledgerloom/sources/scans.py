@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ledgerloom.functions.scalars import period_from_name
+from ledgerloom.functions.scalars import drop_name, period_from_name
 from ledgerloom.operators.reshape import normalize_headers
 
 # fixed values: positional layouts of the two headerless CSV drops
@@ -28,11 +28,16 @@ DC_COSTS_SCHEMA = ("year int, month int, ym int, rcid int, postid int, lagerid i
 
 
 def with_file_period(df: DataFrame, strict: bool = True) -> DataFrame:
-    """Add ``file_name``, ``file_year``, ``file_month``, ``file_mtime`` from ``_metadata``."""
-    p = period_from_name(F.col("_metadata.file_name"), strict=strict)
+    """Add ``file_name``, ``file_drop``, ``file_year``, ``file_month``, ``file_mtime``.
+
+    ``file_drop`` names the drop (the file, or the dataset folder of ``part-*``
+    files); the period is read from it.
+    """
+    p = period_from_name(F.col("_metadata.file_path"), strict=strict)
     return df.select(
         "*",
         F.col("_metadata.file_name").alias("file_name"),
+        drop_name(F.col("_metadata.file_path")).alias("file_drop"),
         F.col("_metadata.file_modification_time").alias("file_mtime"),
         p["year"].alias("file_year"),
         p["month"].alias("file_month"))

@@ -17,22 +17,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ledgerloom.functions.scalars import period_from_name
+from ledgerloom.functions.scalars import drop_name, period_from_name
 from ledgerloom.operators.sink import write_periods
 
 
 def newest_file_per_period(batch: DataFrame) -> DataFrame:
-    """Keep the rows of the most recently modified file of each (file_year, file_month)."""
-    w = Window.partitionBy("file_year", "file_month")
-    latest = F.max(F.struct("file_mtime", "file_name")).over(w)
-    return (batch.withColumn("__latest", latest)
-            .where((F.col("file_mtime") == F.col("__latest.file_mtime"))
-                   & (F.col("file_name") == F.col("__latest.file_name")))
-            .drop("__latest"))
+    """Keep the rows of the most recent drop of each (file_year, file_month).
+
+    A drop is a file, or a dataset folder of ``part-*`` files; its time is the
+    newest modification time among its files. The choice is made on one small
+    row per drop and joined back, so a month holding most of the batch is
+    never gathered into one task.
+    """
+    drops = (batch.groupBy("file_year", "file_month", "file_drop")
+             .agg(F.max("file_mtime").alias("__t")))
+    latest = (drops.groupBy("file_year", "file_month")
+              .agg(F.max(F.struct("__t", "file_drop")).alias("__l"))
+              .select("file_year", "file_month", F.col("__l.file_drop").alias("file_drop")))
+    # one row per period in the batch: bounded by the drops that arrived
+    return batch.join(F.broadcast(latest), ["file_year", "file_month", "file_drop"], "left_semi")
 
 
 def ingest_monthly_drops(spark: SparkSession, landing: str, schema: StructType | str,
@@ -50,9 +57,10 @@ def ingest_monthly_drops(spark: SparkSession, landing: str, schema: StructType |
     for k, v in options.items():
         reader = reader.option(k, v)
     stream = reader.load(landing)
-    p = period_from_name(F.col("_metadata.file_name"))
+    p = period_from_name(F.col("_metadata.file_path"))
     stream = stream.select(
         "*", F.col("_metadata.file_name").alias("file_name"),
+        drop_name(F.col("_metadata.file_path")).alias("file_drop"),
         F.col("_metadata.file_modification_time").alias("file_mtime"),
         p["year"].alias("file_year"), p["month"].alias("file_month"))
 

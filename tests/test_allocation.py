@@ -48,3 +48,14 @@ def test_fx9_rate_fill(spark):
     out = rate_fill(hours, card, "role", "filid", "rate", "h")
     assert rows(out, "filid", "role", "cost_hour", "cost_labor") == [
         (1, "A", 100.0, 1000.0), (1, "B", None, None), (3, "A", 200.0, 1000.0)]
+
+
+def test_sql_form_matches_dataframe_form(spark):
+    from ledgerloom.operators.allocate import dense_sales_share_sql
+    sales = spark.createDataFrame([(1, 104, 2026, 5, "sales", 30.0), (1, 105, 2026, 5, "sales", 70.0),
+                                   (2, 104, 2025, 5, "sales", 99.0), (1, 104, 2026, 5, "waste", 5.0),
+                                   (3, 105, 2026, 4, "sales", 1.0)], SALES)
+    a = dense_sales_share(sales, 2026, 5, [104, 105], scale=None)
+    b = dense_sales_share_sql(spark, sales, 2026, 5, [104, 105])
+    assert rows(a) == rows(b.select(*a.columns))
+    assert len(rows(a)) == 6

@@ -114,3 +114,58 @@ def test_streaming_ingest_replaces_periods(spark, tmpdir_path):
     q.awaitTermination()
     got = rows(spark.read.parquet(target).select("year", "month", F.col("costs").cast("double")))
     assert got == [(2026, 4, 1.0), (2026, 5, 7.0)]
+
+
+def test_fx6_labor_drop(spark, tmpdir_path):
+    _write(f"{tmpdir_path}/labor_2605.csv",
+           "filid,mm,h,category,filialname\n"
+           "1,5,6,Кулінарія/Гриль,S1\n1,5,4,Кулінарія/Гриль,S1\n2,5,8,Кулінарія/Гриль,S2\n"
+           "3,5,5,Кулінарія/Гриль,S3\n1,5,4,Касир,S1\n")
+    roles = spark.createDataFrame(
+        [("Кулінарія/Гриль", "Кухар", "104_105", "Кулінарія"), ("Касир", "Касир", "106", "Каса")],
+        "`посада з годин` string, `Посада з зп` string, depid string, `Відділ` string")
+    rate_col = "вартість години з податками з 04_26"
+    card = spark.createDataFrame(
+        [("1001", "Кухар", 200.0), ("1002", "Кухар", 200.0), ("1003", "Кухар", 200.0),
+         ("1001", "Касир", 150.0)], f"`№ магазина` string, `посада` string, `{rate_col}` double")
+    directory = store_directory(spark.createDataFrame(
+        [(1, "1001"), (2, "1002"), (3, "1003")], "id int, AccountantNumber string"),
+        name_col=None, mvz_col=None)
+    sales = spark.createDataFrame(
+        [(1, 104, 2026, 5, "sales", 30.0), (1, 105, 2026, 5, "sales", 70.0),
+         (2, 104, 2026, 5, "sales", 0.0), (2, 105, 2026, 5, "sales", 0.0)],
+        "filid int, depid int, year int, month int, type_oper string, sumout double")
+    run = monthly.labor_drop(spark, f"{tmpdir_path}/labor_*.csv", roles, card, directory, sales,
+                             rate_col)
+    assert rows(run.result) == [
+        (2026, 5, 1, 104, 3.0, 200.0, 600.0),
+        (2026, 5, 1, 105, 7.0, 200.0, 1400.0), (2026, 5, 1, 106, 4.0, 150.0, 600.0),
+        (2026, 5, 2, 104, 0.0, 200.0, 0.0), (2026, 5, 2, 105, 0.0, 200.0, 0.0),
+        (2026, 5, 3, None, None, 200.0, None)]
+
+
+def test_fx4_accounts_drop(spark, tmpdir_path):
+    from tests.test_filldown import EXPECTED, REPORT
+    df = spark.createDataFrame(REPORT, "row_no long, `Стаття/МВЗ` string, `Назва` string, "
+                                       "uah string, percent double")
+    df.write.parquet(f"{tmpdir_path}/accounts_2604.parquet")
+    directory = store_directory(spark.createDataFrame(
+        [(11, "A", "1", "1001"), (12, "B", "2", "1002")],
+        "id int, name string, AccountantNumber string, MVZ string"))
+    run = monthly.accounts_drop(spark, f"{tmpdir_path}/accounts_*.parquet", directory)
+    got = rows(run.result, "filid", "account", "name", "sum", "share_TO")
+    assert got == EXPECTED
+    assert {(r.year, r.month) for r in run.result.collect()} == {(2026, 4)}
+
+
+def test_history_read_is_partition_pruned(spark, tmpdir_path):
+    from ledgerloom.operators.anomaly import anomaly_one_period
+    root = f"{tmpdir_path}/meter"
+    hist = spark.createDataFrame([(k, 2026, m, float(m)) for k in range(5) for m in range(1, 7)],
+                                 "filid int, year int, month int, v double")
+    write_periods(hist, root)
+    cur = spark.createDataFrame([(1, 2026, 5, 50.0)], "filid int, year int, month int, v double")
+    out = anomaly_one_period(cur, spark.read.parquet(root), 2026, 5, ["v"], ["filid"])
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and "month#" in plan

@@ -88,3 +88,10 @@ def test_calendar_and_previous_periods(spark):
         ("2026-02-01", "2026-02-28", 3, "Wednesday", "202602")
     assert previous_periods(2026, 1) == [(2025, 12), (2025, 11), (2025, 10)]
     assert previous_periods(2026, 5) == [(2026, 4), (2026, 3), (2026, 2)]
+
+
+def test_period_from_dataset_folder(spark):
+    df = spark.createDataFrame([("/x/2024/accounts_2604.parquet/part-00001-1234-ab.snappy.parquet",),
+                                ("/x/accounts_2605.csv",)], "p string")
+    got = df.select(period_from_name(F.col("p")).alias("x")).select("x.*").collect()
+    assert [(r.year, r.month) for r in got] == [(2026, 4), (2026, 5)]
