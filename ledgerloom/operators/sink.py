@@ -3,20 +3,21 @@
 A target is a Parquet dataset partitioned by its two period columns. Loading a
 month replaces exactly that month's partition in one write job:
 
-* :func:`write_period`   one month; an empty frame still clears the month;
+* :func:`write_period`   one month, in one job; an empty frame still clears the month;
 * :func:`write_periods`  many months at once (backfill): dynamic partition
   overwrite replaces the months present in the frame and leaves the others;
 * :func:`replace_period_frame`  the same replacement as a pure query.
 
-Rows whose own period differs from the period being loaded are rejected
-before anything is written.
+A row whose own period differs from the period being loaded fails the load
+job before commit, so the target is left as it was.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -48,17 +49,39 @@ def _partition_path(root: str, year: int, month: int, year_col: str, month_col:
     return f"{root.rstrip('/')}/{year_col}={year}/{month_col}={month}"
 
 
+def _guard_period(df: DataFrame, year: int, month: int, year_col: str,
+                  month_col: str) -> DataFrame:
+    """Fail the job (before anything is committed) on a row of another period."""
+    ok = F.coalesce(_period_cond(year, month, year_col, month_col), F.lit(False))
+    err = F.raise_error(F.lit(f"{_MISMATCH} {year}-{month:02d}"))
+    return df.withColumn(year_col, F.when(ok, F.col(year_col)).otherwise(err))
+
+
+_MISMATCH = "row outside the period being loaded:"
+
+
 def write_period(new: DataFrame, root: str, year: int, month: int, year_col: str = "year",
-                 month_col: str = "month", validate: bool = True) -> None:
+                 month_col: str = "month") -> None:
     """Replace the ``(year, month)`` partition of the dataset at ``root``.
 
-    The partition folder is overwritten as a whole, so running the load twice
-    gives the same result and an empty ``new`` leaves the month empty.
+    One job: rows are checked against the period as they are written (a row of
+    another period fails the job before commit, so the target is untouched),
+    the partition is swapped in at commit (dynamic overwrite), and the rows are
+    counted on the way. Only when the load turned out empty is the month
+    cleared explicitly. Running the load twice gives the same result.
     """
-    if validate:
-        check_period(new, year, month, year_col, month_col)
-    (new.drop(year_col, month_col)
-     .write.mode("overwrite").parquet(_partition_path(root, year, month, year_col, month_col)))
+    obs = Observation(f"load_{year}_{month}")
+    guarded = _guard_period(new, year, month, year_col, month_col).observe(
+        obs, F.count(F.lit(1)).alias("n"))
+    try:
+        write_periods(guarded, root, year_col, month_col)
+    except PySparkException as ex:
+        if _MISMATCH in str(ex):
+            raise PeriodMismatch(f"rows outside {year}-{month:02d} in a load for that period") from ex
+        raise
+    if obs.get["n"] == 0:
+        (new.limit(0).drop(year_col, month_col)
+         .write.mode("overwrite").parquet(_partition_path(root, year, month, year_col, month_col)))
 
 
 def write_periods(df: DataFrame, root: str, year_col: str = "year", month_col: str = "month") -> None:

@@ -87,7 +87,9 @@ def test_fx10_replace_period(spark, tmpdir_path):
     write_period(spark.createDataFrame([], schema), root, 2026, 5)
     assert rows(spark.read.parquet(root), "k") == [("a",)]
     with pytest.raises(PeriodMismatch):
-        write_period(spark.createDataFrame([("x", 2026, 4)], schema), root, 2026, 5)
+        write_period(spark.createDataFrame([("x", 2026, 4), ("y", 2026, 5)], schema), root, 2026, 5)
+    # the failed load committed nothing
+    assert rows(spark.read.parquet(root), "k", "year", "month") == [("a", 2026, 4)]
     hist = spark.createDataFrame([("a", 2026, 4), ("b", 2026, 5)], schema)
     assert rows(replace_period_frame(hist, new, 2026, 5)) == [("a", 2026, 4), ("c", 2026, 5)]
 
@@ -169,3 +171,26 @@ def test_history_read_is_partition_pruned(spark, tmpdir_path):
     out.collect()
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan and "month#" in plan
+
+
+def test_tariff_months_load_and_score(spark, tmpdir_path):
+    """Four monthly drops in one call, loaded at once, scored one month and all months."""
+    landing, root = f"{tmpdir_path}/landing", f"{tmpdir_path}/tariff"
+    head = "МВЗ (Код),Место возникновения затрат,kwt,uah\n"
+    for m, (m1, m2) in {1: (100, 100), 2: (110, 90), 3: (90, 110), 4: (500, 100)}.items():
+        _write(f"{landing}/tariff_26{m:02d}.csv", head + f"M1,a,10,{m1}\nM2,b,10,{m2}\nM3,c,10,100\n")
+    run = monthly.tariff_drop(spark, f"{landing}/tariff_*.csv")
+    monthly.load(run, root)
+    target = spark.read.parquet(root)
+    assert target.count() == 12
+    flagged = monthly.score(run, target, 2026, 4).collect()
+    assert {(r.mvz, r.category) for r in flagged} == {("M1", "consump_uah"), ("M1", "tariff")}
+    r = [x for x in flagged if x.category == "consump_uah"][0]
+    assert (r.current, r.own_avg_3m, r.global_avg) == (600.0, 120.0, 120.0)
+    every = monthly.score_history(target, run.contract).collect()
+    assert {(r.mvz, r.year, r.month, r.category) for r in every} == {
+        ("M1", 2026, 4, "consump_uah"), ("M1", 2026, 4, "tariff")}
+    # reloading April alone replaces only April
+    _write(f"{landing}/v2/tariff_2604.csv", head + "M1,a,10,100\n")
+    monthly.load(monthly.tariff_drop(spark, f"{landing}/v2/tariff_2604.csv"), root, 2026, 4)
+    assert spark.read.parquet(root).count() == 10
