@@ -34,25 +34,48 @@ def dense_sales_share(sales: DataFrame, year: int, month: int, depts: Sequence,
     * missing sales are 0; ``sumout_filial`` is the store's total that month.
     Amounts are summed exactly at ``scale`` decimals (``None``: as given).
     """
+    return dense_sales_share_periods(sales, [(year, month)], depts, calendar, store_col,
+                                     dept_col, year_col, month_col, type_col, sales_type,
+                                     amount_col, scale)
+
+
+def dense_sales_share_periods(sales: DataFrame, periods: Sequence[tuple[int, int]],
+                              depts: Sequence, calendar: DataFrame | None = None,
+                              store_col: str = "filid", dept_col: str = "depid",
+                              year_col: str = "year", month_col: str = "month",
+                              type_col: str = "type_oper", sales_type: str = "sales",
+                              amount_col: str = "sumout", scale: int | None = 2) -> DataFrame:
+    """:func:`dense_sales_share` for several months in one plan (backfill).
+
+    ``periods`` is a list of (year, month); departments count as seen per
+    year. The sales table is read once for all months, however many.
+    """
     depts = list(depts)
+    periods = sorted({(int(y), int(m)) for y, m in periods})
+    years = sorted({y for y, _ in periods})
     stores = sales.select(store_col).where(F.col(store_col).isNotNull()).distinct()
     in_list = F.col(dept_col).isin(*depts)
-    # bounded by len(depts): a constant list
-    seen = (sales.where(in_list & (F.col(year_col) == year))
-            .select(dept_col).distinct())
+    # bounded by len(depts) x len(years)
+    seen = (sales.where(in_list & F.col(year_col).isin(*years))
+            .select(year_col, dept_col).distinct())
+    period_arr = F.array(*[F.struct(F.lit(y).alias("y"), F.lit(m).alias("m"))
+                           for y, m in periods])
     grid = (stores
             .withColumn(dept_col, F.explode(F.array(*[F.lit(d) for d in depts])))
-            .join(F.broadcast(seen), dept_col, "left_semi")
-            .withColumn(year_col, F.lit(year).cast("int"))
-            .withColumn(month_col, F.lit(month).cast("int")))
+            .withColumn("__p", F.explode(period_arr))
+            .select(store_col, dept_col, F.col("__p.y").cast("int").alias(year_col),
+                    F.col("__p.m").cast("int").alias(month_col))
+            .join(F.broadcast(seen), [year_col, dept_col], "left_semi"))
     if calendar is not None:
-        cal = (calendar.where((F.col(year_col) == year) & (F.col(month_col) == month))
-               .select(F.col(year_col).cast("int").alias(year_col),
-                       F.col(month_col).cast("int").alias(month_col)).distinct())
+        cal = (calendar.select(F.col(year_col).cast("int").alias(year_col),
+                               F.col(month_col).cast("int").alias(month_col)).distinct())
         grid = grid.join(F.broadcast(cal), [year_col, month_col], "left_semi")
 
-    sums = (sales.where(in_list & (F.col(type_col) == sales_type)
-                        & (F.col(year_col) == year) & (F.col(month_col) == month))
+    in_periods = None
+    for y, m in periods:
+        c = (F.col(year_col) == y) & (F.col(month_col) == m)
+        in_periods = c if in_periods is None else in_periods | c
+    sums = (sales.where(in_list & (F.col(type_col) == sales_type) & in_periods)
             .groupBy(year_col, month_col, store_col, dept_col)
             .agg((exact_sum(F.col(amount_col), scale) if scale is not None
                   else F.sum(amount_col)).alias("sumout_dep")))
@@ -109,7 +132,8 @@ def dense_sales_share_sql(spark, sales: DataFrame, year: int, month: int,
 def labor_allocation(labor: DataFrame, share: DataFrame, shared_dept,
                      store_col: str = "filid", dept_col: str = "depid",
                      hours_col: str = "hours", rate_col: str = "cost_hour",
-                     cost_col: str = "cost_labor") -> DataFrame:
+                     cost_col: str = "cost_labor",
+                     period_cols: Sequence[tuple[str, str]] = ()) -> DataFrame:
     """Split rows of the shared department by the store's sales share.
 
     ``hours_dep = hours * sumout_dep / sumout_filial``; 0 when the store sold
@@ -117,14 +141,17 @@ def labor_allocation(labor: DataFrame, share: DataFrame, shared_dept,
     all. ``cost = rate * hours_dep``. Every other row - including rows with a
     NULL department - is kept unchanged. One predicate selects the shared
     rows and its exact complement keeps the rest, so no row is lost or doubled.
+    ``period_cols`` pairs (labour column, share column), e.g.
+    ``[("y", "year"), ("m", "month")]``, split many months at once.
     """
     is_shared = F.col(dept_col).eqNullSafe(F.lit(shared_dept))
     rest = labor.where(~is_shared)
     shared = labor.where(is_shared).drop(dept_col)
-    sh = share.select(F.col(store_col), F.col(dept_col).cast(labor.schema[dept_col].dataType),
+    sh = share.select(F.col(store_col), *[F.col(s).alias(l) for l, s in period_cols],
+                      F.col(dept_col).cast(labor.schema[dept_col].dataType),
                       F.col("sumout_dep").cast("double").alias("__dep"),
                       F.col("sumout_filial").cast("double").alias("__fil"))
-    split = shared.join(sh, store_col, "left")
+    split = shared.join(sh, [store_col, *[l for l, _ in period_cols]], "left")
     hours = guarded_ratio(F.col(hours_col).cast("double") * F.col("__dep"), F.col("__fil"),
                           null_denominator="null")
     split = (split.withColumn(hours_col, hours)

@@ -108,7 +108,8 @@ def sampled_chunk(df: DataFrame, key_cols: Sequence[str], n_chunks: int,
     if total == 0:
         return F.lit(0)
     fraction = min(1.0, 1.25 * n_chunks * per_chunk / total)
-    sample = keys.sample(withReplacement=False, fraction=fraction, seed=seed).collect()
+    cap = 4 * n_chunks * per_chunk   # a hard bound on what reaches the driver
+    sample = keys.sample(withReplacement=False, fraction=fraction, seed=seed).limit(cap).collect()
     if not sample:
         return F.lit(0)
     sample.sort(key=lambda r: tuple((v is not None, v) for v in r))

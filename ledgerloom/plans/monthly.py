@@ -31,7 +31,7 @@ from ledgerloom.functions.scalars import (
     parse_number,
 )
 from ledgerloom.operators import composite, quality
-from ledgerloom.operators.allocate import dense_sales_share, labor_allocation
+from ledgerloom.operators.allocate import dense_sales_share_periods, labor_allocation
 from ledgerloom.operators.anomaly import anomaly_all_periods, anomaly_one_period
 from ledgerloom.operators.enrich import enrich_store, rate_fill, store_directory
 from ledgerloom.operators.reshape import merge_repeated_columns, project_template
@@ -253,16 +253,13 @@ def labor_drop(spark: SparkSession, hours_path: str | Sequence[str], roles: Data
                           F.col("filid").cast("long").alias("filid"), "depid",
                           F.col("h").cast("double").alias("hours"), "cost_hour", "cost_labor")
 
+    # the months of the drop: a handful of (year, month) pairs
     periods = [tuple(r) for r in hours.select("file_year", "file_month").distinct().collect()]
-    out = None
-    for (y, m) in periods:
-        share = dense_sales_share(sales, y, m, SHARED_SPLIT, calendar=calendar)
-        share = share.select(F.col("filid").cast("long").alias("filid"),
-                             F.col("depid").cast("string").alias("depid"),
-                             "sumout_dep", "sumout_filial")
-        month = labor.where((F.col("y") == y) & (F.col("m") == m))
-        part = labor_allocation(month, share, SHARED_DEPT)
-        out = part if out is None else out.unionByName(part)
+    share = dense_sales_share_periods(sales, periods, SHARED_SPLIT, calendar=calendar)
+    share = share.select(F.col("filid").cast("long").alias("filid"),
+                         F.col("depid").cast("string").alias("depid"),
+                         "year", "month", "sumout_dep", "sumout_filial")
+    out = labor_allocation(labor, share, SHARED_DEPT, period_cols=[("y", "year"), ("m", "month")])
     result = out.select("y", "m", "filid", F.col("depid").try_cast("int").alias("depid"),
                         "hours", "cost_hour", "cost_labor")
     dq = quality.dq_report([

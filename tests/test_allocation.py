@@ -59,3 +59,17 @@ def test_sql_form_matches_dataframe_form(spark):
     b = dense_sales_share_sql(spark, sales, 2026, 5, [104, 105])
     assert rows(a) == rows(b.select(*a.columns))
     assert len(rows(a)) == 6
+
+
+def test_multi_period_share_equals_per_month(spark):
+    from ledgerloom.operators.allocate import dense_sales_share_periods
+    sales = spark.createDataFrame([(1, 104, 2026, 5, "sales", 30.0), (1, 105, 2026, 6, "sales", 70.0),
+                                   (2, 104, 2025, 12, "sales", 99.0), (3, 105, 2025, 11, "sales", 4.0),
+                                   (1, 104, 2026, 6, "waste", 5.0)], SALES)
+    periods = [(2025, 12), (2026, 5), (2026, 6)]
+    together = rows(dense_sales_share_periods(sales, periods, [104, 105]))
+    apart = []
+    for y, m in periods:
+        apart += rows(dense_sales_share(sales, y, m, [104, 105]))
+    assert together == sorted(apart, key=lambda t: tuple((v is not None, v) for v in t))
+    assert len(together) > 0
