@@ -198,7 +198,7 @@ def drop_name(path: Column) -> Column:
 
 
 def period_from_name(path: Column, strict: bool = True) -> Column:
-    """``struct(year, month)`` read from a file name such as ``fema_2605.xlsx``.
+    """``struct(year, month)`` read from a file name such as ``meter_2605.xlsx``.
 
     Only the drop's own name is searched, so a dated folder does not win:
     the file name, or - for the ``part-*`` files of a dataset folder written

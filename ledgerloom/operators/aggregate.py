@@ -94,12 +94,15 @@ def control_totals(df: DataFrame, by: Sequence[str], measure: str,
 
 
 def rate_summary(df: DataFrame, by: Sequence[str], value: str,
-                 decimal: tuple[int, int] = (18, 2)) -> DataFrame:
+                 decimal: tuple[int, int] = (18, 2), approx: bool = False) -> DataFrame:
     """count, mean, sample std-dev, min, quartiles and max of ``value`` per group.
 
     Moments are exact decimal sums, so the result does not depend on the order
     rows arrive in (and cancellation in the variance is exact). Quartiles are
-    the exact, linearly interpolated ``percentile``, rounded to 6 decimals.
+    the exact, linearly interpolated ``percentile``, rounded to 6 decimals; its
+    per-group state holds one entry per distinct value, which suits rate cards
+    and dimensions. ``approx=True`` uses ``percentile_approx`` (bounded state)
+    for fact-sized groups.
     """
     x = F.col(value).cast(f"decimal({decimal[0]},{decimal[1]})")
     n = F.count(x)
@@ -107,14 +110,19 @@ def rate_summary(df: DataFrame, by: Sequence[str], value: str,
     s2 = F.sum(x * x)
     # (n * sum(x^2) - sum(x)^2) is exact; one division and a square root follow
     var = ((n * s2 - s1 * s1).cast("double") / (n * (n - 1)).cast("double"))
+    def q(p: float):
+        if approx:
+            return F.percentile_approx(value, p, 10000).cast("double")
+        return F.round(F.percentile(value, p), 6)
+
     return df.groupBy(*by).agg(
         n.alias("n"),
         (s1.cast("double") / n).alias("mean"),
         F.when(n > 1, F.sqrt(var)).alias("std"),
         F.min(value).alias("min"),
-        F.round(F.percentile(value, 0.25), 6).alias("p25"),
-        F.round(F.percentile(value, 0.5), 6).alias("p50"),
-        F.round(F.percentile(value, 0.75), 6).alias("p75"),
+        q(0.25).alias("p25"),
+        q(0.5).alias("p50"),
+        q(0.75).alias("p75"),
         F.max(value).alias("max"),
     )
 

@@ -336,9 +336,9 @@ def calendar_columns_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def period_from_name_q(spark: SparkSession, sf: str) -> DataFrame:
-    """Drop names ``fema_<yymm>.xlsx`` built from order dates; year = 2000 + yy."""
+    """Drop names ``meter_<yymm>.xlsx`` built from order dates; year = 2000 + yy."""
     o = table(spark, sf, "orders", "o_orderdate")
-    names = o.select(F.concat(F.lit("fema_"), F.date_format("o_orderdate", "yyMM"),
+    names = o.select(F.concat(F.lit("meter_"), F.date_format("o_orderdate", "yyMM"),
                               F.lit(".xlsx")).alias("file_name")).distinct()
     p = period_from_name(F.col("file_name"))
     return names.select("file_name", p["year"].alias("year"), p["month"].alias("month"))

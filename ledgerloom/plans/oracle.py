@@ -393,7 +393,7 @@ SELECT file_name,
        CAST(2000 + CAST(substr(yymm, 1, 2) AS INTEGER) AS INTEGER) AS year,
        CAST(substr(yymm, 3, 2) AS INTEGER) AS month
 FROM (
-  SELECT DISTINCT 'fema_' || strftime(o_orderdate, '%y%m') || '.xlsx' AS file_name,
+  SELECT DISTINCT 'meter_' || strftime(o_orderdate, '%y%m') || '.xlsx' AS file_name,
          strftime(o_orderdate, '%y%m') AS yymm
   FROM orders
 )

@@ -58,7 +58,7 @@ def test_fx3_dc_costs(spark, tmpdir_path):
 
 
 def test_fx8_meter(spark, tmpdir_path):
-    _write(f"{tmpdir_path}/fema_2605.csv",
+    _write(f"{tmpdir_path}/meter_2605.csv",
            "Дата,Час,Магазин,Піч піца,Пічпіца,ПКВ допік,ПКВ\n"
            '2026-05-31,10,"002, Київ",1,2,5,4\n'
            '2026-05-31,10,"003, Київ (Оренда)",0,0,0,0\n'
@@ -68,7 +68,7 @@ def test_fx8_meter(spark, tmpdir_path):
     directory = store_directory(spark.createDataFrame(
         [(21, "2"), (31, "3"), (99, None)], "id int, AccountantNumber string"),
         name_col=None, mvz_col=None)
-    run = monthly.meter_drop(spark, [f"{tmpdir_path}/fema_2605.csv"], directory)
+    run = monthly.meter_drop(spark, [f"{tmpdir_path}/meter_2605.csv"], directory)
     assert rows(run.result) == [(2026, 5, 21, 4.0, 0.0, 0.0, 5.0, 4.0)]
     dq = {}
     for r in run.dq.collect():

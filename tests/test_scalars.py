@@ -38,10 +38,10 @@ def test_fx11_numeric_parse(spark):
 
 
 def test_fx12_file_period(spark):
-    ok = spark.createDataFrame([("fema_2605.xlsx",), ("/x/2024/fema_2605.xlsx",)], "p string")
+    ok = spark.createDataFrame([("meter_2605.xlsx",), ("/x/2024/meter_2605.xlsx",)], "p string")
     got = ok.select(period_from_name(F.col("p")).alias("x")).select("x.*").collect()
     assert [(r.year, r.month) for r in got] == [(2026, 5), (2026, 5)]
-    for bad in ["fema_202605.xlsx", "fema.xlsx", "fema_2613.xlsx"]:
+    for bad in ["meter_202605.xlsx", "meter.xlsx", "meter_2613.xlsx"]:
         df = spark.createDataFrame([(bad,)], "p string")
         with pytest.raises(Exception):
             df.select(period_from_name(F.col("p")).alias("x")).collect()
