@@ -10,8 +10,8 @@ Scale: a single window over one report (or one very active user) would put
 the whole group into one task. Rows are therefore cut into *chunks* that are
 contiguous in row order and bounded in size:
 
-1. per (group, chunk): the last non-NULL header value of each filled column
-   (one small row per chunk);
+1. per (group, chunk): the last non-NULL header value of each filled column,
+   aggregated over header rows only (one small row per chunk);
 2. per group, over those small rows: the value carried into each chunk from
    the chunks before it (a window over #chunks rows, not over fact rows);
 3. per (group, chunk): a window fill inside the chunk, falling back to the
@@ -66,10 +66,14 @@ def fill_down(df: DataFrame, order_by: Sequence[str], fill: Mapping[str, Column]
     order_key = F.struct(*_cols(order_by))
     keys = pcols + ["__chunk"]
 
-    # 1. last header value per (group, chunk)
-    last_in_chunk = marked.groupBy(*keys).agg(*[
+    # 1. last header value per (group, chunk). Only header rows can hold one, so
+    #    only they are aggregated (max_by over a struct order sorts its input);
+    #    the (group, chunk) pairs of all rows come from a cheap hash distinct.
+    lasts = marked.where(F.col("__hdr")).groupBy(*keys).agg(*[
         F.max_by(F.col(f"__v_{o}"), F.when(F.col(f"__v_{o}").isNotNull(), order_key))
         .alias(f"__last_{o}") for o in outs])
+    pairs = marked.select(*keys).distinct()
+    last_in_chunk = _join_null_safe(pairs, lasts, keys)
 
     # 2. value carried into each chunk from earlier chunks of the same group
     w_prev = (Window.partitionBy(*pcols).orderBy("__chunk")
