@@ -424,6 +424,51 @@ def accounts_by_store_q(spark: SparkSession, sf: str) -> DataFrame:
                                        "row_no", partition_by=["user_id"])
 
 
+def tariff_by_period(spark: SparkSession, sf: str) -> DataFrame:
+    """The tariff operator for every month at once (backfill form): per month and brand."""
+    li = table(spark, sf, "lineitem", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate")
+    part = table(spark, sf, "part", "p_partkey", "p_brand")
+    per_part = agg.grouped_sum(
+        li.select("l_partkey", *_ym(), F.col("l_quantity").alias("kwt"),
+                  F.col("l_extendedprice").alias("uah")),
+        ["l_partkey", "year", "month"], ["kwt", "uah"], scale=2, zero_if_all_null=False)
+    rows = per_part.join(part, per_part["l_partkey"] == part["p_partkey"]).select(
+        "year", "month", F.col("p_brand").alias("mvz"), "kwt", "uah")
+    return composite.tariff_by_cost_centre(rows, keys=["year", "month"], scale=None)
+
+
+def dense_sales_share_year(spark: SparkSession, sf: str) -> DataFrame:
+    """The dense sales share for all twelve months of 1997 in one plan."""
+    from ledgerloom.operators.allocate import dense_sales_share_periods
+    share = dense_sales_share_periods(_sales(spark, sf), [(YEAR, m) for m in range(1, 13)],
+                                      ["A", "R"])
+    return share.select("year", "month", "filid", "depid",
+                        F.col("sumout_dep").cast("double").alias("sumout_dep"),
+                        F.col("sumout_filial").cast("double").alias("sumout_filial"))
+
+
+# fixed values of this binding: a drifting header row and the template it must meet
+_DRIFTED = {"l_orderkey": " L_Order Key", "l_linenumber": "L_LINENUMBER",
+            "l_quantity": "l_ quantity", "l_tax": "L_Tax ", "l_comment": "L_Comment"}
+_TEMPLATE = ["l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax"]
+_TARGET = "l_orderkey bigint, l_linenumber int, l_quantity decimal(12,2), l_tax decimal(6,2)"
+
+
+def conform_schema_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Headers that drift in case and spacing are normalised, kept in template
+    order, then cast to the target types (matched case-insensitively)."""
+    li = table(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_quantity", "l_tax",
+               "l_returnflag")
+    drifted = li.select(*[F.col(c).alias(_DRIFTED.get(c, c)) for c in
+                          ("l_orderkey", "l_linenumber", "l_quantity", "l_tax")],
+                        F.col("l_returnflag").alias(_DRIFTED["l_comment"]))
+    kept = reshape.project_template(reshape.normalize_headers(drifted), _TEMPLATE)
+    out = sink.conform_schema(kept, _TARGET)
+    return out.select("l_orderkey", "l_linenumber",
+                      F.col("l_quantity").cast("double").alias("l_quantity"),
+                      F.col("l_tax").cast("double").alias("l_tax"))
+
+
 QUERIES = {
     "tariff_by_cost_centre": tariff_by_cost_centre,
     "anomaly_one_period": anomaly_one_period_q,
@@ -455,4 +500,7 @@ QUERIES = {
     "dq_report": dq_report_q,
     "meter_rollup": meter_rollup_q,
     "accounts_by_store": accounts_by_store_q,
+    "tariff_by_period": tariff_by_period,
+    "dense_sales_share_year": dense_sales_share_year,
+    "conform_schema": conform_schema_q,
 }
