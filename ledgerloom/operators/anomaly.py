@@ -35,6 +35,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from ledgerloom.functions.scalars import month_index, month_index_of
 
@@ -51,45 +52,71 @@ def _factor(t: float) -> Column:
 
 
 def _cells(df: DataFrame, keys: Sequence[str], categories: Sequence[str],
-           year_col: str, month_col: str, value_type: str | None) -> DataFrame:
+           year_col: str, month_col: str, vals: _Values) -> DataFrame:
     """One row per (group, month) with the SUM of each category (NULL if all NULL)."""
-    aggs = []
-    for c in categories:
-        v = F.col(c) if value_type is None else F.col(c).cast(value_type)
-        aggs.append(F.sum(v).alias(c))
+    aggs = [F.sum(vals.carry(F.col(c))).alias(c) for c in categories]
     return (df.dropna(subset=list(keys) + [year_col, month_col])
             .groupBy(*keys, year_col, month_col).agg(*aggs)
             .withColumn(_MI, month_index(year_col, month_col)))
 
 
-def _long(df: DataFrame, ids: Sequence[str], categories: Sequence[str], value_type: str) -> DataFrame:
+def _long(df: DataFrame, ids: Sequence[str], categories: Sequence[str], carried: str) -> DataFrame:
     """Unpivot the category columns into (category, v); NULL values are kept."""
-    cast = df.select(*ids, *[F.col(c).cast(value_type).alias(c) for c in categories])
+    cast = df.select(*ids, *[F.col(c).cast(carried).alias(c) for c in categories])
     return cast.unpivot(list(ids), list(categories), "category", "v")
 
 
-def _value_type(df: DataFrame, categories: Sequence[str], value_type: str | None) -> str:
-    if value_type:
-        return value_type
-    types = {df.schema[c].dataType.simpleString() for c in categories}
-    return types.pop() if len(types) == 1 else "double"
+class _Values:
+    """How category values are carried through the scoring.
+
+    Decimal inputs (scale <= 9) travel as 64-bit counts of ``10^-scale`` units:
+    sums and windows stay on the long fast path, comparisons are made on
+    ``decimal(38,0)`` (exact, no overflow) and outputs are divided by
+    ``10^scale`` once. Anything else is carried as the given or common type.
+    """
+
+    def __init__(self, df: DataFrame, categories: Sequence[str], value_type: str | None):
+        self.scale = None
+        if value_type:
+            self.type = value_type
+        else:
+            types = {df.schema[c].dataType for c in categories}
+            t = types.pop() if len(types) == 1 else None
+            self.type = t.simpleString() if t is not None else "double"
+            if isinstance(t, DecimalType) and t.scale <= 9:
+                self.scale = t.scale
+        self.carried = "long" if self.scale is not None else self.type
+
+    def carry(self, col: Column) -> Column:
+        if self.scale is None:
+            return col.cast(self.type)
+        return (col.cast(self.type) * F.lit(10 ** self.scale)).cast("long")
+
+    def exact(self, col: Column) -> Column:
+        return col.cast("decimal(38,0)") if self.scale is not None else col
+
+    def out(self, col: Column) -> Column:
+        d = col.cast("double")
+        return d / F.lit(float(10 ** self.scale)) if self.scale is not None else d
 
 
 def _flag(cur: Column, n: Column, zeros: Column, own_sum: Column, gsum: Column,
-          gcnt: Column, threshold: float, global_threshold: float, months_back: int) -> Column:
-    c1 = (gsum != 0) & (F.abs(cur) * gcnt > F.abs(gsum) * _factor(global_threshold))
+          gcnt: Column, threshold: float, global_threshold: float, months_back: int,
+          vals: _Values) -> Column:
+    a = lambda c: F.abs(vals.exact(c))
+    c1 = (gsum != 0) & (a(cur) * gcnt > a(gsum) * _factor(global_threshold))
     c2 = ((n == months_back) & (zeros == 0) & (own_sum != 0)
-          & (F.abs(cur) * F.lit(months_back) > F.abs(own_sum) * _factor(threshold)))
+          & (a(cur) * F.lit(months_back) > a(own_sum) * _factor(threshold)))
     return F.coalesce(c1 & c2, F.lit(False))
 
 
 def _outputs(cur: Column, n: Column, own_sum: Column, gsum: Column, gcnt: Column,
-             round_digits: int | None) -> list[Column]:
-    own = own_sum.cast("double") / n
-    glob = gsum.cast("double") / gcnt
+             round_digits: int | None, vals: _Values) -> list[Column]:
+    own = vals.out(own_sum) / n
+    glob = vals.out(gsum) / gcnt
     if round_digits is not None:
         own, glob = F.bround(own, round_digits), F.bround(glob, round_digits)
-    return [cur.cast("double").alias("current"), own.alias("own_avg_3m"),
+    return [vals.out(cur).alias("current"), own.alias("own_avg_3m"),
             glob.alias("global_avg"), F.lit(REASON_BOTH).alias("reason")]
 
 
@@ -108,29 +135,30 @@ def anomaly_one_period(current: DataFrame, history: DataFrame, year: int, month:
     """
     keys = list(group_keys)
     gt = threshold if global_threshold is None else global_threshold
-    vt = _value_type(history, categories, value_type)
+    vals = _Values(history, categories, value_type)
     p = month_index_of(year, month)
 
     cur = (current.dropna(subset=keys).groupBy(*keys)
-           .agg(*[F.coalesce(F.sum(F.col(c).cast(vt)), F.lit(0)).alias(c) for c in categories]))
+           .agg(*[F.coalesce(F.sum(vals.carry(F.col(c))), F.lit(0)).alias(c)
+                  for c in categories]))
     hist = history.where(month_index(year_col, month_col).between(p - months_back, p - 1))
-    cells = _cells(hist, keys, categories, year_col, month_col, vt)
-    hl = _long(cells, keys, categories, vt)
+    cells = _cells(hist, keys, categories, year_col, month_col, vals)
+    hl = _long(cells, keys, categories, vals.carried)
     own = hl.groupBy(*keys, "category").agg(
         F.count("v").alias("__n"),
         F.count(F.when(F.col("v") == 0, F.lit(1))).alias("__zeros"),
         F.sum("v").alias("__own_sum"))
     # one row per category: bounded by the configured category list
     glob = hl.groupBy("category").agg(F.sum("v").alias("__gsum"), F.count("v").alias("__gcnt"))
-    cl = _long(cur, keys, categories, vt).withColumnRenamed("v", "__cur")
+    cl = _long(cur, keys, categories, vals.carried).withColumnRenamed("v", "__cur")
     j = (cl.join(own, keys + ["category"], "inner")
          .join(F.broadcast(glob), "category", "left"))
     c = {k: F.col(k) for k in ("__cur", "__n", "__zeros", "__own_sum", "__gsum", "__gcnt")}
     flagged = j.where(_flag(c["__cur"], c["__n"], c["__zeros"], c["__own_sum"], c["__gsum"],
-                            c["__gcnt"], threshold, gt, months_back))
+                            c["__gcnt"], threshold, gt, months_back, vals))
     return flagged.select(*keys, "category",
                           *_outputs(c["__cur"], c["__n"], c["__own_sum"], c["__gsum"],
-                                    c["__gcnt"], round_digits))
+                                    c["__gcnt"], round_digits, vals))
 
 
 def anomaly_all_periods(facts: DataFrame, categories: Sequence[str], group_keys: Sequence[str],
@@ -146,9 +174,9 @@ def anomaly_all_periods(facts: DataFrame, categories: Sequence[str], group_keys:
     """
     keys = list(group_keys)
     gt = threshold if global_threshold is None else global_threshold
-    vt = _value_type(facts, categories, value_type)
-    cells = _cells(facts, keys, categories, year_col, month_col, vt)
-    long = _long(cells, keys + [year_col, month_col, _MI], categories, vt)
+    vals = _Values(facts, categories, value_type)
+    cells = _cells(facts, keys, categories, year_col, month_col, vals)
+    long = _long(cells, keys + [year_col, month_col, _MI], categories, vals.carried)
 
     w_own = (Window.partitionBy(*keys, "category").orderBy(_MI)
              .rangeBetween(-months_back, -1))
@@ -177,11 +205,11 @@ def anomaly_all_periods(facts: DataFrame, categories: Sequence[str], group_keys:
          .drop("__gcat", "__gmi"))
     c = {k: F.col(k) for k in ("__cur", "__n", "__zeros", "__own_sum", "__gsum", "__gcnt")}
     flagged = j.where(_flag(c["__cur"], c["__n"], c["__zeros"], c["__own_sum"], c["__gsum"],
-                            c["__gcnt"], threshold, gt, months_back))
+                            c["__gcnt"], threshold, gt, months_back, vals))
     return flagged.select(*keys, F.col(year_col).cast("int").alias(year_col),
                           F.col(month_col).cast("int").alias(month_col), "category",
                           *_outputs(c["__cur"], c["__n"], c["__own_sum"], c["__gsum"],
-                                    c["__gcnt"], round_digits))
+                                    c["__gcnt"], round_digits, vals))
 
 
 def keys_without_history(current: DataFrame, history: DataFrame, year: int, month: int,
