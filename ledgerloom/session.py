@@ -23,6 +23,15 @@ _DEFAULTS = {
 }
 
 
+def _local_heap() -> str:
+    """Heap for a local session: 60% of physical memory, at most 16g."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+    return f"{max(1, min(16, int(total * 0.6) >> 30))}g"
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "ledgerloom") -> SparkSession:
     """Return the active session, creating a local one when none exists."""
@@ -38,7 +47,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
                .config("spark.ui.showConsoleProgress", "false")
                # call-site capture per DataFrame call is for interactive debugging
                .config("spark.python.sql.dataFrameDebugging.enabled", "false")
-               .config("spark.driver.memory", os.environ.get("LEDGERLOOM_DRIVER_MEMORY", "16g"))
+               .config("spark.driver.memory", os.environ.get("LEDGERLOOM_DRIVER_MEMORY",
+                                                             _local_heap()))
                .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
