@@ -1,16 +1,21 @@
 """Data-quality findings as one long table.
 
-Columns: ``feed, year, month, check, subject, n, detail``. Each finding is a
-global count (a partial count per task, then one tiny merge), unioned by
-name; the table is written like any other output. Header findings come from
-column names (metadata), not from the data.
+Columns: ``feed, year, month, check, subject, n, detail``. Two ways to fill it:
+
+* :class:`ObservedChecks` - counts observed during the job that loads the
+  result (no extra pass over the data); what the feeds use when loading;
+* the standalone findings below - each a global count (a partial count per
+  task, then one tiny merge), unioned by name - for checking a frame on its own.
+
+Header findings come from column names (metadata), not from the data.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.aggregate import duplicate_keys
@@ -79,3 +84,35 @@ def dq_report(parts: Sequence[DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+class ObservedChecks:
+    """Row-count findings gathered *while* the load job runs (``DataFrame.observe``).
+
+    Counting through separate aggregations would read the drop again once per
+    finding; observed metrics ride along the one job that writes the result,
+    each task adding its partial counts. Attach once with :meth:`watch`, read
+    after the action with :meth:`report`.
+    """
+
+    def __init__(self, feed: str):
+        self.feed = feed
+        self.observation = Observation(f"dq_{feed}_{uuid.uuid4().hex[:12]}")
+        self.specs: list[tuple[str, str, str]] = []
+
+    def watch(self, df: DataFrame, checks: Sequence[tuple[str, str, Column]]) -> DataFrame:
+        """``checks``: (check, subject, condition) - rows where the condition holds are counted."""
+        exprs = [F.count(F.lit(1)).alias("rows")]
+        for i, (check, subject, cond) in enumerate(checks):
+            name = f"m{i}"
+            self.specs.append((name, check, subject))
+            exprs.append(F.count(F.when(cond, F.lit(1))).alias(name))
+        return df.observe(self.observation, *exprs)
+
+    def report(self, spark: SparkSession, year=None, month=None) -> DataFrame:
+        """The findings of the finished action, as rows of the report table."""
+        got = self.observation.get
+        rows = [(self.feed, year, month, "rows", "input", int(got["rows"]), None)]
+        rows += [(self.feed, year, month, check, subject, int(got[name]), None)
+                 for name, check, subject in self.specs]
+        return spark.createDataFrame(rows, DQ_SCHEMA)

@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.scalars import (
@@ -61,24 +61,54 @@ from ledgerloom.sources.scans import (
 
 @dataclass
 class FeedRun:
+    """A feed's lazy outputs.
+
+    ``result`` is what gets loaded. ``checks`` are row counts observed while
+    the load job runs (returned by :func:`load`, no extra pass); ``headers``
+    are findings about the drop's header row (metadata); ``dq`` recomputes
+    every finding on its own, for inspecting a drop without loading it.
+    """
     contract: FeedContract
     result: DataFrame
     dq: DataFrame
+    checks: quality.ObservedChecks | None = None
+    headers: DataFrame | None = None
 
 
 def _period_cols(df: DataFrame, year_col: str = "year", month_col: str = "month") -> DataFrame:
     return (df.withColumnRenamed("file_year", year_col).withColumnRenamed("file_month", month_col))
 
 
+def _same_period() -> Column:
+    same = (F.col("year") == F.col("file_year")) & (F.col("month") == F.col("file_month"))
+    return F.coalesce(same, F.lit(False))
+
+
+def _any_null(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+
+
 def _own_period_mismatch(df: DataFrame, feed: str) -> tuple[DataFrame, DataFrame]:
     """Rows whose own year/month differ from their file's are set aside and counted."""
-    same = (F.col("year") == F.col("file_year")) & (F.col("month") == F.col("file_month"))
-    ok = df.where(F.coalesce(same, F.lit(False)))
-    finding = quality.count_finding(df, ~F.coalesce(same, F.lit(False)), "period_mismatch",
-                                    "year,month", feed)
+    ok = df.where(_same_period())
+    finding = quality.count_finding(df, ~_same_period(), "period_mismatch", "year,month", feed)
     return ok, finding
 
 
+def _cost_drop(c: FeedContract, raw: DataFrame, keys: list[str], build) -> FeedRun:
+    checks = quality.ObservedChecks(c.name)
+    watched = checks.watch(raw, [("period_mismatch", "year,month", ~_same_period()),
+                                 ("null_key", ",".join(keys), _same_period() & _any_null(keys))])
+    result = build(watched.where(_same_period()), keys)
+    ok, mismatch = _own_period_mismatch(raw, c.name)
+    dq = quality.dq_report([
+        mismatch,
+        quality.null_key_count(ok, keys, c.name),
+        quality.duplicate_count(build(ok, keys), keys, c.name),
+    ])
+    return FeedRun(c, conform_schema(result, c.target_schema), dq, checks)
+
+
 # ---------------------------------------------------------------------------
 # costs (two headerless CSV drops)
 # ---------------------------------------------------------------------------
@@ -87,29 +117,15 @@ def _own_period_mismatch(df: DataFrame, feed: str) -> tuple[DataFrame, DataFrame
 def store_costs_drop(spark: SparkSession, path: str | Sequence[str]) -> FeedRun:
     c = CONTRACTS["store_costs"]
     raw = scan_monthly_csv(spark, path, STORE_COSTS_SCHEMA)
-    ok, mismatch = _own_period_mismatch(raw, c.name)
     keys = ["year", "month", "ym", "rcid", "filid", "lagerid", "proekt"]
-    result = composite.store_costs(ok, keys)
-    dq = quality.dq_report([
-        mismatch,
-        quality.null_key_count(ok, keys, c.name),
-        quality.duplicate_count(result, keys, c.name),
-    ])
-    return FeedRun(c, conform_schema(result, c.target_schema), dq)
+    return _cost_drop(c, raw, keys, composite.store_costs)
 
 
 def dc_costs_drop(spark: SparkSession, path: str | Sequence[str]) -> FeedRun:
     c = CONTRACTS["dc_costs"]
     raw = scan_monthly_csv(spark, path, DC_COSTS_SCHEMA).drop("costs")
-    ok, mismatch = _own_period_mismatch(raw, c.name)
     keys = ["year", "month", "ym", "rcid", "postid", "lagerid"]
-    result = composite.dc_costs(ok, keys)
-    dq = quality.dq_report([
-        mismatch,
-        quality.null_key_count(ok, keys, c.name),
-        quality.duplicate_count(result, keys, c.name),
-    ])
-    return FeedRun(c, conform_schema(result, c.target_schema), dq)
+    return _cost_drop(c, raw, keys, composite.dc_costs)
 
 
 # ---------------------------------------------------------------------------
@@ -125,15 +141,18 @@ def tariff_drop(spark: SparkSession, path: str | Sequence[str], fmt: str = "csv"
     rows = raw.select(F.col(key).cast("string").alias("mvz"),
                       parse_number(F.col(kwt)).alias("kwt"), parse_number(F.col(uah)).alias("uah"),
                       F.col("file_year").alias("year"), F.col("file_month").alias("month"))
-    result = composite.tariff_by_cost_centre(rows, keys=["year", "month"])
+    invalid = ~F.coalesce(F.col("mvz").isNotNull() & ~F.trim("mvz").isin("", "-"), F.lit(False))
+    checks = quality.ObservedChecks(c.name)
+    result = composite.tariff_by_cost_centre(
+        checks.watch(rows, [("invalid_key", "mvz", invalid)]), keys=["year", "month"])
+    headers = quality.header_findings(spark, raw.columns, TARIFF_TEMPLATE, c.name)
     dq = quality.dq_report([
-        quality.header_findings(spark, raw.columns, TARIFF_TEMPLATE, c.name),
-        quality.count_finding(rows, ~F.coalesce(
-            F.col("mvz").isNotNull() & ~F.trim("mvz").isin("", "-"), F.lit(False)),
-            "invalid_key", "mvz", c.name),
-        quality.duplicate_count(result, ["year", "month", "mvz"], c.name),
+        headers,
+        quality.count_finding(rows, invalid, "invalid_key", "mvz", c.name),
+        quality.duplicate_count(composite.tariff_by_cost_centre(rows, keys=["year", "month"]),
+                                ["year", "month", "mvz"], c.name),
     ])
-    return FeedRun(c, conform_schema(result, c.target_schema), dq)
+    return FeedRun(c, conform_schema(result, c.target_schema), dq, checks, headers)
 
 
 # ---------------------------------------------------------------------------
@@ -176,15 +195,21 @@ def meter_drop(spark: SparkSession, paths: Sequence[str], directory: DataFrame,
     code = parse_number(code_before_comma(F.col(METER_STORE)), integral=True)
     enriched = enrich_store(rows, directory, code, out_col="filid")
     meters = [m for m in {normalize_header(t) for t in METER_TEMPLATE[3:]} if m in rows.columns]
-    result = composite.meter_rollup(
-        _period_cols(enriched), normalized_groups(METER_GROUPS), METER_STORE, "filid",
-        ["year", "month", "filid"], sorted(meters))
-    dq = quality.dq_report(list(header_dq) + [
+
+    def rollup(df: DataFrame) -> DataFrame:
+        return composite.meter_rollup(
+            _period_cols(df), normalized_groups(METER_GROUPS), METER_STORE, "filid",
+            ["year", "month", "filid"], sorted(meters))
+
+    checks = quality.ObservedChecks(c.name)
+    result = rollup(checks.watch(enriched, [("unmatched", "store", F.col("filid").isNull())]))
+    headers = reduce(lambda a, b: a.unionByName(b), header_dq)
+    dq = quality.dq_report([headers,
         quality.count_finding(enriched, F.col("filid").isNull(), "unmatched", "store", c.name),
-        quality.duplicate_count(result, ["year", "month", "filid"], c.name),
+        quality.duplicate_count(rollup(enriched), ["year", "month", "filid"], c.name),
     ])
     out = result.select("year", "month", "filid", *METER_OUTPUT_GROUPS)
-    return FeedRun(c, conform_schema(out, c.target_schema), dq)
+    return FeedRun(c, conform_schema(out, c.target_schema), dq, checks, headers)
 
 
 # ---------------------------------------------------------------------------
@@ -297,13 +322,22 @@ def score_history(target: DataFrame, contract: FeedContract, threshold: float =
                                round_digits=2)
 
 
-def load(run: FeedRun, root: str, year: int | None = None, month: int | None = None) -> None:
-    """Replace the month ``(year, month)`` - or, without one, every month present."""
+def load(run: FeedRun, root: str, year: int | None = None,
+         month: int | None = None) -> DataFrame | None:
+    """Replace the month ``(year, month)`` - or, without one, every month present.
+
+    Returns the findings observed during the load (row counts, header
+    findings), or ``None`` for a feed without observed checks.
+    """
     c = run.contract
     if year is not None and month is not None:
         write_period(run.result, root, year, month, c.year_col, c.month_col)
     else:
         write_periods(run.result, root, c.year_col, c.month_col)
+    parts = [p for p in (run.headers,) if p is not None]
+    if run.checks is not None:
+        parts.append(run.checks.report(run.result.sparkSession, year, month))
+    return quality.dq_report(parts) if parts else None
 
 
 def directory_from(raw: DataFrame) -> DataFrame:

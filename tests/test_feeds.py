@@ -194,3 +194,24 @@ def test_tariff_months_load_and_score(spark, tmpdir_path):
     _write(f"{landing}/v2/tariff_2604.csv", head + "M1,a,10,100\n")
     monthly.load(monthly.tariff_drop(spark, f"{landing}/v2/tariff_2604.csv"), root, 2026, 4)
     assert spark.read.parquet(root).count() == 10
+
+
+def test_load_returns_findings_observed_in_the_same_job(spark, tmpdir_path):
+    _write(f"{tmpdir_path}/MC_2605.csv",
+           "2026;5;202605;1;10;100;A;12.50\n2026;5;202605;1;10;100;A;1.25\n"
+           "2026;5;202605;1;10;100;;9.99\n2026;4;202604;1;11;100;B;0.00\n")
+    run = monthly.store_costs_drop(spark, f"{tmpdir_path}/MC_*.csv")
+    found = {r.check: r.n for r in monthly.load(run, f"{tmpdir_path}/target", 2026, 5).collect()}
+    assert found == {"rows": 4, "period_mismatch": 1, "null_key": 1}
+    standalone = {r.check: r.n for r in run.dq.collect()}
+    assert standalone["period_mismatch"] == 1 and standalone["null_key"] == 1
+    loaded = spark.read.parquet(f"{tmpdir_path}/target")
+    assert rows(loaded.select("filid", "proekt", F.col("costs").cast("double"))) == [(10, "A", 13.75)]
+
+    _write(f"{tmpdir_path}/t/tariff_2604.csv",
+           "'МВЗ (Код),Место возникновения затрат,kwt,uah\nM1,a,100,500\n-,c,5,5\n,d,1,1\n")
+    t = monthly.tariff_drop(spark, f"{tmpdir_path}/t/tariff_*.csv")
+    found = {}
+    for r in monthly.load(t, f"{tmpdir_path}/tt").collect():
+        found[r.check] = found.get(r.check, 0) + r.n
+    assert found["invalid_key"] == 2 and found["rows"] == 3 and "missing_column" not in found
