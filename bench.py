@@ -39,7 +39,7 @@ def main() -> None:
     from ledgerloom.plans.bindings import QUERIES
 
     spark = get_spark(f"local[{cpus}]", shuffle_partitions=cpus)
-    results = {}
+    results, failed = {}, {}
     for name in names:
         q = QUERIES[name]
 
@@ -48,12 +48,16 @@ def main() -> None:
             q(spark, sf_dir).write.format("noop").mode("overwrite").save()
             return time.perf_counter() - t0
 
-        run()  # warm-up
-        results[name] = round(statistics.median(run() for _ in range(reps)), 4)
+        try:
+            run()  # warm-up
+            results[name] = round(statistics.median(run() for _ in range(reps)), 4)
+        except Exception as ex:  # keep measuring the others; report the failure
+            failed[name] = f"{type(ex).__name__}: {str(ex)[:200]}"
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({
         "metric": "sum_of_median_query_sec",
         "value": round(sum(results.values()), 4),
+        "failed": failed,
         "unit": "sec",
         "queries": results,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,

@@ -31,12 +31,14 @@ from ledgerloom.functions.scalars import (
     parse_number,
 )
 from ledgerloom.operators import composite, quality
+from ledgerloom.operators.aggregate import grouped_sum
 from ledgerloom.operators.allocate import dense_sales_share_periods, labor_allocation
 from ledgerloom.operators.anomaly import anomaly_all_periods, anomaly_one_period
 from ledgerloom.operators.enrich import enrich_store, rate_fill, store_directory
 from ledgerloom.operators.reshape import merge_repeated_columns, project_template
 from ledgerloom.operators.sink import conform_schema, write_period, write_periods
 from ledgerloom.plans.contracts import (
+    ACCOUNTS_TEMPLATE,
     CONTRACTS,
     LABOR_TEMPLATE,
     METER_DATE,
@@ -227,10 +229,12 @@ def accounts_drop(spark: SparkSession, path: str | Sequence[str], directory: Dat
     result = composite.accounts_by_store(
         _period_cols(report), directory, code, name, "uah", "percent", row_no,
         partition_by=["file_drop"], keys=["year", "month"])
+    headers = quality.header_findings(spark, raw.columns, ACCOUNTS_TEMPLATE, c.name)
     dq = quality.dq_report([
+        headers,
         quality.duplicate_count(result, ["filid", "account", "name", "year", "month"], c.name),
     ])
-    return FeedRun(c, conform_schema(result, c.target_schema), dq)
+    return FeedRun(c, conform_schema(result, c.target_schema), dq, headers=headers)
 
 
 # ---------------------------------------------------------------------------
@@ -257,7 +261,6 @@ def labor_drop(spark: SparkSession, hours_path: str | Sequence[str], roles: Data
         parse_number(F.col("mm"), integral=True).cast("int").alias("mm"),
         parse_number(F.col("h")).alias("h"), "region", "filialname",
         "file_year", "file_month")
-    from ledgerloom.operators.aggregate import grouped_sum
     hours = grouped_sum(hours, ["filid", "mm", "region", "filialname", "file_year", "file_month"],
                         ["h"], scale=4)
 
@@ -287,12 +290,14 @@ def labor_drop(spark: SparkSession, hours_path: str | Sequence[str], roles: Data
     out = labor_allocation(labor, share, SHARED_DEPT, period_cols=[("y", "year"), ("m", "month")])
     result = out.select("y", "m", "filid", F.col("depid").try_cast("int").alias("depid"),
                         "hours", "cost_hour", "cost_labor")
+    headers = quality.header_findings(spark, raw.columns, LABOR_TEMPLATE, c.name)
     dq = quality.dq_report([
+        headers,
         quality.count_finding(main, F.col("pay_role").isNull(), "unmatched", "role", c.name),
         quality.count_finding(filled, F.col("cost_hour").isNull(), "no_rate", "pay_role", c.name),
         quality.count_finding(raw, non_integral(F.col("filid")), "non_integral", "filid", c.name),
     ])
-    return FeedRun(c, conform_schema(result, c.target_schema), dq)
+    return FeedRun(c, conform_schema(result, c.target_schema), dq, headers=headers)
 
 
 # ---------------------------------------------------------------------------
