@@ -47,6 +47,7 @@ from ledgerloom.plans.contracts import (
     METER_STORE,
     METER_TEMPLATE,
     SHARED_DEPT,
+    SHARED_ROLE,
     SHARED_SPLIT,
     TARIFF_TEMPLATE,
     FeedContract,
@@ -294,6 +295,10 @@ def labor_drop(spark: SparkSession, hours_path: str | Sequence[str], roles: Data
     dq = quality.dq_report([
         headers,
         quality.count_finding(main, F.col("pay_role").isNull(), "unmatched", "role", c.name),
+        # the role and its department must agree on what is shared
+        quality.count_finding(main, F.coalesce(F.col("region") == SHARED_ROLE, F.lit(False))
+                              != F.coalesce(F.col("depid") == SHARED_DEPT, F.lit(False)),
+                              "shared_role_mismatch", "region,depid", c.name),
         quality.count_finding(filled, F.col("cost_hour").isNull(), "no_rate", "pay_role", c.name),
         quality.count_finding(raw, non_integral(F.col("filid")), "non_integral", "filid", c.name),
     ])

@@ -215,3 +215,20 @@ def test_load_returns_findings_observed_in_the_same_job(spark, tmpdir_path):
     for r in monthly.load(t, f"{tmpdir_path}/tt").collect():
         found[r.check] = found.get(r.check, 0) + r.n
     assert found["invalid_key"] == 2 and found["rows"] == 3 and "missing_column" not in found
+
+
+def test_fx6_labor_findings(spark, tmpdir_path):
+    _write(f"{tmpdir_path}/labor_2605.csv",
+           "filid,mm,h,region,filialname\n1,5,6,Кулінарія/Гриль,S1\n1,5,4,Касир,S1\n2,5,1,Охорона,S2\n")
+    roles = spark.createDataFrame(
+        [("Кулінарія/Гриль", "Кухар", "104", "Кулінарія"), ("Касир", "Касир", "106", "Каса")],
+        "`посада з годин` string, `Посада з зп` string, depid string, `Відділ` string")
+    card = spark.createDataFrame([("1001", "Кухар", 200.0)],
+                                 "`№ магазина` string, `посада` string, rate double")
+    directory = store_directory(spark.createDataFrame([(1, "1001")], "id int, AccountantNumber string"),
+                                name_col=None, mvz_col=None)
+    sales = spark.createDataFrame([], "filid int, depid int, year int, month int, type_oper string, "
+                                      "sumout double")
+    run = monthly.labor_drop(spark, f"{tmpdir_path}/labor_*.csv", roles, card, directory, sales, "rate")
+    found = {r.check: r.n for r in run.dq.collect()}
+    assert found["unmatched"] == 1 and found["shared_role_mismatch"] == 1 and found["no_rate"] == 2
