@@ -1,10 +1,8 @@
 from ledgerloom.functions.scalars import (  # noqa: F401
-    as_double,
     blank_to_null,
     calendar_columns,
     code_before_comma,
     contains_tag,
-    exact,
     exact_sum,
     guarded_ratio,
     in_period,

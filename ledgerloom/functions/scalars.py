@@ -123,15 +123,6 @@ def guarded_ratio(num: Column, den: Column, null_denominator: str = "zero") -> C
     return F.when(den == 0, F.lit(0.0)).otherwise(num / den)
 
 
-def exact(col: Column, scale: int = 2, precision: int = 18) -> Column:
-    """Cast to a decimal so that sums do not depend on row order."""
-    return col.cast(f"decimal({precision},{scale})")
-
-
-def as_double(col: Column) -> Column:
-    return col.cast("double")
-
-
 def exact_sum(col: Column, scale: int = 2) -> Column:
     """Aggregate: order-independent sum at ``scale`` decimals, as ``decimal(38, scale)``.
 

@@ -111,7 +111,3 @@ def conform_schema(df: DataFrame, schema: StructType | str, strict: bool = True)
             cols.append(F.col(src).cast(f.dataType).alias(f.name))
     return df.select(*cols)
 
-
-def read_target(spark, root: str, columns: Sequence[str] | None = None) -> DataFrame:
-    df = spark.read.parquet(root)
-    return df.select(*columns) if columns else df

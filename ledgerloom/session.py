@@ -76,7 +76,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     because a machine-local folder does not survive the loss of an executor.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    # the configured folder first: getCheckpointDir() adds a random subfolder
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
         if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir is not set on this cluster session")

@@ -23,6 +23,7 @@ from pyspark.sql.types import StructType
 
 from ledgerloom.functions.scalars import drop_name, period_from_name
 from ledgerloom.operators.sink import write_periods
+from ledgerloom.session import checkpoint_dir
 
 
 def newest_file_per_period(batch: DataFrame) -> DataFrame:
@@ -44,15 +45,19 @@ def newest_file_per_period(batch: DataFrame) -> DataFrame:
 
 def ingest_monthly_drops(spark: SparkSession, landing: str, schema: StructType | str,
                          transform: Callable[[DataFrame], DataFrame], target: str,
-                         checkpoint: str, fmt: str = "csv", year_col: str = "year",
+                         checkpoint: str | None = None, fmt: str = "csv", year_col: str = "year",
                          month_col: str = "month", once: bool = True, **options):
     """Start the ingestion stream; returns the ``StreamingQuery``.
 
-    ``transform`` maps the rows of a batch (with ``file_name``, ``file_mtime``,
-    ``file_year``, ``file_month``) to target rows carrying ``year_col`` and
+    ``transform`` maps the rows of a batch (with ``file_name``, ``file_drop``,
+    ``file_mtime``, ``file_year``, ``file_month``) to target rows carrying ``year_col`` and
     ``month_col``. ``checkpoint`` must be a shared folder (it holds the
-    stream's progress and survives restarts).
+    stream's progress and survives restarts); by default it is a folder under
+    the session's ``spark.checkpoint.dir`` named after the target.
     """
+    if checkpoint is None:
+        name = target.rstrip("/").replace(":", "_").replace("/", "_")
+        checkpoint = f"{checkpoint_dir(spark).rstrip('/')}/ingest/{name}"
     reader = spark.readStream.format(fmt).schema(schema)
     for k, v in options.items():
         reader = reader.option(k, v)
@@ -65,8 +70,14 @@ def ingest_monthly_drops(spark: SparkSession, landing: str, schema: StructType |
         p["year"].alias("file_year"), p["month"].alias("file_month"))
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        rows = transform(newest_file_per_period(batch))
-        write_periods(rows, target, year_col, month_col)
+        # the batch is read twice (choosing the newest drop, then its rows):
+        # keep it for the duration of this batch instead of re-reading the files
+        batch.persist()
+        try:
+            rows = transform(newest_file_per_period(batch))
+            write_periods(rows, target, year_col, month_col)
+        finally:
+            batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 minute")

@@ -118,6 +118,22 @@ def test_streaming_ingest_replaces_periods(spark, tmpdir_path):
     assert got == [(2026, 4, 1.0), (2026, 5, 7.0)]
 
 
+def test_streaming_default_checkpoint_resumes(spark, tmpdir_path):
+    landing, target = f"{tmpdir_path}/landing", f"{tmpdir_path}/target"
+    schema = "year int, month int, v double"
+    _write(f"{landing}/x_2601.csv", "2026;1;1.5\n")
+    q1 = ingest_monthly_drops(spark, landing, schema, lambda b: b.select("year", "month", "v"),
+                              target, sep=";")
+    q1.awaitTermination()
+    _write(f"{landing}/x_2602.csv", "2026;2;2.5\n")
+    q = ingest_monthly_drops(spark, landing, schema, lambda b: b.select("year", "month", "v"),
+                             target, sep=";")
+    q.awaitTermination()
+    # the second run read as much as the first: only the new file (progress was kept)
+    assert q.lastProgress["numInputRows"] == q1.lastProgress["numInputRows"] > 0
+    assert rows(spark.read.parquet(target), "year", "month", "v") == [(2026, 1, 1.5), (2026, 2, 2.5)]
+
+
 def test_fx6_labor_drop(spark, tmpdir_path):
     _write(f"{tmpdir_path}/labor_2605.csv",
            "filid,mm,h,category,filialname\n"
