@@ -262,7 +262,11 @@ def labor_drop(spark: SparkSession, hours_path: str | Sequence[str], roles: Data
         parse_number(F.col("mm"), integral=True).cast("int").alias("mm"),
         parse_number(F.col("h")).alias("h"), "region", "filialname",
         "file_year", "file_month")
-    hours = grouped_sum(hours, ["filid", "mm", "region", "filialname", "file_year", "file_month"],
+    # a row whose own month differs from its file's is set aside (and counted)
+    own_month = F.coalesce(F.col("mm") == F.col("file_month"), F.lit(False))
+    month_mismatch = quality.count_finding(hours, ~own_month, "period_mismatch", "mm", c.name)
+    hours = grouped_sum(hours.where(own_month),
+                        ["filid", "mm", "region", "filialname", "file_year", "file_month"],
                         ["h"], scale=4)
 
     r = roles.toDF(*[normalize_header(x) for x in roles.columns])
@@ -294,6 +298,7 @@ def labor_drop(spark: SparkSession, hours_path: str | Sequence[str], roles: Data
     headers = quality.header_findings(spark, raw.columns, LABOR_TEMPLATE, c.name)
     dq = quality.dq_report([
         headers,
+        month_mismatch,
         quality.count_finding(main, F.col("pay_role").isNull(), "unmatched", "role", c.name),
         # the role and its department must agree on what is shared
         quality.count_finding(main, F.coalesce(F.col("region") == SHARED_ROLE, F.lit(False))

@@ -235,7 +235,8 @@ def test_load_returns_findings_observed_in_the_same_job(spark, tmpdir_path):
 
 def test_fx6_labor_findings(spark, tmpdir_path):
     _write(f"{tmpdir_path}/labor_2605.csv",
-           "filid,mm,h,region,filialname\n1,5,6,Кулінарія/Гриль,S1\n1,5,4,Касир,S1\n2,5,1,Охорона,S2\n")
+           "filid,mm,h,region,filialname\n1,5,6,Кулінарія/Гриль,S1\n1,5,4,Касир,S1\n2,5,1,Охорона,S2\n"
+           "2,6,1,Касир,S2\n")
     roles = spark.createDataFrame(
         [("Кулінарія/Гриль", "Кухар", "104", "Кулінарія"), ("Касир", "Касир", "106", "Каса")],
         "`посада з годин` string, `Посада з зп` string, depid string, `Відділ` string")
@@ -248,3 +249,5 @@ def test_fx6_labor_findings(spark, tmpdir_path):
     run = monthly.labor_drop(spark, f"{tmpdir_path}/labor_*.csv", roles, card, directory, sales, "rate")
     found = {r.check: r.n for r in run.dq.collect()}
     assert found["unmatched"] == 1 and found["shared_role_mismatch"] == 1 and found["no_rate"] == 2
+    assert found["period_mismatch"] == 1
+    assert {(r.y, r.m) for r in run.result.collect()} == {(2026, 5)}
