@@ -251,3 +251,25 @@ def test_fx6_labor_findings(spark, tmpdir_path):
     assert found["unmatched"] == 1 and found["shared_role_mismatch"] == 1 and found["no_rate"] == 2
     assert found["period_mismatch"] == 1
     assert {(r.y, r.m) for r in run.result.collect()} == {(2026, 5)}
+
+
+def test_command_line_backfill_then_one_month(spark, tmpdir_path):
+    from ledgerloom.plans import run as cli
+    landing = f"{tmpdir_path}/landing"
+    head = "МВЗ (Код),Место возникновения затрат,kwt,uah\n"
+    for m, v in {1: 100, 2: 110, 3: 90}.items():
+        _write(f"{landing}/tariff_26{m:02d}.csv", head + f"M1,a,10,{v}\nM2,b,10,100\n")
+    target, anomalies, findings = (f"{tmpdir_path}/{x}" for x in ("t", "a", "f"))
+    args = cli.parser().parse_args(["tariff", "--drop", f"{landing}/tariff_*.csv", "--target", target,
+                                    "--anomalies", anomalies, "--findings", findings])
+    cli.run(spark, args)
+    assert spark.read.parquet(target).count() == 6
+    _write(f"{landing}/new/tariff_2604.csv", head + "M1,a,10,500\nM2,b,10,100\n")
+    args = cli.parser().parse_args(["tariff", "--drop", f"{landing}/new/tariff_2604.csv",
+                                    "--target", target, "--year", "2026", "--month", "4",
+                                    "--anomalies", f"{anomalies}_04", "--findings", findings])
+    cli.run(spark, args)
+    flagged = {(r.mvz, r.category) for r in spark.read.parquet(f"{anomalies}_04").collect()}
+    assert flagged == {("M1", "consump_uah"), ("M1", "tariff")}
+    assert spark.read.parquet(target).count() == 8
+    assert spark.read.parquet(findings).where("check = 'rows'").count() == 2
