@@ -14,8 +14,6 @@ job before commit, so the target is left as it was.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F

@@ -17,16 +17,21 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.scalars import (
     calendar_columns,
-    in_period,
+    code_before_comma,
     parse_number,
     period_from_name,
     valid_key,
 )
 from ledgerloom.operators import aggregate as agg
 from ledgerloom.operators import composite, enrich, filters, quality, reshape, sink
-from ledgerloom.operators.allocate import dense_sales_share, labor_allocation
+from ledgerloom.operators.allocate import (
+    dense_sales_share,
+    dense_sales_share_periods,
+    labor_allocation,
+)
 from ledgerloom.operators.anomaly import anomaly_all_periods, anomaly_one_period, keys_without_history
 from ledgerloom.operators.filldown import fill_down
+from ledgerloom.plans.contracts import METER_GROUPS, METER_OUTPUT_GROUPS, normalized_groups
 from ledgerloom.sources.tables import table
 
 # the month every one-period binding scores / loads
@@ -373,8 +378,6 @@ def meter_rollup_q(spark: SparkSession, sf: str) -> DataFrame:
     Empty tagged readings are dropped, the store code before the comma is
     matched to the supplier directory, meters roll up into the kitchen groups.
     """
-    from ledgerloom.functions.scalars import code_before_comma
-    from ledgerloom.plans.contracts import METER_GROUPS, METER_OUTPUT_GROUPS, normalized_groups
 
     li = table(spark, sf, "lineitem", "l_suppkey", "l_returnflag", "l_linestatus", "l_quantity",
                "l_discount", "l_tax", "l_shipdate")
@@ -439,7 +442,6 @@ def tariff_by_period(spark: SparkSession, sf: str) -> DataFrame:
 
 def dense_sales_share_year(spark: SparkSession, sf: str) -> DataFrame:
     """The dense sales share for all twelve months of 1997 in one plan."""
-    from ledgerloom.operators.allocate import dense_sales_share_periods
     share = dense_sales_share_periods(_sales(spark, sf), [(YEAR, m) for m in range(1, 13)],
                                       ["A", "R"])
     return share.select("year", "month", "filid", "depid",
