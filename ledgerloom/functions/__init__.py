@@ -11,6 +11,7 @@ from ledgerloom.functions.scalars import (  # noqa: F401
     nan_to_null,
     non_integral,
     normalize_header,
+    parse_date,
     parse_money,
     parse_number,
     period_bounds,

@@ -212,6 +212,17 @@ def period_from_name(path: Column, strict: bool = True) -> Column:
     return F.struct(year.alias("year"), month.alias("month"))
 
 
+# fixed values: date layouts accepted in landed drops (ISO first, then day-first)
+DATE_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "dd.MM.yyyy HH:mm:ss", "dd.MM.yyyy HH:mm",
+                "dd.MM.yyyy", "dd/MM/yyyy")
+
+
+def parse_date(col: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Column:
+    """First layout that parses; text matching none becomes NULL (never an error)."""
+    text = F.trim(col.cast("string"))
+    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats])
+
+
 def calendar_columns(d: Column) -> dict[str, Column]:
     """Clock fields of a date: month bounds, ISO weekday, weekday name, yyyymm.
 

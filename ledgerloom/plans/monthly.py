@@ -28,6 +28,7 @@ from ledgerloom.functions.scalars import (
     code_before_comma,
     non_integral,
     normalize_header,
+    parse_date,
     parse_number,
 )
 from ledgerloom.operators import composite, quality
@@ -192,7 +193,7 @@ def meter_drop(spark: SparkSession, paths: Sequence[str], directory: DataFrame,
     c = CONTRACTS["meter"]
     parts, header_dq = zip(*[_conform_meter_file(spark, p, sep) for p in paths])
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    day = F.to_timestamp(F.col(METER_DATE))
+    day = parse_date(F.col(METER_DATE))
     in_period = ((F.year(day) == F.col("file_year")) & (F.month(day) == F.col("file_month")))
     rows = rows.where(F.coalesce(in_period, F.lit(False)))
     code = parse_number(code_before_comma(F.col(METER_STORE)), integral=True)

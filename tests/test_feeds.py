@@ -62,7 +62,7 @@ def test_fx8_meter(spark, tmpdir_path):
            "Дата,Час,Магазин,Піч піца,Пічпіца,ПКВ допік,ПКВ\n"
            '2026-05-31,10,"002, Київ",1,2,5,4\n'
            '2026-05-31,10,"003, Київ (Оренда)",0,0,0,0\n'
-           '2026-06-01,10,"002, Київ",9,9,9,9\n'
+           '01.06.2026,10,"002, Київ",9,9,9,9\n'
            '2026-05-31,10,"002, Київ (Рефіт)",1,0,0,\n'
            "2026-05-31,10,XYZ,1,1,1,1\n")
     directory = store_directory(spark.createDataFrame(

@@ -95,3 +95,12 @@ def test_period_from_dataset_folder(spark):
                                 ("/x/accounts_2605.csv",)], "p string")
     got = df.select(period_from_name(F.col("p")).alias("x")).select("x.*").collect()
     assert [(r.year, r.month) for r in got] == [(2026, 4), (2026, 5)]
+
+
+def test_parse_date_layouts(spark):
+    from ledgerloom.functions.scalars import parse_date
+    df = spark.createDataFrame([("2026-05-31",), ("31.05.2026",), ("31.05.2026 10:15",),
+                                ("2026-05-31 23:59:59",), ("junk",), (None,)], "s string")
+    got = [r.d for r in df.select(parse_date(F.col("s")).alias("d")).collect()]
+    assert [(d.year, d.month, d.day) if d else None for d in got] == [
+        (2026, 5, 31), (2026, 5, 31), (2026, 5, 31), (2026, 5, 31), None, None]
