@@ -30,6 +30,7 @@ from ledgerloom.functions.scalars import (
     normalize_header,
     parse_date,
     parse_number,
+    period_from_name,
 )
 from ledgerloom.operators import composite, quality
 from ledgerloom.operators.aggregate import grouped_sum
@@ -287,8 +288,8 @@ def labor_drop(spark: SparkSession, hours_path: str | Sequence[str], roles: Data
                           F.col("filid").cast("long").alias("filid"), "depid",
                           F.col("h").cast("double").alias("hours"), "cost_hour", "cost_labor")
 
-    # the months of the drop: a handful of (year, month) pairs
-    periods = [tuple(r) for r in hours.select("file_year", "file_month").distinct().collect()]
+    # the months of the drop, from its file names (a listing, no data read)
+    periods = drop_periods(spark, raw)
     share = dense_sales_share_periods(sales, periods, SHARED_SPLIT, calendar=calendar)
     share = share.select(F.col("filid").cast("long").alias("filid"),
                          F.col("depid").cast("string").alias("depid"),
@@ -331,11 +332,22 @@ def score(run: FeedRun, history: DataFrame, year: int, month: int,
 
 
 def score_history(target: DataFrame, contract: FeedContract, threshold: float = 1.0) -> DataFrame:
-    """Anomalies of every month of a target table at once (backfill)."""
-    return anomaly_all_periods(target, list(contract.categories), list(contract.group_keys),
-                               threshold, year_col=contract.year_col,
-                               month_col=contract.month_col, value_type="double",
-                               round_digits=2)
+    """Anomalies of every month of a target table at once (backfill), at each
+    scoring grain of the feed."""
+    outs = [anomaly_all_periods(target, list(contract.categories), list(keys), threshold,
+                                year_col=contract.year_col, month_col=contract.month_col,
+                                value_type="double", round_digits=2)
+            .withColumn("grain", F.lit(",".join(keys)))
+            for keys in (contract.group_keys, *contract.extra_scoring)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), outs)
+
+
+def drop_periods(spark: SparkSession, df: DataFrame) -> list[tuple[int, int]]:
+    """(year, month) of every file a drop DataFrame reads - from the file list only."""
+    files = spark.createDataFrame([(f,) for f in df.inputFiles()], "path string")
+    p = period_from_name(F.col("path"))
+    return sorted({(r.year, r.month) for r in
+                   files.select(p["year"].alias("year"), p["month"].alias("month")).collect()})
 
 
 def load(run: FeedRun, root: str, year: int | None = None,
