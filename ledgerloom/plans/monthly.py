@@ -233,8 +233,14 @@ def accounts_drop(spark: SparkSession, path: str | Sequence[str], directory: Dat
         _period_cols(report), directory, code, name, "uah", "percent", row_no,
         partition_by=["file_drop"], keys=["year", "month"])
     headers = quality.header_findings(spark, raw.columns, ACCOUNTS_TEMPLATE, c.name)
+    # rows above the first article row of their report have no article (dropped)
+    is_article = F.col(code).cast("string").startswith(composite.ARTICLE_PREFIX)
+    first = report.groupBy("file_drop").agg(F.min(F.when(is_article, F.col(row_no))).alias("__f"))
+    above = report.join(first, "file_drop").where(
+        F.col("__f").isNull() | (F.col(row_no) < F.col("__f")))
     dq = quality.dq_report([
         headers,
+        quality.count_finding(above, F.lit(True), "no_article", "row_no", c.name),
         quality.duplicate_count(result, ["filid", "account", "name", "year", "month"], c.name),
     ])
     return FeedRun(c, conform_schema(result, c.target_schema), dq, headers=headers)
@@ -295,6 +301,9 @@ def labor_drop(spark: SparkSession, hours_path: str | Sequence[str], roles: Data
                          F.col("depid").cast("string").alias("depid"),
                          "year", "month", "sumout_dep", "sumout_filial")
     out = labor_allocation(labor, share, SHARED_DEPT, period_cols=[("y", "year"), ("m", "month")])
+    shared = labor.where(F.col("depid") == SHARED_DEPT)
+    store_month = share.select("filid", F.col("year").alias("y"), F.col("month").alias("m"),
+                               "sumout_filial").distinct()
     result = out.select("y", "m", "filid", F.col("depid").try_cast("int").alias("depid"),
                         "hours", "cost_hour", "cost_labor")
     headers = quality.header_findings(spark, raw.columns, LABOR_TEMPLATE, c.name)
@@ -308,6 +317,13 @@ def labor_drop(spark: SparkSession, hours_path: str | Sequence[str], roles: Data
                               "shared_role_mismatch", "region,depid", c.name),
         quality.count_finding(filled, F.col("cost_hour").isNull(), "no_rate", "pay_role", c.name),
         quality.count_finding(raw, non_integral(F.col("filid")), "non_integral", "filid", c.name),
+        # shared hours that cannot be split: the store sold nothing (hours become 0) ...
+        quality.count_finding(shared.join(store_month.where(F.col("sumout_filial") == 0),
+                                          ["filid", "y", "m"], "left_semi"),
+                              F.lit(True), "shared_hours_zero_sales", "filid", c.name),
+        # ... or has no sales rows at all (department and hours stay NULL)
+        quality.count_finding(shared.join(store_month, ["filid", "y", "m"], "left_anti"),
+                              F.lit(True), "shared_hours_no_sales", "filid", c.name),
     ])
     return FeedRun(c, conform_schema(result, c.target_schema), dq, headers=headers)
 

@@ -155,6 +155,8 @@ def test_fx6_labor_drop(spark, tmpdir_path):
         "filid int, depid int, year int, month int, type_oper string, sumout double")
     run = monthly.labor_drop(spark, f"{tmpdir_path}/labor_*.csv", roles, card, directory, sales,
                              rate_col)
+    found = {r.check: r.n for r in run.dq.collect()}
+    assert found["shared_hours_zero_sales"] == 1 and found["shared_hours_no_sales"] == 1
     assert rows(run.result) == [
         (2026, 5, 1, 104, 3.0, 200.0, 600.0),
         (2026, 5, 1, 105, 7.0, 200.0, 1400.0), (2026, 5, 1, 106, 4.0, 150.0, 600.0),
@@ -174,6 +176,7 @@ def test_fx4_accounts_drop(spark, tmpdir_path):
     got = rows(run.result, "filid", "account", "name", "sum", "share_TO")
     assert got == EXPECTED
     assert {(r.year, r.month) for r in run.result.collect()} == {(2026, 4)}
+    assert {r.check: r.n for r in run.dq.collect()}["no_article"] == 1
 
 
 def test_history_read_is_partition_pruned(spark, tmpdir_path):
