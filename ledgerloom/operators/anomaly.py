@@ -219,5 +219,5 @@ def keys_without_history(current: DataFrame, history: DataFrame, year: int, mont
     keys = list(group_keys)
     p = month_index_of(year, month)
     hist = (history.where(month_index(year_col, month_col).between(p - months_back, p - 1))
-            .select(*keys))
+            .select(*keys).distinct())
     return current.dropna(subset=keys).select(*keys).distinct().join(hist, keys, "left_anti")

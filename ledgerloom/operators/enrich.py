@@ -118,9 +118,14 @@ def rate_fill(hours: DataFrame, card: DataFrame, role_col: str, store_col: str,
 
 def unmatched_rows(df: DataFrame, ref: DataFrame, keys: Sequence[str],
                    ref_keys: Sequence[str] | None = None) -> DataFrame:
-    """Rows of ``df`` whose key has no match in ``ref`` (left anti join)."""
+    """Rows of ``df`` whose key has no match in ``ref`` (left anti join).
+
+    The reference keys are made distinct first: the map-side part of that
+    distinct shrinks what is shuffled when a key repeats (lines per order),
+    and the join reuses its partitioning.
+    """
     ref_keys = list(ref_keys or keys)
-    r = ref.select(*[F.col(rk).alias(k) for k, rk in zip(keys, ref_keys)])
+    r = ref.select(*[F.col(rk).alias(k) for k, rk in zip(keys, ref_keys)]).distinct()
     return df.join(r, list(keys), "left_anti")
 
 

@@ -48,7 +48,7 @@ def unmatched_count(df: DataFrame, ref: DataFrame, keys: Sequence[str], feed: st
                     ref_keys: Sequence[str] | None = None, year=None, month=None) -> DataFrame:
     """Rows of ``df`` with no partner in ``ref`` (anti join, then a count)."""
     ref_keys = list(ref_keys or keys)
-    r = ref.select(*[F.col(rk).alias(k) for k, rk in zip(keys, ref_keys)])
+    r = ref.select(*[F.col(rk).alias(k) for k, rk in zip(keys, ref_keys)]).distinct()
     agg = df.join(r, list(keys), "left_anti").agg(F.count(F.lit(1)).alias("__n"))
     return _row(agg, feed, year, month, "unmatched", ",".join(keys), F.col("__n"))
 
