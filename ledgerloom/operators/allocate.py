@@ -52,6 +52,11 @@ def dense_sales_share_periods(sales: DataFrame, periods: Sequence[tuple[int, int
     """
     depts = list(depts)
     periods = sorted({(int(y), int(m)) for y, m in periods})
+    if not periods:
+        # no month asked for: an empty share with the usual columns
+        return sales.select(F.col(year_col).cast("int"), F.col(month_col).cast("int"),
+                            store_col, dept_col,
+                            F.lit(0).alias("sumout_dep"), F.lit(0).alias("sumout_filial")).limit(0)
     years = sorted({y for y, _ in periods})
     stores = sales.select(store_col).where(F.col(store_col).isNotNull()).distinct()
     in_list = F.col(dept_col).isin(*depts)

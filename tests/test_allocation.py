@@ -73,3 +73,11 @@ def test_multi_period_share_equals_per_month(spark):
         apart += rows(dense_sales_share(sales, y, m, [104, 105]))
     assert together == sorted(apart, key=lambda t: tuple((v is not None, v) for v in t))
     assert len(together) > 0
+
+
+def test_no_period_gives_empty_share(spark):
+    from ledgerloom.operators.allocate import dense_sales_share_periods
+    sales = spark.createDataFrame([(1, 104, 2026, 5, "sales", 30.0)], SALES)
+    out = dense_sales_share_periods(sales, [], [104, 105])
+    assert out.count() == 0
+    assert out.columns == ["year", "month", "filid", "depid", "sumout_dep", "sumout_filial"]
