@@ -18,7 +18,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.aggregate import duplicate_keys
 from ledgerloom.operators.reshape import header_counts, missing_columns
 
 DQ_SCHEMA = ("feed string, year int, month int, check string, subject string, "
@@ -26,37 +25,54 @@ DQ_SCHEMA = ("feed string, year int, month int, check string, subject string, "
 
 
 def _row(df: DataFrame, feed: str, year, month, check: str, subject: str,
-         n, detail=None) -> DataFrame:
+         n, detail=None, by: Sequence[str] | None = None) -> DataFrame:
+    if by:
+        y, m = (F.col(by[0]).cast("int"), F.col(by[1]).cast("int"))
+    else:
+        y, m = (F.lit(year).cast("int"), F.lit(month).cast("int"))
     return df.select(
-        F.lit(feed).alias("feed"), F.lit(year).cast("int").alias("year"),
-        F.lit(month).cast("int").alias("month"), F.lit(check).alias("check"),
-        F.lit(subject).alias("subject"), n.cast("bigint").alias("n"),
-        F.lit(detail).cast("string").alias("detail"))
+        F.lit(feed).alias("feed"), y.alias("year"), m.alias("month"),
+        F.lit(check).alias("check"), F.lit(subject).alias("subject"),
+        n.cast("bigint").alias("n"), F.lit(detail).cast("string").alias("detail"))
 
 
-def null_key_count(df: DataFrame, keys: Sequence[str], feed: str, year=None, month=None) -> DataFrame:
-    """Rows dropped by grouping because a key is NULL."""
+def _grouped(df: DataFrame, by: Sequence[str] | None):
+    return df.groupBy(*by) if by else df
+
+
+def null_key_count(df: DataFrame, keys: Sequence[str], feed: str, year=None, month=None,
+                   by: Sequence[str] | None = None) -> DataFrame:
+    """Rows dropped by grouping because a key is NULL (per period with ``by``)."""
     cond = None
     for k in keys:
         c = F.col(k).isNull()
         cond = c if cond is None else cond | c
-    agg = df.agg(F.count(F.when(cond, F.lit(1))).alias("__n"))
-    return _row(agg, feed, year, month, "null_key", ",".join(keys), F.col("__n"))
+    agg = _grouped(df, by).agg(F.count(F.when(cond, F.lit(1))).alias("__n"))
+    return _row(agg, feed, year, month, "null_key", ",".join(keys), F.col("__n"), by=by)
 
 
 def unmatched_count(df: DataFrame, ref: DataFrame, keys: Sequence[str], feed: str,
-                    ref_keys: Sequence[str] | None = None, year=None, month=None) -> DataFrame:
-    """Rows of ``df`` with no partner in ``ref`` (anti join, then a count)."""
+                    ref_keys: Sequence[str] | None = None, year=None, month=None,
+                    by: Sequence[str] | None = None) -> DataFrame:
+    """Rows of ``df`` with no partner in ``ref`` (per period of ``df`` with ``by``).
+
+    A left join to the distinct reference keys (no fan-out) keeps periods
+    where nothing is unmatched, so they report 0.
+    """
     ref_keys = list(ref_keys or keys)
-    r = ref.select(*[F.col(rk).alias(k) for k, rk in zip(keys, ref_keys)]).distinct()
-    agg = df.join(r, list(keys), "left_anti").agg(F.count(F.lit(1)).alias("__n"))
-    return _row(agg, feed, year, month, "unmatched", ",".join(keys), F.col("__n"))
+    r = (ref.select(*[F.col(rk).alias(k) for k, rk in zip(keys, ref_keys)]).distinct()
+         .withColumn("__hit", F.lit(True)))
+    joined = df.join(r, list(keys), "left")
+    agg = _grouped(joined, by).agg(F.count(F.when(F.col("__hit").isNull(), F.lit(1))).alias("__n"))
+    return _row(agg, feed, year, month, "unmatched", ",".join(keys), F.col("__n"), by=by)
 
 
-def duplicate_count(df: DataFrame, keys: Sequence[str], feed: str, year=None, month=None) -> DataFrame:
-    """Number of keys that occur more than once (must be 0)."""
-    agg = duplicate_keys(df, keys).agg(F.count(F.lit(1)).alias("__n"))
-    return _row(agg, feed, year, month, "duplicate_key", ",".join(keys), F.col("__n"))
+def duplicate_count(df: DataFrame, keys: Sequence[str], feed: str, year=None, month=None,
+                    by: Sequence[str] | None = None) -> DataFrame:
+    """Number of keys that occur more than once (must be 0); per period with ``by``."""
+    per_key = df.groupBy(*keys, *(by or [])).agg(F.count(F.lit(1)).alias("__c"))
+    agg = _grouped(per_key, by).agg(F.count(F.when(F.col("__c") > 1, F.lit(1))).alias("__n"))
+    return _row(agg, feed, year, month, "duplicate_key", ",".join(keys), F.col("__n"), by=by)
 
 
 def header_findings(spark: SparkSession, columns: Sequence[str], template: Sequence[str],
@@ -72,10 +88,11 @@ def header_findings(spark: SparkSession, columns: Sequence[str], template: Seque
 
 
 def count_finding(df: DataFrame, cond, check: str, subject: str, feed: str,
-                  year=None, month=None, detail: str | None = None) -> DataFrame:
-    """Generic finding: number of rows where ``cond`` holds."""
-    agg = df.agg(F.count(F.when(cond, F.lit(1))).alias("__n"))
-    return _row(agg, feed, year, month, check, subject, F.col("__n"), detail)
+                  year=None, month=None, detail: str | None = None,
+                  by: Sequence[str] | None = None) -> DataFrame:
+    """Generic finding: number of rows where ``cond`` holds (per period with ``by``)."""
+    agg = _grouped(df, by).agg(F.count(F.when(cond, F.lit(1))).alias("__n"))
+    return _row(agg, feed, year, month, check, subject, F.col("__n"), detail, by=by)
 
 
 def dq_report(parts: Sequence[DataFrame]) -> DataFrame:

@@ -156,18 +156,21 @@ def labor_allocation_q(spark: SparkSession, sf: str) -> DataFrame:
 
 def fill_down_q(spark: SparkSession, sf: str) -> DataFrame:
     """Per user, in (ts, event_id) order, the last signup carried onto later events:
-    its id, and (independently) its props where its value is at least 50."""
+    its code (the event id as text), and independently its props where its value
+    is at least 50."""
     ev = table(spark, sf, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
     out = fill_down(
         ev, ["ts", "event_id"],
-        {"header_id": F.col("event_id"),
+        {"header_code": F.col("event_id").cast("string"),
          "header_props": F.when(F.col("value") >= 50, F.col("props"))},
         is_header=F.col("event_type") == "signup", partition_by=["user_id"])
-    return out.select("event_id", "user_id", "event_type", "header_id", "header_props")
+    return out.select("event_id", "user_id", "event_type", "header_code", "header_props")
 
 
 def enrich_store_q(spark: SparkSession, sf: str) -> DataFrame:
-    """Customers labelled ``Customer#<n>`` matched to the supplier directory by number."""
+    """Customers labelled ``Customer#<n>`` matched to the supplier directory by
+    number; rows without a store are dropped, as the feeds do after the join
+    (they are what ``unmatched`` findings count)."""
     cust = table(spark, sf, "customer", "c_custkey", "c_name")
     sup = table(spark, sf, "supplier", "s_suppkey", "s_name", "s_nationkey")
     directory = enrich.store_directory(
@@ -176,7 +179,7 @@ def enrich_store_q(spark: SparkSession, sf: str) -> DataFrame:
                    F.col("s_name").alias("name"),
                    F.col("s_nationkey").cast("string").alias("MVZ")))
     code = parse_number(F.regexp_extract("c_name", r"#(.*)$", 1), integral=True)
-    out = enrich.enrich_store(cust.withColumn("code", code), directory, F.col("code"))
+    out = enrich.enrich_store(cust.withColumn("code", code), directory, F.col("code"), how="inner")
     return out.select("c_custkey", "code", F.col("filid").cast("bigint").alias("filid"))
 
 
@@ -360,13 +363,18 @@ def duplicate_keys_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dq_report_q(spark: SparkSession, sf: str) -> DataFrame:
-    li = table(spark, sf, "lineitem", "l_orderkey", "l_partkey", "l_returnflag")
-    orders = table(spark, sf, "orders", "o_orderkey")
-    keyed = li.select(F.nullif(F.col("l_returnflag"), F.lit("N")).alias("flag"))
+    """Findings per month: NULL keys (flag N) and duplicate (order, part) keys of
+    the lines by ship month, orders without lines by order month."""
+    li = table(spark, sf, "lineitem", "l_orderkey", "l_partkey", "l_returnflag", "l_shipdate")
+    orders = table(spark, sf, "orders", "o_orderkey", "o_orderdate")
+    lines = li.select("l_orderkey", "l_partkey", *_ym(),
+                      F.nullif(F.col("l_returnflag"), F.lit("N")).alias("flag"))
+    by = ("year", "month")
     return quality.dq_report([
-        quality.null_key_count(keyed, ["flag"], "lineitem"),
-        quality.unmatched_count(orders, li, ["o_orderkey"], "orders", ref_keys=["l_orderkey"]),
-        quality.duplicate_count(li, ["l_orderkey", "l_partkey"], "lineitem"),
+        quality.null_key_count(lines, ["flag"], "lineitem", by=by),
+        quality.unmatched_count(orders.select("o_orderkey", *_ym("o_orderdate")), li,
+                                ["o_orderkey"], "orders", ref_keys=["l_orderkey"], by=by),
+        quality.duplicate_count(lines, ["l_orderkey", "l_partkey"], "lineitem", by=by),
     ])
 
 

@@ -216,13 +216,13 @@ FROM shared
     "fill_down": """
 WITH marked AS (
   SELECT event_id, user_id, event_type, ts,
-         CASE WHEN event_type = 'signup' THEN event_id END AS hid,
+         CASE WHEN event_type = 'signup' THEN CAST(event_id AS VARCHAR) END AS hcode,
          CASE WHEN event_type = 'signup' AND value >= 50 THEN props END AS hprops
   FROM events
 )
-SELECT event_id, user_id, event_type, header_id, header_props FROM (
+SELECT event_id, user_id, event_type, header_code, header_props FROM (
   SELECT event_id, user_id, event_type,
-         last_value(hid IGNORE NULLS) OVER w AS header_id,
+         last_value(hcode IGNORE NULLS) OVER w AS header_code,
          last_value(hprops IGNORE NULLS) OVER w AS header_props
   FROM marked
   WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id
@@ -240,7 +240,7 @@ c AS (
               THEN CAST(trim(regexp_extract(c_name, '#(.*)$', 1)) AS BIGINT) END AS code
   FROM customer
 )
-SELECT c.c_custkey, c.code, dir.filid FROM c LEFT JOIN dir ON dir.code = c.code
+SELECT c.c_custkey, c.code, dir.filid FROM c JOIN dir ON dir.code = c.code
 """,
 
     "unmatched_keys": """
@@ -422,19 +422,26 @@ GROUP BY l_orderkey, l_partkey HAVING COUNT(*) > 1
 """,
 
     "dq_report": """
-SELECT 'lineitem' AS feed, CAST(NULL AS INTEGER) AS year, CAST(NULL AS INTEGER) AS month,
-       'null_key' AS "check", 'flag' AS subject,
+SELECT 'lineitem' AS feed, CAST(year(l_shipdate) AS INTEGER) AS year,
+       CAST(month(l_shipdate) AS INTEGER) AS month, 'null_key' AS "check", 'flag' AS subject,
        CAST(COUNT(CASE WHEN nullif(l_returnflag, 'N') IS NULL THEN 1 END) AS BIGINT) AS n,
        CAST(NULL AS VARCHAR) AS detail
-FROM lineitem
+FROM lineitem GROUP BY year(l_shipdate), month(l_shipdate)
 UNION ALL
-SELECT 'orders', NULL, NULL, 'unmatched', 'o_orderkey', CAST(COUNT(*) AS BIGINT), NULL
-FROM orders o WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)
+SELECT 'orders', CAST(year(o.o_orderdate) AS INTEGER), CAST(month(o.o_orderdate) AS INTEGER),
+       'unmatched', 'o_orderkey', CAST(COUNT(CASE WHEN l.k IS NULL THEN 1 END) AS BIGINT), NULL
+FROM orders o LEFT JOIN (SELECT DISTINCT l_orderkey AS k FROM lineitem) l ON l.k = o.o_orderkey
+GROUP BY year(o.o_orderdate), month(o.o_orderdate)
 UNION ALL
-SELECT 'lineitem', NULL, NULL, 'duplicate_key', 'l_orderkey,l_partkey', CAST(COUNT(*) AS BIGINT), NULL
-FROM (SELECT l_orderkey, l_partkey FROM lineitem GROUP BY l_orderkey, l_partkey HAVING COUNT(*) > 1)
+SELECT 'lineitem', y, m, 'duplicate_key', 'l_orderkey,l_partkey',
+       CAST(COUNT(CASE WHEN c > 1 THEN 1 END) AS BIGINT), NULL
+FROM (SELECT l_orderkey, l_partkey, CAST(year(l_shipdate) AS INTEGER) AS y,
+             CAST(month(l_shipdate) AS INTEGER) AS m, COUNT(*) AS c
+      FROM lineitem GROUP BY l_orderkey, l_partkey, year(l_shipdate), month(l_shipdate))
+GROUP BY y, m
 """,
 
+
     "meter_rollup": """
 WITH r AS (
   SELECT l_shipdate,
