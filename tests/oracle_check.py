@@ -1,6 +1,7 @@
 """Side-by-side check of ``queries()`` against ``oracle_sql()`` (DuckDB).
 
-Compares row count, column names and an order-insensitive multiset of rows.
+Compares row count, column names, column types and an order-insensitive
+multiset of rows.
 Floats must be equal to the bit (the bindings are built so they are); text,
 integers and NULLs compare exactly. Usable from pytest and as a script:
 
@@ -63,6 +64,11 @@ def rows_of_duck(con, sql):
     return [names[i] for i in order], [tuple(_norm(r[i]) for i in order) for r in data]
 
 
+# Spark type -> DuckDB type of the same values
+_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+          "boolean": "BOOLEAN", "date": "DATE"}
+
+
 def compare(spark, con, name, query, sql, sf_dir):
     df = query(spark, sf_dir)
     s_cols, s_rows = rows_of_spark(df)
@@ -70,6 +76,12 @@ def compare(spark, con, name, query, sql, sf_dir):
     problems = []
     if s_cols != d_cols:
         problems.append(f"columns spark={s_cols} duck={d_cols}")
+    rel = con.sql(sql)
+    d_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    s_types = {f.name: _TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in df.schema.fields}
+    if s_types != d_types:
+        problems.append(f"types spark={s_types} duck={d_types}")
     if len(s_rows) != len(d_rows):
         problems.append(f"rows spark={len(s_rows)} duck={len(d_rows)}")
     cs, cd = Counter(map(repr, s_rows)), Counter(map(repr, d_rows))
