@@ -25,7 +25,8 @@ def dense_sales_share(sales: DataFrame, year: int, month: int, depts: Sequence,
                       store_col: str = "filid", dept_col: str = "depid",
                       year_col: str = "year", month_col: str = "month",
                       type_col: str = "type_oper", sales_type: str = "sales",
-                      amount_col: str = "sumout", scale: int | None = 2) -> DataFrame:
+                      amount_col: str = "sumout", scale: int | None = 2,
+                      stores: DataFrame | None = None) -> DataFrame:
     """Per (year, month, store, department): department sales and store sales.
 
     * stores: every store ever seen in ``sales`` (any year);
@@ -36,7 +37,7 @@ def dense_sales_share(sales: DataFrame, year: int, month: int, depts: Sequence,
     """
     return dense_sales_share_periods(sales, [(year, month)], depts, calendar, store_col,
                                      dept_col, year_col, month_col, type_col, sales_type,
-                                     amount_col, scale)
+                                     amount_col, scale, stores)
 
 
 def dense_sales_share_periods(sales: DataFrame, periods: Sequence[tuple[int, int]],
@@ -44,11 +45,15 @@ def dense_sales_share_periods(sales: DataFrame, periods: Sequence[tuple[int, int
                               store_col: str = "filid", dept_col: str = "depid",
                               year_col: str = "year", month_col: str = "month",
                               type_col: str = "type_oper", sales_type: str = "sales",
-                              amount_col: str = "sumout", scale: int | None = 2) -> DataFrame:
+                              amount_col: str = "sumout", scale: int | None = 2,
+                              stores: DataFrame | None = None) -> DataFrame:
     """:func:`dense_sales_share` for several months in one plan (backfill).
 
     ``periods`` is a list of (year, month); departments count as seen per
     year. The sales table is read once for all months, however many.
+    ``stores`` (one column named like ``store_col``) replaces "every store
+    ever seen in sales", which otherwise scans the store column of the whole
+    sales history.
     """
     depts = list(depts)
     periods = sorted({(int(y), int(m)) for y, m in periods})
@@ -58,7 +63,9 @@ def dense_sales_share_periods(sales: DataFrame, periods: Sequence[tuple[int, int
                             store_col, dept_col,
                             F.lit(0).alias("sumout_dep"), F.lit(0).alias("sumout_filial")).limit(0)
     years = sorted({y for y, _ in periods})
-    stores = sales.select(store_col).where(F.col(store_col).isNotNull()).distinct()
+    if stores is None:
+        stores = sales.select(store_col)
+    stores = stores.select(store_col).where(F.col(store_col).isNotNull()).distinct()
     in_list = F.col(dept_col).isin(*depts)
     # bounded by len(depts) x len(years)
     seen = (sales.where(in_list & F.col(year_col).isin(*years))

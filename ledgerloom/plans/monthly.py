@@ -253,13 +253,16 @@ def accounts_drop(spark: SparkSession, path: str | Sequence[str], directory: Dat
 
 def labor_drop(spark: SparkSession, hours_path: str | Sequence[str], roles: DataFrame,
                rate_card: DataFrame, directory: DataFrame, sales: DataFrame,
-               rate_col: str, fmt: str = "csv", calendar: DataFrame | None = None) -> FeedRun:
+               rate_col: str, fmt: str = "csv", calendar: DataFrame | None = None,
+               stores: DataFrame | None = None) -> FeedRun:
     """Labour hours x rates per store and department, shared role split by sales.
 
     ``roles``: (``посада з годин``, ``Посада з зп``, ``depid``, ``Відділ``);
     ``rate_card``: (``№ магазина``, ``посада``, ``rate_col``) - the rate column
     name changes with each card and is passed in; ``sales``: (filid, depid,
     year, month, type_oper, sumout). Processes the period(s) of the hours drop.
+    ``stores`` (a ``filid`` column) spares the scan of the whole sales history
+    that "every store ever seen" needs otherwise.
     """
     c = CONTRACTS["labor"]
     raw = scan_monthly_table(spark, hours_path, fmt=fmt)
@@ -296,7 +299,8 @@ def labor_drop(spark: SparkSession, hours_path: str | Sequence[str], roles: Data
 
     # the months of the drop, from its file names (a listing, no data read)
     periods = drop_periods(spark, raw)
-    share = dense_sales_share_periods(sales, periods, SHARED_SPLIT, calendar=calendar)
+    share = dense_sales_share_periods(sales, periods, SHARED_SPLIT, calendar=calendar,
+                                      stores=stores)
     share = share.select(F.col("filid").cast("long").alias("filid"),
                          F.col("depid").cast("string").alias("depid"),
                          "year", "month", "sumout_dep", "sumout_filial")

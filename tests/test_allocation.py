@@ -81,3 +81,11 @@ def test_no_period_gives_empty_share(spark):
     out = dense_sales_share_periods(sales, [], [104, 105])
     assert out.count() == 0
     assert out.columns == ["year", "month", "filid", "depid", "sumout_dep", "sumout_filial"]
+
+
+def test_given_store_list_replaces_stores_ever_seen(spark):
+    sales = spark.createDataFrame([(1, 104, 2026, 5, "sales", 30.0), (2, 105, 2020, 1, "sales", 1.0)],
+                                  SALES)
+    stores = spark.createDataFrame([(1,), (3,)], "filid int")
+    got = rows(dense_sales_share(sales, 2026, 5, [104, 105], stores=stores), "filid", "depid")
+    assert got == [(1, 104), (3, 104)]
