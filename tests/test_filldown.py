@@ -70,3 +70,21 @@ def test_fill_down_hot_key_matches_brute_force(spark):
     assert got == _brute(data)
     single = fill_down(df, ["o"], {"f": F.col("v")}, F.col("hdr"), partition_by=["k"], n_chunks=1)
     assert sorted(tuple(r) for r in single.select("k", "o", "f").collect()) == got
+
+
+def test_hot_user_is_spread_over_bounded_chunks(spark):
+    """40% of all events on one user: no (user, chunk) window partition gets
+    much more than rows / n_chunks, and the hot user spans many chunks."""
+    from ledgerloom.operators.filldown import sampled_chunk
+    ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
+    skewed = ev.withColumn("user_id", F.when(F.rand(11) < 0.4, F.lit(0)).otherwise(F.col("user_id")))
+    skewed = skewed.cache()
+    total = skewed.count()
+    n = 16
+    chunk = sampled_chunk(skewed, ["user_id", "ts", "event_id"], n)
+    sizes = (skewed.withColumn("c", chunk).groupBy("user_id", "c").count()
+             .orderBy(F.desc("count")).collect())
+    assert sizes[0]["count"] <= 2 * total / n
+    hot_chunks = [r for r in sizes if r["user_id"] == 0]
+    assert len(hot_chunks) >= n // 4
+    skewed.unpersist()
