@@ -17,24 +17,31 @@ contiguous in row order and bounded in size:
 3. per (group, chunk): a window fill inside the chunk, falling back to the
    carried-in value.
 
-By default chunk bounds are taken from a seeded sample of the sort key
-``(group, order)`` and written into the plan as literals, so every branch of
-the plan (and every retry of a task) puts a row in the same chunk; each chunk
-holds about ``rows / n_chunks`` rows whatever the skew between groups. A
-caller with a dense row number can pass ``chunk=floor(row_no / B)`` instead.
+By default there is one chunk per ``ROWS_PER_CHUNK`` rows (at most
+``MAX_CHUNKS``; a small input is a single chunk). Chunk bounds are taken from
+a seeded sample of the sort key ``(group, order)`` and written into the plan as
+literals, so every branch of the plan (and every retry of a task) puts a row
+in the same chunk; each chunk holds about ``rows / n_chunks`` rows whatever the
+skew between groups. A caller with a dense row number can pass
+``chunk=floor(row_no / B)`` instead.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-# the chunk search is a CASE tree with one leaf per chunk; past about a thousand
-# leaves its generated code outgrows a JVM method and the stage loses codegen
-MAX_CHUNKS = 1024
+# chunks hold about ROWS_PER_CHUNK rows. The chunk search is a CASE tree with one
+# leaf per chunk, and its generated code grows with the leaves, so the count is
+# capped; at the cap a hot group is still spread over MAX_CHUNKS tasks.
+ROWS_PER_CHUNK = 4_000_000
+MAX_CHUNKS = 512
 
 
 def _cols(cs: Sequence[str | Column]) -> list[Column]:
@@ -59,8 +66,7 @@ def fill_down(df: DataFrame, order_by: Sequence[str], fill: Mapping[str, Column]
         marked = marked.withColumn(f"__v_{o}", F.when(F.col("__hdr"), fill[o]))
 
     if chunk is None:
-        n = n_chunks or min(MAX_CHUNKS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-        chunk = sampled_chunk(df, pcols + list(order_by), n)
+        chunk = sampled_chunk(df, pcols + list(order_by), n_chunks)
     marked = marked.withColumn("__chunk", chunk)
 
     order_key = F.struct(*_cols(order_by))
@@ -95,21 +101,24 @@ def fill_down(df: DataFrame, order_by: Sequence[str], fill: Mapping[str, Column]
     return joined.drop(*drop)
 
 
-def sampled_chunk(df: DataFrame, key_cols: Sequence[str], n_chunks: int,
+def sampled_chunk(df: DataFrame, key_cols: Sequence[str], n_chunks: int | None = None,
                   per_chunk: int = 32, seed: int = 20260501) -> Column:
     """Chunk number of each row in the order of ``key_cols`` (NULLs first).
 
-    Bounds are the ``1/n .. (n-1)/n`` quantiles of a seeded sample of about
-    ``n_chunks * per_chunk`` keys; they are bounded metadata (at most
-    ``n_chunks - 1`` keys), returned to the driver once. Each row finds its chunk
-    by a binary search written as nested ``CASE`` expressions on the
+    ``n_chunks`` defaults to one chunk per ``ROWS_PER_CHUNK`` rows (at most
+    ``MAX_CHUNKS``). Bounds are the ``1/n .. (n-1)/n`` quantiles of a seeded
+    sample of about ``n_chunks * per_chunk`` keys; they are bounded metadata
+    (at most ``n_chunks - 1`` keys), returned to the driver once. Each row finds
+    its chunk by a binary search written as nested ``CASE`` expressions on the
     struct of its keys.
     """
-    if n_chunks <= 1:
+    if n_chunks is not None and n_chunks <= 1:
         return F.lit(0)
     keys = df.select(*key_cols)
     total = keys.count()
-    if total == 0:
+    if n_chunks is None:
+        n_chunks = min(MAX_CHUNKS, -(-total // ROWS_PER_CHUNK))
+    if total == 0 or n_chunks <= 1:
         return F.lit(0)
     fraction = min(1.0, 1.25 * n_chunks * per_chunk / total)
     cap = 4 * n_chunks * per_chunk   # a hard bound on what reaches the driver
@@ -123,19 +132,54 @@ def sampled_chunk(df: DataFrame, key_cols: Sequence[str], n_chunks: int,
         if not bounds or b != bounds[-1]:
             bounds.append(b)
     types = {f.name: f.dataType for f in keys.schema.fields}
-    key = F.struct(*[F.col(c) for c in key_cols])
+    # the whole search is one SQL expression with typed literals, parsed once:
+    # building it from Column objects costs a JVM round trip per literal
+    key = "named_struct(" + ", ".join(f"'{c}', {_ident(c)}" for c in key_cols) + ")"
 
-    def lit_struct(b):
-        return F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(key_cols, b)])
+    def bound(b) -> str:
+        return "named_struct(" + ", ".join(f"'{c}', {_sql_literal(v, types[c])}"
+                                           for c, v in zip(key_cols, b)) + ")"
 
-    def tree(lo: int, hi: int) -> Column:
+    def tree(lo: int, hi: int) -> str:
         # rows of chunks lo..hi; chunk i + 1 starts at bounds[i]
         if lo == hi:
-            return F.lit(lo)
+            return str(lo)
         mid = (lo + hi) // 2
-        return F.when(key < lit_struct(bounds[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
-
-    return tree(0, len(bounds))
+        return (f"CASE WHEN {key} < {bound(bounds[mid])} THEN {tree(lo, mid)} "
+                f"ELSE {tree(mid + 1, hi)} END")
+
+    return F.expr(tree(0, len(bounds)))
+
+
+def _ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _sql_literal(v, dt) -> str:
+    """A SQL literal of type ``dt`` holding the collected value ``v``."""
+    t = dt.simpleString()
+    if v is None:
+        return f"CAST(NULL AS {t})"
+    if isinstance(dt, T.BooleanType):
+        return "true" if v else "false"
+    if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return f"CAST({int(v)} AS {t})"
+    if isinstance(dt, (T.FloatType, T.DoubleType)):
+        x = float(v)
+        text = "NaN" if math.isnan(x) else ("Infinity" if x > 0 else "-Infinity") \
+            if math.isinf(x) else repr(x)
+        return f"CAST('{text}' AS {t})"
+    if isinstance(dt, T.DecimalType):
+        return f"CAST('{v}' AS {t})"
+    if isinstance(dt, T.StringType):
+        return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(dt, T.DateType):
+        return f"DATE '{v.isoformat()}'"
+    if isinstance(dt, T.TimestampNTZType):
+        return f"TIMESTAMP_NTZ '{v.isoformat(sep=' ')}'"
+    if isinstance(dt, T.TimestampType):
+        return f"CAST('{v.isoformat(sep=' ')}' AS TIMESTAMP)"
+    raise TypeError(f"fill-down order column of type {t} is not supported")
 
 
 def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
