@@ -43,3 +43,22 @@ def test_fill_down_any_chunking(spark, seed, n_chunks, keys):
     out = fill_down(df, ["o"], {"f": F.col("v")}, F.col("hdr"), partition_by=["k"],
                     n_chunks=n_chunks)
     assert sorted(tuple(r) for r in out.select("k", "o", "f").collect()) == _brute(data)
+
+
+def test_fill_down_null_group_is_a_group(spark):
+    data = [(None, 1, True, 5), (None, 2, False, None), (1, 3, False, None), (None, 4, False, None),
+            (1, 5, True, 7), (1, 6, False, None)]
+    df = spark.createDataFrame(data, "k int, o int, hdr boolean, v int")
+    for n in (None, 3):
+        out = fill_down(df, ["o"], {"f": F.col("v")}, F.col("hdr"), partition_by=["k"], n_chunks=n)
+        got = sorted(tuple(r) for r in out.select("o", "f").collect())
+        assert got == [(2, 5), (3, None), (4, 5), (6, 7)]
+
+
+def test_merge_repeated_text_columns_keep_first_value(spark):
+    from ledgerloom.operators.reshape import merge_repeated_columns
+    df = spark.createDataFrame([(None, "b", 1.0, None), ("a", "z", None, 2.0)],
+                               "`Name` string, `na me` string, `V 1` double, `v1` double")
+    out = merge_repeated_columns(df)
+    assert out.columns == ["name", "v1"]
+    assert sorted(tuple(r) for r in out.collect()) == [("a", 2.0), ("b", 1.0)]
