@@ -276,3 +276,18 @@ def test_command_line_backfill_then_one_month(spark, tmpdir_path):
     assert flagged == {("M1", "consump_uah"), ("M1", "tariff")}
     assert spark.read.parquet(target).count() == 8
     assert spark.read.parquet(findings).where("check = 'rows'").count() == 2
+
+
+def test_meter_scoring_with_group_names(spark):
+    from ledgerloom.plans.contracts import CONTRACTS, METER_OUTPUT_GROUPS
+    c = CONTRACTS["meter"]
+    cols = ", ".join(f"`{g}` double" for g in METER_OUTPUT_GROUPS)
+    hist = spark.createDataFrame(
+        [(2026, m, f, *([10.0] * 5)) for m in (2, 3, 4) for f in (21, 22)],
+        f"year int, month int, filid int, {cols}")
+    cur = spark.createDataFrame([(2026, 5, 21, 10.0, 90.0, 10.0, 10.0, 10.0),
+                                 (2026, 5, 22, 10.0, 10.0, 10.0, 10.0, 10.0)],
+                                f"year int, month int, filid int, {cols}")
+    run = monthly.FeedRun(c, cur, cur.limit(0))
+    got = [(r.filid, r.category, r.current) for r in monthly.score(run, hist, 2026, 5).collect()]
+    assert got == [(21, "Стрит-Фуд", 90.0)]
