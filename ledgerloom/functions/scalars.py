@@ -129,8 +129,10 @@ def exact_sum(col: Column, scale: int = 2) -> Column:
     Each value is rounded to ``scale`` decimals (half-even) and summed as a
     64-bit integer count of ``10^-scale`` units, which stays on Spark's fast
     long-sum path (a ``decimal(18,2)`` sum would fall back to BigDecimal per
-    row); only the per-group result is turned back into a decimal. A group
-    total beyond +-9.2e18 units raises (ANSI overflow) rather than wrapping.
+    row); only the per-group result is turned back into a decimal. Rounding
+    goes through a double, so a single value is exact below 2^53 units (about
+    9e13 at two decimals); a group total beyond +-9.2e18 units raises (ANSI
+    overflow) rather than wrapping.
     """
     units = F.rint(col.cast("double") * F.lit(float(10 ** scale))).cast("long")
     return ((F.sum(units).cast("decimal(38,0)") / F.lit(Decimal(10 ** scale)))
