@@ -151,22 +151,32 @@ def labor_allocation(labor: DataFrame, share: DataFrame, shared_dept,
     ``hours_dep = hours * sumout_dep / sumout_filial``; 0 when the store sold
     nothing; NULL (and a NULL department) when the store has no sales rows at
     all. ``cost = rate * hours_dep``. Every other row - including rows with a
-    NULL department - is kept unchanged. One predicate selects the shared
-    rows and its exact complement keeps the rest, so no row is lost or doubled.
+    NULL department - is kept unchanged. One predicate decides what is shared
+    and the rest pass through the same join unmatched, so no row is lost or
+    doubled and the labour rows are computed once.
     ``period_cols`` pairs (labour column, share column), e.g.
     ``[("y", "year"), ("m", "month")]``, split many months at once.
     """
     is_shared = F.col(dept_col).eqNullSafe(F.lit(shared_dept))
-    rest = labor.where(~is_shared)
-    shared = labor.where(is_shared).drop(dept_col)
-    sh = share.select(F.col(store_col), *[F.col(s).alias(l) for l, s in period_cols],
-                      F.col(dept_col).cast(labor.schema[dept_col].dataType),
+    sh = share.select(F.col(store_col).alias("__s_store"),
+                      *[F.col(sc).alias(f"__s_{lc}") for lc, sc in period_cols],
+                      F.col(dept_col).cast(labor.schema[dept_col].dataType).alias("__s_dept"),
                       F.col("sumout_dep").cast("double").alias("__dep"),
                       F.col("sumout_filial").cast("double").alias("__fil"))
-    split = shared.join(sh, [store_col, *[l for l, _ in period_cols]], "left")
-    hours = guarded_ratio(F.col(hours_col).cast("double") * F.col("__dep"), F.col("__fil"),
-                          null_denominator="null")
-    split = (split.withColumn(hours_col, hours)
-             .withColumn(cost_col, F.col(rate_col) * F.col(hours_col))
-             .drop("__dep", "__fil"))
-    return rest.unionByName(split.select(*rest.columns))
+    # one left join, no split-and-union: only shared rows can match (so the
+    # upstream plan is computed once), they fan out to their departments, and a
+    # shared row whose store has no sales rows stays once with NULLs
+    cond = is_shared & (F.col(store_col) == F.col("__s_store"))
+    for lc, _ in period_cols:
+        cond = cond & (F.col(lc) == F.col(f"__s_{lc}"))
+    j = labor.join(sh, cond, "left")
+    split_hours = guarded_ratio(F.col(hours_col).cast("double") * F.col("__dep"), F.col("__fil"),
+                                null_denominator="null")
+    out = (j.withColumn("__shared", is_shared)  # decided on the original department
+           .withColumn(dept_col, F.when(F.col("__shared"), F.col("__s_dept"))
+                       .otherwise(F.col(dept_col)))
+           .withColumn(hours_col, F.when(F.col("__shared"), split_hours)
+                       .otherwise(F.col(hours_col)))
+           .withColumn(cost_col, F.when(F.col("__shared"), F.col(rate_col) * F.col(hours_col))
+                       .otherwise(F.col(cost_col))))
+    return out.select(*labor.columns)
