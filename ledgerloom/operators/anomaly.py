@@ -143,16 +143,31 @@ def anomaly_one_period(current: DataFrame, history: DataFrame, year: int, month:
                   for c in categories]))
     hist = history.where(month_index(year_col, month_col).between(p - months_back, p - 1))
     cells = _cells(hist, keys, categories, year_col, month_col, vals)
-    hl = _long(cells, keys, categories, vals.carried)
-    own = hl.groupBy(*keys, "category").agg(
-        F.count("v").alias("__n"),
-        F.count(F.when(F.col("v") == 0, F.lit(1))).alias("__zeros"),
-        F.sum("v").alias("__own_sum"))
+    # per group, all categories side by side: the join below is on the group
+    # keys only, which both sides are already partitioned by (no extra shuffle)
+    own = cells.groupBy(*keys).agg(*[
+        agg for i, c in enumerate(categories) for agg in (
+            F.count(c).alias(f"__n{i}"),
+            F.count(F.when(F.col(c) == 0, F.lit(1))).alias(f"__z{i}"),
+            F.sum(c).alias(f"__s{i}"))])
     # one row per category: bounded by the configured category list
-    glob = hl.groupBy("category").agg(F.sum("v").alias("__gsum"), F.count("v").alias("__gcnt"))
-    cl = _long(cur, keys, categories, vals.carried).withColumnRenamed("v", "__cur")
-    j = (cl.join(own, keys + ["category"], "inner")
-         .join(F.broadcast(glob), "category", "left"))
+    glob = (_long(cells, keys, categories, vals.carried)
+            .groupBy("category").agg(F.sum("v").alias("__gsum"), F.count("v").alias("__gcnt")))
+    # keys are NULL-free here; null-safe equality keeps the optimizer from pushing
+    # an inferred IS NOT NULL into this branch only, so ``cells`` stays one
+    # shared subtree (history read once)
+    o = own.select(*[F.col(k).alias(f"__o_{k}") for k in keys],
+                   *[F.col(x) for x in own.columns if x not in keys])
+    cond = None
+    for k in keys:
+        e = F.col(k).eqNullSafe(F.col(f"__o_{k}"))
+        cond = e if cond is None else cond & e
+    wide = cur.join(o, cond, "inner").drop(*[f"__o_{k}" for k in keys])
+    rows = ", ".join(f"{_sql_string(c)}, `{c.replace('`', '``')}`, `__n{i}`, `__z{i}`, `__s{i}`"
+                     for i, c in enumerate(categories))
+    long = wide.select(*keys, F.expr(
+        f"stack({len(categories)}, {rows}) AS (category, __cur, __n, __zeros, __own_sum)"))
+    j = long.join(F.broadcast(glob), "category", "left")
     c = {k: F.col(k) for k in ("__cur", "__n", "__zeros", "__own_sum", "__gsum", "__gcnt")}
     flagged = j.where(_flag(c["__cur"], c["__n"], c["__zeros"], c["__own_sum"], c["__gsum"],
                             c["__gcnt"], threshold, gt, months_back, vals))
@@ -161,6 +176,10 @@ def anomaly_one_period(current: DataFrame, history: DataFrame, year: int, month:
                                     c["__gcnt"], round_digits, vals))
 
 
+def _sql_string(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def anomaly_all_periods(facts: DataFrame, categories: Sequence[str], group_keys: Sequence[str],
                         threshold: float = 1.0, global_threshold: float | None = None,
                         year_col: str = "year", month_col: str = "month",
