@@ -43,3 +43,10 @@ def test_fill_down_sorts_header_rows_only(spark):
 def test_anti_join_dedupes_reference_keys(spark):
     plan = final_plan(Q["unmatched_keys"](spark, SF))
     assert re.search(r"HashAggregate\(keys=\[o_orderkey", plan)
+
+
+def test_one_period_scoring_reads_history_once(spark):
+    plan = final_plan(Q["anomaly_one_period"](spark, SF))
+    # one scan for the scored month, one for its three previous months
+    assert len(re.findall(r"FileScan parquet", plan)) == 2
+    assert "ReusedExchange" in plan
