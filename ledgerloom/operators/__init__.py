@@ -23,8 +23,11 @@ from ledgerloom.operators.enrich import (  # noqa: F401
     enrich_store,
     lookup,
     rate_fill,
+    rate_lookup,
+    role_lookup,
     role_means,
     store_directory,
+    unmatched_keys,
     unmatched_rows,
 )
 from ledgerloom.operators.composite import (  # noqa: F401
@@ -51,6 +54,7 @@ from ledgerloom.operators.reshape import (  # noqa: F401
 from ledgerloom.operators.sink import (  # noqa: F401
     check_period,
     conform_schema,
+    replace_period,
     replace_period_frame,
     write_period,
     write_periods,

@@ -132,3 +132,21 @@ def unmatched_rows(df: DataFrame, ref: DataFrame, keys: Sequence[str],
 def dec(x: float | int | str) -> Column:
     """Exact decimal literal (keeps decimal arithmetic exact)."""
     return F.lit(Decimal(str(x)))
+
+
+def role_lookup(df: DataFrame, dictionary: DataFrame, role_col: str) -> DataFrame:
+    """Role dictionary lookup (left): each row gets its pay role and department;
+    a role the dictionary lacks keeps NULLs."""
+    return lookup(df, dictionary, [role_col], "left")
+
+
+def rate_lookup(df: DataFrame, card: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Composite-key rate lookup (left), e.g. on (role, store); misses keep NULLs."""
+    return lookup(df, card, list(keys), "left")
+
+
+def unmatched_keys(df: DataFrame, ref: DataFrame, keys: Sequence[str],
+                   ref_keys: Sequence[str] | None = None) -> DataFrame:
+    """Distinct keys of ``df`` that ``ref`` lacks (keys without history, stores
+    missing from the directory, orders without lines)."""
+    return unmatched_rows(df.select(*keys).distinct(), ref, keys, ref_keys)

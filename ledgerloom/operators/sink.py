@@ -109,3 +109,9 @@ def conform_schema(df: DataFrame, schema: StructType | str, strict: bool = True)
             cols.append(F.col(src).cast(f.dataType).alias(f.name))
     return df.select(*cols)
 
+
+
+def replace_period(new: DataFrame, root: str, year: int, month: int, year_col: str = "year",
+                   month_col: str = "month") -> None:
+    """Replace one period of a partitioned target (see :func:`write_period`)."""
+    write_period(new, root, year, month, year_col, month_col)

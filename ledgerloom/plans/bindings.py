@@ -257,7 +257,7 @@ def role_lookup(spark: SparkSession, sf: str) -> DataFrame:
     dictionary = (n.join(r, n["n_regionkey"] == r["r_regionkey"])
                   .where(F.col("r_name") != "ASIA")
                   .select(F.col("n_nationkey").alias("c_nationkey"), "n_name", "r_name"))
-    return enrich.lookup(c, dictionary, ["c_nationkey"]).select(
+    return enrich.role_lookup(c, dictionary, "c_nationkey").select(
         "c_custkey", "c_nationkey", "n_name", "r_name")
 
 
@@ -271,7 +271,7 @@ def rate_lookup(spark: SparkSession, sf: str) -> DataFrame:
                  .alias("rate")))
     lines = li.where(_between_months("l_shipdate", (YEAR, MONTH + 1), (YEAR, MONTH + 1))).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
-    out = enrich.lookup(lines, card, ["l_partkey", "l_suppkey"])
+    out = enrich.rate_lookup(lines, card, ["l_partkey", "l_suppkey"])
     return out.withColumn("cost", F.col("rate") * F.col("l_quantity"))
 
 

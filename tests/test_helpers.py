@@ -46,3 +46,13 @@ def test_check_period_and_checkpoint_dir(spark):
     check_period(df.where("month = 5"), 2026, 5)
     d = checkpoint_dir(spark)
     assert d and spark.sparkContext.getCheckpointDir()
+
+
+def test_survey_named_operators(spark, tmpdir_path):
+    from ledgerloom.operators import replace_period, unmatched_keys
+    a = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
+    b = spark.createDataFrame([(2,)], "k int")
+    assert rows(unmatched_keys(a, b, ["k"])) == [(None,), (1,)]
+    df = spark.createDataFrame([("x", 2026, 5)], "v string, year int, month int")
+    replace_period(df, f"{tmpdir_path}/t", 2026, 5)
+    assert rows(spark.read.parquet(f"{tmpdir_path}/t")) == [("x", 2026, 5)]
