@@ -1,0 +1,70 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from ledgerloom.llm import base, token_files as tf
+from ledgerloom.llm.encoding import WordEncoder, public_path
+from tests.llm.conftest import documents
+
+BYTE, WORD = public_path("byte_bpe_50k.json"), public_path("word_bpe_49k.json")
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_word_encoder_equals_library(path):
+    e = WordEncoder(path)
+    assert e.cuts
+    rng = random.Random(1)
+    signs = list("ab \n\t'é1,.$ <|>Σ́ 　\x1c")
+    texts = ["", " ", "a  b", " a ", "a \n b", "<|endoftext|> x<|endoftext|>", "don't WE'LL 12.5",
+             "x\u0085y \u0085 z", "word,,, *** né\nNext"]
+    texts += ["".join(rng.choice(signs) for _ in range(rng.randint(1, 40))) for _ in range(1500)]
+    for t in texts:
+        want = np.array(e.tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+        assert e.encode(t) == want, repr(t)
+
+
+def test_perfect_hash_is_minimal_and_tells_foreign_keys():
+    keys = [None, *range(-50, 3000, 7)]
+    table, slots = tf.PerfectHash.build(keys)
+    assert sorted(slots) == list(range(len(keys)))
+    assert [table.find(k) for k in keys] == slots
+    assert sum(table.find(k) is not None for k in range(10_000, 20_000)) <= 2
+    assert tf.PerfectHash.build([])[0].find(1) is None
+
+
+def _expected(rows):
+    e, out, start = WordEncoder(BYTE), [], 0
+    for k, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")):
+        ids = e.encode(t) + b"\0\0\0\0"
+        out.append((k, start, len(ids) // 4, zlib.crc32(ids)))
+        start += len(ids) // 4
+    return out
+
+
+def test_round_trip_with_odd_rows(spark):
+    rows = [(3, "gamma ray"), (1, None), (None, "no key"), (2, ""), (3, "alpha"), (3, "gamma ray"),
+            (-7, "x " * 20_000), (9, "é\n\nü")]
+    folder = base.scratch(spark, "t-ids")
+    manifest = tf.write_token_files(documents(spark, rows).withColumnRenamed("source", "k"), folder)
+    assert manifest["width"] == "<u2"
+    got = sorted(map(tuple, tf.read_token_files(spark, folder)
+                     .select("start", "doc_id", "n_tokens", "ids_crc32").collect()))
+    assert [(k, s, n, c) for s, k, n, c in got] == _expected(rows)
+    assert len(tf.lookup(folder, 3)) == 3 and tf.lookup(folder, 4) == []
+    assert len(tf.lookup(folder, None)) == 1
+    assert tf.lookup(folder, 2)[0].tolist() == [0]
+
+
+def test_empty_table(spark):
+    folder = base.scratch(spark, "t-ids")
+    tf.write_token_files(documents(spark, []), folder)
+    assert tf.read_token_files(spark, folder).count() == 0
+    assert tf.lookup(folder, 1) == []
+
+
+def test_query_over_whole_table(spark, sf):
+    got = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in tf.op4_token_files(spark, sf).collect()}
+    rows = [(r.doc_id, r.text) for r in base.read(spark, sf, "documents").collect()]
+    assert got == {k: (s, n, c) for k, s, n, c in _expected(rows)}
