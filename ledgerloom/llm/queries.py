@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from ledgerloom.llm.decontaminate import OP2_SQL, op2_decontamination
 from ledgerloom.llm.packing import op9_best_fit_packing
+from ledgerloom.llm.simhash import op7_simhash_near_dedup
 from ledgerloom.llm.token_files import op4_token_files
 
 QUERIES = {
+    "op2_decontamination": op2_decontamination,
     "op4_token_files": op4_token_files,
+    "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_decontamination": OP2_SQL,
+}
