@@ -11,37 +11,37 @@ from __future__ import annotations
 
 import json
 import re
+import sys
+from array import array
 
 import numpy as np
 
-#: Words a worker remembers; when full, the memory starts anew (speed only).
-REMEMBERED = 400_000
+#: Entries of a memory's young half; with the old half it holds twice as many.
+REMEMBERED = 120_000
 
 
 class _Unsafe(Exception):
     """A cut here could change the ids."""
 
 
-class _Words(dict):
-    """word -> its ids as little-endian uint32 bytes, filled on demand."""
+class Memory(dict):
+    """A bounded memory of ``make(key)``. When the young half is full it becomes
+    the old half; what is asked for again moves back, the rest is forgotten."""
 
-    def __init__(self, encoder: "WordEncoder", lead: str):
+    def __init__(self, make):
         super().__init__()
-        self.encoder, self.lead = encoder, lead
+        self.make, self.old = make, {}
 
-    def __missing__(self, word: str) -> bytes:
-        enc = self.encoder
-        if enc.spaced:
-            if not word or word[0].isspace() or word[-1].isspace():
-                raise _Unsafe
-        elif not word:
-            return b""
-        ids = enc._word(self.lead + word)
-        if "\n" not in word and len(word) < 64:
+    def __missing__(self, key):
+        value = self.old.pop(key, None)
+        if value is None:
+            value = self.make(key)
+        if len(key) < 64:
             if len(self) >= REMEMBERED:
+                self.old = dict(self)
                 self.clear()
-            self[word] = ids
-        return ids
+            self[key] = value
+        return value
 
 
 class WordEncoder:
@@ -72,8 +72,9 @@ class WordEncoder:
         self.cuts = (self.spaced or self.dropped) and plain and not spec["model"].get("dropout")
         self.norm, self.pre, self.model = self.tok.normalizer, self.tok.pre_tokenizer, self.tok.model
         self.plain_word, self.mapped = self._plain() if self.cuts else (None, {})
-        self.pieces: dict[str, bytes] = {}
-        self.start, self.rest = _Words(self, ""), _Words(self, " " if self.spaced else "")
+        self.latin, self.pieces = Memory(self._latin), Memory(self._ids)
+        lead = " " if self.spaced else ""
+        self.start, self.rest = Memory(self._word), Memory(lambda word: self._word(lead + word))
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -96,27 +97,29 @@ class WordEncoder:
         return re.compile(f"( ?[{a}]+)([{b}]*)"), mapped
 
     def _ids(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            ids = np.array([t.id for t in self.model.tokenize(piece)], "<u4").tobytes()
-            if len(self.pieces) >= REMEMBERED:
-                self.pieces.clear()
-            if len(piece) < 64:
-                self.pieces[piece] = ids
-        return ids
+        ids = array("I", [t.id for t in self.model.tokenize(piece)])
+        if sys.byteorder != "little":
+            ids.byteswap()
+        return ids.tobytes()
+
+    def _latin(self, letters: str) -> bytes:
+        return self._ids(letters.translate(self.mapped))
 
     def _word(self, word: str) -> bytes:
-        for m in self.marks:
-            if m in word:
-                return self._whole(word)
         plain = self.plain_word.fullmatch(word)
         if plain:
             a, b = plain.groups()
-            a = self._ids(a.translate(self.mapped))
-            return a + self._ids(b.translate(self.mapped)) if b else a
+            return self.latin[a] + self.latin[b] if b else self.latin[a]
+        if self.spaced:
+            own = word[1:] if word[:1] == " " else word
+            if not own or own[0].isspace() or own[-1].isspace():
+                raise _Unsafe
+        for m in self.marks:
+            if m in word:
+                return self._whole(word)
         if self.norm is not None:
             word = self.norm.normalize_str(word)
-        return b"".join(self._ids(piece) for piece, _ in self.pre.pre_tokenize_str(word))
+        return b"".join([self.pieces[piece] for piece, _ in self.pre.pre_tokenize_str(word)])
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers; null text is empty."""
