@@ -2,18 +2,30 @@
 
 from __future__ import annotations
 
+from ledgerloom.llm.chat import OP6_SQL, op6_chat_formatting
 from ledgerloom.llm.decontaminate import OP2_SQL, op2_decontamination
+from ledgerloom.llm.html_text import op8_html_extraction
+from ledgerloom.llm.line_runs import OP10_SQL, op10_line_dedup
 from ledgerloom.llm.packing import op9_best_fit_packing
 from ledgerloom.llm.simhash import op7_simhash_near_dedup
 from ledgerloom.llm.token_files import op4_token_files
+from ledgerloom.llm.versions import op3_document_fingerprints
+from ledgerloom.llm.wordpiece import op1_token_counts
 
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
+    "op3_document_fingerprints": op3_document_fingerprints,
     "op4_token_files": op4_token_files,
+    "op6_chat_formatting": op6_chat_formatting,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op8_html_extraction": op8_html_extraction,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_decontamination": OP2_SQL,
+    "op6_chat_formatting": OP6_SQL,
+    "op10_line_dedup": OP10_SQL,
 }
