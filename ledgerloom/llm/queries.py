@@ -5,6 +5,7 @@ from __future__ import annotations
 from ledgerloom.llm.chat import OP6_SQL, op6_chat_formatting
 from ledgerloom.llm.decontaminate import OP2_SQL, op2_decontamination
 from ledgerloom.llm.html_text import op8_html_extraction
+from ledgerloom.llm.language import op5_language_id
 from ledgerloom.llm.line_runs import OP10_SQL, op10_line_dedup
 from ledgerloom.llm.packing import op9_best_fit_packing
 from ledgerloom.llm.simhash import op7_simhash_near_dedup
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_document_fingerprints": op3_document_fingerprints,
     "op4_token_files": op4_token_files,
+    "op5_language_id": op5_language_id,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_html_extraction": op8_html_extraction,
