@@ -275,6 +275,14 @@ def predict(docs: DataFrame, model: tuple[list[str], dict], *, text: str = "text
     return kept.mapInArrow(run, schema)
 
 
+def of_known_language(docs: DataFrame, *, min_score: float = 0.5) -> DataFrame:
+    """The documents whose language is recognised: not ``und`` and a score of at
+    least ``min_score``. A null lang is filled in; all columns are kept."""
+    out = predict(docs, learn(docs))
+    return (out.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score))
+            .withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every whole text of ``documents``, learned from the others'."""
     docs = read(spark, sf_dir, "documents")

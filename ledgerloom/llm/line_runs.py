@@ -209,6 +209,15 @@ def dedup_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text", min
             .withColumn(text, F.coalesce("__cut.text", text)).select(*docs.columns, "n_deleted"))
 
 
+def without_repeats(docs: DataFrame, *, min_words: int = 10) -> DataFrame:
+    """The documents with later copies of runs deleted and n_chars brought up to
+    date; documents of which nothing is left go, those empty before stay."""
+    out = dedup_lines(docs, min_words=min_words)
+    return (out.where((F.col("n_deleted") == 0) | (F.col("text") != ""))
+            .withColumn("n_chars", F.when(F.col("n_deleted") == 0, F.col("n_chars"))
+                        .otherwise(F.char_length("text").cast("long"))).drop("n_deleted"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``documents`` without the later copies of repeated line runs."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")

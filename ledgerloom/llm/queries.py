@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from ledgerloom.llm.chat import OP6_SQL, op6_chat_formatting
 from ledgerloom.llm.decontaminate import OP2_SQL, op2_decontamination
 from ledgerloom.llm.html_text import op8_html_extraction
@@ -14,6 +15,7 @@ from ledgerloom.llm.versions import op3_document_fingerprints
 from ledgerloom.llm.wordpiece import op1_token_counts
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
     "op3_document_fingerprints": op3_document_fingerprints,

@@ -171,17 +171,38 @@ def links(fps: DataFrame, *, radius: int = 3, tile: int = 4096, tiles: int = 64)
 
 
 def near_duplicates(docs: DataFrame, *, shingle: int = 3, radius: int = 3) -> DataFrame:
-    """(doc_id, text_hash, fp, component_id), one row per document."""
+    """(doc_id, text_hash, fp, class_fp, component_id), one row per document.
+
+    ``class_fp`` is a fingerprint that names the class, ``component_id`` its least
+    non-null doc_id.
+    """
     own = materialise(with_fingerprints(docs, shingle=shingle), "fingerprints")
     least = materialise(own.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fps")
     roots = materialise(components(links(least.select("fp"), radius=radius)), "roots")
     members = roots.select(F.col("node").alias("fp"), "root").join(least, "fp")
     classes = members.groupBy("root").agg(F.min("least").alias("component_id"))
-    mapped = members.join(classes, "root").select("fp", "component_id")
-    ids = (least.join(mapped, "fp", "left")
-           .select("fp", F.coalesce("component_id", "least").alias("component_id")))
+    mapped = members.join(classes, "root").select("fp", "root", "component_id")
+    ids = least.join(mapped, "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("class_fp"),
+        F.coalesce("component_id", "least").alias("component_id"))
     # a fingerprint that very many documents share: adaptive execution splits it
-    return own.join(ids, "fp").select("doc_id", "text_hash", "fp", "component_id")
+    return own.join(ids, "fp").select("doc_id", "text_hash", "fp", "class_fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, *, shingle: int = 3, radius: int = 3) -> DataFrame:
+    """One document of each near-duplicate class, all columns kept: the one with
+    the least doc_id (null last), then the least hash of its text."""
+    found = materialise(near_duplicates(docs, shingle=shingle, radius=radius), "classes")
+    rank = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash")
+    chosen = (found.groupBy("class_fp").agg(F.min(rank).alias("r"))
+              .select(F.col("r.doc_id").alias("__k"), F.col("r.text_hash").alias("__h")))
+    alike = found.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).where("n > 1")
+    kept = (docs.withColumn("__own", F.xxhash64("text"))
+            .join(chosen, F.col("doc_id").cast("long").eqNullSafe(F.col("__k"))
+                  & (F.col("__own") == F.col("__h")), "left_semi"))
+    if not alike.isEmpty():  # rows alike in both count once
+        kept = kept.dropDuplicates(["doc_id", "__own"])
+    return kept.drop("__own")
 
 
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
