@@ -51,9 +51,14 @@ def contains_tag(col: Column, tag: str) -> Column:
     return F.coalesce(F.instr(col, tag) > 0, F.lit(False))
 
 
+def trim_text(col: Column) -> Column:
+    """Text without white space at its ends; NBSP and other Unicode spaces count."""
+    return F.regexp_replace(col.cast("string"), r"(?U)^\s+|\s+$", "")
+
+
 def valid_key(col: Column, bad_values: tuple[str, ...] = ("", "-")) -> Column:
     """Key validity: not NULL, and not blank / a placeholder after trimming."""
-    trimmed = F.trim(col.cast("string"))
+    trimmed = trim_text(col)
     return col.isNotNull() & ~trimmed.isin(*bad_values)
 
 
@@ -80,7 +85,7 @@ def parse_number(col: Column, integral: bool = False, decimal_comma: bool = Fals
     result is a bigint and a non-integral value becomes NULL (see
     :func:`non_integral` to count those).
     """
-    text = F.trim(col.cast("string"))
+    text = trim_text(col)
     if decimal_comma:
         text = F.regexp_replace(text, ",", ".")
     ok = text.rlike(_NUMBER_RE) | text.rlike(_INF_RE)
@@ -123,20 +128,22 @@ def guarded_ratio(num: Column, den: Column, null_denominator: str = "zero") -> C
     return F.when(den == 0, F.lit(0.0)).otherwise(num / den)
 
 
-def exact_sum(col: Column, scale: int = 2) -> Column:
-    """Aggregate: order-independent sum at ``scale`` decimals, as ``decimal(38, scale)``.
+def exact_sum(col: Column, scale: int = 9) -> Column:
+    """Aggregate: order-independent sum, as ``decimal(38, scale)``.
 
-    Each value is rounded to ``scale`` decimals (half-even) and summed as a
-    64-bit integer count of ``10^-scale`` units, which stays on Spark's fast
-    long-sum path (a ``decimal(18,2)`` sum would fall back to BigDecimal per
-    row); only the per-group result is turned back into a decimal. Rounding
-    goes through a double, so a single value is exact below 2^53 units (about
-    9e13 at two decimals); a group total beyond +-9.2e18 units raises (ANSI
-    overflow) rather than wrapping.
+    Only the group's result is rounded (half-even) to ``scale`` decimals. Each
+    value is split into whole units and billionths, both summed as 64-bit
+    integers, which stays on Spark's fast long-sum path; a value's digits beyond
+    the ninth decimal are the only ones not kept. A group total beyond 9.2e18
+    raises (ANSI overflow) rather than wrapping; the billionths alone hold
+    1.8e10 rows a group.
     """
-    units = F.rint(col.cast("double") * F.lit(float(10 ** scale))).cast("long")
-    return ((F.sum(units).cast("decimal(38,0)") / F.lit(Decimal(10 ** scale)))
-            .cast(f"decimal(38,{scale})"))
+    value = col.cast("double")
+    whole = F.rint(value)
+    rest = F.rint((value - whole) * F.lit(1e9))
+    total = (F.sum(whole.cast("long")).cast("decimal(28,9)")
+             + F.sum(rest.cast("long")).cast("decimal(19,0)") * F.lit(Decimal("0.000000001")))
+    return F.bround(total, scale).cast(f"decimal(38,{scale})")
 
 
 # ---------------------------------------------------------------------------
@@ -221,7 +228,7 @@ DATE_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "dd.MM.yyyy HH:mm:ss", "dd.
 
 def parse_date(col: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Column:
     """First layout that parses; text matching none becomes NULL (never an error)."""
-    text = F.trim(col.cast("string"))
+    text = trim_text(col)
     return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats])
 
 

@@ -3,7 +3,6 @@ from ledgerloom.operators.aggregate import (  # noqa: F401
     duplicate_keys,
     first_non_null,
     grouped_sum,
-    last_non_null,
     rate_summary,
     sum_and_first,
 )
@@ -19,7 +18,6 @@ from ledgerloom.operators.anomaly import (  # noqa: F401
     keys_without_history,
 )
 from ledgerloom.operators.enrich import (  # noqa: F401
-    broadcast_if_small,
     enrich_store,
     lookup,
     rate_fill,
@@ -47,12 +45,10 @@ from ledgerloom.operators.quality import ObservedChecks, dq_report  # noqa: F401
 from ledgerloom.operators.reshape import (  # noqa: F401
     merge_repeated_columns,
     normalize_headers,
-    pivot_sum,
     project_template,
     rollup_columns,
 )
 from ledgerloom.operators.sink import (  # noqa: F401
-    check_period,
     conform_schema,
     replace_period,
     replace_period_frame,

@@ -32,9 +32,9 @@ def grouped_sum(df: DataFrame, keys: Sequence[str], measures: Sequence[str],
                 zero_if_all_null: bool = True) -> DataFrame:
     """Sum ``measures`` per ``keys``; NULL-key rows dropped, all-NULL sums -> 0.
 
-    ``scale=s`` sums exactly at ``s`` decimals (order-independent, see
-    :func:`exact_sum`) and returns ``decimal(38, s)``; without it the
-    column's own type is summed.
+    ``scale=s`` sums exactly (order-independent, see :func:`exact_sum`), rounds
+    the group's total to ``s`` decimals and returns ``decimal(38, s)``; without
+    it the column's own type is summed.
     """
     aggs = []
     for m in measures:
@@ -50,11 +50,6 @@ def first_non_null(value: Column, order: Column) -> Column:
     return F.min_by(value, F.when(value.isNotNull(), order))
 
 
-def last_non_null(value: Column, order: Column) -> Column:
-    """Aggregate: the value of the latest row (by ``order``) whose value is set."""
-    return F.max_by(value, F.when(value.isNotNull(), order))
-
-
 def sum_and_first(df: DataFrame, keys: Sequence[str], sum_cols: Sequence[str],
                   first_cols: Sequence[str], order: str | Column,
                   scale: int | None = None) -> DataFrame:
@@ -70,11 +65,11 @@ def sum_and_first(df: DataFrame, keys: Sequence[str], sum_cols: Sequence[str],
 
 
 def control_totals(df: DataFrame, by: Sequence[str], measure: str,
-                   flag: Column | None = None, scale: int = 2) -> DataFrame:
+                   flag: Column | None = None, scale: int = 9) -> DataFrame:
     """Reconciliation figures per group: row count, total, mean, and (optionally)
     the total and count of the rows where ``flag`` holds.
 
-    Totals are exact sums at ``scale`` decimals, cast to double; the mean is
+    Totals are exact sums, rounded to ``scale`` decimals and cast to double; the mean is
     total / count of values.
     """
     v = F.col(measure)

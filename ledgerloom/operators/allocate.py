@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.scalars import exact_sum, guarded_ratio
+from ledgerloom.functions.scalars import exact_sum, guarded_ratio, month_index, month_index_of
 
 
 def dense_sales_share(sales: DataFrame, year: int, month: int, depts: Sequence,
@@ -83,10 +83,10 @@ def dense_sales_share_periods(sales: DataFrame, periods: Sequence[tuple[int, int
                                F.col(month_col).cast("int").alias(month_col)).distinct())
         grid = grid.join(F.broadcast(cal), [year_col, month_col], "left_semi")
 
-    in_periods = None
-    for y, m in periods:
-        c = (F.col(year_col) == y) & (F.col(month_col) == m)
-        in_periods = c if in_periods is None else in_periods | c
+    if len(periods) == 1:  # two equalities can reach the scan
+        in_periods = (F.col(year_col) == periods[0][0]) & (F.col(month_col) == periods[0][1])
+    else:
+        in_periods = month_index(year_col, month_col).isin(*(month_index_of(y, m) for y, m in periods))
     sums = (sales.where(in_list & (F.col(type_col) == sales_type) & in_periods)
             .groupBy(year_col, month_col, store_col, dept_col)
             .agg((exact_sum(F.col(amount_col), scale) if scale is not None

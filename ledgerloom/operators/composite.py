@@ -15,7 +15,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.scalars import guarded_ratio, parse_money, valid_key
+from ledgerloom.functions.scalars import guarded_ratio, parse_money, trim_text, valid_key
 from ledgerloom.operators.aggregate import grouped_sum, sum_and_first
 from ledgerloom.operators.enrich import enrich_store
 from ledgerloom.operators.filldown import fill_down
@@ -31,7 +31,7 @@ RENTAL_TAG = "(Оренда)"
 
 def tariff_by_cost_centre(df: DataFrame, key: str = "mvz", kwt: str = "kwt", uah: str = "uah",
                           keys: Sequence[str] = (), vat: str = VAT,
-                          scale: int | None = 2) -> DataFrame:
+                          scale: int | None = 9) -> DataFrame:
     """Sum kWh and cost per trimmed, valid cost-centre code; cost x VAT; price = cost / kWh.
 
     Invalid codes (NULL, blank, ``-``) are removed before grouping. The price
@@ -39,7 +39,7 @@ def tariff_by_cost_centre(df: DataFrame, key: str = "mvz", kwt: str = "kwt", uah
     period, to process every month at once).
     """
     rows = (df.where(valid_key(F.col(key)))
-            .withColumn(key, F.trim(F.col(key).cast("string"))))
+            .withColumn(key, trim_text(F.col(key))))
     g = grouped_sum(rows, [*keys, key], [kwt, uah], scale=scale)
     cost = F.col(uah) * F.lit(Decimal(vat))
     return g.select(
@@ -62,7 +62,7 @@ def store_costs(df: DataFrame, keys: Sequence[str] = STORE_COST_KEYS,
 
 def dc_costs(df: DataFrame, keys: Sequence[str] = DC_COST_KEYS,
              logistics: str = "costsLogistics", other: str = "costsOther",
-             scale: int = 2) -> DataFrame:
+             scale: int = 9) -> DataFrame:
     """Logistics and other costs per DC key (all-NULL -> 0) and ``costs`` = their sum."""
     g = grouped_sum(df, list(keys), [logistics, other], scale=scale)
     return g.withColumn("costs", F.col(logistics) + F.col(other))
@@ -70,7 +70,7 @@ def dc_costs(df: DataFrame, keys: Sequence[str] = DC_COST_KEYS,
 
 def meter_rollup(df: DataFrame, groups: Mapping[str, Sequence[str]], name_col: str,
                  store_col: str, keys: Sequence[str], numeric_cols: Sequence[str],
-                 tag: str = RENTAL_TAG, scale: int = 4) -> DataFrame:
+                 tag: str = RENTAL_TAG, scale: int = 9) -> DataFrame:
     """Meter readings -> kitchen groups per ``keys``.
 
     Drops rental duplicates (all meters empty and the name tagged), rolls the
@@ -105,12 +105,12 @@ def accounts_by_store(report: DataFrame, directory: DataFrame, code_col: str, na
                        is_header=is_article, partition_by=partition_by, chunk=chunk)
     rows = (filled
             .withColumn("uah_value", parse_money(F.col(uah_col)))
-            .withColumn("mvz_code", F.trim(F.col(code_col).cast("string"))))
+            .withColumn("mvz_code", trim_text(F.col(code_col))))
     joined = enrich_store(rows, directory, F.col("mvz_code"), out_col="filid",
                           dir_code_col="mvz", how="inner")
     joined = joined.withColumn("account", F.col("account").cast("bigint"))
     out = sum_and_first(joined, ["filid", "account", "name", *keys], ["uah_value"], [share_col],
-                        order=F.col(order_col), scale=2)
+                        order=F.col(order_col), scale=9)
     return out.select("filid", "account", "name", *keys,
                       F.col("uah_value").cast("double").alias("sum"),
                       F.col(share_col).cast("double").alias("share_TO"))

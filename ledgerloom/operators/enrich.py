@@ -5,29 +5,16 @@ configuration: the directory, the rate card and the role dictionary all grow
 with the business, so the join strategy is left to Spark, which broadcasts a
 side only when its measured size (AQE runtime statistics) is under
 ``spark.sql.autoBroadcastJoinThreshold`` and sort-merges otherwise.
-:func:`broadcast_if_small` is the explicit, checked variant for callers.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.scalars import exact_sum, parse_number
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows; a larger side is returned
-    unchanged and joins by shuffle.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+from ledgerloom.functions.scalars import exact_sum, parse_number, trim_text
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
@@ -54,7 +41,7 @@ def store_directory(raw: DataFrame, id_col: str = "id", code_col: str = "Account
     if name_col:
         cols.append(F.col(name_col).cast("string").alias("name"))
     if mvz_col:
-        cols.append(F.trim(F.col(mvz_col).cast("string")).alias("mvz"))
+        cols.append(trim_text(F.col(mvz_col)).alias("mvz"))
     return raw.select(*cols)
 
 
@@ -89,27 +76,29 @@ def lookup(df: DataFrame, table: DataFrame, keys: Sequence[str],
     return df.join(table, list(keys), how)
 
 
-def role_means(card: DataFrame, role_col: str, rate_col: str,
-               scale: int = 4) -> DataFrame:
+def role_means(card: DataFrame, role_col: str, rate_col: str, scale: int = 9,
+               keys: Sequence[str] = ()) -> DataFrame:
     """Mean rate per role over *all* rate-card rows of that role (exact sum / count)."""
     r = F.col(rate_col)
     return (card.where(F.col(role_col).isNotNull())
-            .groupBy(role_col)
+            .groupBy(*keys, role_col)
             .agg((exact_sum(r, scale).cast("double") / F.count(r)).alias("__role_mean")))
 
 
 def rate_fill(hours: DataFrame, card: DataFrame, role_col: str, store_col: str,
               rate_col: str, hours_col: str, out_rate: str = "cost_hour",
-              out_cost: str = "cost_labor", scale: int = 4) -> DataFrame:
+              out_cost: str = "cost_labor", scale: int = 9,
+              keys: Sequence[str] = ()) -> DataFrame:
     """Rate per (role, store) from the card, else the role's mean rate; cost = rate * hours.
 
-    The card is expected to hold one row per (role, store). Rows whose role has
-    no card at all keep a NULL rate and cost.
+    ``keys`` (e.g. the month) belong to both tables: every month has its own card
+    and means. The card is expected to hold one row per (keys, role, store). Rows
+    whose role has no card at all keep a NULL rate and cost.
     """
-    exact_rate = card.select(role_col, store_col, F.col(rate_col).cast("double").alias("__rate"))
-    means = role_means(card, role_col, rate_col, scale)
-    out = (hours.join(exact_rate, [role_col, store_col], "left")
-           .join(means, role_col, "left"))
+    exact_rate = card.select(*keys, role_col, store_col, F.col(rate_col).cast("double").alias("__rate"))
+    means = role_means(card, role_col, rate_col, scale, keys)
+    out = (hours.join(exact_rate, [*keys, role_col, store_col], "left")
+           .join(means, [*keys, role_col], "left"))
     rate = F.coalesce(F.col("__rate"), F.col("__role_mean"))
     return (out.withColumn(out_rate, rate)
             .withColumn(out_cost, F.col(out_rate) * F.col(hours_col).cast("double"))
@@ -129,11 +118,6 @@ def unmatched_rows(df: DataFrame, ref: DataFrame, keys: Sequence[str],
     return df.join(r, list(keys), "left_anti")
 
 
-def dec(x: float | int | str) -> Column:
-    """Exact decimal literal (keeps decimal arithmetic exact)."""
-    return F.lit(Decimal(str(x)))
-
-
 def role_lookup(df: DataFrame, dictionary: DataFrame, role_col: str) -> DataFrame:
     """Role dictionary lookup (left): each row gets its pay role and department;
     a role the dictionary lacks keeps NULLs."""

@@ -17,13 +17,13 @@ contiguous in row order and bounded in size:
 3. per (group, chunk): a window fill inside the chunk, falling back to the
    carried-in value.
 
-By default there is one chunk per ``ROWS_PER_CHUNK`` rows (at most
-``MAX_CHUNKS``; a small input is a single chunk). Chunk bounds are taken from
-a seeded sample of the sort key ``(group, order)`` and written into the plan as
-literals, so every branch of the plan (and every retry of a task) puts a row
-in the same chunk; each chunk holds about ``rows / n_chunks`` rows whatever the
-skew between groups. A caller with a dense row number can pass
-``chunk=floor(row_no / B)`` instead.
+There is one path for every size: at least as many chunks as shuffle
+partitions, and one per ``ROWS_PER_CHUNK`` rows beyond that. Chunk bounds are
+taken from a seeded sample of the sort key ``(group, order)`` and written into
+the plan as one array of literals, so every branch of the plan (and every retry
+of a task) puts a row in the same chunk; each chunk holds about
+``rows / n_chunks`` rows whatever the skew between groups. A caller with a dense
+row number can pass ``chunk=floor(row_no / B)`` instead.
 """
 
 from __future__ import annotations
@@ -37,11 +37,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-# chunks hold about ROWS_PER_CHUNK rows. The chunk search is a CASE tree with one
-# leaf per chunk, and its generated code grows with the leaves, so the count is
-# capped; at the cap a hot group is still spread over MAX_CHUNKS tasks.
-ROWS_PER_CHUNK = 4_000_000
-MAX_CHUNKS = 512
+# the number of chunks grows with the rows; it has no upper bound
+ROWS_PER_CHUNK = 1_000_000
 
 
 def _cols(cs: Sequence[str | Column]) -> list[Column]:
@@ -105,24 +102,21 @@ def sampled_chunk(df: DataFrame, key_cols: Sequence[str], n_chunks: int | None =
                   per_chunk: int = 32, seed: int = 20260501) -> Column:
     """Chunk number of each row in the order of ``key_cols`` (NULLs first).
 
-    ``n_chunks`` defaults to one chunk per ``ROWS_PER_CHUNK`` rows (at most
-    ``MAX_CHUNKS``). Bounds are the ``1/n .. (n-1)/n`` quantiles of a seeded
-    sample of about ``n_chunks * per_chunk`` keys; they are bounded metadata
-    (at most ``n_chunks - 1`` keys), returned to the driver once. Each row finds
-    its chunk by a binary search written as nested ``CASE`` expressions on the
-    struct of its keys.
+    ``n_chunks`` defaults to the shuffle partitions, or one per
+    ``ROWS_PER_CHUNK`` rows if that is more. Bounds are the ``1/n .. (n-1)/n``
+    quantiles of a seeded sample of about ``n_chunks * per_chunk`` keys (at most
+    ``n_chunks - 1`` are kept). Each row finds its chunk by a binary search over
+    the array of bounds, so the plan's code does not grow with the chunks.
     """
-    if n_chunks is not None and n_chunks <= 1:
-        return F.lit(0)
     keys = df.select(*key_cols)
     total = keys.count()
     if n_chunks is None:
-        n_chunks = min(MAX_CHUNKS, -(-total // ROWS_PER_CHUNK))
+        width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        n_chunks = max(2, width, -(-total // ROWS_PER_CHUNK))
     if total == 0 or n_chunks <= 1:
         return F.lit(0)
     fraction = min(1.0, 1.25 * n_chunks * per_chunk / total)
-    cap = 4 * n_chunks * per_chunk   # a hard bound on what reaches the driver
-    sample = keys.sample(withReplacement=False, fraction=fraction, seed=seed).limit(cap).collect()
+    sample = keys.sample(withReplacement=False, fraction=fraction, seed=seed).collect()
     if not sample:
         return F.lit(0)
     sample.sort(key=lambda r: tuple((v is not None, v) for v in r))
@@ -132,23 +126,19 @@ def sampled_chunk(df: DataFrame, key_cols: Sequence[str], n_chunks: int | None =
         if not bounds or b != bounds[-1]:
             bounds.append(b)
     types = {f.name: f.dataType for f in keys.schema.fields}
-    # the whole search is one SQL expression with typed literals, parsed once:
-    # building it from Column objects costs a JVM round trip per literal
+    # one SQL expression with typed literals, parsed once: building it from
+    # Column objects costs a JVM round trip per literal
     key = "named_struct(" + ", ".join(f"'{c}', {_ident(c)}" for c in key_cols) + ")"
 
     def bound(b) -> str:
         return "named_struct(" + ", ".join(f"'{c}', {_sql_literal(v, types[c])}"
                                            for c, v in zip(key_cols, b)) + ")"
 
-    def tree(lo: int, hi: int) -> str:
-        # rows of chunks lo..hi; chunk i + 1 starts at bounds[i]
-        if lo == hi:
-            return str(lo)
-        mid = (lo + hi) // 2
-        return (f"CASE WHEN {key} < {bound(bounds[mid])} THEN {tree(lo, mid)} "
-                f"ELSE {tree(mid + 1, hi)} END")
-
-    return F.expr(tree(0, len(bounds)))
+    table = "array(" + ", ".join(map(bound, bounds)) + ")"
+    jumps = ", ".join(str(1 << i) for i in reversed(range(len(bounds).bit_length())))
+    # at = how many bounds are at or below the key
+    return F.expr(f"aggregate(array({jumps}), 0, (at, jump) -> CASE WHEN at + jump <= {len(bounds)} "
+                  f"AND get({table}, at + jump - 1) <= {key} THEN at + jump ELSE at END)")
 
 
 def _ident(name: str) -> str:
@@ -173,6 +163,8 @@ def _sql_literal(v, dt) -> str:
         return f"CAST('{v}' AS {t})"
     if isinstance(dt, T.StringType):
         return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(dt, T.BinaryType):
+        return f"X'{bytes(v).hex()}'"
     if isinstance(dt, T.DateType):
         return f"DATE '{v.isoformat()}'"
     if isinstance(dt, T.TimestampNTZType):

@@ -88,14 +88,3 @@ def rollup_columns(df: DataFrame, groups: Mapping[str, Sequence[str]],
             expr = F.lit(0)
         out.append(expr.alias(g))
     return df.select(*out)
-
-
-def pivot_sum(df: DataFrame, keys: Sequence[str], pivot_col: str, values: Sequence[str],
-              measure: str, value_type: str | None = None) -> DataFrame:
-    """Wide sums per key: one column per listed pivot value (absent -> NULL).
-
-    The value list is given, so no extra pass over the data discovers it.
-    """
-    v = F.col(measure) if value_type is None else F.col(measure).cast(value_type)
-    return df.groupBy(*keys).agg(*[F.sum(F.when(F.col(pivot_col) == x, v)).alias(str(x))
-                                   for x in values])

@@ -28,14 +28,6 @@ def _period_cond(year: int, month: int, year_col: str, month_col: str):
     return (F.col(year_col) == year) & (F.col(month_col) == month)
 
 
-def check_period(df: DataFrame, year: int, month: int, year_col: str = "year",
-                 month_col: str = "month") -> None:
-    """Raise if any row carries a period other than ``(year, month)``."""
-    bad = df.where(~F.coalesce(_period_cond(year, month, year_col, month_col), F.lit(False)))
-    if not bad.isEmpty():
-        raise PeriodMismatch(f"rows outside {year}-{month:02d} in a load for that period")
-
-
 def replace_period_frame(existing: DataFrame, new: DataFrame, year: int, month: int,
                          year_col: str = "year", month_col: str = "month") -> DataFrame:
     """``existing`` without ``(year, month)``, plus ``new`` (pure query form)."""

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.scalars import (
     calendar_columns,
     code_before_comma,
+    parse_date,
     parse_number,
     period_from_name,
     valid_key,
@@ -37,6 +38,8 @@ from ledgerloom.sources.tables import table
 # the month every one-period binding scores / loads
 YEAR, MONTH = 1997, 6
 FLAGS = ["A", "N", "R"]
+# months the tables' dates can fall in; years without any sale drop out by themselves
+ALL_MONTHS = [(y, m) for y in range(1990, 2011) for m in range(1, 13)]
 
 
 def _ym(ts: str = "l_shipdate"):
@@ -65,14 +68,15 @@ def _store_month(spark: SparkSession, sf: str, where=None) -> DataFrame:
 
 
 def tariff_by_cost_centre(spark: SparkSession, sf: str) -> DataFrame:
-    """Cost centre = brand; kWh = quantity; cost = price. Lines are summed per
-    part first (map-side), so only one row per part meets the part table."""
-    li = table(spark, sf, "lineitem", "l_partkey", "l_quantity", "l_extendedprice")
+    """Cost centre = brand; kWh = quantity; cost = price x discount (four decimals).
+    Lines are summed per part first (map-side), so only one row per part meets
+    the part table."""
+    li = table(spark, sf, "lineitem", "l_partkey", "l_quantity", "l_extendedprice", "l_discount")
     part = table(spark, sf, "part", "p_partkey", "p_brand")
     per_part = agg.grouped_sum(
         li.select("l_partkey", F.col("l_quantity").alias("kwt"),
-                  F.col("l_extendedprice").alias("uah")),
-        ["l_partkey"], ["kwt", "uah"], scale=2, zero_if_all_null=False)
+                  (F.col("l_extendedprice") * F.col("l_discount")).alias("uah")),
+        ["l_partkey"], ["kwt", "uah"], scale=9, zero_if_all_null=False)
     rows = per_part.join(part, per_part["l_partkey"] == part["p_partkey"]).select(
         F.col("p_brand").alias("mvz"), "kwt", "uah")
     return composite.tariff_by_cost_centre(rows, scale=None)
@@ -114,44 +118,51 @@ def dense_sales_share_q(spark: SparkSession, sf: str) -> DataFrame:
                         F.col("sumout_filial").cast("double").alias("sumout_filial"))
 
 
-def _lines_with_type(spark: SparkSession, sf: str, where) -> DataFrame:
-    li = table(spark, sf, "lineitem", "l_suppkey", "l_partkey", "l_quantity", "l_shipdate").where(where)
+def _lines_with_type(spark: SparkSession, sf: str) -> DataFrame:
+    li = table(spark, sf, "lineitem", "l_suppkey", "l_partkey", "l_quantity", "l_shipdate")
     part = table(spark, sf, "part", "p_partkey", "p_type", "p_retailprice")
-    return li.join(part, li["l_partkey"] == part["p_partkey"])
+    return li.join(part, li["l_partkey"] == part["p_partkey"]).select("*", *_ym())
 
 
 def _rate_card(spark: SparkSession, sf: str) -> DataFrame:
-    """Rate card: (store, role) -> highest list price of that type sold in 1997-05."""
-    lines = _lines_with_type(spark, sf, _between_months("l_shipdate", (YEAR, MONTH - 1), (YEAR, MONTH - 1)))
-    return (lines.groupBy(F.col("l_suppkey").alias("filid"), F.col("p_type").alias("role"))
+    """Rate cards of all months: a month's card has, per (store, role), the highest
+    list price of that type sold in the month before."""
+    after = F.add_months(F.trunc("l_shipdate", "month"), 1)
+    return (_lines_with_type(spark, sf)
+            .groupBy(F.year(after).cast("int").alias("year"), F.month(after).cast("int").alias("month"),
+                     F.col("l_suppkey").alias("filid"), F.col("p_type").alias("role"))
             .agg(F.max("p_retailprice").alias("rate")))
 
 
 def _hours(spark: SparkSession, sf: str) -> DataFrame:
-    """Hours of 1997-06 per (store, role) = quantity."""
-    lines = _lines_with_type(spark, sf, _between_months("l_shipdate", (YEAR, MONTH), (YEAR, MONTH)))
-    rows = lines.select(F.col("l_suppkey").alias("filid"), F.col("p_type").alias("role"),
-                        F.col("l_quantity").alias("hours"))
-    return agg.grouped_sum(rows, ["filid", "role"], ["hours"], scale=2)
+    """Hours per (month, store, role) = quantity."""
+    rows = _lines_with_type(spark, sf).select(
+        "year", "month", F.col("l_suppkey").alias("filid"), F.col("p_type").alias("role"),
+        F.col("l_quantity").alias("hours"))
+    return agg.grouped_sum(rows, ["year", "month", "filid", "role"], ["hours"], scale=2)
+
+
+_MONTH = ["year", "month"]
 
 
 def rate_fill_q(spark: SparkSession, sf: str) -> DataFrame:
-    filled = enrich.rate_fill(_hours(spark, sf), _rate_card(spark, sf), "role", "filid", "rate", "hours")
-    return filled.select("filid", "role", F.col("hours").cast("double").alias("hours"),
+    """Every month's hours priced by that month's card."""
+    filled = enrich.rate_fill(_hours(spark, sf), _rate_card(spark, sf), "role", "filid", "rate", "hours",
+                              keys=_MONTH)
+    return filled.select(*_MONTH, "filid", "role", F.col("hours").cast("double").alias("hours"),
                          "cost_hour", "cost_labor")
 
 
 def labor_allocation_q(spark: SparkSession, sf: str) -> DataFrame:
-    """Role PROMO is shared by departments A and R ('A_R'), split by A/R sales."""
+    """Role PROMO is shared by departments A and R ('A_R'), split by A/R sales of
+    the same month; all months."""
     hours = _hours(spark, sf).withColumn(
         "depid", F.when(F.col("role") == "PROMO", F.lit("A_R")).otherwise(F.col("role")))
-    filled = enrich.rate_fill(hours, _rate_card(spark, sf), "role", "filid", "rate", "hours")
-    labor = filled.select("filid", "depid", F.col("hours").cast("double").alias("hours"),
-                          "cost_hour", "cost_labor")
-    share = dense_sales_share(_sales(spark, sf), YEAR, MONTH, ["A", "R"])
-    out = labor_allocation(labor, share, "A_R")
-    return out.select(F.lit(YEAR).alias("y"), F.lit(MONTH).alias("m"), "filid", "depid",
-                      "hours", "cost_hour", "cost_labor")
+    filled = enrich.rate_fill(hours, _rate_card(spark, sf), "role", "filid", "rate", "hours", keys=_MONTH)
+    labor = filled.select(F.col("year").alias("y"), F.col("month").alias("m"), "filid", "depid",
+                          F.col("hours").cast("double").alias("hours"), "cost_hour", "cost_labor")
+    share = dense_sales_share_periods(_sales(spark, sf), ALL_MONTHS, ["A", "R"])
+    return labor_allocation(labor, share, "A_R", period_cols=[("y", "year"), ("m", "month")])
 
 
 def fill_down_q(spark: SparkSession, sf: str) -> DataFrame:
@@ -209,9 +220,11 @@ def drop_empty_tagged_rows_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def control_totals_q(spark: SparkSession, sf: str) -> DataFrame:
-    li = table(spark, sf, "lineitem", "l_quantity", "l_returnflag", "l_shipdate")
-    rows = li.select(*_ym(), "l_quantity", "l_returnflag")
-    return agg.control_totals(rows, ["year", "month"], "l_quantity",
+    """Totals of price x discount (four decimals) per month."""
+    li = table(spark, sf, "lineitem", "l_extendedprice", "l_discount", "l_returnflag", "l_shipdate")
+    rows = li.select(*_ym(), (F.col("l_extendedprice") * F.col("l_discount")).alias("rebate"),
+                     "l_returnflag")
+    return agg.control_totals(rows, ["year", "month"], "rebate",
                               flag=F.col("l_returnflag") == "R")
 
 
@@ -262,49 +275,55 @@ def role_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rate_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    """Lines of 1997-07 priced by (part, supplier) from the highest unit price of 1997-01..06."""
+    """Open lines (status O) priced by (part, supplier) from the highest unit price
+    of the finished ones (status F)."""
     li = table(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-               "l_quantity", "l_extendedprice", "l_shipdate")
-    card = (li.where(_between_months("l_shipdate", (YEAR, 1), (YEAR, MONTH)))
-            .groupBy("l_partkey", "l_suppkey")
+               "l_quantity", "l_extendedprice", "l_linestatus")
+    card = (li.where(F.col("l_linestatus") == "F").groupBy("l_partkey", "l_suppkey")
             .agg(F.max(F.col("l_extendedprice") / F.nullif(F.col("l_quantity"), F.lit(0.0)))
                  .alias("rate")))
-    lines = li.where(_between_months("l_shipdate", (YEAR, MONTH + 1), (YEAR, MONTH + 1))).select(
+    lines = li.where(F.col("l_linestatus") == "O").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
     out = enrich.rate_lookup(lines, card, ["l_partkey", "l_suppkey"])
     return out.withColumn("cost", F.col("rate") * F.col("l_quantity"))
 
 
 def _cost_lines(spark: SparkSession, sf: str) -> DataFrame:
-    li = table(spark, sf, "lineitem", "l_suppkey", "l_partkey", "l_returnflag", "l_extendedprice",
-               "l_discount", "l_tax", "l_shipdate")
-    sup = table(spark, sf, "supplier", "s_suppkey", "s_nationkey")
-    return li.join(sup, li["l_suppkey"] == sup["s_suppkey"])
+    return table(spark, sf, "lineitem", "l_suppkey", "l_partkey", "l_returnflag", "l_extendedprice",
+                 "l_discount", "l_tax", "l_shipdate").select(
+        "*", *_ym(), (F.year("l_shipdate") * 100 + F.month("l_shipdate")).cast("int").alias("ym"))
+
+
+def _with_dc(costs: DataFrame, supplier: str, spark: SparkSession, sf: str) -> DataFrame:
+    """The DC of each cost row = its supplier's nation, attached after the sums: a
+    supplier with very many lines meets the join as few rows."""
+    sup = table(spark, sf, "supplier", "s_suppkey", "s_nationkey").where(F.col("s_nationkey").isNotNull())
+    return costs.join(sup, F.col(supplier) == F.col("s_suppkey")).withColumnRenamed("s_nationkey", "rcid")
 
 
 def store_costs_q(spark: SparkSession, sf: str) -> DataFrame:
     """DC = supplier nation, store = supplier, SKU = part, project = flag (N -> NULL, dropped)."""
     rows = _cost_lines(spark, sf).select(
-        *_ym(), (F.year("l_shipdate") * 100 + F.month("l_shipdate")).cast("int").alias("ym"),
-        F.col("s_nationkey").alias("rcid"), F.col("l_suppkey").alias("filid"),
-        F.col("l_partkey").alias("lagerid"),
-        F.nullif(F.col("l_returnflag"), F.lit("N")).alias("proekt"),
-        F.col("l_extendedprice").alias("costs"))
-    g = composite.store_costs(rows)
-    return g.withColumn("costs", F.col("costs").cast("double"))
+        "year", "month", "ym", F.col("l_suppkey").alias("filid"), F.col("l_partkey").alias("lagerid"),
+        F.nullif(F.col("l_returnflag"), F.lit("N")).alias("proekt"), F.col("l_extendedprice").alias("costs"))
+    g = composite.store_costs(rows, [k for k in composite.STORE_COST_KEYS if k != "rcid"])
+    return _with_dc(g, "filid", spark, sf).select(
+        *composite.STORE_COST_KEYS, F.col("costs").cast("double").alias("costs"))
 
 
 def dc_costs_q(spark: SparkSession, sf: str) -> DataFrame:
-    """Logistics = discount, other = tax (0 made NULL; all-NULL sums are 0)."""
+    """Logistics = price x discount, other = price x tax, four decimals each (0 made
+    NULL; all-NULL sums are 0)."""
+    def cost(rate: str):
+        return F.nullif(F.col("l_extendedprice") * F.col(rate), F.lit(0.0))
+
     rows = _cost_lines(spark, sf).select(
-        *_ym(), (F.year("l_shipdate") * 100 + F.month("l_shipdate")).cast("int").alias("ym"),
-        F.col("s_nationkey").alias("rcid"), F.col("l_suppkey").alias("postid"),
-        F.col("l_partkey").alias("lagerid"),
-        F.nullif(F.col("l_discount"), F.lit(0.0)).alias("costsLogistics"),
-        F.nullif(F.col("l_tax"), F.lit(0.0)).alias("costsOther"))
-    g = composite.dc_costs(rows)
-    return g.select(*composite.DC_COST_KEYS,
-                    *[F.col(c).cast("double").alias(c) for c in ("costsLogistics", "costsOther", "costs")])
+        "year", "month", "ym", F.col("l_suppkey").alias("postid"), F.col("l_partkey").alias("lagerid"),
+        cost("l_discount").alias("costsLogistics"), cost("l_tax").alias("costsOther"))
+    g = composite.dc_costs(rows, [k for k in composite.DC_COST_KEYS if k != "rcid"])
+    return _with_dc(g, "postid", spark, sf).select(
+        *composite.DC_COST_KEYS,
+        *[F.col(c).cast("double").alias(c) for c in ("costsLogistics", "costsOther", "costs")])
 
 
 def replace_period_q(spark: SparkSession, sf: str) -> DataFrame:
@@ -324,11 +343,24 @@ def valid_key_q(spark: SparkSession, sf: str) -> DataFrame:
     o = table(spark, sf, "orders", "o_orderkey", "o_orderstatus", "o_orderpriority")
     rows = o.select("o_orderkey",
                     F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("priority"),
-                    F.when(F.col("o_orderstatus") == "P", F.lit(" - "))
+                    F.when(F.col("o_orderstatus") == "P", F.lit("\u00a0- \u00a0"))
                     .otherwise(F.col("o_orderstatus")).alias("status"))
     return rows.where(valid_key(F.col("priority")) & valid_key(F.col("status")))
 
 
+def text_amounts(spark: SparkSession, sf: str) -> DataFrame:
+    """Amounts written as text in many ways, parsed again: a decimal comma, NBSP
+    around, blank (flag N with an even line), junk (odd), and a day-first date."""
+    li = table(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_returnflag", "l_quantity", "l_shipdate")
+    whole = F.col("l_quantity").cast("bigint").cast("string")
+    written = (F.when(F.col("l_returnflag") == "A", F.concat(whole, F.lit(",5")))
+               .when(F.col("l_returnflag") == "R", F.concat(F.lit("\u00a0"), whole, F.lit(".25\t")))
+               .when(F.col("l_linenumber") % 2 == 0, F.lit(" \u00a0 ")).otherwise(F.lit("12d")))
+    day = F.date_format("l_shipdate", "dd.MM.yyyy")
+    return li.select("l_orderkey", "l_linenumber", parse_number(written, decimal_comma=True).alias("amount"),
+                     F.date_format(parse_date(day), "yyyy-MM-dd").alias("day"))
+
+
 def filter_period_q(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity",
                "l_shipdate")
@@ -442,16 +474,15 @@ def tariff_by_period(spark: SparkSession, sf: str) -> DataFrame:
     per_part = agg.grouped_sum(
         li.select("l_partkey", *_ym(), F.col("l_quantity").alias("kwt"),
                   F.col("l_extendedprice").alias("uah")),
-        ["l_partkey", "year", "month"], ["kwt", "uah"], scale=2, zero_if_all_null=False)
+        ["l_partkey", "year", "month"], ["kwt", "uah"], scale=9, zero_if_all_null=False)
     rows = per_part.join(part, per_part["l_partkey"] == part["p_partkey"]).select(
         "year", "month", F.col("p_brand").alias("mvz"), "kwt", "uah")
     return composite.tariff_by_cost_centre(rows, keys=["year", "month"], scale=None)
 
 
 def dense_sales_share_year(spark: SparkSession, sf: str) -> DataFrame:
-    """The dense sales share for all twelve months of 1997 in one plan."""
-    share = dense_sales_share_periods(_sales(spark, sf), [(YEAR, m) for m in range(1, 13)],
-                                      ["A", "R"])
+    """The dense sales share for every month of every year in one plan."""
+    share = dense_sales_share_periods(_sales(spark, sf), ALL_MONTHS, ["A", "R"])
     return share.select("year", "month", "filid", "depid",
                         F.col("sumout_dep").cast("double").alias("sumout_dep"),
                         F.col("sumout_filial").cast("double").alias("sumout_filial"))
@@ -502,6 +533,7 @@ QUERIES = {
     "dc_costs": dc_costs_q,
     "replace_period": replace_period_q,
     "valid_key": valid_key_q,
+    "text_amounts": text_amounts,
     "filter_period": filter_period_q,
     "calendar_columns": calendar_columns_q,
     "period_from_name": period_from_name_q,

@@ -44,10 +44,9 @@ METER_GROUPS = {
 METER_OUTPUT_GROUPS = ["Пиццерия", "Стрит-Фуд", "Пекарня", "Допёк", "Гриль"]
 METER_DATE, METER_HOUR, METER_STORE = "дата", "час", "магазин"
 
-# fixed values: headers of the tariff, labour and role sheets
+# fixed values: headers of the tariff and labour sheets
 TARIFF_TEMPLATE = ["МВЗ (Код)", "Место возникновения затрат", "kwt", "uah"]
 LABOR_TEMPLATE = ["filid", "mm", "h", "region", "filialname"]
-ROLE_COLUMNS = ["посада з годин", "Посада з зп", "depid", "Відділ"]
 # fixed values: columns of the account report (row_no is added at landing)
 ACCOUNTS_TEMPLATE = ["Стаття/МВЗ", "Назва", "uah", "percent"]
 # fixed values: the shared role, its department code, and the departments it is split into

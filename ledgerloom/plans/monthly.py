@@ -31,6 +31,7 @@ from ledgerloom.functions.scalars import (
     parse_date,
     parse_number,
     period_from_name,
+    valid_key,
 )
 from ledgerloom.operators import composite, quality
 from ledgerloom.operators.aggregate import grouped_sum
@@ -146,7 +147,7 @@ def tariff_drop(spark: SparkSession, path: str | Sequence[str], fmt: str = "csv"
     rows = raw.select(F.col(key).cast("string").alias("mvz"),
                       parse_number(F.col(kwt)).alias("kwt"), parse_number(F.col(uah)).alias("uah"),
                       F.col("file_year").alias("year"), F.col("file_month").alias("month"))
-    invalid = ~F.coalesce(F.col("mvz").isNotNull() & ~F.trim("mvz").isin("", "-"), F.lit(False))
+    invalid = ~F.coalesce(valid_key(F.col("mvz")), F.lit(False))
     checks = quality.ObservedChecks(c.name)
     result = composite.tariff_by_cost_centre(
         checks.watch(rows, [("invalid_key", "mvz", invalid)]), keys=["year", "month"])

@@ -1,13 +1,10 @@
 """Smaller public helpers."""
 
-import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.scalars import blank_to_null, squash_text
-from ledgerloom.operators.enrich import broadcast_if_small
+from ledgerloom.functions.scalars import blank_to_null, exact_sum, squash_text
+from ledgerloom.operators.composite import DC_COST_KEYS, dc_costs, tariff_by_cost_centre
 from ledgerloom.operators.filters import filter_valid_key
-from ledgerloom.operators.reshape import pivot_sum
-from ledgerloom.operators.sink import PeriodMismatch, check_period
 from ledgerloom.session import checkpoint_dir
 from tests.conftest import rows
 
@@ -19,31 +16,29 @@ def test_text_helpers(spark):
     assert [r.b for r in got] == ["Піч Піца 1", None, None, "x"]
 
 
-def test_pivot_sum_and_valid_keys(spark):
-    df = spark.createDataFrame([(1, "A", 2.0), (1, "A", 3.0), (1, "B", 1.0), (2, "Z", 9.0)],
-                               "k int, f string, v double")
-    assert rows(pivot_sum(df, ["k"], "f", ["A", "B"], "v")) == [(1, 5.0, 1.0), (2, None, None)]
-    keys = spark.createDataFrame([("a", "x"), ("-", "x"), ("b", " "), ("c", None)], "p string, q string")
+def test_valid_keys(spark):
+    keys = spark.createDataFrame([("a", "x"), ("-", "x"), ("b", " "), ("c", None), ("\u00a0- \u00a0", "x"),
+                                  ("d", "\u00a0")], "p string, q string")
     assert rows(filter_valid_key(keys, "p", "q")) == [("a", "x")]
 
 
-def test_broadcast_if_small_checks_size(spark):
-    big = spark.range(0, 1000).withColumnRenamed("id", "k")
-    small = spark.range(0, 10).withColumnRenamed("id", "k")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        hinted = big.join(broadcast_if_small(small, 100), "k")._jdf.queryExecution().executedPlan().toString()
-        plain = big.join(broadcast_if_small(small, 5), "k")._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "BroadcastHashJoin" in hinted and "BroadcastHashJoin" not in plain
+def test_sums_lose_nothing_below_their_scale(spark):
+    df = spark.range(1000).select(F.lit(1).alias("k"), F.lit(0.004).alias("a"), F.lit(0.006).alias("b"))
+    got = df.groupBy("k").agg(exact_sum(F.col("a"), 2).cast("double").alias("a"),
+                              exact_sum(F.col("b")).cast("double").alias("b")).first()
+    assert (got.a, got.b) == (4.0, 6.0)
+    one = df.limit(1).agg(exact_sum(F.col("a")).cast("double")).first()[0]
+    assert one == 0.004
+    costs = df.select(*[F.lit(1).alias(k) for k in DC_COST_KEYS], F.col("a").alias("costsLogistics"),
+                      F.col("b").alias("costsOther"))
+    got = dc_costs(costs).first()
+    assert (float(got.costsLogistics), float(got.costsOther), float(got.costs)) == (4.0, 6.0, 10.0)
+    kwh = df.select(F.lit("m\u00a0").alias("mvz"), F.col("a").alias("kwt"), F.col("b").alias("uah"))
+    got = tariff_by_cost_centre(kwh).first()
+    assert (got.mvz, got.consump_kwt, got.consump_uah) == ("m", 4.0, 7.2)
 
 
-def test_check_period_and_checkpoint_dir(spark):
-    df = spark.createDataFrame([(2026, 5), (2026, 4)], "year int, month int")
-    with pytest.raises(PeriodMismatch):
-        check_period(df, 2026, 5)
-    check_period(df.where("month = 5"), 2026, 5)
+def test_checkpoint_dir(spark):
     d = checkpoint_dir(spark)
     assert d and spark.sparkContext.getCheckpointDir()
 
