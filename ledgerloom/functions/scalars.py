@@ -28,6 +28,11 @@ def normalize_header(name: str, strip_chars: str | None = None) -> str:
     return "".join(name.lower().split())
 
 
+def named(name: str) -> Column:
+    """The column of exactly this name (a header may hold a dot)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 # ---------------------------------------------------------------------------
 # text
 # ---------------------------------------------------------------------------

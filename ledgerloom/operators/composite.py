@@ -15,7 +15,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.scalars import guarded_ratio, parse_money, trim_text, valid_key
+from ledgerloom.functions.scalars import guarded_ratio, named, parse_money, trim_text, valid_key
 from ledgerloom.operators.aggregate import grouped_sum, sum_and_first
 from ledgerloom.operators.enrich import enrich_store
 from ledgerloom.operators.filldown import fill_down
@@ -78,8 +78,8 @@ def meter_rollup(df: DataFrame, groups: Mapping[str, Sequence[str]], name_col: s
     meter present is 0), drops rows without a store and sums per ``keys``.
     """
     kept = drop_empty_tagged_rows(df, numeric_cols, name_col, tag)
-    cast = kept.select(*[F.col(c) for c in kept.columns if c not in numeric_cols],
-                       *[F.col(c).cast("double").alias(c) for c in numeric_cols])
+    cast = kept.select(*[named(c) for c in kept.columns if c not in numeric_cols],
+                       *[named(c).cast("double").alias(c) for c in numeric_cols])
     wide = rollup_columns(cast, groups, keep=list(keys))
     out = grouped_sum(wide.where(F.col(store_col).isNotNull()), list(keys), list(groups),
                       scale=scale)

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.scalars import blank_to_null, contains_tag, in_period, parse_number, valid_key
+from ledgerloom.functions.scalars import blank_to_null, contains_tag, in_period, named, parse_number, valid_key
 
 
 def filter_period(df: DataFrame, ts_col: str, year: int, month: int) -> DataFrame:
@@ -25,7 +25,7 @@ def all_zero(cols: Sequence[str | Column]) -> Column:
     """Every listed value is 0, blank or not a number."""
     parts = []
     for c in cols:
-        col = F.col(c) if isinstance(c, str) else c
+        col = named(c) if isinstance(c, str) else c
         v = F.coalesce(parse_number(blank_to_null(col.cast("string"))), F.lit(0.0))
         parts.append(v == 0)
     return reduce(lambda a, b: a & b, parts)

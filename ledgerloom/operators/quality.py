@@ -15,6 +15,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -103,6 +105,15 @@ def dq_report(parts: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
+def observed(observation: Observation) -> dict:
+    """The metrics of a finished action; none if its plan had no rows to observe
+    (an empty drop is optimised away together with its metrics)."""
+    try:
+        return dict(observation.get)
+    except (AssertionError, PySparkException, Py4JError):
+        return {}
+
+
 class ObservedChecks:
     """Row-count findings gathered *while* the load job runs (``DataFrame.observe``).
 
@@ -128,8 +139,8 @@ class ObservedChecks:
 
     def report(self, spark: SparkSession, year=None, month=None) -> DataFrame:
         """The findings of the finished action, as rows of the report table."""
-        got = self.observation.get
-        rows = [(self.feed, year, month, "rows", "input", int(got["rows"]), None)]
-        rows += [(self.feed, year, month, check, subject, int(got[name]), None)
+        got = observed(self.observation)
+        rows = [(self.feed, year, month, "rows", "input", got.get("rows") or 0, None)]
+        rows += [(self.feed, year, month, check, subject, got.get(name) or 0, None)
                  for name, check, subject in self.specs]
         return spark.createDataFrame(rows, DQ_SCHEMA)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from ledgerloom.functions.scalars import normalize_header
+from ledgerloom.functions.scalars import named, normalize_header
 
 
 def normalize_headers(df: DataFrame, strip_chars: str | None = None) -> DataFrame:
@@ -70,7 +70,7 @@ def merge_repeated_columns(df: DataFrame, strip_chars: str | None = None) -> Dat
 def project_template(df: DataFrame, template: Sequence[str]) -> DataFrame:
     """Keep the template columns that exist, in template order."""
     have = set(df.columns)
-    return df.select(*[c for c in template if c in have])
+    return df.select(*[named(c) for c in template if c in have])
 
 
 def rollup_columns(df: DataFrame, groups: Mapping[str, Sequence[str]],
@@ -83,7 +83,7 @@ def rollup_columns(df: DataFrame, groups: Mapping[str, Sequence[str]],
     for g, members in groups.items():
         present = [m for m in members if m in have]
         if present:
-            expr = reduce(lambda a, b: a + b, [F.coalesce(F.col(m), F.lit(0)) for m in present])
+            expr = reduce(lambda a, b: a + b, [F.coalesce(named(m), F.lit(0)) for m in present])
         else:
             expr = F.lit(0)
         out.append(expr.alias(g))

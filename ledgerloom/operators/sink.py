@@ -5,7 +5,8 @@ month replaces exactly that month's partition in one write job:
 
 * :func:`write_period`   one month, in one job; an empty frame still clears the month;
 * :func:`write_periods`  many months at once (backfill): dynamic partition
-  overwrite replaces the months present in the frame and leaves the others;
+  overwrite replaces the months present in the frame; months that a drop's files
+  are for but that have no row left are cleared, all others stay;
 * :func:`replace_period_frame`  the same replacement as a pure query.
 
 A row whose own period differs from the period being loaded fails the load
@@ -14,11 +15,16 @@ job before commit, so the target is left as it was.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
+
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ledgerloom.operators.quality import observed
+
 
 class PeriodMismatch(ValueError):
     pass
@@ -60,26 +66,38 @@ def write_period(new: DataFrame, root: str, year: int, month: int, year_col: str
     counted on the way. Only when the load turned out empty is the month
     cleared explicitly. Running the load twice gives the same result.
     """
-    obs = Observation(f"load_{year}_{month}")
-    guarded = _guard_period(new, year, month, year_col, month_col).observe(
-        obs, F.count(F.lit(1)).alias("n"))
+    guarded = _guard_period(new, year, month, year_col, month_col)
     try:
-        write_periods(guarded, root, year_col, month_col)
+        write_periods(guarded, root, year_col, month_col, [(year, month)])
     except PySparkException as ex:
         if _MISMATCH in str(ex):
             raise PeriodMismatch(f"rows outside {year}-{month:02d} in a load for that period") from ex
         raise
-    if obs.get["n"] == 0:
-        (new.limit(0).drop(year_col, month_col)
-         .write.mode("overwrite").parquet(_partition_path(root, year, month, year_col, month_col)))
 
 
-def write_periods(df: DataFrame, root: str, year_col: str = "year", month_col: str = "month") -> None:
-    """Replace every month present in ``df``; months not in ``df`` stay as they are."""
-    (df.write.mode("overwrite")
+def write_periods(df: DataFrame, root: str, year_col: str = "year", month_col: str = "month",
+                  periods: Sequence[tuple[int, int]] = ()) -> None:
+    """Replace every month present in ``df`` and clear those of ``periods`` (the
+    months a drop's files are for) that have no row left; others stay as they are.
+
+    One job writes; it counts the rows of each listed month on the way.
+    """
+    obs = Observation(f"load_{uuid.uuid4().hex[:12]}")
+    counted = df
+    if periods:
+        counted = df.observe(obs, *[F.count(F.when(_period_cond(y, m, year_col, month_col), F.lit(1)))
+                                    .alias(f"n_{y}_{m}") for y, m in periods])
+    (counted.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(year_col, month_col)
      .parquet(root))
+    if not periods:
+        return
+    got = observed(obs)
+    for y, m in periods:
+        if not got.get(f"n_{y}_{m}"):
+            (df.limit(0).drop(year_col, month_col).write.mode("overwrite")
+             .parquet(_partition_path(root, y, m, year_col, month_col)))
 
 
 def conform_schema(df: DataFrame, schema: StructType | str, strict: bool = True) -> DataFrame:

@@ -31,14 +31,14 @@ from ledgerloom.functions.scalars import (
     parse_date,
     parse_number,
     period_from_name,
+    trim_text,
     valid_key,
 )
 from ledgerloom.operators import composite, quality
-from ledgerloom.operators.aggregate import grouped_sum
+from ledgerloom.operators.aggregate import control_totals, grouped_sum
 from ledgerloom.operators.allocate import dense_sales_share_periods, labor_allocation
-from ledgerloom.operators.anomaly import anomaly_all_periods, anomaly_one_period
+from ledgerloom.operators.anomaly import anomaly_all_periods, anomaly_one_period, keys_without_history
 from ledgerloom.operators.enrich import enrich_store, rate_fill, store_directory
-from ledgerloom.operators.reshape import merge_repeated_columns, project_template
 from ledgerloom.operators.sink import conform_schema, write_period, write_periods
 from ledgerloom.plans.contracts import (
     ACCOUNTS_TEMPLATE,
@@ -60,8 +60,8 @@ from ledgerloom.sources.scans import (
     DC_COSTS_SCHEMA,
     STORE_COSTS_SCHEMA,
     scan_monthly_csv,
+    scan_by_header,
     scan_monthly_table,
-    with_file_period,
 )
 
 
@@ -71,14 +71,16 @@ class FeedRun:
 
     ``result`` is what gets loaded. ``checks`` are row counts observed while
     the load job runs (returned by :func:`load`, no extra pass); ``headers``
-    are findings about the drop's header row (metadata); ``dq`` recomputes
-    every finding on its own, for inspecting a drop without loading it.
+    are findings about the drop's header rows (metadata); ``dq`` recomputes
+    every finding on its own, for inspecting a drop without loading it;
+    ``periods`` are the months of the drop's files, whatever rows they hold.
     """
     contract: FeedContract
     result: DataFrame
     dq: DataFrame
     checks: quality.ObservedChecks | None = None
     headers: DataFrame | None = None
+    periods: Sequence[tuple[int, int]] = ()
 
 
 def _period_cols(df: DataFrame, year_col: str = "year", month_col: str = "month") -> DataFrame:
@@ -101,18 +103,38 @@ def _own_period_mismatch(df: DataFrame, feed: str) -> tuple[DataFrame, DataFrame
     return ok, finding
 
 
-def _cost_drop(c: FeedContract, raw: DataFrame, keys: list[str], build) -> FeedRun:
+def _bad_number(cells: Sequence[str]) -> Column:
+    """A cell that holds text but no number."""
+    return reduce(lambda a, b: a | b, [
+        F.coalesce((trim_text(F.col(f"__raw_{c}")) != "") & F.col(c).isNull(), F.lit(False)) for c in cells])
+
+
+def _cost_drop(spark: SparkSession, c: FeedContract, path, schema: str, keys: list[str],
+               amounts: list[str], build) -> FeedRun:
+    """A headerless cost drop: cells come as text; what is no number becomes NULL
+    and is counted, so ``12,5`` is neither 125 nor a silent 0."""
+    text = scan_monthly_csv(spark, path, schema)
+    whole = [k for k in keys if k != "proekt"]
+    raw = text.select(
+        *[F.col(k).alias(f"__raw_{k}") for k in (*whole, *amounts)],
+        *[parse_number(F.col(k), integral=True).cast("int").alias(k) for k in whole],
+        *[parse_number(F.col(a)).alias(a) for a in amounts],
+        *([F.col("proekt")] if "proekt" in keys else []), "file_year", "file_month")
+    bad = _bad_number([*whole, *amounts])
     checks = quality.ObservedChecks(c.name)
     watched = checks.watch(raw, [("period_mismatch", "year,month", ~_same_period()),
-                                 ("null_key", ",".join(keys), _same_period() & _any_null(keys))])
+                                 ("null_key", ",".join(keys), _same_period() & _any_null(keys)),
+                                 ("bad_number", ",".join([*whole, *amounts]), bad)])
     result = build(watched.where(_same_period()), keys)
     ok, mismatch = _own_period_mismatch(raw, c.name)
     dq = quality.dq_report([
         mismatch,
         quality.null_key_count(ok, keys, c.name),
+        quality.count_finding(raw, bad, "bad_number", ",".join([*whole, *amounts]), c.name),
         quality.duplicate_count(build(ok, keys), keys, c.name),
     ])
-    return FeedRun(c, conform_schema(result, c.target_schema), dq, checks)
+    return FeedRun(c, conform_schema(result, c.target_schema), dq, checks,
+                   periods=drop_periods(spark, text))
 
 
 # ---------------------------------------------------------------------------
@@ -121,17 +143,37 @@ def _cost_drop(c: FeedContract, raw: DataFrame, keys: list[str], build) -> FeedR
 
 
 def store_costs_drop(spark: SparkSession, path: str | Sequence[str]) -> FeedRun:
-    c = CONTRACTS["store_costs"]
-    raw = scan_monthly_csv(spark, path, STORE_COSTS_SCHEMA)
-    keys = ["year", "month", "ym", "rcid", "filid", "lagerid", "proekt"]
-    return _cost_drop(c, raw, keys, composite.store_costs)
+    return _cost_drop(spark, CONTRACTS["store_costs"], path, STORE_COSTS_SCHEMA,
+                      ["year", "month", "ym", "rcid", "filid", "lagerid", "proekt"], ["costs"],
+                      composite.store_costs)
 
 
 def dc_costs_drop(spark: SparkSession, path: str | Sequence[str]) -> FeedRun:
-    c = CONTRACTS["dc_costs"]
-    raw = scan_monthly_csv(spark, path, DC_COSTS_SCHEMA).drop("costs")
-    keys = ["year", "month", "ym", "rcid", "postid", "lagerid"]
-    return _cost_drop(c, raw, keys, composite.dc_costs)
+    return _cost_drop(spark, CONTRACTS["dc_costs"], path, DC_COSTS_SCHEMA,
+                      ["year", "month", "ym", "rcid", "postid", "lagerid"],
+                      ["costsLogistics", "costsOther"], composite.dc_costs)
+
+
+def _headered(spark: SparkSession, path, fmt: str, template: Sequence[str], feed: str,
+              numeric: Sequence[str] = (), extra: Sequence[str] = (), strip_chars: str | None = None,
+              sep: str = ",", decimal_comma: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Rows of a headered drop with every template column, and its header findings.
+
+    Parquet drops match by name as they are; CSV drops by each file's own header.
+    """
+    wanted = [*template, *extra]
+    if fmt == "csv":
+        rows, layouts = scan_by_header(spark, path, wanted, numeric, sep, strip_chars, decimal_comma)
+        headers = [[normalize_header(h, strip_chars) for h in header] for header, _ in layouts]
+    else:
+        rows = scan_monthly_table(spark, path, fmt=fmt, strip_chars=strip_chars)
+        headers = [rows.columns]
+        for name in (normalize_header(w, strip_chars) for w in wanted):
+            if name not in rows.columns:
+                rows = rows.withColumn(name, F.lit(None).cast("string"))
+    plain = [normalize_header(t, strip_chars) for t in template]
+    found = [quality.header_findings(spark, h, plain, feed) for h in headers]
+    return rows, quality.dq_report(found or [quality.header_findings(spark, [], plain, feed)])
 
 
 # ---------------------------------------------------------------------------
@@ -141,9 +183,9 @@ def dc_costs_drop(spark: SparkSession, path: str | Sequence[str]) -> FeedRun:
 
 def tariff_drop(spark: SparkSession, path: str | Sequence[str], fmt: str = "csv") -> FeedRun:
     c = CONTRACTS["tariff"]
-    raw = scan_monthly_table(spark, path, fmt=fmt, strip_chars=" '")
     key, kwt, uah = (normalize_header(h, " '") for h in
                      (TARIFF_TEMPLATE[0], TARIFF_TEMPLATE[2], TARIFF_TEMPLATE[3]))
+    raw, headers = _headered(spark, path, fmt, TARIFF_TEMPLATE, c.name, [kwt, uah], strip_chars=" '")
     rows = raw.select(F.col(key).cast("string").alias("mvz"),
                       parse_number(F.col(kwt)).alias("kwt"), parse_number(F.col(uah)).alias("uah"),
                       F.col("file_year").alias("year"), F.col("file_month").alias("month"))
@@ -151,14 +193,14 @@ def tariff_drop(spark: SparkSession, path: str | Sequence[str], fmt: str = "csv"
     checks = quality.ObservedChecks(c.name)
     result = composite.tariff_by_cost_centre(
         checks.watch(rows, [("invalid_key", "mvz", invalid)]), keys=["year", "month"])
-    headers = quality.header_findings(spark, raw.columns, TARIFF_TEMPLATE, c.name)
     dq = quality.dq_report([
         headers,
         quality.count_finding(rows, invalid, "invalid_key", "mvz", c.name),
         quality.duplicate_count(composite.tariff_by_cost_centre(rows, keys=["year", "month"]),
                                 ["year", "month", "mvz"], c.name),
     ])
-    return FeedRun(c, conform_schema(result, c.target_schema), dq, checks, headers)
+    return FeedRun(c, conform_schema(result, c.target_schema), dq, checks, headers,
+                   drop_periods(spark, raw))
 
 
 # ---------------------------------------------------------------------------
@@ -166,56 +208,36 @@ def tariff_drop(spark: SparkSession, path: str | Sequence[str], fmt: str = "csv"
 # ---------------------------------------------------------------------------
 
 
-def _read_header(spark: SparkSession, path: str, sep: str) -> list[str]:
-    first = spark.read.option("sep", sep).option("header", "false").csv(path).limit(1).collect()
-    return [str(v) if v is not None else f"_c{i}" for i, v in enumerate(first[0])] if first else []
-
-
-def _conform_meter_file(spark: SparkSession, path: str, sep: str) -> tuple[DataFrame, DataFrame]:
-    """One drop: positional headers -> normalised, repeated meters merged, template kept."""
-    headers = _read_header(spark, path, sep)
-    raw = (spark.read.option("sep", sep).option("header", "true").option("inferSchema", "false")
-           .csv(path))
-    # positional names first: even identical headers stay addressable
-    raw = raw.toDF(*[f"__c{i}" for i in range(len(headers))])
-    names = [normalize_header(h) for h in headers]
-    meters = {normalize_header(t) for t in METER_TEMPLATE[3:]}
-    typed = raw.select(*[
-        (parse_number(F.col(f"__c{i}"), decimal_comma=True) if n in meters
-         else F.col(f"__c{i}")).alias(h) for i, (h, n) in enumerate(zip(headers, names))])
-    merged = merge_repeated_columns(typed)
-    kept = project_template(merged, [normalize_header(t) for t in METER_TEMPLATE])
-    findings = quality.header_findings(spark, headers, METER_TEMPLATE, "meter")
-    return with_file_period(kept), findings
-
-
-def meter_drop(spark: SparkSession, paths: Sequence[str], directory: DataFrame,
+def meter_drop(spark: SparkSession, paths: str | Sequence[str], directory: DataFrame,
                sep: str = ",") -> FeedRun:
     """Meter drops (CSV) -> kitchen-group consumption per store and month."""
     c = CONTRACTS["meter"]
-    parts, header_dq = zip(*[_conform_meter_file(spark, p, sep) for p in paths])
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    meters = sorted({normalize_header(t) for t in METER_TEMPLATE[3:]})
+    rows, headers = _headered(spark, paths, "csv", METER_TEMPLATE, c.name, meters, sep=sep,
+                              decimal_comma=True)
+    periods = drop_periods(spark, rows)
     day = parse_date(F.col(METER_DATE))
     in_period = ((F.year(day) == F.col("file_year")) & (F.month(day) == F.col("file_month")))
-    rows = rows.where(F.coalesce(in_period, F.lit(False)))
+    in_period = F.coalesce(in_period, F.lit(False))
+    outside = quality.count_finding(rows, ~in_period, "period_mismatch", METER_DATE, c.name)
+    rows = rows.where(in_period)
     code = parse_number(code_before_comma(F.col(METER_STORE)), integral=True)
     enriched = enrich_store(rows, directory, code, out_col="filid")
-    meters = [m for m in {normalize_header(t) for t in METER_TEMPLATE[3:]} if m in rows.columns]
 
     def rollup(df: DataFrame) -> DataFrame:
         return composite.meter_rollup(
             _period_cols(df), normalized_groups(METER_GROUPS), METER_STORE, "filid",
-            ["year", "month", "filid"], sorted(meters))
+            ["year", "month", "filid"], meters)
 
     checks = quality.ObservedChecks(c.name)
     result = rollup(checks.watch(enriched, [("unmatched", "store", F.col("filid").isNull())]))
-    headers = reduce(lambda a, b: a.unionByName(b), header_dq)
-    dq = quality.dq_report([headers,
+    dq = quality.dq_report([
+        headers, outside,
         quality.count_finding(enriched, F.col("filid").isNull(), "unmatched", "store", c.name),
         quality.duplicate_count(rollup(enriched), ["year", "month", "filid"], c.name),
     ])
     out = result.select("year", "month", "filid", *METER_OUTPUT_GROUPS)
-    return FeedRun(c, conform_schema(out, c.target_schema), dq, checks, headers)
+    return FeedRun(c, conform_schema(out, c.target_schema), dq, checks, headers, periods)
 
 
 # ---------------------------------------------------------------------------
@@ -227,13 +249,12 @@ def accounts_drop(spark: SparkSession, path: str | Sequence[str], directory: Dat
                   fmt: str = "parquet", row_no: str = "row_no") -> FeedRun:
     """Account report (landed with its row number) -> store rows per account."""
     c = CONTRACTS["accounts"]
-    raw = scan_monthly_table(spark, path, fmt=fmt)
+    raw, headers = _headered(spark, path, fmt, ACCOUNTS_TEMPLATE, c.name, extra=[row_no])
     code, name = normalize_header("Стаття/МВЗ"), normalize_header("Назва")
     report = raw.withColumn(row_no, F.col(row_no).cast("long"))
     result = composite.accounts_by_store(
         _period_cols(report), directory, code, name, "uah", "percent", row_no,
         partition_by=["file_drop"], keys=["year", "month"])
-    headers = quality.header_findings(spark, raw.columns, ACCOUNTS_TEMPLATE, c.name)
     # rows above the first article row of their report have no article (dropped)
     is_article = F.col(code).cast("string").startswith(composite.ARTICLE_PREFIX)
     first = report.groupBy("file_drop").agg(F.min(F.when(is_article, F.col(row_no))).alias("__f"))
@@ -244,7 +265,8 @@ def accounts_drop(spark: SparkSession, path: str | Sequence[str], directory: Dat
         quality.count_finding(above, F.lit(True), "no_article", "row_no", c.name),
         quality.duplicate_count(result, ["filid", "account", "name", "year", "month"], c.name),
     ])
-    return FeedRun(c, conform_schema(result, c.target_schema), dq, headers=headers)
+    return FeedRun(c, conform_schema(result, c.target_schema), dq, headers=headers,
+                   periods=drop_periods(spark, raw))
 
 
 # ---------------------------------------------------------------------------
@@ -266,9 +288,8 @@ def labor_drop(spark: SparkSession, hours_path: str | Sequence[str], roles: Data
     that "every store ever seen" needs otherwise.
     """
     c = CONTRACTS["labor"]
-    raw = scan_monthly_table(spark, hours_path, fmt=fmt)
-    if "category" in raw.columns and "region" not in raw.columns:
-        raw = raw.withColumnRenamed("category", "region")
+    raw, headers = _headered(spark, hours_path, fmt, LABOR_TEMPLATE, c.name, extra=["category"])
+    raw = raw.withColumn("region", F.coalesce("region", "category"))
     hours = raw.select(
         parse_number(F.col("filid"), integral=True).alias("filid"),
         parse_number(F.col("mm"), integral=True).cast("int").alias("mm"),
@@ -279,7 +300,7 @@ def labor_drop(spark: SparkSession, hours_path: str | Sequence[str], roles: Data
     month_mismatch = quality.count_finding(hours, ~own_month, "period_mismatch", "mm", c.name)
     hours = grouped_sum(hours.where(own_month),
                         ["filid", "mm", "region", "filialname", "file_year", "file_month"],
-                        ["h"], scale=4)
+                        ["h"], scale=9)
 
     r = roles.toDF(*[normalize_header(x) for x in roles.columns])
     role_dict = r.select(F.col(normalize_header("посада з годин")).alias("region"),
@@ -311,7 +332,6 @@ def labor_drop(spark: SparkSession, hours_path: str | Sequence[str], roles: Data
                                "sumout_filial").distinct()
     result = out.select("y", "m", "filid", F.col("depid").try_cast("int").alias("depid"),
                         "hours", "cost_hour", "cost_labor")
-    headers = quality.header_findings(spark, raw.columns, LABOR_TEMPLATE, c.name)
     dq = quality.dq_report([
         headers,
         month_mismatch,
@@ -329,8 +349,11 @@ def labor_drop(spark: SparkSession, hours_path: str | Sequence[str], roles: Data
         # ... or has no sales rows at all (department and hours stay NULL)
         quality.count_finding(shared.join(store_month, ["filid", "y", "m"], "left_anti"),
                               F.lit(True), "shared_hours_no_sales", "filid", c.name),
+        # a department that is no number has none in the target
+        quality.count_finding(out, F.col("depid").isNotNull() & F.col("depid").try_cast("int").isNull(),
+                              "bad_number", "depid", c.name),
     ])
-    return FeedRun(c, conform_schema(result, c.target_schema), dq, headers=headers)
+    return FeedRun(c, conform_schema(result, c.target_schema), dq, headers=headers, periods=periods)
 
 
 # ---------------------------------------------------------------------------
@@ -373,7 +396,8 @@ def drop_periods(spark: SparkSession, df: DataFrame) -> list[tuple[int, int]]:
 
 def load(run: FeedRun, root: str, year: int | None = None,
          month: int | None = None) -> DataFrame | None:
-    """Replace the month ``(year, month)`` - or, without one, every month present.
+    """Replace the month ``(year, month)`` - or, without one, every month of the
+    drop's files, clearing those without a row left.
 
     Returns the findings observed during the load (row counts, header
     findings), or ``None`` for a feed without observed checks.
@@ -382,13 +406,41 @@ def load(run: FeedRun, root: str, year: int | None = None,
     if year is not None and month is not None:
         write_period(run.result, root, year, month, c.year_col, c.month_col)
     else:
-        write_periods(run.result, root, c.year_col, c.month_col)
+        write_periods(run.result, root, c.year_col, c.month_col, run.periods)
     parts = [p for p in (run.headers,) if p is not None]
     if run.checks is not None:
         parts.append(run.checks.report(run.result.sparkSession, year, month))
     return quality.dq_report(parts) if parts else None
 
 
+def full_report(run: FeedRun, target: DataFrame | None = None, year: int | None = None,
+                month: int | None = None, anomalies: DataFrame | None = None) -> DataFrame:
+    """Every section of a feed's report: the checks of ``run.dq``, control totals per
+    month and category, the keys of the month that have no history, and how many
+    anomalies each grain has."""
+    c, parts = run.contract, [run.dq]
+    for category in c.categories:
+        totals = control_totals(run.result, [c.year_col, c.month_col], category)
+        parts.append(totals.select(
+            F.lit(c.name).alias("feed"), F.col(c.year_col).cast("int").alias("year"),
+            F.col(c.month_col).cast("int").alias("month"), F.lit("control_total").alias("check"),
+            F.lit(category).alias("subject"), F.col("n_rows").alias("n"),
+            F.concat(F.lit("total "), F.col("total").cast("string")).alias("detail")))
+    if target is not None and year is not None and month is not None:
+        current = run.result.where((F.col(c.year_col) == year) & (F.col(c.month_col) == month))
+        for keys in (c.group_keys, *c.extra_scoring):
+            new = keys_without_history(current, target, year, month, list(keys),
+                                       year_col=c.year_col, month_col=c.month_col)
+            parts.append(quality.count_finding(new, F.lit(True), "no_history", ",".join(keys), c.name,
+                                               year, month))
+    if anomalies is not None:
+        parts.append(anomalies.groupBy("grain").agg(F.count("*").alias("n")).select(
+            F.lit(c.name).alias("feed"), F.lit(year).cast("int").alias("year"),
+            F.lit(month).cast("int").alias("month"), F.lit("anomalies").alias("check"),
+            F.col("grain").alias("subject"), "n", F.lit(None).cast("string").alias("detail")))
+    return quality.dq_report(parts)
+
+
 def directory_from(raw: DataFrame) -> DataFrame:
     """Store directory (id, name, AccountantNumber, MVZ) ready for the joins."""
     return store_directory(raw)

@@ -50,8 +50,7 @@ def build(spark: SparkSession, args: argparse.Namespace) -> monthly.FeedRun:
         return monthly.dc_costs_drop(spark, args.drop)
     directory = store_directory(_read(spark, args.directory))
     if feed == "meter":
-        files = spark.read.text(args.drop).inputFiles()
-        return monthly.meter_drop(spark, sorted(files), directory, sep=args.sep)
+        return monthly.meter_drop(spark, args.drop, directory, sep=args.sep)
     if feed == "accounts":
         return monthly.accounts_drop(spark, args.drop, directory, fmt=args.format)
     if feed == "labor":
@@ -65,20 +64,24 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict:
     feed_run = build(spark, args)
     c = feed_run.contract
     one_month = args.year is not None and args.month is not None
+    history = spark.read.parquet(args.target) if _exists(spark, args.target) else None
     anomalies = None
-    if one_month and _exists(spark, args.target):
+    if one_month and history is not None:
         # the history read covers the three months before the one being loaded,
         # so replacing that month does not change what is scored
-        anomalies = monthly.score(feed_run, spark.read.parquet(args.target), args.year, args.month)
+        anomalies = monthly.score(feed_run, history, args.year, args.month)
         if args.anomalies:
             anomalies.write.mode("append").parquet(args.anomalies)
-    findings = monthly.load(feed_run, args.target, args.year, args.month)
+    if args.findings:  # before the load, while the target still is the history
+        monthly.full_report(feed_run, history, args.year, args.month, anomalies) \
+            .withColumn("loaded_at", F.current_timestamp()).write.mode("append").parquet(args.findings)
+    observed = monthly.load(feed_run, args.target, args.year, args.month)
     if not one_month:
         anomalies = monthly.score_history(spark.read.parquet(args.target), c)
         if args.anomalies:
             anomalies.write.mode("overwrite").parquet(args.anomalies)
-    if findings is not None and args.findings:
-        findings.withColumn("loaded_at", F.current_timestamp()) \
+    if observed is not None and args.findings:
+        observed.where("check = 'rows'").withColumn("loaded_at", F.current_timestamp()) \
             .write.mode("append").parquet(args.findings)
     return {"feed": c.name, "target": args.target}
 

@@ -7,24 +7,26 @@ history; the period of each row comes from its own file name via the hidden
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import csv
+from collections.abc import Collection, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ledgerloom.functions.scalars import drop_name, period_from_name
-from ledgerloom.operators.reshape import normalize_headers
+from ledgerloom.functions.scalars import drop_name, named, normalize_header, parse_number, period_from_name
+from ledgerloom.operators.reshape import merge_repeated_columns, normalize_headers
 
 # fixed values: positional layouts of the two headerless CSV drops
 STORE_COSTS_COLUMNS = ["year", "month", "ym", "rcid", "filid", "lagerid", "proekt", "costs"]
 DC_COSTS_COLUMNS = ["year", "month", "ym", "rcid", "postid", "lagerid",
                     "costsLogistics", "costsOther", "costs"]
 
-STORE_COSTS_SCHEMA = ("year int, month int, ym int, rcid int, filid int, lagerid int, "
-                      "proekt string, costs decimal(12,2)")
-DC_COSTS_SCHEMA = ("year int, month int, ym int, rcid int, postid int, lagerid int, "
-                   "costsLogistics double, costsOther double, costs double")
+# every cell is read as text and parsed by a guarded helper: the CSV reader itself
+# would take the comma of '12,5' for a grouping mark
+STORE_COSTS_SCHEMA = ", ".join(f"{c} string" for c in STORE_COSTS_COLUMNS)
+DC_COSTS_SCHEMA = ", ".join(f"{c} string" for c in DC_COSTS_COLUMNS)
 
 
 def with_file_period(df: DataFrame, strict: bool = True) -> DataFrame:
@@ -78,3 +80,61 @@ def scan_monthly_table(spark: SparkSession, path: str | Sequence[str], fmt: str
     if normalize:
         df = normalize_headers(df, strip_chars)
     return with_file_period(df) if with_period else df
+
+
+def header_rows(spark: SparkSession, path: str | Sequence[str]) -> dict[str, list[str]]:
+    """First line of every file -> the files that begin with it, in one job.
+
+    What comes back is one row per distinct first line and the file names.
+    """
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start").alias("block"),
+                 F.monotonically_increasing_id().alias("at")).alias("place"))
+    firsts = lines.groupBy("file").agg(F.min_by("value", "place").alias("line"))
+    got = firsts.groupBy("line").agg(F.array_sort(F.collect_list("file")).alias("files")).collect()
+    return {r["line"].lstrip("\ufeff"): r["files"] for r in got}
+
+
+def scan_by_header(spark: SparkSession, path: str | Sequence[str], template: Sequence[str],
+                   numeric: Collection[str] = (), sep: str = ",", strip_chars: str | None = None,
+                   decimal_comma: bool = False) -> tuple[DataFrame, list[tuple[list[str], list[str]]]]:
+    """Headered CSV drops read by name: each file's columns are those of its own header.
+
+    Files with the same normalised header are one scan, so the plan grows with
+    the layouts, not with the files. Repeated headers become one column (those in
+    ``numeric`` are parsed and summed, else the first set value is kept); a
+    template column that a layout lacks is NULL. Returns the rows, with the
+    ``file_*`` columns, and (header, files) of every layout.
+    """
+    wanted = [normalize_header(t, strip_chars) for t in template]
+    numbers = {normalize_header(n, strip_chars) for n in numeric}
+    layouts: dict[tuple[str, ...], tuple[list[str], list[str]]] = {}
+    for line, files in header_rows(spark, path).items():
+        header = next(csv.reader([line], delimiter=sep), [])
+        names = tuple(normalize_header(h, strip_chars) for h in header)
+        layouts.setdefault(names, (header, []))[1].extend(files)
+    parts = []
+    for names, (_, files) in sorted(layouts.items()):
+        if not names:
+            continue
+        schema = ", ".join(f"__c{i} string" for i in range(len(names)))
+        raw = with_file_period(spark.read.schema(schema).option("sep", sep).option("header", "true")
+                               .option("enforceSchema", "true").csv(files))
+        cells = raw.select(*[
+            (parse_number(F.col(f"__c{i}"), decimal_comma=decimal_comma) if n in numbers
+             else F.col(f"__c{i}")).alias(n) for i, n in enumerate(names)], *FILE_COLUMNS)
+        kinds = ["double" if n in numbers else "string" for n in wanted]
+        merged = merge_repeated_columns(cells)
+        parts.append(merged.select(
+            *[(named(n) if n in names else F.lit(None).cast(k)).alias(n) for n, k in zip(wanted, kinds)],
+            *FILE_COLUMNS))
+    found = [(header, files) for header, files in layouts.values()]
+    if not parts:
+        kinds = ", ".join(f"`{n}` {'double' if n in numbers else 'string'}" for n in wanted)
+        return spark.createDataFrame([], f"{kinds}, file_name string, file_drop string, "
+                                         "file_mtime timestamp, file_year int, file_month int"), found
+    return reduce(lambda a, b: a.unionByName(b), parts), found
+
+
+FILE_COLUMNS = ["file_name", "file_drop", "file_mtime", "file_year", "file_month"]

@@ -6,7 +6,9 @@ batch only the newest file is kept (a corrected re-drop wins over the one it
 replaces, and two drops of one month in one batch are not added together);
 the feed's transform runs on those rows, and the periods present are replaced
 in the target by dynamic partition overwrite. Replaying a batch after a
-failure writes the same partitions again, so the sink is idempotent.
+failure writes the same partitions again, so the sink is idempotent. A file
+without any row is not seen by the stream; load such a month with
+``plans.monthly.load``, which takes the months from the file names.
 
 With ``trigger(availableNow=True)`` (default) the stream processes whatever
 has landed and stops, which suits a scheduled job; pass ``once=False`` to keep
@@ -70,14 +72,11 @@ def ingest_monthly_drops(spark: SparkSession, landing: str, schema: StructType |
         p["year"].alias("file_year"), p["month"].alias("file_month"))
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        # the batch is read twice (choosing the newest drop, then its rows):
-        # keep it for the duration of this batch instead of re-reading the files
-        batch.persist()
-        try:
-            rows = transform(newest_file_per_period(batch))
-            write_periods(rows, target, year_col, month_col)
-        finally:
-            batch.unpersist()
+        # the months of the batch's files: one that the transform leaves without
+        # rows is cleared, like one that is replaced
+        months = [(r["file_year"], r["file_month"]) for r in
+                  batch.select("file_year", "file_month").distinct().collect()]
+        write_periods(transform(newest_file_per_period(batch)), target, year_col, month_col, months)
 
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 minute")

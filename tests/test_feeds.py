@@ -221,7 +221,7 @@ def test_load_returns_findings_observed_in_the_same_job(spark, tmpdir_path):
            "2026;5;202605;1;10;100;;9.99\n2026;4;202604;1;11;100;B;0.00\n")
     run = monthly.store_costs_drop(spark, f"{tmpdir_path}/MC_*.csv")
     found = {r.check: r.n for r in monthly.load(run, f"{tmpdir_path}/target", 2026, 5).collect()}
-    assert found == {"rows": 4, "period_mismatch": 1, "null_key": 1}
+    assert found == {"rows": 4, "period_mismatch": 1, "null_key": 1, "bad_number": 0}
     standalone = {r.check: r.n for r in run.dq.collect()}
     assert standalone["period_mismatch"] == 1 and standalone["null_key"] == 1
     loaded = spark.read.parquet(f"{tmpdir_path}/target")
@@ -291,3 +291,67 @@ def test_meter_scoring_with_group_names(spark):
     run = monthly.FeedRun(c, cur, cur.limit(0))
     got = [(r.filid, r.category, r.current) for r in monthly.score(run, hist, 2026, 5).collect()]
     assert got == [(21, "Стрит-Фуд", 90.0)]
+
+
+def _found(df):
+    out = {}
+    for r in df.collect():
+        out[r.check, r.subject] = out.get((r.check, r.subject), 0) + r.n
+    return out
+
+
+def test_headered_drops_are_read_by_name(spark, tmpdir_path):
+    """Another column order, a repeated and a missing header: no column is swapped."""
+    root = f"{tmpdir_path}/hdr"
+    _write(f"{root}/tariff_2605.csv", "МВЗ (Код),Место возникновения затрат,kwt,uah\nM1,a,10,120\n")
+    _write(f"{root}/tariff_2606.csv", "uah,kwt,МВЗ (Код),KWT \n120,10,M1,5\n")
+    _write(f"{root}/tariff_2607.csv", "МВЗ (Код),uah\nM1,7\n")
+    run = monthly.tariff_drop(spark, f"{root}/tariff_*.csv")
+    assert rows(run.result, "month", "consump_kwt", "consump_uah") == [
+        (5, 10.0, 144.0), (6, 15.0, 144.0), (7, 0.0, 8.4)]
+    dq = _found(run.dq)
+    assert dq["repeated_header", "kwt"] == 2 and dq["missing_column", "kwt"] == 1
+    directory = store_directory(spark.createDataFrame([(21, "2")], "id int, AccountantNumber string"),
+                                name_col=None, mvz_col=None)
+    _write(f"{root}/meter_2605.csv", 'Дата,Магазин,Піч піца\n2026-05-31,"002, Київ",1\n')
+    _write(f"{root}/meter_2606.csv", 'Магазин,Піч піца,Дата,Пічпіца\n"002, Київ","1,5",2026-06-30,2\n')
+    run = monthly.meter_drop(spark, f"{root}/meter_*.csv", directory)
+    assert rows(run.result, "month", "filid", "Пиццерия") == [(5, 21, 1.0), (6, 21, 3.5)]
+    _write(f"{root}/acc_2605.csv", "uah,row_no,Назва,percent,Стаття/МВЗ\n,1,Rent,,8401\n5 UAH,2,x,0.5,C1\n")
+    _write(f"{root}/acc_2606.csv", "row_no,Стаття/МВЗ,Назва,uah\n1,8401,Rent,\n2,C1,x,6 UAH\n")
+    stores = store_directory(spark.createDataFrame([(21, "2", "C1")], "id int, AccountantNumber string, MVZ string"),
+                             name_col=None)
+    run = monthly.accounts_drop(spark, f"{root}/acc_*.csv", stores, fmt="csv")
+    assert rows(run.result, "month", "filid", "sum") == [(5, 21, 5.0), (6, 21, 6.0)]
+    assert _found(run.dq)["missing_column", "percent"] == 1
+
+
+def test_cost_cells_are_parsed_safely(spark, tmpdir_path):
+    root = f"{tmpdir_path}/cells"
+    _write(f"{root}/MC_2605.csv", "2026;5;202605;1;10;100;A;12,5\n2026;5;202605;1;10;100;A;1.00\n")
+    run = monthly.store_costs_drop(spark, f"{root}/MC_*.csv")
+    assert [float(r.costs) for r in run.result.collect()] == [1.0]
+    assert _found(run.dq)["bad_number", "year,month,ym,rcid,filid,lagerid,costs"] == 1
+    _write(f"{root}/RC_2605.csv", "2026;5;202605;1;7;100;12,5;0.004;\n")
+    run = monthly.dc_costs_drop(spark, f"{root}/RC_*.csv")
+    assert rows(run.result, "costsLogistics", "costsOther") == [(0.0, 0.004)]
+    assert [n for (check, _), n in _found(run.dq).items() if check == "bad_number"] == [1]
+
+
+def test_a_month_without_rows_left_is_cleared(spark, tmpdir_path):
+    root, target = f"{tmpdir_path}/drop", f"{tmpdir_path}/target"
+    line = "2026;{m};20260{m};1;10;100;{p};{v}\n"
+    _write(f"{root}/MC_2605.csv", line.format(m=5, p="A", v="10.00"))
+    _write(f"{root}/MC_2606.csv", line.format(m=6, p="A", v="20.00"))
+    monthly.load(monthly.store_costs_drop(spark, f"{root}/MC_*.csv"), target)
+    _write(f"{root}/MC_2606.csv", line.format(m=6, p="", v="20.00"))  # its only row is dropped now
+    found = monthly.load(monthly.store_costs_drop(spark, f"{root}/MC_*.csv"), target)
+    assert [(r.month, float(r.costs)) for r in spark.read.parquet(target).collect()] == [(5, 10.0)]
+    assert _found(found)["null_key", "year,month,ym,rcid,filid,lagerid,proekt"] == 1
+    # one month, nothing left, and then an empty file: cleared, findings returned
+    _write(f"{root}/MC_2605.csv", line.format(m=5, p="", v="1.00"))
+    assert monthly.load(monthly.store_costs_drop(spark, f"{root}/MC_2605.csv"), target, 2026, 5).count() == 4
+    _write(f"{root}/MC_2606.csv", "")
+    found = monthly.load(monthly.store_costs_drop(spark, f"{root}/MC_2606.csv"), target, 2026, 6)
+    assert _found(found)["rows", "input"] == 0
+    assert spark.read.parquet(target).count() == 0
