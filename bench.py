@@ -26,6 +26,11 @@ HEADLINE = [
     "fill_down",
     "store_costs",
     "dc_costs",
+    "accounts_by_store",
+    "meter_rollup",
+    "dq_report",
+    "replace_period",
+    "dense_sales_share_year",
 ]
 
 
