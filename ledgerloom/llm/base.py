@@ -61,6 +61,31 @@ def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+# -- joins on keys that very many rows share ---------------------------------
+
+def spread_join(left: DataFrame, right: DataFrame, keys: list[str], weight: str,
+                share: int = 1000, salts: int = 64) -> DataFrame:
+    """Inner join on keys that are unique in ``right``, a written table whose
+    ``weight`` says how many rows of ``left`` have the key.
+
+    A key with over 1/``share`` of all rows (there are fewer than ``share`` such
+    keys) is dealt to ``salts`` tasks: its row of ``right`` is copied to each, its
+    rows of ``left`` go to one by their hash. The result is that of the plain join.
+    """
+    total = right.agg(F.sum(weight)).first()[0] or 0
+    hot = [r[0] for r in right.where(F.col(weight) * share > total).select(F.xxhash64(*keys)).collect()]
+    small = right.drop(weight)
+    if not hot:
+        return left.join(small, keys)
+    is_hot = F.xxhash64(*keys).isin(*hot)
+    dealt = left.withColumn("__salt", F.when(is_hot, F.pmod(F.xxhash64(*left.columns), F.lit(salts)))
+                            .otherwise(F.lit(0).cast("long")))
+    copied = small.withColumn("__salt", F.explode(F.when(
+        is_hot, F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
+        .otherwise(F.array(F.lit(0).cast("long")))))
+    return dealt.join(copied, [*keys, "__salt"]).drop("__salt")
+
+
 # -- ranges of an ordered integer key ---------------------------------------
 
 def range_edges(df: DataFrame, key: str, pieces: int) -> list[int]:

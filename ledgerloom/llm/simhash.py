@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.base import materialise, read, ship
+from ledgerloom.llm.base import materialise, read, ship, spread_join
 from ledgerloom.llm.components import components
 
 
@@ -177,16 +177,16 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 3, radius: int = 3) -> Da
     non-null doc_id.
     """
     own = materialise(with_fingerprints(docs, shingle=shingle), "fingerprints")
-    least = materialise(own.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fps")
+    least = materialise(own.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")),
+                        "distinct-fps")
     roots = materialise(components(links(least.select("fp"), radius=radius)), "roots")
-    members = roots.select(F.col("node").alias("fp"), "root").join(least, "fp")
+    members = roots.select(F.col("node").alias("fp"), "root").join(least.drop("n"), "fp")
     classes = members.groupBy("root").agg(F.min("least").alias("component_id"))
     mapped = members.join(classes, "root").select("fp", "root", "component_id")
-    ids = least.join(mapped, "fp", "left").select(
-        "fp", F.coalesce("root", "fp").alias("class_fp"),
-        F.coalesce("component_id", "least").alias("component_id"))
-    # a fingerprint that very many documents share: adaptive execution splits it
-    return own.join(ids, "fp").select("doc_id", "text_hash", "fp", "class_fp", "component_id")
+    ids = materialise(least.join(mapped, "fp", "left").select(
+        "fp", "n", F.coalesce("root", "fp").alias("class_fp"),
+        F.coalesce("component_id", "least").alias("component_id")), "class-ids")
+    return spread_join(own, ids, ["fp"], "n").select("doc_id", "text_hash", "fp", "class_fp", "component_id")
 
 
 def one_of_each(docs: DataFrame, *, shingle: int = 3, radius: int = 3) -> DataFrame:

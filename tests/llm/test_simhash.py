@@ -99,6 +99,15 @@ def test_links_with_many_tiles(spark):
     assert sorted((str(i), f, find(i)) for i, f in rows) == brute_classes(rows)
 
 
+def test_spread_join_equals_join(spark):
+    from ledgerloom.llm.base import materialise, spread_join
+    left = spark.range(3000).selectExpr("id", "if(id % 3 = 0, 7, id % 900) as k", "id % 2 as j")
+    right = materialise(left.groupBy("k", "j").count().selectExpr("k", "j", "count as n", "k * 10 as v")
+                        .where("k <> 5"), "t-right")
+    got = sorted(map(tuple, spread_join(left, right, ["k", "j"], "n", share=20).select("id", "v").collect()))
+    assert got == sorted(map(tuple, left.join(right, ["k", "j"]).select("id", "v").collect()))
+
+
 def test_odd_rows(spark):
     text = "Alpha beta gamma delta " * 40
     rows = [(3, text), (1, text + "end"), (None, text), (9, None), (8, ""), (7, "  \n"), (3, "two words"),
