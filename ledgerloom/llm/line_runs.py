@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.base import materialise, read, ship
+from ledgerloom.llm.base import materialise, read, ship, spread_join
 
 _DOC = "doc_id long, h long, words array<int>, x array<long>, y array<long>"
 
@@ -71,7 +71,7 @@ def _named(pairs: DataFrame) -> DataFrame:
     """Ranks of the pairs (a, b) that stand more than once, in the order of (a, b)."""
     twice = pairs.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1")
     # a global sort; the id of a row grows from one sorted partition to the next
-    return materialise(twice.select("a", "b").orderBy("a", "b")
+    return materialise(twice.orderBy("a", "b")
                        .withColumn("rank", F.monotonically_increasing_id()), "ranks")
 
 
@@ -84,8 +84,7 @@ def suffix_ranks(sequences: DataFrame, longest: int) -> DataFrame:
     level, every = 0, []
     while True:
         names = _named(places)
-        # a run that very many documents share: adaptive execution splits the join
-        ranked = materialise(places.join(names, ["a", "b"]).select(
+        ranked = materialise(spread_join(places, names, ["a", "b"], "n").select(
             "doc_id", "h", "size", "pos", "rank"), "suffixes")
         every.append(ranked.select("doc_id", "h", "pos", F.lit(level).alias("level"), "rank"))
         step = 1 << level
@@ -148,9 +147,10 @@ def repeated_lines(sequences: DataFrame, *, min_words: int = 10) -> DataFrame:
     found = materialise(docs.mapInArrow(
         parts, "doc_id long, h long, pos int, n int, one long, two long"), "runs")
     place = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "h", "pos")
-    earliest = (found.groupBy("n", "one", "two").agg(F.min(place).alias("earliest"), F.count("*").alias("copies"))
-                .where("copies > 1").select("n", "one", "two", "earliest"))
-    later = found.join(earliest, ["n", "one", "two"]).where(~place.eqNullSafe(F.col("earliest")))
+    earliest = materialise(
+        found.groupBy("n", "one", "two").agg(F.min(place).alias("earliest"), F.count("*").alias("copies"))
+        .where("copies > 1"), "earliest")
+    later = spread_join(found, earliest, ["n", "one", "two"], "copies").where(~place.eqNullSafe(F.col("earliest")))
     return later.groupBy("doc_id", "h").agg(F.collect_set(F.struct("pos", "n")).alias("deleted"))
 
 
@@ -176,11 +176,14 @@ def _without(text: pd.Series, spans: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["text", "n"])
 
 
-def dedup_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text", min_words: int = 10) -> DataFrame:
+def dedup_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text", min_words: int = 10,
+                count_as: str = "n_deleted") -> DataFrame:
     """The documents, later copies of repeated line runs deleted from their text.
 
-    All columns stay; ``n_deleted`` (lines) is added.
+    All columns stay; the number of deleted lines is added as ``count_as`` (in
+    place of a column of that name).
     """
+    docs = docs.drop(count_as)
     sequences = materialise(line_sequences(docs, key=key, text=text), "lines")
     many = materialise(sequences.groupBy("doc_id", "h").agg(F.count("*").alias("rows")).where("rows > 1"), "rows")
     again = not many.isEmpty()
@@ -205,17 +208,17 @@ def dedup_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text", min
     # texts without deletions stay in the JVM
     cut = _without(F.when(F.col("__gone").isNotNull(), F.col(text)), "__gone")
     return (marked.withColumn("__cut", cut)
-            .withColumn("n_deleted", F.coalesce("__cut.n", F.lit(0).cast("long")))
-            .withColumn(text, F.coalesce("__cut.text", text)).select(*docs.columns, "n_deleted"))
+            .withColumn(count_as, F.coalesce("__cut.n", F.lit(0).cast("long")))
+            .withColumn(text, F.coalesce("__cut.text", text)).select(*docs.columns, count_as))
 
 
 def without_repeats(docs: DataFrame, *, min_words: int = 10) -> DataFrame:
     """The documents with later copies of runs deleted and n_chars brought up to
     date; documents of which nothing is left go, those empty before stay."""
-    out = dedup_lines(docs, min_words=min_words)
-    return (out.where((F.col("n_deleted") == 0) | (F.col("text") != ""))
-            .withColumn("n_chars", F.when(F.col("n_deleted") == 0, F.col("n_chars"))
-                        .otherwise(F.char_length("text").cast("long"))).drop("n_deleted"))
+    out = dedup_lines(docs, min_words=min_words, count_as="__deleted")
+    return (out.where((F.col("__deleted") == 0) | (F.col("text") != ""))
+            .withColumn("n_chars", F.when(F.col("__deleted") == 0, F.col("n_chars"))
+                        .otherwise(F.char_length("text").cast("long"))).drop("__deleted"))
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
