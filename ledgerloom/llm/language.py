@@ -18,8 +18,6 @@ all is ``und``; an empty table gives no rows.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,7 +29,6 @@ from ledgerloom.llm.base import read, ship
 UNKNOWN = "und"
 PAD = 256
 WINDOW = 128
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 # -- the network ---------------------------------------------------------------
@@ -244,15 +241,17 @@ def learn(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str
     return names, train([(s, renumber[k]) for s, k in samples], len(names), **training)
 
 
-def predict(docs: DataFrame, model: tuple[list[str], dict], *, text: str = "text") -> DataFrame:
-    """All columns of ``docs`` and lang_pred, score: one pass, no shuffle."""
+def predict(docs: DataFrame, model: tuple[list[str], dict], *, text: str = "text",
+            names_as: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """All columns of ``docs``, and language and score (named ``names_as``, in place
+    of columns of these names): one pass, no shuffle."""
     names, weights = model
     ship(docs.sparkSession)
 
     def run(batches):
         for b in batches:
             texts = [t.as_py() for t in b.column(text)]
-            known = [bool(t and names and _LETTER.search(t)) for t in texts]
+            known = [bool(t and names and any(map(str.isalpha, t))) for t in texts]
             lang, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
             at = [i for i, k in enumerate(known) if k]
             # some megabytes at a time, so that memory does not follow the batch
@@ -267,20 +266,20 @@ def predict(docs: DataFrame, model: tuple[list[str], dict], *, text: str = "text
                     k = int(row.argmax())
                     lang[i], score[i] = names[k], min(1.0, float(row[k]))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(lang, pa.string()), pa.array(score)],
-                                             names=[*b.schema.names, "lang_pred", "score"])
+                                             names=[*b.schema.names, *names_as])
 
-    kept = docs.drop("lang_pred", "score")
-    schema = T.StructType([*kept.schema.fields, T.StructField("lang_pred", T.StringType()),
-                           T.StructField("score", T.DoubleType())])
+    kept = docs.drop(*names_as)
+    schema = T.StructType([*kept.schema.fields, T.StructField(names_as[0], T.StringType()),
+                           T.StructField(names_as[1], T.DoubleType())])
     return kept.mapInArrow(run, schema)
 
 
-def of_known_language(docs: DataFrame, *, min_score: float = 0.5) -> DataFrame:
+def of_known_language(docs: DataFrame, *, min_score: float = 0.4) -> DataFrame:
     """The documents whose language is recognised: not ``und`` and a score of at
     least ``min_score``. A null lang is filled in; all columns are kept."""
-    out = predict(docs, learn(docs))
-    return (out.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score))
-            .withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns))
+    out = predict(docs, learn(docs), names_as=("__lang", "__score"))
+    return (out.where((F.col("__lang") != UNKNOWN) & (F.col("__score") >= min_score))
+            .withColumn("lang", F.coalesce("lang", "__lang")).select(*docs.columns))
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

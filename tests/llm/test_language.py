@@ -41,7 +41,7 @@ def test_odd_rows(spark):
     for i in range(120):
         lang, signs = ("xx", "abc ") if i % 2 else ("yy", "é日k ")
         rows.append((i, "".join(rng.choices(signs, k=rng.randint(20, 200))), lang))
-    rows += [(500, None, "xx"), (501, "", None), (502, "123 %%", "xx"), (None, "ab ca bb", None), (503, "日é" * 60_000, None)]
+    rows += [(500, None, "xx"), (501, "", None), (502, "123 %% \u00b2\u2167", "xx"), (None, "ab ca bb", None), (503, "日é" * 60_000, None)]
     docs = documents(spark, rows).withColumnRenamed("source", "score")
     model = la.learn(docs, steps=60)
     assert model[0] == ["xx", "yy"]
