@@ -88,3 +88,16 @@ def test_hot_user_is_spread_over_bounded_chunks(spark):
     hot_chunks = [r for r in sizes if r["user_id"] == 0]
     assert len(hot_chunks) >= n // 4
     skewed.unpersist()
+
+
+def test_one_path_for_every_size_and_key_type(spark):
+    """A small input is cut into chunks as well; a binary group key works."""
+    from ledgerloom.operators.filldown import sampled_chunk
+    df = spark.range(400).select(
+        F.encode(F.when(F.col("id") % 2 == 0, "a").otherwise("b"), "utf-8").alias("g"), "id",
+        F.when(F.col("id") % 37 == 0, F.col("id")).alias("head"))
+    chunks = df.select(sampled_chunk(df, ["g", "id"]).alias("c")).distinct().count()
+    assert chunks > 1
+    args = (["id"], {"v": F.col("head").cast("string")}, F.col("head").isNotNull(), ["g"])
+    many, one = fill_down(df, *args), fill_down(df, *args, n_chunks=1)
+    assert rows(many, "g", "id", "v") == rows(one, "g", "id", "v")

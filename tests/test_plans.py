@@ -50,3 +50,16 @@ def test_one_period_scoring_reads_history_once(spark):
     # one scan for the scored month, one for its three previous months
     assert len(re.findall(r"FileScan parquet", plan)) == 2
     assert "ReusedExchange" in plan
+
+
+def test_a_hot_supplier_meets_the_join_as_sums(spark):
+    """Without broadcasts the lines are summed below the join, not shuffled to it."""
+    from ledgerloom.plans.bindings import QUERIES
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("store_costs", "dc_costs"):
+            plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+            assert "partial_sum" in plan and plan.index("SortMergeJoin") < plan.index("HashAggregate"), name
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
