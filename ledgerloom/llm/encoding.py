@@ -17,7 +17,7 @@ from array import array
 import numpy as np
 
 #: Entries of a memory's young half; with the old half it holds twice as many.
-REMEMBERED = 120_000
+REMEMBERED = 200_000
 
 
 class _Unsafe(Exception):

@@ -33,8 +33,9 @@ from ledgerloom.llm import files
 from ledgerloom.llm.base import range_edges, range_of, scratch, ship, shuffle_width
 from ledgerloom.llm.encoding import encoder, public_path
 
-#: Keys of one displacement bucket, on average.
-BUCKET = 4
+#: Keys of one displacement bucket, on average. Few, so that many buckets hold one
+#: key and take the last free slots without a search.
+BUCKET = 1.5
 _MASK = (1 << 64) - 1
 
 
@@ -71,7 +72,7 @@ class PerfectHash:
         seed = 0
         while len(set(hashes := [_key_hash(k, seed) for k in keys])) < n:
             seed += 1  # two keys share all 64 bits: hash anew
-        buckets: list[list[int]] = [[] for _ in range(-(-n // BUCKET))]
+        buckets: list[list[int]] = [[] for _ in range(int(n / BUCKET) + 1)]
         for i, h in enumerate(hashes):
             buckets[h % len(buckets)].append(i)
         displace, slots, taken = np.zeros(len(buckets), np.int64), [0] * n, bytearray(n)
