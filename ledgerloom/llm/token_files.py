@@ -192,13 +192,15 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str | None = None
 class Shard:
     """One shard opened for keyed access: a hash, a slot, one read."""
 
-    def __init__(self, folder: str, number: int):
+    def __init__(self, folder: str, number: int, whole: bool = False):
+        """``whole``: read the payload at once, for a pass over all records."""
         with np.load(io.BytesIO(files.load(f"{folder}/shard-{number:06d}.idx"))) as z:
             self.width = str(z["width"])
             self.starts, self.first, self.count = z["starts"], z["first"], z["count"]
             self.table = PerfectHash(int(z["seed"]), len(self.first), z["displace"], z["prints"])
             self.keys = [None if null else int(k) for k, null in zip(z["keys"], z["null"])]
-        self.payload = files.open_random(f"{folder}/shard-{number:06d}.ids")
+        name = f"{folder}/shard-{number:06d}.ids"
+        self.payload = io.BytesIO(files.load(name)) if whole else files.open_random(name)
 
     def records(self, key: int | None) -> range:
         slot = self.table.find(key)
@@ -244,7 +246,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     def fetch(batches):
         for b in batches:
             for number, before in zip(b.column("shard").to_pylist(), b.column("base").to_pylist()):
-                shard, out = Shard(folder, number), []
+                shard, out = Shard(folder, number, whole=True), []
                 for i, k in enumerate(shard.keys):
                     if i and k == shard.keys[i - 1]:
                         continue
@@ -257,7 +259,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
                     [pa.array(c, t) for c, t in zip(cols, (pa.int64(),) * 4 + (pa.int32(),) * 2)],
                     names=["doc_id", "start", "n_tokens", "ids_crc32", "shard", "record"])
 
-    few = min(len(todo), 4 * shuffle_width(spark))
+    few = min(len(todo), shuffle_width(spark))
     return (spark.createDataFrame(todo, "shard int, base long").repartition(few)
             .mapInArrow(fetch, schema))
 
