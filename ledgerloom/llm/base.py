@@ -24,9 +24,21 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: What a batch on its way to Python holds at most: texts and index shards are large
+#: rows, and a worker keeps the memory of its largest batch. Spark's own settings win
+#: where the application sets them.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+         "spark.sql.execution.arrow.maxBytesPerBatch": "8388608"}
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package's source to the executors, once per application."""
+    """Make the session ready for the operators' Python tasks: small batches, and
+    this package's source sent to the executors, once per application."""
     sc = spark.sparkContext
+    given = sc.getConf()
+    for key, value in BATCH.items():
+        if not given.contains(key):
+            spark.conf.set(key, value)
     if getattr(sc, "_ledgerloom_shipped", False):
         return
     path = os.path.join(tempfile.mkdtemp(prefix="ledgerloom-src-"), "ledgerloom_src.zip")
