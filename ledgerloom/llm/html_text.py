@@ -1,23 +1,24 @@
 """Main text of web pages by removal of a site's recurring subtrees.
 
 Pass one parses each page, hashes every block element's subtree (its tags and
-text, not its attributes) and counts, per host, on how many pages a subtree
-stands. Pass two parses again and leaves out the subtrees that recur on many
-pages of the host, elements that are never main text by their tag (navigation,
+text, not its attributes) and counts, per host, in how many different
+surroundings a subtree stands: pages whose text (that of the article or main
+element, if there is one) without the subtree is the same have one vote
+together, so that copies of a page make no template of its text.
+Pass two parses again and leaves out the subtrees with enough votes, elements that are never main text by their tag (navigation,
 footers, scripts, forms and so on) or that say so in their class, id or role,
 and keeps the article or main element if the page has one, else the body.
 
 Recurrence removes whole blocks around the text wherever they stand. Inside an
-article, headings and paragraphs are prose: the same article copied to many
-pages of a host recurs too and is not a template. Nor is a subtree with over
-half of its page's text.
+article, headings and paragraphs are prose and no template, nor is a subtree
+with over half of its page's text.
 
 Blocks are joined by a space, white space inside a block becomes one space,
 character references are decoded, nothing is cut off.
 
 Nulls and odd rows: null and empty html give an empty text; a null url (or one
 without a host) is the host ''; rows that share a page_id are extracted each on
-its own, equal pages count once per row; malformed markup is closed as browsers
+its own, equal pages have one vote; malformed markup is closed as browsers
 close it, roughly; an empty table gives no rows.
 """
 
@@ -132,37 +133,45 @@ def parse(html: str | None) -> Node:
     return root
 
 
-def walk(node: Node, visit, above: tuple = ()) -> tuple[str, int]:
-    """Children before parents: each block's subtree string goes to ``visit``.
+def walk(node: Node, visit, above: tuple = ()) -> tuple[str, int, int]:
+    """Children before parents: each block's subtree string, its text's length and
+    the sum of the hashes of its text's pieces go to ``visit``. Pieces in elements
+    left out by tag or mark (seen from the root) do not enter the sum, nor, on a
+    page with an article or main element, pieces outside it.
 
     Iterative, so that deep nesting is no limit. Returns the root's own.
     """
-    done: dict[int, tuple[str, int]] = {}
-    todo = [(node, False, False)]
+    done: dict[int, tuple[str, int, int]] = {}
+    everywhere = not _mains(node)
+    todo = [(node, False, False, False)]
     while todo:
-        n, ready, inside_main = todo.pop()
+        n, ready, inside_main, out = todo.pop()
         if not ready:
-            todo.append((n, True, inside_main))
+            out = out or n.out
+            todo.append((n, True, inside_main, out))
             deeper = inside_main or n.tag in MAIN
-            todo.extend((c, False, deeper) for c in n.inside if isinstance(c, Node))
+            todo.extend((c, False, deeper, out) for c in n.inside if isinstance(c, Node))
             continue
-        parts, size = [n.tag, "("], 0
+        parts, size, sums = [n.tag, "("], 0, 0
         for c in n.inside:
             if isinstance(c, Node):
-                own, k = done.pop(id(c))
+                own, k, s = done.pop(id(c))
                 parts.append(own)
                 size += k
+                sums += s
             else:
                 t = " ".join(c.split())
                 parts.append(t)
                 size += len(t)
+                if t and not out and (everywhere or inside_main or n.tag in MAIN):
+                    sums += _hash(t)
         parts.append(")")
         whole = "".join(parts)
         if len(whole) > 200:  # keep parents short, however large the page is
             whole = f"{n.tag}#{_hash(whole)}"
-        done[id(n)] = (whole, size)
+        done[id(n)] = (whole, size, sums)
         if n.tag in BLOCKS and size:
-            visit(n, whole, size, inside_main)
+            visit(n, whole, size, sums, inside_main)
     return done[id(node)]
 
 
@@ -173,16 +182,30 @@ def _hash(s: str) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def subtrees(html: str | None) -> dict[int, list[Node]]:
-    """Subtree hash -> its nodes, for every block that a template could be."""
+def _candidates(html: str | None) -> tuple[Node, int, dict[int, list[tuple[Node, int]]]]:
+    """The root, the sum of its text's hashes, and subtree hash -> (node, its sum)
+    for every block that a template could be."""
     root, found = parse(html), []
-    _, total = walk(root, lambda n, whole, size, in_main: found.append((n, whole, size, in_main)))
-    out: dict[int, list[Node]] = {}
-    for n, whole, size, in_main in found:
+    _, total, sums = walk(root, lambda *block: found.append(block))
+    out: dict[int, list[tuple[Node, int]]] = {}
+    for n, whole, size, own, in_main in found:
         if 2 * size <= total and n.tag not in MAIN and not (in_main and n.tag in PROSE):
-            out.setdefault(_hash(whole), []).append(n)
-    out[0] = [root]
-    return out
+            out.setdefault(_hash(whole), []).append((n, own))
+    return root, sums, out
+
+
+def subtrees(html: str | None) -> dict[int, list[Node]]:
+    """Subtree hash -> its nodes, for every block that a template could be."""
+    root, _, blocks = _candidates(html)
+    return {**{h: [n for n, _ in own] for h, own in blocks.items()}, 0: [root]}
+
+
+def surroundings(html: str | None) -> dict[int, int]:
+    """Subtree hash -> a hash of the page's text without this subtree, wherever it
+    stands on the page."""
+    _, sums, blocks = _candidates(html)
+    rest = {h: (sums - sum(s for _, s in own)) % (1 << 64) for h, own in blocks.items()}
+    return {h: r - (1 << 64) if r >> 63 else r for h, r in rest.items() if h}
 
 
 def extract(html: str | None, templates: frozenset[int] | set[int]) -> str:
@@ -192,6 +215,15 @@ def extract(html: str | None, templates: frozenset[int] | set[int]) -> str:
     for h in templates:
         for n in nodes.get(h, ()):
             n.out = True
+    # an article inside main is the narrower choice
+    kept: list[str] = []
+    for top in _mains(root) or [root]:
+        kept.extend(_text(top if top.tag != "main" else _article_in(top)))
+    return " ".join("".join(kept).split())
+
+
+def _mains(root: Node) -> list[Node]:
+    """The outermost article and main elements that are not left out."""
     mains: list[Node] = []
     todo = [root]
     while todo:
@@ -202,11 +234,7 @@ def extract(html: str | None, templates: frozenset[int] | set[int]) -> str:
             mains.append(n)
             continue
         todo.extend(c for c in reversed(n.inside) if isinstance(c, Node))
-    # an article inside main is the narrower choice
-    kept: list[str] = []
-    for top in mains or [root]:
-        kept.extend(_text(top if top.tag != "main" else _article_in(top)))
-    return " ".join("".join(kept).split())
+    return mains
 
 
 def _article_in(main: Node) -> Node:
@@ -246,10 +274,27 @@ def site_templates(pages: DataFrame, *, min_pages: int = 5, min_share: float = 0
 
     ``page`` is the pair of hashes of url and html, so equal rows share it. A
     subtree is a template of its host if it stands on at least ``min_pages`` of
-    its pages and on ``min_share`` of them.
+    its pages that differ in the rest of their text, and on ``min_share`` of all.
     """
     ship(pages.sparkSession)
 
+    def votes(batches):
+        for b in batches:
+            # more than min_pages votes of a batch decide no more than min_pages
+            seen: dict[tuple[str, int], dict[int, int]] = {}
+            for t, site in zip(b.column("t"), b.column("host").to_pylist()):
+                for h, rest in surroundings(t.as_py()).items():
+                    own = seen.setdefault((site, h), {})
+                    if rest in own or len(own) < min_pages:
+                        own[rest] = own.get(rest, 0) + 1
+                    else:  # still a page of the share
+                        own[next(iter(own))] += 1
+            rows = [(site, h, rest, n) for (site, h), own in seen.items() for rest, n in own.items()]
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(list(zip(*rows)) or [()] * 4, kinds)],
+                names=["host", "hash", "rest", "n"])
+
     def run(batches):
         for b in batches:
             rows = [[h for h in subtrees(t.as_py()) if h] for t in b.column("t")]
@@ -257,13 +302,13 @@ def site_templates(pages: DataFrame, *, min_pages: int = 5, min_share: float = 0
                 [b.column("u"), b.column("p"), b.column("host"), pa.array(rows, pa.list_(pa.int64()))],
                 names=["u", "p", "host", "hashes"])
 
-    parsed = (pages.select(*_page(url, html), host(F.col(url)).alias("host"),
-                           F.col(html).cast("string").alias("t"))
-              .mapInArrow(run, "u long, p long, host string, hashes array<long>"))
+    rows = pages.select(*_page(url, html), host(F.col(url)).alias("host"), F.col(html).cast("string").alias("t"))
+    parsed = rows.mapInArrow(run, "u long, p long, host string, hashes array<long>")
     blocks = parsed.select("u", "p", "host", F.explode("hashes").alias("hash"))
     sizes = pages.groupBy(host(F.col(url)).alias("host")).agg(F.count("*").alias("n_pages"))
-    common = (blocks.groupBy("host", "hash").agg(F.count("*").alias("n"))
-              .where(F.col("n") >= min_pages).join(sizes, "host")
+    common = (rows.select("host", "t").mapInArrow(votes, "host string, hash long, rest long, n long")
+              .groupBy("host", "hash").agg(F.sum("n").alias("n"), F.size(F.collect_set("rest")).alias("votes"))
+              .where(F.col("votes") >= min_pages).join(sizes, "host")
               .where(F.col("n") >= min_share * F.col("n_pages")).select("host", "hash"))
     return blocks.join(common, ["host", "hash"]).select("u", "p", "hash")
 

@@ -48,6 +48,19 @@ def test_copied_articles_are_kept(spark):
     assert {r.text for r in got} == {"Head & shoulders bold text. abc éA"} and len(got) == 50
 
 
+@pytest.mark.parametrize("page", [
+    "<body><div><p>{0} one</p><p>{0} two</p><p>{0} three</p></div></body>",
+    "<body><article><section>{0} one</section><div>{0} two</div><section>{0} three</section></article><div>{1}</div></body>"])
+def test_copies_without_article_or_in_sections_are_kept(spark, page):
+    def html(story, i):
+        return page.format(f"story {story} " + "word " * 9, i).replace("<body>", "<body><div>Site motto</div><div>Terms</div>")
+    rows = [(i, f"http://a.example/{i}", html(i // 20, i)) for i in range(120)]
+    got = {r.page_id: r.text for r in ht.extract_text(pages(spark, rows)).collect()}
+    for i in range(120):
+        own = f"story {i // 20} " + "word " * 9
+        assert got[i] == f"{own}one {own}two {own}three"
+
+
 def test_odd_rows(spark):
     rows = [(1, None, None), (1, "no host", "<p>x"), (None, "http://h/", ""), (1, None, None)]
     got = Counter((r.page_id, r.url, r.text, r.n_chars) for r in ht.extract_text(
