@@ -268,32 +268,30 @@ def host(url: Column) -> Column:
     return F.coalesce(F.lower(got), F.lit(""))
 
 
-def site_templates(pages: DataFrame, *, min_pages: int = 5, min_share: float = 0.02,
-                   url: str = "url", html: str = "html") -> DataFrame:
+def site_templates(pages: DataFrame, *, min_pages: int = 5, url: str = "url",
+                   html: str = "html") -> DataFrame:
     """(page, hash): which template subtrees stand on which page.
 
     ``page`` is the pair of hashes of url and html, so equal rows share it. A
     subtree is a template of its host if it stands on at least ``min_pages`` of
-    its pages that differ in the rest of their text, and on ``min_share`` of all.
+    its pages that differ in the rest of their text, however many pages there are.
     """
     ship(pages.sparkSession)
 
     def votes(batches):
         for b in batches:
             # more than min_pages votes of a batch decide no more than min_pages
-            seen: dict[tuple[str, int], dict[int, int]] = {}
+            seen: dict[tuple[str, int], set[int]] = {}
             for t, site in zip(b.column("t"), b.column("host").to_pylist()):
                 for h, rest in surroundings(t.as_py()).items():
-                    own = seen.setdefault((site, h), {})
-                    if rest in own or len(own) < min_pages:
-                        own[rest] = own.get(rest, 0) + 1
-                    else:  # still a page of the share
-                        own[next(iter(own))] += 1
-            rows = [(site, h, rest, n) for (site, h), own in seen.items() for rest, n in own.items()]
-            kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64())
+                    own = seen.setdefault((site, h), set())
+                    if len(own) < min_pages:
+                        own.add(rest)
+            rows = [(site, h, rest) for (site, h), own in seen.items() for rest in own]
+            kinds = (pa.string(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(list(zip(*rows)) or [()] * 4, kinds)],
-                names=["host", "hash", "rest", "n"])
+                [pa.array(c, k) for c, k in zip(list(zip(*rows)) or [()] * 3, kinds)],
+                names=["host", "hash", "rest"])
 
     def run(batches):
         for b in batches:
@@ -305,11 +303,9 @@ def site_templates(pages: DataFrame, *, min_pages: int = 5, min_share: float = 0
     rows = pages.select(*_page(url, html), host(F.col(url)).alias("host"), F.col(html).cast("string").alias("t"))
     parsed = rows.mapInArrow(run, "u long, p long, host string, hashes array<long>")
     blocks = parsed.select("u", "p", "host", F.explode("hashes").alias("hash"))
-    sizes = pages.groupBy(host(F.col(url)).alias("host")).agg(F.count("*").alias("n_pages"))
-    common = (rows.select("host", "t").mapInArrow(votes, "host string, hash long, rest long, n long")
-              .groupBy("host", "hash").agg(F.sum("n").alias("n"), F.size(F.collect_set("rest")).alias("votes"))
-              .where(F.col("votes") >= min_pages).join(sizes, "host")
-              .where(F.col("n") >= min_share * F.col("n_pages")).select("host", "hash"))
+    common = (rows.select("host", "t").mapInArrow(votes, "host string, hash long, rest long")
+              .groupBy("host", "hash").agg(F.size(F.collect_set("rest")).alias("votes"))
+              .where(F.col("votes") >= min_pages).select("host", "hash"))
     return blocks.join(common, ["host", "hash"]).select("u", "p", "hash")
 
 
@@ -318,9 +314,9 @@ def _page(url: str, html: str) -> list[Column]:
 
 
 def extract_text(pages: DataFrame, *, key: str = "page_id", url: str = "url", html: str = "html",
-                 min_pages: int = 5, min_share: float = 0.02) -> DataFrame:
+                 min_pages: int = 5) -> DataFrame:
     """(page_id, url, text, n_chars) of every page, from its whole html."""
-    own = (site_templates(pages, min_pages=min_pages, min_share=min_share, url=url, html=html)
+    own = (site_templates(pages, min_pages=min_pages, url=url, html=html)
            .groupBy("u", "p").agg(F.collect_set("hash").alias("hashes")))
     rows = pages.select(F.col(key).alias("page_id"), F.col(url).alias("url"),
                         F.col(html).cast("string").alias("t"), *_page(url, html))

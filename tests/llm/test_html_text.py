@@ -61,6 +61,13 @@ def test_copies_without_article_or_in_sections_are_kept(spark, page):
         assert got[i] == f"{own}one {own}two {own}three"
 
 
+def test_templates_of_a_part_of_a_large_host(spark):
+    rows = [(i, f"http://a.example/{i}", f"<article><p>a long story {i}</p>" + "<div>Our shop</div>" * (i < 8) + "</article>")
+            for i in range(1000)]
+    got = ht.extract_text(pages(spark, rows)).collect()
+    assert sorted(r.text for r in got) == sorted(f"a long story {i}" for i in range(1000))
+
+
 def test_odd_rows(spark):
     rows = [(1, None, None), (1, "no host", "<p>x"), (None, "http://h/", ""), (1, None, None)]
     got = Counter((r.page_id, r.url, r.text, r.n_chars) for r in ht.extract_text(
