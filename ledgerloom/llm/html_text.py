@@ -6,7 +6,8 @@ surroundings a subtree stands: pages whose text (that of the article or main
 element, if there is one) without the subtree is the same have one vote
 together, so that copies of a page make no template of its text.
 Pass two parses again and leaves out the subtrees with enough votes, elements that are never main text by their tag (navigation,
-footers, scripts, forms and so on) or that say so in their class, id or role,
+footers, scripts, forms and so on) or that say so in a whole token of their
+class, id or role and hold neither an article nor over half of the page's text,
 and keeps the article or main element if the page has one, else the body.
 
 Recurrence removes whole blocks around the text wherever they stand. Inside an
@@ -50,22 +51,40 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
           "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 #: Start tags that close an open paragraph.
 ENDS_P = BLOCKS - {"br", "caption", "tbody", "td", "tfoot", "th", "thead", "tr", "option", "body", "html"}
-#: Words of a class, id or role that mark a block as no main text.
-MARKED = re.compile(r"""(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|
-    notices?|popup|modal|overlay|newsletter|subscri\w+|share|sharing|social|related|recommend\w*|
-    sidebar|side-bar|widget|menu|navbar|nav|navigation|breadcrumbs?|masthead|footer|header|
-    site-?header|page-?header|toolbar|comments?|disqus|respond|reply|replies|login|signup|search|
-    pagination|pager|skip|alert|complementary|contentinfo|copyright|legal)(?=$|[\s_-])""",
+#: Words of which a class, id or role that marks a block as no main text consists,
+#: with words of place and shape before or after them.
+_SHAPE = r"(?:site|page|main|global|top|bottom|left|right|primary|secondary|sticky|fixed|box|bar|block|list|area|" \
+    r"container|wrapper|wrap|inner|links?|buttons?|icons?|form|section|\d+)"
+MARKED = re.compile(rf"""(?:{_SHAPE}[_-]+)*(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|
+    notices?|popup|modal|overlay|newsletter|subscri(?:be|ption)\w*|share|sharing|social|related|recommend\w*|
+    sidebar|side-bar|widget|menu|navbar|nav|navigation|breadcrumbs?|masthead|footer|
+    toolbar|comments?|disqus|respond|reply|replies|login|signup|search|
+    pagination|pager|skip|alert|complementary|contentinfo|copyright|legal)
+    (?:[_-]+(?:ads?|banner|consent|notices?|popup|modal|overlay|share|widget|menu|nav|footer|posts?|articles?|items?|{_SHAPE}))*""",
                     re.IGNORECASE | re.VERBOSE)
+#: The same, but only outside article and main, as the header element.
+HEADER = re.compile(r"(?:site|page|main|global|top)?[_-]?header", re.IGNORECASE)
 PROSE = frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre br table thead tbody tr td th ol ul li dl dt dd figure figcaption".split())
 MAIN = frozenset({"article", "main"})
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)
     |</([a-zA-Z][^\s/>]*)[^>]*(?:>|$)
     |<([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">]|["'](?=[^"'>]*>))*)(?:>|$)""", re.DOTALL | re.VERBOSE)
-_ATTR = re.compile(r"""(?:^|[\s/"'])(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.IGNORECASE)
-_HIDDEN = re.compile(r"""(?:^|[\s"'])hidden(?:$|[\s=/])|aria-hidden\s*=\s*["']?true|display\s*:\s*none""",
-                     re.IGNORECASE)
+_ATTR = re.compile(r"""([^\s=/"'<>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?|"[^"]*"|'[^']*'""")
+_UNSEEN = re.compile(r"display\s*:\s*none", re.IGNORECASE)
+
+
+def _marked(attrs: str, in_main: bool) -> bool:
+    """Whether the attributes hide an element or say that it is no main text."""
+    for name, value in _ATTR.findall(attrs):
+        name, value = name.lower(), value.strip("\"'")
+        if name in ("class", "id", "role"):
+            if any(MARKED.fullmatch(v) or not in_main and HEADER.fullmatch(v) for v in value.split()):
+                return True
+        elif name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true" \
+                or name == "style" and _UNSEEN.search(value):
+            return True
+    return False
 
 
 class Node:
@@ -79,6 +98,7 @@ def parse(html: str | None) -> Node:
     """The element tree: nodes, text (decoded) between them."""
     root = Node("", False)
     open_ = [root]
+    marked: list[Node] = []
     html = html or ""
     at = 0
 
@@ -115,12 +135,12 @@ def parse(html: str | None) -> Node:
                 close({"p"})
             if name in CLOSES:
                 close(CLOSES[name], frozenset({"ul", "ol", "dl", "table", "select", ""}))
-            out = name in DROPPED or bool(attrs) and name not in ("html", "body") and name not in MAIN and (
-                any(MARKED.search(v.strip("\"'")) for _, v in _ATTR.findall(attrs))
-                or bool(_HIDDEN.search(attrs)))
-            if name == "header":
-                out = out or not any(n.tag in MAIN for n in open_)
+            in_main = any(n.tag in MAIN for n in open_)
+            out = name in DROPPED or name == "header" and not in_main
             node = Node(name, out)
+            if not out and attrs and name not in ("html", "body") and name not in MAIN and _marked(attrs, in_main):
+                node.out = True
+                marked.append(node)
             open_[-1].inside.append(node)
             if name in RAW:
                 end = re.compile(f"</{name}(?=[\\s/>])", re.IGNORECASE).search(html, at)
@@ -130,9 +150,38 @@ def parse(html: str | None) -> Node:
             elif name not in VOID and not attrs.rstrip().endswith("/"):
                 open_.append(node)
     text(at, len(html))
+    if marked:
+        _spare(root, marked)
     return root
 
 
+def _spare(root: Node, marked: list[Node]) -> None:
+    """Marked elements stay if they hold over half of the page's text, that of
+    elements left out by tag aside, or, outside article and main, one of these."""
+    own = {id(n) for n in marked}
+    sizes: dict[int, tuple[int, bool]] = {}
+    order, todo = [], [(root, False)]
+    while todo:
+        n, inside = todo.pop()
+        order.append((n, inside))
+        todo.extend((c, inside or n.tag in MAIN) for c in n.inside
+                    if isinstance(c, Node) and (not c.out or id(c) in own))
+    for n, _ in reversed(order):
+        size, main = 0, n.tag in MAIN
+        for c in n.inside:
+            if isinstance(c, str):
+                size += len(" ".join(c.split()))
+            elif id(c) in sizes:
+                size += sizes[id(c)][0]
+                main = main or sizes[id(c)][1]
+        sizes[id(n)] = size, main
+    total = sizes[id(root)][0]
+    for n, inside in order:
+        if id(n) in own:
+            size, main = sizes[id(n)]
+            n.out = not (2 * size > total or main and not inside)
+
+
 def walk(node: Node, visit, above: tuple = ()) -> tuple[str, int, int]:
     """Children before parents: each block's subtree string, its text's length and
     the sum of the hashes of its text's pieces go to ``visit``. Pieces in elements

@@ -26,6 +26,24 @@ def test_odd_markup(html, text):
     assert ht.extract(html, set()) == text
 
 
+@pytest.mark.parametrize("html,text", [
+    ("<div class='layout no-sidebar'><article>a</article></div>", "a"),
+    ("<div class='has-sidebar'><div>a</div></div><p>other words", "a other words"),
+    ("<div class='page with-header'><article>a</article></div>", "a"),
+    ("<div class='widget'><div><article>a</article></div></div><footer>f", "a"),
+    ("<div id=comments><p>all the text of the page</p></div><p>q", "all the text of the page q"),
+    ("<article><div class='entry-header'><h1>head</h1></div>body text</article>", "head body text"),
+    ("<article><div class='header'><h1>head</h1></div>body text</article>", "head body text"),
+    ("<div class='flex hidden lg:block'>a</div><p>body text", "a body text"),
+    ("<p title='hidden gem' data-x='class=ad'>a</p><p>body text", "a body text"),
+    ("<div hidden>a</div><div aria-hidden=true>b</div><div style='display: none'>c</div><p>body text", "body text"),
+    ("<div class='x ad'>a</div><div class=share-buttons>b</div><div id=site-footer>c</div><p>body text", "body text"),
+    ("<main><p>long body text</p><div class=comments><article>c</article></div></main>", "long body text"),
+])
+def test_marks(html, text):
+    assert ht.extract(html, set()) == text
+
+
 def pages(spark, rows):
     return spark.createDataFrame(rows, "page_id long, url string, html string")
 
