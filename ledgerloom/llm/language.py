@@ -5,7 +5,7 @@ backwards, with gated recurrent units; at every byte both states give the
 probabilities of the learned languages, and a document's probabilities are
 their mean over all its bytes. It is trained in numpy by backpropagation
 through time on the label of every position, on a bounded sample: for each
-language about ``per_language`` documents, chosen by a hash of their text, and
+language at most ``per_language`` distinct texts, those of the least hashes, and
 ``windows`` stretches of each. Prediction runs over whole texts, a task's
 documents at a time, and nothing but the text goes into it.
 
@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +29,7 @@ from ledgerloom.llm.base import read, ship
 UNKNOWN = "und"
 PAD = 256
 WINDOW = 128
+PARTS = 64
 
 
 # -- the network ---------------------------------------------------------------
@@ -209,36 +210,33 @@ def learn(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str
           per_language: int = 500, windows: int = 4, **training) -> tuple[list[str], dict]:
     """(languages, weights) from the labelled documents that are not held out.
 
-    The driver gets the count of each language and at most ``per_language`` times
-    ``windows`` stretches of each, however large the table is.
+    The driver gets at most ``per_language`` times ``windows`` stretches of each
+    language, however large the table is and however often a text stands in it.
+    Every language with a text that is not empty is learned.
     """
-    rows = docs.where(~held_out(F.col(key)) & F.col(text).isNotNull() & F.col(lang).isNotNull()) \
-        .select(F.col(text).alias("t"), F.col(lang).alias("y"))
-    counts = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    names = sorted(counts)
-    if not names:
-        return [], {}
-    scale = 1 << 30
-    draw = F.pmod(F.xxhash64("t"), F.lit(scale))
-    share = F.create_map(*(F.lit(v) for y, n in counts.items()
-                           for v in (y, min(scale, int(1.5 * per_language / n * scale) + 1))))
+    rows = docs.where(~held_out(F.col(key)) & F.col(text).isNotNull() & (F.col(text) != "") & F.col(lang).isNotNull()) \
+        .select(F.col(text).cast("string").alias("t"), F.col(lang).alias("y")).withColumn("draw", F.xxhash64("t"))
     size = 2 * WINDOW  # in characters; cut to bytes below
     room = F.greatest(F.char_length("t") - size, F.lit(0))
     cuts = F.array(*(F.substring("t", (F.floor(room * F.pmod(F.xxhash64("t", F.lit(i)), F.lit(1000)) / 1000)
                                        + 1).cast("int"), F.lit(size)) for i in range(windows)))
-    some = rows.where(draw < F.get(F.map_values(F.map_filter(share, lambda k, _: k == F.col("y"))), 0)) \
-        .select("y", draw.alias("draw"), cuts.alias("cuts"))
-    taken: dict[str, list] = {y: [] for y in names}
-    for r in sorted(some.collect(), key=lambda r: (r["draw"], r["cuts"])):
-        if len(taken[r["y"]]) < per_language:
-            taken[r["y"]].append(r["cuts"])
-    samples = [(raw, k) for k, y in enumerate(names) for own in taken[y] for c in own
-               if (raw := c.encode()[:WINDOW])]
-    learned = sorted({k for _, k in samples})
-    names, renumber = [names[k] for k in learned], {k: i for i, k in enumerate(learned)}
+    # the least hashes of each language, first in parts of them, so that no task
+    # sorts a whole language; copies of a text are one hash
+    hashes = rows.select("y", "draw").distinct()
+    part = Window.partitionBy("y", "part").orderBy("draw")
+    whole = Window.partitionBy("y").orderBy("draw")
+    parts = hashes.withColumn("part", F.pmod(F.hash("draw"), F.lit(PARTS)))
+    least = (parts.withColumn("nth", F.row_number().over(part)).where(F.col("nth") <= per_language)
+             .withColumn("nth", F.row_number().over(whole)).where(F.col("nth") <= per_language).select("y", "draw"))
+    some = (rows.join(F.broadcast(least), ["y", "draw"]).groupBy("y", "draw")
+            .agg(F.min(cuts).alias("cuts")))
+    taken = sorted(some.collect(), key=lambda r: (r["y"], r["draw"]))
+    names = sorted({r["y"] for r in taken})
+    number = {y: k for k, y in enumerate(names)}
+    samples = [(raw, number[r["y"]]) for r in taken for c in r["cuts"] if (raw := c.encode()[:WINDOW])]
     if not names:
         return [], {}
-    return names, train([(s, renumber[k]) for s, k in samples], len(names), **training)
+    return names, train(samples, len(names), **training)
 
 
 def predict(docs: DataFrame, model: tuple[list[str], dict], *, text: str = "text",

@@ -55,6 +55,24 @@ def test_odd_rows(spark):
     assert la.predict(documents(spark, []), model).count() == 0
 
 
+def test_languages_of_few_texts_are_learned(spark, monkeypatch):
+    rng = random.Random(2)
+
+    def text(signs):
+        return "".join(rng.choices(signs, k=80))
+    few = [text("qvw ") for _ in range(3)]
+    rows = [(i, few[i % 3], "zz") for i in range(20_000)]
+    rows += [(30_000 + i, text("abc "), "xx") for i in range(300)]
+    seen = []
+    monkeypatch.setattr(la, "train", lambda samples, n, **k: seen.append((samples, n)) or {})
+    names, _ = la.learn(documents(spark, rows), per_language=10)
+    samples, n = seen[0]
+    assert names == ["xx", "zz"] and n == 2
+    # each distinct text once, four stretches of it; no more than per_language texts
+    assert sorted(s for s, y in samples if y == 1) == sorted(t.encode() for t in few for _ in range(4))
+    assert len([s for s, y in samples if y == 0]) == 40 == 4 * len({s for s, y in samples if y == 0})
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     truth = {r.doc_id: r.lang for r in read(spark, sf, "documents").collect()}
