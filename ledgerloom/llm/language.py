@@ -272,11 +272,11 @@ def predict(docs: DataFrame, model: tuple[list[str], dict], *, text: str = "text
     return kept.mapInArrow(run, schema)
 
 
-def of_known_language(docs: DataFrame, *, min_score: float = 0.4) -> DataFrame:
-    """The documents whose language is recognised: not ``und`` and a score of at
-    least ``min_score``. A null lang is filled in; all columns are kept."""
+def of_known_language(docs: DataFrame) -> DataFrame:
+    """The documents that have a predicted language, whatever its score: not ``und``.
+    A null lang is filled in; all columns are kept."""
     out = predict(docs, learn(docs), names_as=("__lang", "__score"))
-    return (out.where((F.col("__lang") != UNKNOWN) & (F.col("__score") >= min_score))
+    return (out.where(F.col("__lang") != UNKNOWN)
             .withColumn("lang", F.coalesce("lang", "__lang")).select(*docs.columns))
 
 

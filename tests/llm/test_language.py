@@ -73,6 +73,14 @@ def test_languages_of_few_texts_are_learned(spark, monkeypatch):
     assert len([s for s, y in samples if y == 0]) == 40 == 4 * len({s for s, y in samples if y == 0})
 
 
+def test_low_scores_are_kept(spark, monkeypatch):
+    w = {k: v * 0 if k[0] == "V" else v for k, v in la.init(5, 4, np.random.default_rng(0)).items()}
+    monkeypatch.setattr(la, "learn", lambda docs: (["l1", "l2", "l3", "l4", "l5"], w))
+    docs = documents(spark, [(1, "A.", None), (2, "a long clean text " * 40, "l3"), (3, "12 %", "l1"), (4, None, "l1"), (5, "", None)])
+    assert all(abs(r.score - 0.2) < 1e-4 for r in la.predict(docs, la.learn(docs)).collect() if r.doc_id < 3)
+    assert sorted((r.doc_id, r.lang) for r in la.of_known_language(docs).collect()) == [(1, "l1"), (2, "l3")]
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     truth = {r.doc_id: r.lang for r in read(spark, sf, "documents").collect()}
