@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.base import materialise, read, ship
-from ledgerloom.llm.encoding import encoder, public_path
+from ledgerloom.llm.encoding import encoder, larger, public_path
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -33,18 +33,18 @@ def cut_pieces(docs: DataFrame, tokenizer: str, *, key: str = "doc_id", text: st
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        enc = encoder(tokenizer)
-        for b in batches:
-            out: list[tuple] = []
-            for k, t in zip(b.column("k").to_pylist(), b.column("t")):
-                ids = enc.encode(t.as_py()) + end
-                for i, a in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[a:a + 4 * capacity]
-                    out.append((k, i, a // 4, len(part) // 4, zlib.crc32(part)))
-            cols = list(zip(*out)) or [()] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int32() if i == 1 else pa.int64()) for i, c in enumerate(cols)],
-                names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        with encoder(tokenizer) as enc:
+            for b in larger(batches):
+                out: list[tuple] = []
+                for k, ids in zip(b.column("k").to_pylist(), enc.encode_column(b.column("t"))):
+                    ids += end
+                    for i, a in enumerate(range(0, len(ids), 4 * capacity)):
+                        part = ids[a:a + 4 * capacity]
+                        out.append((k, i, a // 4, len(part) // 4, zlib.crc32(part)))
+                cols = list(zip(*out)) or [()] * 5
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, pa.int32() if i == 1 else pa.int64()) for i, c in enumerate(cols)],
+                    names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return docs.select(F.col(key).cast("long").alias("k"),
                        F.col(text).cast("string").alias("t")).mapInArrow(run, _PIECES)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
+from ledgerloom.llm.chunk_bpe import op11_bpe_chunk_reuse
 from ledgerloom.llm.chat import OP6_SQL, op6_chat_formatting
 from ledgerloom.llm.decontaminate import OP2_SQL, op2_decontamination
 from ledgerloom.llm.html_text import op8_html_extraction
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_html_extraction": op8_html_extraction,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_line_dedup": op10_line_dedup,
+    "op11_bpe_chunk_reuse": op11_bpe_chunk_reuse,
 }
 
 ORACLE_SQL: dict[str, str] = {

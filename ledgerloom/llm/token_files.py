@@ -23,6 +23,7 @@ import json
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import files
 from ledgerloom.llm.base import range_edges, range_of, scratch, ship, shuffle_width
-from ledgerloom.llm.encoding import encoder, public_path
+from ledgerloom.llm.encoding import encoder, larger, public_path
 
 #: Keys of one displacement bucket, on average. Few, so that many buckets hold one
 #: key and take the last free slots without a search.
@@ -155,26 +156,19 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str | None = None
     end = np.array([end_id], "<u4").tobytes()
 
     def write(batches):
-        enc = encoder(path)
-
-        def ranges():
-            flow = ((r, k, t) for b in batches for r, k, t in zip(
-                b.column("r").to_pylist(), b.column("k").to_pylist(), b.column("t")))
-            from itertools import groupby
-
-            for r, rows in groupby(flow, lambda x: x[0]):
-                yield r, rows
-
         done = []
-        for r, own in ranges():
-            keys: list = []
-
-            def parts(own=own, keys=keys):
-                for _, k, t in own:
-                    keys.append(k)
-                    yield enc.encode(t.as_py()) + end
-
-            done.append(_write_shard(folder, r, width, keys, parts()))
+        with encoder(path) as enc:
+            flow = ((r, k, ids) for b in larger(batches) for r, k, ids in zip(
+                b.column("r").to_pylist(), b.column("k").to_pylist(), enc.encode_column(b.column("t"))))
+            for r, own in groupby(flow, lambda x: x[0]):
+                keys: list = []
+
+                def parts(own=own, keys=keys):
+                    for _, k, ids in own:
+                        keys.append(k)
+                        yield ids + end
+
+                done.append(_write_shard(folder, r, width, keys, parts()))
         out = list(zip(*done)) or [[], [], [], []]
         yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], pa.int64()),
                                           pa.array(out[2], pa.int64()), pa.array(out[3], pa.int64())],
