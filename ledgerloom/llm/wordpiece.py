@@ -26,7 +26,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.base import read, ship
-from ledgerloom.llm.encoding import Memory, public_path
+from ledgerloom.llm.encoding import public_path
+
+#: Entries of a memory's young half; with the old half it holds twice as many.
+REMEMBERED = 200_000
+
+
+class Memory(dict):
+    """A bounded memory of ``make(key)``. When the young half is full it becomes
+    the old half; what is asked for again moves back, the rest is forgotten."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.old = make, {}
+
+    def __missing__(self, key):
+        value = self.old.pop(key, None)
+        if value is None:
+            value = self.make(key)
+        if len(key) < 64:
+            if len(self) >= REMEMBERED:
+                self.old = dict(self)
+                self.clear()
+            self[key] = value
+        return value
 
 
 class PieceCounter:
