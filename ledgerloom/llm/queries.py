@@ -7,6 +7,7 @@ from ledgerloom.llm.chunk_bpe import op11_bpe_chunk_reuse
 from ledgerloom.llm.chat import OP6_SQL, op6_chat_formatting
 from ledgerloom.llm.decontaminate import OP2_SQL, op2_decontamination
 from ledgerloom.llm.divergence import OP13_SQL, op13_source_divergence
+from ledgerloom.llm.heap_kmeans import OP12_SQL, op12_heap_kmeans
 from ledgerloom.llm.html_text import op8_html_extraction
 from ledgerloom.llm.language import op5_language_id
 from ledgerloom.llm.line_runs import OP10_SQL, op10_line_dedup
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_line_dedup": op10_line_dedup,
     "op11_bpe_chunk_reuse": op11_bpe_chunk_reuse,
+    "op12_heap_kmeans": op12_heap_kmeans,
     "op13_source_divergence": op13_source_divergence,
 }
 
@@ -36,5 +38,6 @@ ORACLE_SQL: dict[str, str] = {
     "op2_decontamination": OP2_SQL,
     "op6_chat_formatting": OP6_SQL,
     "op10_line_dedup": OP10_SQL,
+    "op12_heap_kmeans": OP12_SQL,
     "op13_source_divergence": OP13_SQL,
 }
