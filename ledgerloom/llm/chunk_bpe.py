@@ -132,13 +132,9 @@ def _together(enc: WordEncoder, texts: list[str]) -> list[bytes]:
     return list(enc.encode_column(pa.array(texts, pa.string())))
 
 
-def assemble(enc: WordEncoder, text: str, known: dict[tuple[int, int], bytes]) -> bytes:
-    """The ids of a text from those of its shared chunks' inner parts.
-
-    ``known`` has the latter by digest. Joins that do not agree grow over the next
-    shared chunk, until all agree.
-    """
-    spans, at = [], 0  # of inner parts whose ids are known: (from, to, ids)
+def _inner_spans(text: str, known: dict[tuple[int, int], bytes]) -> list[tuple[int, int, bytes]]:
+    """(from, to, ids) of the inner parts whose ids are known."""
+    spans, at = [], 0
     for x, y, raw in chunks(text):
         chunk = raw.decode()
         if (x, y) in known:
@@ -146,27 +142,45 @@ def assemble(enc: WordEncoder, text: str, known: dict[tuple[int, int], bytes]) -
             if b > a:
                 spans.append((at + a, at + b, known[x, y]))
         at += len(chunk)
-    while True:
-        edges = [0, *(e for s in spans for e in s[:2]), len(text)]
-        joins = list(zip(edges[::2], edges[1::2]))
-        # the word before a join and the word after it, from the inner parts
-        left = [text[max(a, text.rfind(" ", a, b - 1)):b] for a, b, _ in spans]
-        right = []
-        for a, b, _ in spans:
-            to = text.find(" ", a + 1, b)
-            right.append(text[a:to if to > 0 else b])
-        between = [text[a:b] for a, b in joins]
-        before, after = ["", *left], [*right, ""]
-        got = _together(enc, [*between, *(p + t + q for p, t, q in zip(before, between, after)),
-                              *before, *after])
-        n = len(joins)
-        apart, whole, before, after = (got[i * n:(i + 1) * n] for i in range(4))
-        odd = [i for i in range(n) if whole[i] != before[i] + apart[i] + after[i]]
-        if not odd or not spans:
-            break
-        gone = {min(i, len(spans) - 1) for i in odd}
-        spans = [s for i, s in enumerate(spans) if i not in gone]
-    return b"".join(p for pair in zip(apart, [*(s[2] for s in spans), b""]) for p in pair)
+    return spans
+
+
+def _joins(text: str, spans: list[tuple[int, int, bytes]]) -> list[list[str]]:
+    """What lies between the spans; the same with the words around it; these words."""
+    edges = [0, *(e for s in spans for e in s[:2]), len(text)]
+    between = [text[a:b] for a, b in zip(edges[::2], edges[1::2])]
+    before = ["", *(text[max(a, text.rfind(" ", a, b - 1)):b] for a, b, _ in spans)]
+    after = []
+    for a, b, _ in spans:
+        to = text.find(" ", a + 1, b)
+        after.append(text[a:to if to > 0 else b])
+    after.append("")
+    return [between, [p + t + q for p, t, q in zip(before, between, after)], before, after]
+
+
+def assemble(enc: WordEncoder, docs: list[tuple[str, dict]]) -> list[bytes]:
+    """The ids of (text, ids of shared chunks' inner parts by digest) pairs.
+
+    All joins of all texts are encoded together. Those that do not agree grow over
+    the next shared chunk and come again, until all agree.
+    """
+    out: list = [b""] * len(docs)
+    todo = [(i, text, _inner_spans(text, known)) for i, (text, known) in enumerate(docs)]
+    while todo:
+        joins = [_joins(text, spans) for _, text, spans in todo]
+        got = iter(_together(enc, [t for parts in joins for part in parts for t in part]))
+        again = []
+        for (i, text, spans), parts in zip(todo, joins):
+            n = len(parts[0])
+            apart, whole, before, after = ([next(got) for _ in range(n)] for _ in range(4))
+            odd = [j for j in range(n) if whole[j] != before[j] + apart[j] + after[j]]
+            if odd and spans:
+                gone = {min(j, len(spans) - 1) for j in odd}
+                again.append((i, text, [s for j, s in enumerate(spans) if j not in gone]))
+            else:
+                out[i] = b"".join(p for pair in zip(apart, [*(s[2] for s in spans), b""]) for p in pair)
+        todo = again
+    return out
 
 
 # -- decoding -----------------------------------------------------------------
@@ -281,9 +295,9 @@ def encode_documents(docs: DataFrame, tokenizer: str | None = None, *, key: str
 
     def assembled(batches):
         with encoder(path) as enc:
-            for b in batches:
-                ids = [assemble(enc, t or "", {(c["x"], c["y"]): c["ids"] for c in known or ()})
-                       for t, known in zip(b.column("t").to_pylist(), b.column("known").to_pylist())]
+            for b in larger(batches):
+                ids = assemble(enc, [(t or "", {(c["x"], c["y"]): c["ids"] for c in known or ()})
+                                     for t, known in zip(b.column("t").to_pylist(), b.column("known").to_pylist())])
                 yield finish(enc, b.column("k").to_pylist(), ids)
 
     joined = opened.join(own_ids, ["task", "row"], "left").select("k", "t", "known")
