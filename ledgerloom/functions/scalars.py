@@ -48,7 +48,7 @@ def squash_text(col: Column) -> Column:
 
 def blank_to_null(col: Column) -> Column:
     """A string made only of whitespace (or empty) becomes NULL."""
-    return F.when(col.rlike(r"(?U)^\s*$"), F.lit(None)).otherwise(col)
+    return F.when(trim_text(col) != "", col)
 
 
 def contains_tag(col: Column, tag: str) -> Column:
@@ -56,9 +56,14 @@ def contains_tag(col: Column, tag: str) -> Column:
     return F.coalesce(F.instr(col, tag) > 0, F.lit(False))
 
 
+# fixed values: the signs that Unicode counts as white space
+_SPACES = ("\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009"
+           "\u200a\u2028\u2029\u202f\u205f\u3000")
+
+
 def trim_text(col: Column) -> Column:
     """Text without white space at its ends; NBSP and other Unicode spaces count."""
-    return F.regexp_replace(col.cast("string"), r"(?U)^\s+|\s+$", "")
+    return F.btrim(col.cast("string"), F.lit(_SPACES))
 
 
 def valid_key(col: Column, bad_values: tuple[str, ...] = ("", "-")) -> Column:
@@ -69,7 +74,7 @@ def valid_key(col: Column, bad_values: tuple[str, ...] = ("", "-")) -> Column:
 
 def code_before_comma(col: Column) -> Column:
     """Text before the first comma with spaces removed: ``'002, Kyiv'`` -> ``'002'``."""
-    return F.regexp_replace(F.split_part(col, F.lit(","), F.lit(1)), " ", "")
+    return F.replace(F.split_part(col, F.lit(","), F.lit(1)), F.lit(" "), F.lit(""))
 
 
 # ---------------------------------------------------------------------------
@@ -77,8 +82,7 @@ def code_before_comma(col: Column) -> Column:
 # ---------------------------------------------------------------------------
 
 # fixed values: the only texts a coercing numeric parse accepts
-_NUMBER_RE = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-_INF_RE = r"^[+-]?(?i)(inf|infinity)$"
+_NUMBER_RE = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i)inf(inity)?)$"
 
 
 def parse_number(col: Column, integral: bool = False, decimal_comma: bool = False) -> Column:
@@ -92,12 +96,15 @@ def parse_number(col: Column, integral: bool = False, decimal_comma: bool = Fals
     """
     text = trim_text(col)
     if decimal_comma:
-        text = F.regexp_replace(text, ",", ".")
-    ok = text.rlike(_NUMBER_RE) | text.rlike(_INF_RE)
-    value = F.when(ok, text.try_cast("double"))
-    if not integral:
-        return value
-    return F.when(value == F.floor(value), value.cast("bigint"))
+        text = F.replace(text, F.lit(","), F.lit("."))
+    value = F.when(text.rlike(_NUMBER_RE), text.try_cast("double"))
+    return whole_number(value) if integral else value
+
+
+def whole_number(value: Column) -> Column:
+    """A double as a bigint; NULL if it is not whole or does not fit. The value is
+    parsed once, however often the test and the cast look at it."""
+    return F.get(F.transform(F.array(value), lambda v: F.when(v == F.floor(v), v.try_cast("bigint"))), F.lit(0))
 
 
 def non_integral(col: Column, decimal_comma: bool = False) -> Column:

@@ -41,6 +41,7 @@ from ledgerloom.operators.filters import (  # noqa: F401
     filter_period,
     filter_valid_key,
 )
+from ledgerloom.operators.periods import DropLedger, PeriodTable  # noqa: F401
 from ledgerloom.operators.quality import ObservedChecks, dq_report  # noqa: F401
 from ledgerloom.operators.reshape import (  # noqa: F401
     merge_repeated_columns,

@@ -11,19 +11,22 @@ month replaces exactly that month's partition in one write job:
 
 A row whose own period differs from the period being loaded fails the load
 job before commit, so the target is left as it was.
+
+On a plain dataset the swap and the clearing of months without rows are two steps. A
+:class:`~ledgerloom.operators.periods.PeriodTable` in place of the path makes them one
+commit, and readers never see a part of a load.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ledgerloom.operators.quality import observed
+from ledgerloom.operators.periods import PeriodTable, files_below
 
 
 class PeriodMismatch(ValueError):
@@ -56,15 +59,13 @@ def _guard_period(df: DataFrame, year: int, month: int, year_col: str,
 _MISMATCH = "row outside the period being loaded:"
 
 
-def write_period(new: DataFrame, root: str, year: int, month: int, year_col: str = "year",
-                 month_col: str = "month") -> None:
-    """Replace the ``(year, month)`` partition of the dataset at ``root``.
+def write_period(new: DataFrame, root: str | PeriodTable, year: int, month: int,
+                 year_col: str = "year", month_col: str = "month") -> None:
+    """Replace the ``(year, month)`` partition of the target at ``root``.
 
-    One job: rows are checked against the period as they are written (a row of
-    another period fails the job before commit, so the target is untouched),
-    the partition is swapped in at commit (dynamic overwrite), and the rows are
-    counted on the way. Only when the load turned out empty is the month
-    cleared explicitly. Running the load twice gives the same result.
+    Rows are checked against the period as they are written (a row of another
+    period fails the job before commit, so the target is untouched). A load that
+    turned out empty clears the month. Running the load twice gives the same result.
     """
     guarded = _guard_period(new, year, month, year_col, month_col)
     try:
@@ -75,29 +76,29 @@ def write_period(new: DataFrame, root: str, year: int, month: int, year_col: str
         raise
 
 
-def write_periods(df: DataFrame, root: str, year_col: str = "year", month_col: str = "month",
+def write_periods(df: DataFrame, root: str | PeriodTable, year_col: str = "year", month_col: str = "month",
                   periods: Sequence[tuple[int, int]] = ()) -> None:
     """Replace every month present in ``df`` and clear those of ``periods`` (the
     months a drop's files are for) that have no row left; others stay as they are.
 
-    One job writes; it counts the rows of each listed month on the way.
+    One job writes. Which of ``periods`` it had rows for is seen from the target:
+    the job puts new files into the folder of every month it has a row of, so a
+    month whose files are the same as before got none. Nothing is concluded from
+    job metrics, which can be lost.
     """
-    obs = Observation(f"load_{uuid.uuid4().hex[:12]}")
-    counted = df
-    if periods:
-        counted = df.observe(obs, *[F.count(F.when(_period_cond(y, m, year_col, month_col), F.lit(1)))
-                                    .alias(f"n_{y}_{m}") for y, m in periods])
-    (counted.write.mode("overwrite")
+    if isinstance(root, PeriodTable):
+        root.replace(df, periods)
+        return
+    spark = df.sparkSession
+    folders = {p: _partition_path(root, *p, year_col, month_col) for p in periods}
+    before = {p: set(files_below(spark, folder)) for p, folder in folders.items()}
+    (df.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(year_col, month_col)
      .parquet(root))
-    if not periods:
-        return
-    got = observed(obs)
-    for y, m in periods:
-        if not got.get(f"n_{y}_{m}"):
-            (df.limit(0).drop(year_col, month_col).write.mode("overwrite")
-             .parquet(_partition_path(root, y, m, year_col, month_col)))
+    for p, folder in folders.items():
+        if before[p] and set(files_below(spark, folder)) == before[p]:
+            df.limit(0).drop(year_col, month_col).write.mode("overwrite").parquet(folder)
 
 
 def conform_schema(df: DataFrame, schema: StructType | str, strict: bool = True) -> DataFrame:
@@ -121,7 +122,7 @@ def conform_schema(df: DataFrame, schema: StructType | str, strict: bool = True)
 
 
 
-def replace_period(new: DataFrame, root: str, year: int, month: int, year_col: str = "year",
-                   month_col: str = "month") -> None:
+def replace_period(new: DataFrame, root: str | PeriodTable, year: int, month: int,
+                   year_col: str = "year", month_col: str = "month") -> None:
     """Replace one period of a partitioned target (see :func:`write_period`)."""
     write_period(new, root, year, month, year_col, month_col)

@@ -39,6 +39,7 @@ from ledgerloom.operators.aggregate import control_totals, grouped_sum
 from ledgerloom.operators.allocate import dense_sales_share_periods, labor_allocation
 from ledgerloom.operators.anomaly import anomaly_all_periods, anomaly_one_period, keys_without_history
 from ledgerloom.operators.enrich import enrich_store, rate_fill, store_directory
+from ledgerloom.operators.periods import PeriodTable
 from ledgerloom.operators.sink import conform_schema, write_period, write_periods
 from ledgerloom.plans.contracts import (
     ACCOUNTS_TEMPLATE,
@@ -394,7 +395,7 @@ def drop_periods(spark: SparkSession, df: DataFrame) -> list[tuple[int, int]]:
                    files.select(p["year"].alias("year"), p["month"].alias("month")).collect()})
 
 
-def load(run: FeedRun, root: str, year: int | None = None,
+def load(run: FeedRun, root: str | PeriodTable, year: int | None = None,
          month: int | None = None) -> DataFrame | None:
     """Replace the month ``(year, month)`` - or, without one, every month of the
     drop's files, clearing those without a row left.
