@@ -73,6 +73,18 @@ def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Column names like these that ``df`` does not have (case aside), for helpers
+    that must not replace a caller's column."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 # -- joins on keys that very many rows share ---------------------------------
 
 def spread_join(left: DataFrame, right: DataFrame, keys: list[str], weight: str,

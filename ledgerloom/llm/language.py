@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.base import read, ship
+from ledgerloom.llm.base import read, ship, unused
 
 UNKNOWN = "und"
 PAD = 256
@@ -275,9 +275,10 @@ def predict(docs: DataFrame, model: tuple[list[str], dict], *, text: str = "text
 def of_known_language(docs: DataFrame) -> DataFrame:
     """The documents that have a predicted language, whatever its score: not ``und``.
     A null lang is filled in; all columns are kept."""
-    out = predict(docs, learn(docs), names_as=("__lang", "__score"))
-    return (out.where(F.col("__lang") != UNKNOWN)
-            .withColumn("lang", F.coalesce("lang", "__lang")).select(*docs.columns))
+    lang, score = unused(docs, "_lang", "_score")
+    out = predict(docs, learn(docs), names_as=(lang, score))
+    return (out.where(F.col(lang) != UNKNOWN)
+            .withColumn("lang", F.coalesce("lang", lang)).select(*docs.columns))
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,17 +3,21 @@
 Documents are sequences of line ids. Suffixes are ranked by their first line,
 then by their first two, four, eight lines: each round ranks the pairs (rank
 here, rank 2**k lines on) by a distributed sort, and only suffixes whose first
-2**k lines stand elsewhere too stay in the game. Suffixes that share their
-first 2**k lines have one rank: they are an interval of the suffix array whose
-common prefixes are at least that long. Two such ranks that overlap name the
-interval of any length between.
-
-A run counts if it has at least ``min_words`` words. Every maximal repeated run
-is the union of its shortest parts with that many words, those that begin at
-each of its lines and those that end there. So the intervals of these parts
-reveal all maximal runs, and a round only has to reach the longest part. In
-each interval the first suffix in text order stays, the lines of the others
-are deleted.
+2**k lines stand elsewhere too stay in the game. Suffixes that share a rank are
+an interval of the suffix array whose common prefixes have at least 2**k lines;
+the rounds go on until no rank is shared, so every suffix is followed to the
+interval of its longest common prefix.
+
+In each interval the first suffix in text order stays and the lines of the
+common prefix of the others are later copies. A maximal repeated run is the union
+of two overlapping such prefixes, the one that begins where it begins and the one
+that ends where it ends, so over all rounds these are the maximal runs, of any
+length from one line on.
+
+With ``min_words`` only runs of at least so many words (split at white space)
+count. Then the shortest parts of runs with that many words are compared, whose
+union is every maximal run, and the rounds end at the longest such part; two
+overlapping ranks name the interval of any length between.
 
 Text order is ascending doc_id (null first), then the text's hash. Lines are
 compared without spaces at their ends. Blank lines are no part of a sequence
@@ -29,11 +33,11 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.base import materialise, read, ship, spread_join
+from ledgerloom.llm.base import materialise, read, ship, spread_join, unused
 
 _DOC = "doc_id long, h long, words array<int>, x array<long>, y array<long>"
 
@@ -67,33 +71,38 @@ def line_sequences(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     return rows.mapInArrow(run, _DOC)
 
 
+def _place() -> Column:
+    return F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "h", "pos")
+
+
 def _named(pairs: DataFrame) -> DataFrame:
-    """Ranks of the pairs (a, b) that stand more than once, in the order of (a, b)."""
-    twice = pairs.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1")
+    """Ranks of the pairs (a, b) that stand more than once, in the order of (a, b),
+    and the first place of each."""
+    twice = pairs.groupBy("a", "b").agg(F.count("*").alias("n"), F.min(_place()).alias("first")).where("n > 1")
     # a global sort; the id of a row grows from one sorted partition to the next
     return materialise(twice.orderBy("a", "b")
                        .withColumn("rank", F.monotonically_increasing_id()), "ranks")
 
 
-def suffix_ranks(sequences: DataFrame, longest: int) -> DataFrame:
-    """(doc_id, h, pos, level, rank): the rank of the first 2**level lines at pos,
-    where they stand more than once, for all levels up to ``longest`` lines."""
-    ends = F.size("x").alias("size")
-    places = sequences.select("doc_id", "h", ends, F.posexplode(F.arrays_zip("x", "y")).alias("pos", "p")) \
-        .select("doc_id", "h", "size", "pos", F.col("p.x").alias("a"), F.col("p.y").alias("b"))
+def suffix_ranks(sequences: DataFrame, longest: int | None = None) -> DataFrame:
+    """(doc_id, h, pos, level, rank, later): the rank of the first 2**level lines at
+    pos, where they stand more than once, and whether they stand earlier; for all
+    levels up to ``longest`` lines, or until no rank is shared."""
+    places = sequences.select("doc_id", "h", F.posexplode(F.arrays_zip("x", "y")).alias("pos", "p")) \
+        .select("doc_id", "h", "pos", F.col("p.x").alias("a"), F.col("p.y").alias("b"))
     level, every = 0, []
     while True:
         names = _named(places)
         ranked = materialise(spread_join(places, names, ["a", "b"], "n").select(
-            "doc_id", "h", "size", "pos", "rank"), "suffixes")
-        every.append(ranked.select("doc_id", "h", "pos", F.lit(level).alias("level"), "rank"))
+            "doc_id", "h", "pos", "rank", (~_place().eqNullSafe(F.col("first"))).alias("later")), "suffixes")
+        every.append(ranked.select("doc_id", "h", "pos", F.lit(level).alias("level"), "rank", "later"))
         step = 1 << level
-        if 2 * step > longest:
+        if (2 * step > longest) if longest is not None else names.isEmpty():
             break
         ahead = Window.partitionBy("doc_id", "h").orderBy("pos").rangeBetween(step, step)
         places = (ranked.withColumn("b", F.first("rank").over(ahead))
                   .where(F.col("b").isNotNull())
-                  .select("doc_id", "h", "size", "pos", F.col("rank").alias("a"), "b"))
+                  .select("doc_id", "h", "pos", F.col("rank").alias("a"), "b"))
         level += 1
     out = every[0]
     for e in every[1:]:
@@ -113,10 +122,20 @@ def shortest_parts(words: np.ndarray, min_words: int) -> list[tuple[int, int]]:
     return sorted(parts)
 
 
-def repeated_lines(sequences: DataFrame, *, min_words: int = 10) -> DataFrame:
+def repeated_lines(sequences: DataFrame, *, min_words: int | None = None) -> DataFrame:
     """(doc_id, h, deleted): which of a document's non-blank lines later copies of
     repeated runs cover, as spans (pos, n), for documents that have any.
     ``sequences`` is a written table."""
+    if min_words is None:
+        later = suffix_ranks(sequences).where("later").select(
+            "doc_id", "h", "pos", F.expr("shiftleft(1, level)").alias("n"))
+    else:
+        later = _later_parts(sequences, min_words)
+    return later.groupBy("doc_id", "h").agg(F.collect_set(F.struct("pos", "n")).alias("deleted"))
+
+
+def _later_parts(sequences: DataFrame, min_words: int) -> DataFrame:
+    """(doc_id, h, pos, n) of the shortest parts with ``min_words`` words that stand earlier."""
     def longest_part(batches):
         for b in batches:
             top = [max((n for _, n in shortest_parts(np.array(w, np.int64), min_words)), default=0)
@@ -146,12 +165,11 @@ def repeated_lines(sequences: DataFrame, *, min_words: int = 10) -> DataFrame:
 
     found = materialise(docs.mapInArrow(
         parts, "doc_id long, h long, pos int, n int, one long, two long"), "runs")
-    place = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "h", "pos")
     earliest = materialise(
-        found.groupBy("n", "one", "two").agg(F.min(place).alias("earliest"), F.count("*").alias("copies"))
+        found.groupBy("n", "one", "two").agg(F.min(_place()).alias("earliest"), F.count("*").alias("copies"))
         .where("copies > 1"), "earliest")
-    later = spread_join(found, earliest, ["n", "one", "two"], "copies").where(~place.eqNullSafe(F.col("earliest")))
-    return later.groupBy("doc_id", "h").agg(F.collect_set(F.struct("pos", "n")).alias("deleted"))
+    return (spread_join(found, earliest, ["n", "one", "two"], "copies")
+            .where(~_place().eqNullSafe(F.col("earliest"))).select("doc_id", "h", "pos", "n"))
 
 
 def _same(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -176,7 +194,7 @@ def _without(text: pd.Series, spans: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["text", "n"])
 
 
-def dedup_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text", min_words: int = 10,
+def dedup_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text", min_words: int | None = None,
                 count_as: str = "n_deleted") -> DataFrame:
     """The documents, later copies of repeated line runs deleted from their text.
 
@@ -185,40 +203,45 @@ def dedup_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text", min
     """
     docs = docs.drop(count_as)
     sequences = materialise(line_sequences(docs, key=key, text=text), "lines")
-    many = materialise(sequences.groupBy("doc_id", "h").agg(F.count("*").alias("rows")).where("rows > 1"), "rows")
-    again = not many.isEmpty()
+    alike = materialise(sequences.groupBy("doc_id", "h").agg(
+        F.count("*").alias("rows"), F.max(F.aggregate("words", F.lit(0).cast("long"), lambda n, w: n + w))
+        .alias("words")).where("rows > 1"), "rows")
+    again = not alike.isEmpty()
+    k, h, id_, h_, gone, row, first, words, cut = unused(
+        docs, "_k", "_h", "_id", "_hash", "_gone", "_row", "_first", "_words", "_cut")
+    marked = docs.withColumns({k: F.col(key).cast("long"), h: F.xxhash64(text)})
+
+    def with_key(left: DataFrame, other: DataFrame, to: dict) -> DataFrame:
+        other = other.withColumnsRenamed({"doc_id": id_, "h": h_, **to})
+        return left.join(other, F.col(k).eqNullSafe(F.col(id_)) & (F.col(h) == F.col(h_)), "left").drop(id_, h_)
+
     if again:  # rows alike are one document in the suffix array
         sequences = materialise(sequences.dropDuplicates(["doc_id", "h"]), "lines")
-    gone = repeated_lines(sequences, min_words=min_words)
-    marked = docs.withColumns({"__k": F.col(key).cast("long"), "__t": F.xxhash64(text)})
-
-    def with_key(other: DataFrame) -> DataFrame:
-        other = other.withColumnRenamed("doc_id", "__id").withColumnRenamed("h", "__h")
-        return marked.join(other, F.col("__k").eqNullSafe(F.col("__id")) & (F.col("__t") == F.col("__h")),
-                           "left").drop("__id", "__h")
-
-    marked = with_key(gone.withColumnRenamed("deleted", "__gone"))
+        # one of them stays: the one of least number; the numbers are written first
+        marked = materialise(marked.withColumn(row, F.monotonically_increasing_id()), "numbered")
+        firsts = marked.groupBy(k, h).agg(F.min(row).alias(first)).withColumnsRenamed({k: "doc_id", h: "h"})
+        marked = with_key(marked, firsts, {})
+    marked = with_key(marked, repeated_lines(sequences, min_words=min_words), {"deleted": gone})
     if again:
-        marked = with_key(many.withColumnRenamed("rows", "__rows"))
-        nth = F.row_number().over(Window.partitionBy("__k", "__t").orderBy(F.lit(0)))
+        marked = with_key(marked, alike.drop("rows"), {"words": words})
         whole = F.array(F.struct(F.lit(0).alias("pos"), F.lit(2**31 - 1).alias("n")))
-        enough = F.regexp_count(text, F.lit(r"\S+")) >= min_words
-        marked = marked.withColumn("__nth", nth).withColumn("__gone", F.when(
-            (F.col("__nth") > 1) & enough, whole).otherwise(F.col("__gone"))).drop("__nth", "__rows")
+        copy = (F.col(row) != F.col(first)) & (F.col(words) >= (min_words or 1))
+        marked = marked.withColumn(gone, F.when(copy, whole).otherwise(F.col(gone)))
     # texts without deletions stay in the JVM
-    cut = _without(F.when(F.col("__gone").isNotNull(), F.col(text)), "__gone")
-    return (marked.withColumn("__cut", cut)
-            .withColumn(count_as, F.coalesce("__cut.n", F.lit(0).cast("long")))
-            .withColumn(text, F.coalesce("__cut.text", text)).select(*docs.columns, count_as))
+    taken = _without(F.when(F.col(gone).isNotNull(), F.col(text)), gone)
+    return (marked.withColumn(cut, taken)
+            .withColumn(count_as, F.coalesce(F.col(cut)["n"], F.lit(0).cast("long")))
+            .withColumn(text, F.coalesce(F.col(cut)["text"], text)).select(*docs.columns, count_as))
 
 
-def without_repeats(docs: DataFrame, *, min_words: int = 10) -> DataFrame:
+def without_repeats(docs: DataFrame, *, min_words: int | None = None) -> DataFrame:
     """The documents with later copies of runs deleted and n_chars brought up to
     date; documents of which nothing is left go, those empty before stay."""
-    out = dedup_lines(docs, min_words=min_words, count_as="__deleted")
-    return (out.where((F.col("__deleted") == 0) | (F.col("text") != ""))
-            .withColumn("n_chars", F.when(F.col("__deleted") == 0, F.col("n_chars"))
-                        .otherwise(F.char_length("text").cast("long"))).drop("__deleted"))
+    n, = unused(docs, "n_deleted")
+    out = dedup_lines(docs, min_words=min_words, count_as=n)
+    return (out.where((F.col(n) == 0) | (F.col("text") != ""))
+            .withColumn("n_chars", F.when(F.col(n) == 0, F.col("n_chars"))
+                        .otherwise(F.char_length("text").cast("long"))).drop(n))
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -229,30 +252,20 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("text", 256).alias("text_sha256"))
 
 
-#: The same by comparing the lines' text themselves (doc_id is unique in these tables).
+#: The same by comparing the lines' text themselves (doc_id is unique in these tables): a
+#: line that stands earlier is a repeated run, alone or as a part of a longer one.
 OP10_SQL = r"""
 WITH cut AS (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS raw,
                     unnest(generate_series(0, len(string_split(text, chr(10))) - 1)) AS line FROM documents),
-seq AS (SELECT doc_id, line, trim(raw, ' ') AS s, len(regexp_extract_all(raw, '\S+')) AS w,
-               row_number() OVER (PARTITION BY doc_id ORDER BY line) AS p
-        FROM cut WHERE regexp_matches(raw, '\S')),
-tot AS (SELECT *, sum(w) OVER (PARTITION BY doc_id ORDER BY p) AS c FROM seq),
-parts AS (
-  SELECT a.doc_id, a.p AS i, min(b.p) AS j FROM tot a JOIN tot b
-    ON a.doc_id = b.doc_id AND b.p >= a.p AND b.p < a.p + 10 AND b.c - a.c + a.w >= 10 GROUP BY ALL
-  UNION
-  SELECT b.doc_id, max(a.p) AS i, b.p AS j FROM tot a JOIN tot b
-    ON a.doc_id = b.doc_id AND b.p >= a.p AND b.p < a.p + 10 AND b.c - a.c + a.w >= 10 GROUP BY b.doc_id, b.p),
-runs AS (SELECT parts.doc_id, i, j, string_agg(s, chr(10) ORDER BY p) AS body
-         FROM parts JOIN seq ON seq.doc_id = parts.doc_id AND p BETWEEN i AND j GROUP BY ALL),
-later AS (SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, i) AS nth FROM runs),
-gone AS (SELECT DISTINCT seq.doc_id, line FROM later JOIN seq
-         ON seq.doc_id = later.doc_id AND p BETWEEN i AND j WHERE nth > 1),
+seq AS (SELECT *, regexp_matches(raw, '[^\s\p{Z}\x0B\x1C-\x1F\x{85}]') AS solid FROM cut),
+gone AS (SELECT doc_id, line FROM (
+           SELECT doc_id, line, row_number() OVER (PARTITION BY trim(raw, ' ') ORDER BY doc_id, line) AS nth
+           FROM seq WHERE solid) WHERE nth > 1),
 kept AS (
-  SELECT cut.doc_id, count(*) AS n_lines, count(gone.line) AS n_deleted,
-         coalesce(string_agg(raw, chr(10) ORDER BY cut.line) FILTER (gone.line IS NULL), '') AS left_over,
-         bool_or(regexp_matches(raw, '\S') AND gone.line IS NULL) AS any_left, any_value(text) AS text
-  FROM cut LEFT JOIN gone ON cut.doc_id = gone.doc_id AND cut.line = gone.line GROUP BY cut.doc_id)
+  SELECT seq.doc_id, count(*) AS n_lines, count(gone.line) AS n_deleted,
+         coalesce(string_agg(raw, chr(10) ORDER BY seq.line) FILTER (gone.line IS NULL), '') AS left_over,
+         bool_or(solid AND gone.line IS NULL) AS any_left, any_value(text) AS text
+  FROM seq LEFT JOIN gone ON seq.doc_id = gone.doc_id AND seq.line = gone.line GROUP BY seq.doc_id)
 SELECT doc_id, n_lines, n_deleted, length(t) AS n_chars, sha256(t) AS text_sha256
 FROM (SELECT *, CASE WHEN n_deleted = 0 THEN text WHEN any_left THEN left_over ELSE '' END AS t FROM kept)
 """

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.base import materialise, read, ship, spread_join
+from ledgerloom.llm.base import materialise, read, ship, spread_join, unused
 from ledgerloom.llm.components import components
 
 
@@ -194,15 +194,16 @@ def one_of_each(docs: DataFrame, *, shingle: int = 3, radius: int = 3) -> DataFr
     the least doc_id (null last), then the least hash of its text."""
     found = materialise(near_duplicates(docs, shingle=shingle, radius=radius), "classes")
     rank = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash")
+    k, h, own = unused(docs, "_k", "_h", "_own")
     chosen = (found.groupBy("class_fp").agg(F.min(rank).alias("r"))
-              .select(F.col("r.doc_id").alias("__k"), F.col("r.text_hash").alias("__h")))
+              .select(F.col("r.doc_id").alias(k), F.col("r.text_hash").alias(h)))
     alike = found.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).where("n > 1")
-    kept = (docs.withColumn("__own", F.xxhash64("text"))
-            .join(chosen, F.col("doc_id").cast("long").eqNullSafe(F.col("__k"))
-                  & (F.col("__own") == F.col("__h")), "left_semi"))
+    kept = (docs.withColumn(own, F.xxhash64("text"))
+            .join(chosen, F.col("doc_id").cast("long").eqNullSafe(F.col(k)) & (F.col(own) == F.col(h)),
+                  "left_semi"))
     if not alike.isEmpty():  # rows alike in both count once
-        kept = kept.dropDuplicates(["doc_id", "__own"])
-    return kept.drop("__own")
+        kept = kept.dropDuplicates(["doc_id", own])
+    return kept.drop(own)
 
 
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from tests.llm.conftest import documents
 from tests.oracle_check import compare, duck
 
 
-def brute(rows, min_words=10):
+def brute(rows, min_words=None):
     """rows: (doc_id, text, hash, ...). All repeated runs of all lengths, one by one."""
     order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is not None, rows[i][0] or 0, rows[i][2]))
     seqs = []
@@ -21,7 +21,7 @@ def brute(rows, min_words=10):
     for d, seq in enumerate(seqs):
         for i in range(len(seq)):
             for j in range(i, len(seq)):
-                if sum(w for _, _, w in seq[i:j + 1]) >= min_words:
+                if sum(w for _, _, w in seq[i:j + 1]) >= (min_words or 1):
                     run = tuple(s for _, s, _ in seq[i:j + 1])
                     if first.setdefault(run, (d, i)) != (d, i):
                         gone[d].update(n for n, _, _ in seq[i:j + 1])
@@ -51,7 +51,7 @@ def test_equals_brute_force(spark, seed):
     rows = [(i, "\n".join(rng.choices(lines, k=rng.randint(0, 14)))) for i in range(40)]
     docs = documents(spark, rows)
     assert run(docs, min_words=7) == brute(keyed(docs), 7)
-    assert run(docs, min_words=1) == brute(keyed(docs), 1)
+    assert run(docs) == run(docs, min_words=1) == brute(keyed(docs))
 
 
 def test_odd_rows(spark):
@@ -61,10 +61,45 @@ def test_odd_rows(spark):
             (7, "w " * 50_000), (8, "w " * 50_000 + "\nand more"), (9, body + "\n\n" + body)]
     docs = documents(spark, rows).withColumnRenamed("source", "deleted").withColumnRenamed("lang", "h")
     assert run(docs) == brute(keyed(docs))
+    assert run(docs, min_words=10) == brute(keyed(docs), 10)
     assert lr.dedup_lines(docs).columns == [*docs.columns, "n_deleted"]
     assert lr.dedup_lines(documents(spark, [])).count() == 0
 
 
+def test_equal_rows_and_equal_texts_lose_the_same_lines(spark):
+    """Words parted by NBSP count as words everywhere."""
+    for gap in (" ", "\u00a0", "\u3000"):
+        line = gap.join(["word"] * 12)
+        rows = [(1, line), (1, line), (2, line), (3, "\u00a0\n" + line)]
+        for floor in (None, 10, 13):
+            got = sorted((r.doc_id, r.n_deleted) for r in lr.dedup_lines(documents(spark, rows), min_words=floor).collect())
+            assert got == ([(1, 0), (1, 1), (2, 1), (3, 1)] if floor != 13 else [(1, 0), (1, 0), (2, 0), (3, 0)])
+
+
+def test_no_column_of_the_caller_is_touched(spark):
+    names = ["_k", "_h", "_id", "_hash", "_gone", "_row", "_first", "_words", "_cut", "__k", "rows", "words", "h"]
+    docs = documents(spark, [(1, "a\nb"), (1, "a\nb"), (2, "b\nc")])
+    for n in names:
+        docs = docs.selectExpr("*", f"'{n}' as {n}")
+    out = lr.dedup_lines(docs)
+    assert out.columns == [*docs.columns, "n_deleted"]
+    assert all(r[n] == n for r in out.collect() for n in names)
+    kept = lr.without_repeats(docs.withColumnRenamed("_cut", "n_deleted"))
+    assert all(r.n_deleted == "_cut" for r in kept.collect()) and kept.count() == 2
+
+
+def test_rounds_go_on_until_no_rank_is_shared(spark):
+    body = [f"l{i}" for i in range(37)]
+    rows = [(1, "\n".join(["x", *body])), (2, "\n".join([*body, "y"])), (3, "\n".join(body[5:21]))]
+    seqs = materialise(lr.line_sequences(documents(spark, rows)), "t-lines")
+    ranks = lr.suffix_ranks(seqs).collect()
+    assert max(r.level for r in ranks) == 5  # 37 lines: 32 at two places, 64 nowhere
+    shared = {r.level: {(r.doc_id, r.pos) for r in ranks if r.level == r.level and r.level == k}
+              for k in range(6) for r in ranks if r.level == k}
+    assert len(shared[5]) == 12 and len(shared[4]) == 2 * 22 + 1
+    assert {(r.doc_id, r.pos) for r in ranks if r.level == 4 and r.later} == {(2, p) for p in range(22)} | {(3, 0)}
+
+
 def test_shortest_parts():
     assert lr.shortest_parts(np.array([30, 30, 5]), 50) == [(0, 2), (0, 3)]
     assert lr.shortest_parts(np.array([3]), 5) == [] == lr.shortest_parts(np.array([], int), 5)
@@ -87,3 +122,6 @@ def test_query_matches_sql(spark, sf):
     n, problems = compare(spark, duck(sf), "op10", lr.op10_line_dedup, lr.OP10_SQL, sf)
     assert n and not problems, problems
     assert any(r.n_deleted for r in lr.op10_line_dedup(spark, sf).collect())
+    lines = [x.strip(" ") for t, in lr.dedup_lines(read(spark, sf, "documents")).select("text").collect()
+             for x in (t or "").split("\n") if x.split()]
+    assert len(lines) == len(set(lines))  # no later copy is left
