@@ -6,12 +6,19 @@ Every word of every document is in it, so it serves any later set of queries.
 A query window is answered inside each shard: the posting list of its rarest
 word there, moved back by that word's offset, is intersected with the moved
 list of the next rarest, and so on until none or all words are through. What is
-left are exactly the places where the whole window stands. With ``slop`` a word
-may stand up to so many places off (proximity match).
+left are exactly the places where the whole window stands.
 
-Queries are searched in blocks of at most ``block`` windows; what is broadcast
-is one block, however large the benchmark is, and blocks are added until all
-windows are searched.
+With ``slop`` (proximity match) up to so many other words may stand between two
+neighbouring words of the window, which come in order and in one document. The
+rarest word's postings leave of each other list what is near enough to them; from
+the last word back to the first a posting stays that has a next one near enough.
+A match begins at each posting left of the first word and goes by the nearest
+posting left to the last. None of this depends on the other documents of a shard.
+
+Windows are cut and numbered by Spark. They are searched in blocks of about
+``block`` windows: what is broadcast is one block of window words, however large
+the benchmark is, and blocks are added until all windows are searched. A search
+returns the documents with hits; all documents come in by one join at the end.
 
 Nulls and odd rows: a null or wordless text has no words and no hits; a null
 doc_id is kept; rows that share a doc_id are answered each on its own; an item
@@ -26,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.base import materialise, read, ship
+from ledgerloom.llm.base import materialise, read, ship, spread_join, unused
 
 #: bytes -> bytes: A-Z in lower case, other ASCII signs but digits and letters to a space.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32
@@ -113,36 +120,60 @@ class _Shard:
 
     def find(self, codes: np.ndarray, slop: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(document, first, last + 1 position) of each match of a window."""
-        sizes = self.starts[codes + 1] - self.starts[codes]
-        order = np.argsort(sizes, kind="stable")
+        order = np.argsort(self.starts[codes + 1] - self.starts[codes], kind="stable")
+        if slop:
+            return self._near(codes, int(order[0]), slop)
         at = self.postings(codes[order[0]]).astype(np.int64) - order[0]
-        low, high = at + order[0], at + order[0]
-        doc = np.searchsorted(self.ends, low, "right")
+        doc = np.searchsorted(self.ends, at + order[0], "right")
+        inside = (at >= self.begins[doc]) & (at + len(codes) <= self.ends[doc])
+        at, doc = at[inside], doc[inside]
         for k in order[1:]:
             if not len(at):
                 break
-            own, want = self.postings(codes[k]), at + k
-            i = np.searchsorted(own, want)
-            after, before = own[np.minimum(i, len(own) - 1)], own[np.maximum(i - 1, 0)]
-            near = np.where(np.abs(after - want) <= np.abs(want - before), after, before)
-            ok = (np.abs(near - want) <= slop) & (near >= self.begins[doc]) & (near < self.ends[doc])
-            at, doc, near = at[ok], doc[ok], near[ok]
-            low, high = np.minimum(low[ok], near), np.maximum(high[ok], near)
-        return doc, low, high + 1
-
-
-def _blocks(items: DataFrame, key: str, text: str, window: int, block: int):
-    """Windows of the items, ``block`` at most at a time: {words: item ids}."""
-    held: dict[tuple, set] = {}
-    for row in items.select(F.coalesce(F.col(key).cast("string"), F.lit("null")),
-                            F.col(text).cast("string")).toLocalIterator():
-        own = words_of(row[1])
-        for i in range(max(1, len(own) - window + 1) if own else 0):
-            held.setdefault(tuple(own[i:i + window]), set()).add(row[0])
-            if len(held) >= block:
-                yield held
-                held = {}
-    yield held
+            own = self.postings(codes[k])
+            i = np.minimum(np.searchsorted(own, at + k), len(own) - 1)
+            at, doc = (x[own[i] == at + k] for x in (at, doc))
+        return doc, at, at + len(codes)
+
+    def _near(self, codes: np.ndarray, rarest: int, slop: int):
+        anchor = self.postings(codes[rarest]).astype(np.int64)
+        lists = []
+        for k, code in enumerate(codes):
+            own = self.postings(code).astype(np.int64)
+            # a posting of word k lies between these distances from one of the rarest word
+            low, high = sorted(((k - rarest), (k - rarest) * (1 + slop)))
+            lists.append(own[np.searchsorted(anchor, own - low, "right") > np.searchsorted(anchor, own - high)])
+        to = [np.zeros(0, np.int64)] * len(codes)
+        for k in range(len(codes) - 2, -1, -1):
+            own, after = lists[k], lists[k + 1]
+            i = np.searchsorted(after, own, "right")  # the nearest that is left
+            following = np.append(after, np.iinfo(np.int64).max)[i]
+            end = self.ends[np.searchsorted(self.ends, own, "right")]
+            stays = (following - own <= 1 + slop) & (following < end)
+            lists[k], to[k] = own[stays], i[stays]
+        first, at = lists[0], np.arange(len(lists[0]))
+        for k in range(len(codes) - 1):
+            at = to[k][at]
+        return np.searchsorted(self.ends, first, "right"), first, lists[-1][at] + 1
+
+
+def windows_of(items: DataFrame, *, key: str = "item_id", text: str = "text", window: int = 10) -> DataFrame:
+    """(words, item): every window of every item, its words parted by a space; distinct."""
+    ship(items.sparkSession)
+
+    def run(batches):
+        for b in batches:
+            out = []
+            for k, t in zip(b.column("k").to_pylist(), b.column("t")):
+                own = words_of(t.as_py())
+                for i in range(max(1, len(own) - window + 1) if own else 0):
+                    out.append((b" ".join(own[i:i + window]).decode(), k))
+            cols = list(zip(*out)) or [(), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], names=["words", "item"])
+
+    rows = items.select(F.coalesce(F.col(key).cast("string"), F.lit("null")).alias("k"),
+                        F.col(text).cast("string").alias("t"))
+    return rows.mapInArrow(run, "words string, item string").distinct()
 
 
 def search(index: DataFrame, items: DataFrame, *, key: str = "item_id", text: str = "text",
@@ -155,60 +186,81 @@ def search(index: DataFrame, items: DataFrame, *, key: str = "item_id", text: st
     """
     spark = index.sparkSession
     ship(spark)
-    out = ("shard string, row int, doc_id long, text_hash long, n_words long, "
-           "spans array<struct<s:int,e:int>>, items array<string>")
-
-    def one(block_windows):
-        vocab = sorted({w for words in block_windows for w in words})
-        number = {w: i for i, w in enumerate(vocab)}
-        table = np.full((len(block_windows), window), len(vocab), np.int32)
-        for i, words in enumerate(block_windows):
-            table[i, :len(words)] = [number[w] for w in words]
-        sent = spark.sparkContext.broadcast((vocab, table, list(map(sorted, block_windows.values()))))
-
-        def run(batches):
-            vocab, table, named = sent.value
-            lengths = (table < len(vocab)).sum(axis=1)
-            for b in batches:
-                for r in b.to_pylist():
-                    shard = _Shard(r["words"], r["terms"], r["starts"], r["positions"])
-                    here = np.array([*(shard.code.get(w, -1) for w in vocab), 0], np.int64)
-                    n, found, spans = len(r["docs"]), {}, {}
-                    for w in np.flatnonzero((here[table] >= 0).all(axis=1)).tolist():
-                        codes = here[table[w, :lengths[w]]]
-                        for d, s, e in zip(*(x.tolist() for x in shard.find(codes, slop))):
-                            found.setdefault(d, set()).update(named[w])
-                            first = int(shard.begins[d])
-                            spans.setdefault(d, set()).add((s - first, e - first))
-                    yield pa.RecordBatch.from_pylist(
-                        [{"shard": r["shard"], "row": i, "doc_id": r["docs"][i],
-                          "text_hash": r["hashes"][i], "n_words": r["words"][i],
-                          "spans": [{"s": s, "e": e} for s, e in sorted(spans.get(i, ()))],
-                          "items": sorted(found.get(i, ()))} for i in range(n)], schema=_ARROW)
-
-        return index.mapInArrow(run, out)
-
-    parts = [one(w) for w in _blocks(items, key, text, window, block)]
-    if len(parts) == 1:
-        every = parts[0]
-    else:
-        every = parts[0]
-        for p in parts[1:]:
-            every = every.union(p)
-        every = (every.groupBy("shard", "row")
-                 .agg(F.first("doc_id").alias("doc_id"), F.first("text_hash").alias("text_hash"),
-                      F.first("n_words").alias("n_words"),
-                      F.flatten(F.collect_list("spans")).alias("spans"),
-                      F.flatten(F.collect_list("items")).alias("items")))
-    return every.select(
-        "doc_id", "text_hash", "n_words", _merged("spans").alias("spans"),
-        F.array_sort(F.array_distinct("items")).alias("items"))
+    named = materialise(windows_of(items, key=key, text=text, window=window), "item-windows")
+    # a window's number is its place in the sorted table of distinct windows
+    numbered = materialise(named.select("words").distinct().orderBy("words")
+                           .withColumn("w", F.monotonically_increasing_id()), "windows")
+    blocks = -(-numbered.count() // block)
+    hits = None
+    for i in range(blocks):
+        own = numbered.where(F.pmod(F.xxhash64("words"), F.lit(blocks)) == i).collect()  # about ``block``
+        found = _search_block(index, [(r["w"], r["words"].encode().split(b" ")) for r in own], slop)
+        hits = found if hits is None else hits.union(found)
+    every = index.mapInArrow(_documents, "shard string, row int, doc_id long, text_hash long, n_words long")
+    if hits is None:
+        return every.select("doc_id", "text_hash", "n_words",
+                            F.array().cast("array<struct<s:int,e:int>>").alias("spans"),
+                            F.array().cast("array<string>").alias("items"))
+    hits = materialise(hits, "hits")
+    spans = hits.groupBy("shard", "row").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    of_windows = hits.select("shard", "row", F.explode("windows").alias("w"))
+    # a window that very many documents hold is dealt to several tasks
+    weights = materialise(of_windows.groupBy("w").agg(F.count("*").alias("n")).join(numbered, "w")
+                          .join(named.groupBy("words").agg(F.collect_list("item").alias("own")), "words")
+                          .select("w", "n", "own"), "hit-windows")
+    ids = (spread_join(of_windows, weights, ["w"], "n").select("shard", "row", F.explode("own").alias("item"))
+           .groupBy("shard", "row").agg(F.collect_set("item").alias("items")))
+    return (every.join(spans.join(ids, ["shard", "row"]), ["shard", "row"], "left").select(
+        "doc_id", "text_hash", "n_words",
+        F.coalesce(_merged("spans"), F.array().cast("array<struct<s:int,e:int>>")).alias("spans"),
+        F.coalesce(F.array_sort("items"), F.array().cast("array<string>")).alias("items")))
+
+
+def _documents(batches):
+    """Every document of the index: its shard and place there, ids and word count."""
+    for b in batches:
+        sizes = [len(d) for d in b.column("docs").to_pylist()]
+        shard = [s for s, n in zip(b.column("shard").to_pylist(), sizes) for _ in range(n)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(shard, pa.string()), pa.array([i for n in sizes for i in range(n)], pa.int32()),
+             b.column("docs").flatten(), b.column("hashes").flatten(), b.column("words").flatten().cast(pa.int64())],
+            names=["shard", "row", "doc_id", "text_hash", "n_words"])
+
+
+def _search_block(index: DataFrame, windows: list[tuple[int, list[bytes]]], slop: int) -> DataFrame:
+    """(shard, row, spans, windows) of the documents with hits of these windows."""
+    vocab = sorted({w for _, words in windows for w in words})
+    number = {w: i for i, w in enumerate(vocab)}
+    table = np.full((len(windows), max((len(w) for _, w in windows), default=1)), len(vocab), np.int32)
+    for i, (_, words) in enumerate(windows):
+        table[i, :len(words)] = [number[w] for w in words]
+    sent = index.sparkSession.sparkContext.broadcast((vocab, table, [w for w, _ in windows]))
+
+    def run(batches):
+        vocab, table, numbers = sent.value
+        lengths = (table < len(vocab)).sum(axis=1)
+        for b in batches:
+            for r in b.to_pylist():
+                shard = _Shard(r["words"], r["terms"], r["starts"], r["positions"])
+                here = np.array([*(shard.code.get(w, -1) for w in vocab), 0], np.int64)
+                found: dict[int, set] = {}
+                spans: dict[int, set] = {}
+                for w in np.flatnonzero((here[table] >= 0).all(axis=1)).tolist():
+                    codes = here[table[w, :lengths[w]]]
+                    for d, s, e in zip(*(x.tolist() for x in shard.find(codes, slop))):
+                        found.setdefault(d, set()).add(numbers[w])
+                        first = int(shard.begins[d])
+                        spans.setdefault(d, set()).add((s - first, e - first))
+                yield pa.RecordBatch.from_pylist(
+                    [{"shard": r["shard"], "row": d, "spans": [{"s": s, "e": e} for s, e in sorted(spans[d])],
+                      "windows": sorted(found[d])} for d in sorted(found)], schema=_ARROW)
+
+    return index.mapInArrow(run, "shard string, row int, spans array<struct<s:int,e:int>>, windows array<long>")
 
 
 _ARROW = pa.schema([
-    ("shard", pa.string()), ("row", pa.int32()), ("doc_id", pa.int64()), ("text_hash", pa.int64()),
-    ("n_words", pa.int64()), ("spans", pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))),
-    ("items", pa.list_(pa.string()))])
+    ("shard", pa.string()), ("row", pa.int32()),
+    ("spans", pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))), ("windows", pa.list_(pa.int64()))])
 
 
 def _merged(name: str):
@@ -228,12 +280,13 @@ def _merged(name: str):
 
 def decontaminate(docs: DataFrame, items: DataFrame, *, window: int = 10) -> DataFrame:
     """Documents without any window of any item; all their columns are kept."""
+    k, h, own = unused(docs, "_k", "_h", "_own")
     hit = (search(build_index(docs), items, window=window).where(F.size("items") > 0)
-           .select(F.col("doc_id").alias("__k"), F.col("text_hash").alias("__h")).distinct())
+           .select(F.col("doc_id").alias(k), F.col("text_hash").alias(h)).distinct())
     # few rows or many: Spark picks the join from their size
-    return (docs.withColumn("__own", F.xxhash64("text"))
-            .join(hit, F.col("doc_id").cast("long").eqNullSafe(F.col("__k"))
-                  & (F.col("__own") == F.col("__h")), "left_anti").drop("__own"))
+    return (docs.withColumn(own, F.xxhash64("text"))
+            .join(hit, F.col("doc_id").cast("long").eqNullSafe(F.col(k)) & (F.col(own) == F.col(h)),
+                  "left_anti").drop(own))
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

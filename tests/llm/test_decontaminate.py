@@ -59,6 +59,58 @@ def test_proximity(spark):
     assert exact == {2}
 
 
+def near(doc, part, slop):
+    """Spans of matches by trying: from each place of the first word, the nearest next
+    word from which the rest can be reached."""
+    def end(p, k):
+        if k == len(part):
+            return p + 1
+        for q in range(p + 1, min(len(doc), p + 2 + slop)):
+            if doc[q] == part[k] and (e := end(q, k + 1)) is not None:
+                return e
+        return None
+
+    return {(p, e) for p in range(len(doc)) if doc[p] == part[0] and (e := end(p, 1)) is not None}
+
+
+@pytest.mark.parametrize("slop", [1, 2, 3])
+def test_proximity_equals_brute_force_whatever_the_shards(spark, slop):
+    rng = random.Random(slop)
+    rows = [(i, " ".join(rng.choices("abcdx", k=rng.randint(0, 25)))) for i in range(50)]
+    items = [(i, " ".join(rng.choices("abcd", k=rng.randint(1, 5)))) for i in range(12)]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    want = {}
+    for k, t in rows:
+        w, covered, named = words(t), set(), set()
+        for i, x in items:
+            for a, b in near(w, words(x), slop):
+                covered.update(range(a, b))
+                named.add(str(i))
+        want[k] = (len(covered), sorted(named))
+    for chars, more in ((2_000_000, 0), (60, 0), (200, 300)):
+        extra = [(1000 + i, "b " * 9) for i in range(more)]  # makes other words the rarest
+        index = dc.build_index(documents(spark, rows + extra), shard_chars=chars)
+        got = {r.doc_id: (sum(s.e - s.s for s in r.spans), r.items)
+               for r in dc.search(index, table, slop=slop, window=5, block=5).collect() if r.doc_id < 1000}
+        assert got == want
+
+
+def test_a_match_does_not_depend_on_its_neighbours(spark):
+    items = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
+    for more in ([], [(2, "a a a a")], [(2, "b b b b")], [(2, "c"), (0, "a x b y")]):
+        index = dc.build_index(documents(spark, [(1, "a x b y c"), *more]))
+        found = {r.doc_id: r.items for r in dc.search(index, items, slop=1).collect()}
+        assert found.pop(1) == ["1"] and not any(found.values())
+
+
+def test_no_column_of_the_caller_is_touched(spark):
+    docs = documents(spark, [(1, "a b"), (2, "c d")]).selectExpr(
+        "*", "1 as _own", "2 as _k", "3 as _h", "4 as __own", "5 as shard", "6 as row", "7 as items")
+    items = spark.createDataFrame([(1, "a b")], "item_id long, text string")
+    kept = dc.decontaminate(docs, items)
+    assert kept.columns == docs.columns and [tuple(r)[5:] for r in kept.collect()] == [(1, 2, 3, 4, 5, 6, 7)]
+
+
 def test_empty_tables_and_filter(spark, case):
     none = spark.createDataFrame([], "item_id long, text string")
     docs = documents(spark, [(1, "a b"), (1, "c d"), (None, "a b e"), (None, None)])
