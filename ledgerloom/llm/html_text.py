@@ -5,10 +5,12 @@ text, not its attributes) and counts, per host, in how many different
 surroundings a subtree stands: pages whose text (that of the article or main
 element, if there is one) without the subtree is the same have one vote
 together, so that copies of a page make no template of its text.
-Pass two parses again and leaves out the subtrees with enough votes, elements that are never main text by their tag (navigation,
-footers, scripts, forms and so on) or that say so in a whole token of their
-class, id or role and hold neither an article nor over half of the page's text,
-and keeps the article or main element if the page has one, else the body.
+Pass two leaves out the subtrees with enough votes and elements that are never
+main text by their tag (navigation, footers, scripts, forms and so on) or that say
+so in a whole token of their class, id or role, and keeps the article or main
+element if the page has one, else the body. An element that says so stays if it
+holds an article or over half of the page's text, but not if it is marked as
+comments, an advert or a form: these go wherever and however large they are.
 
 Recurrence removes whole blocks around the text wherever they stand. Inside an
 article, headings and paragraphs are prose and no template, nor is a subtree
@@ -33,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.base import read, ship
+from ledgerloom.llm.base import materialise, read, ship, spread_join
 
 #: Elements that are never main text. HTML names.
 DROPPED = frozenset("""nav footer aside form script style noscript template iframe object svg canvas
@@ -51,17 +53,21 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
           "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 #: Start tags that close an open paragraph.
 ENDS_P = BLOCKS - {"br", "caption", "tbody", "td", "tfoot", "th", "thead", "tr", "option", "body", "html"}
-#: Words of which a class, id or role that marks a block as no main text consists,
-#: with words of place and shape before or after them.
-_SHAPE = r"(?:site|page|main|global|top|bottom|left|right|primary|secondary|sticky|fixed|box|bar|block|list|area|" \
-    r"container|wrapper|wrap|inner|links?|buttons?|icons?|form|section|\d+)"
-MARKED = re.compile(rf"""(?:{_SHAPE}[_-]+)*(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|
-    notices?|popup|modal|overlay|newsletter|subscri(?:be|ption)\w*|share|sharing|social|related|recommend\w*|
-    sidebar|side-bar|widget|menu|navbar|nav|navigation|breadcrumbs?|masthead|footer|
-    toolbar|comments?|disqus|respond|reply|replies|login|signup|search|
-    pagination|pager|skip|alert|complementary|contentinfo|copyright|legal)
-    (?:[_-]+(?:ads?|banner|consent|notices?|popup|modal|overlay|share|widget|menu|nav|footer|posts?|articles?|items?|{_SHAPE}))*""",
-                    re.IGNORECASE | re.VERBOSE)
+#: Words of a class, id or role (parted by signs) that mark a block as no main text.
+MARKS = re.compile(r"""ads?|adsbygoogle|advert\w*|sponsor\w*|promo\w*|comments?|disqus|respond|reply|replies|
+    newsletters?|subscri(?:be|ption)\w*|login|signup|search|banner|cookies?|consent|gdpr|notices?|popup|modal|
+    overlay|shar(?:e|ing)|social|related|recommend\w*|sidebar|widgets?|menu|navbar|nav|navigation|breadcrumbs?|
+    masthead|footer|toolbar|pagination|pager|skip|alert|complementary|contentinfo|copyright|legal""",
+                   re.IGNORECASE | re.VERBOSE)
+#: Those of adverts, comments and forms; such a block stays out however large it is.
+NEVER = re.compile(r"""ads?|adsbygoogle|advert\w*|sponsor\w*|promo\w*|comments?|disqus|respond|reply|replies|
+    newsletters?|subscri(?:be|ption)\w*|login|signup""", re.IGNORECASE | re.VERBOSE)
+#: Words of place, shape and kind that may stand beside them; any other word makes a
+#: token say something else (no-sidebar, with-header, search-results).
+BESIDE = frozenset("""site page main global top bottom left right primary secondary sticky fixed box bar block list
+area container wrapper wrap inner outer link links button buttons icon icons form section user users reader readers
+post posts article articles story stories blog thread threads slot slots unit zone signup content contents item items
+feed text title count info warning error success hint message side mobile desktop""".split())
 #: The same, but only outside article and main, as the header element.
 HEADER = re.compile(r"(?:site|page|main|global|top)?[_-]?header", re.IGNORECASE)
 PROSE = frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre br table thead tbody tr td th ol ul li dl dt dd figure figcaption".split())
@@ -74,17 +80,31 @@ _ATTR = re.compile(r"""([^\s=/"'<>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?|"[^
 _UNSEEN = re.compile(r"display\s*:\s*none", re.IGNORECASE)
 
 
-def _marked(attrs: str, in_main: bool) -> bool:
-    """Whether the attributes hide an element or say that it is no main text."""
+def _says(token: str) -> int:
+    """1 if a class, id or role token marks a block as no main text, 2 if as an advert,
+    comments or a form, else 0."""
+    words = [w for w in re.split(r"[-_:]+|(?<=[a-z])(?=[A-Z])", token) if w and not w.isdigit()]
+    marks = [w for w in words if MARKS.fullmatch(w)]
+    if not marks or any(w.lower() not in BESIDE for w in words if w not in marks):
+        return 0
+    return 2 if any(NEVER.fullmatch(w) for w in marks) else 1
+
+
+def _marked(attrs: str, in_main: bool) -> int:
+    """Whether the attributes hide an element or say that it is no main text; as
+    :func:`_says`."""
+    found = 0
     for name, value in _ATTR.findall(attrs):
         name, value = name.lower(), value.strip("\"'")
         if name in ("class", "id", "role"):
-            if any(MARKED.fullmatch(v) or not in_main and HEADER.fullmatch(v) for v in value.split()):
-                return True
+            for token in value.split():
+                found = max(found, _says(token), int(not in_main and bool(HEADER.fullmatch(token))))
+        elif name in ("itemprop", "itemtype") and re.search(r"(?:^|[\s/])comment\s*$", value, re.IGNORECASE):
+            found = 2
         elif name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true" \
                 or name == "style" and _UNSEEN.search(value):
-            return True
-    return False
+            found = max(found, 1)
+    return found
 
 
 class Node:
@@ -138,9 +158,13 @@ def parse(html: str | None) -> Node:
             in_main = any(n.tag in MAIN for n in open_)
             out = name in DROPPED or name == "header" and not in_main
             node = Node(name, out)
-            if not out and attrs and name not in ("html", "body") and name not in MAIN and _marked(attrs, in_main):
-                node.out = True
-                marked.append(node)
+            if not out and attrs and name not in ("html", "body", "main"):
+                says = _marked(attrs, in_main)
+                # an article is left out only as a comment or an advert
+                if says and (name != "article" or says == 2):
+                    node.out = True
+                    if says == 1:
+                        marked.append(node)
             open_[-1].inside.append(node)
             if name in RAW:
                 end = re.compile(f"</{name}(?=[\\s/>])", re.IGNORECASE).search(html, at)
@@ -157,7 +181,8 @@ def parse(html: str | None) -> Node:
 
 def _spare(root: Node, marked: list[Node]) -> None:
     """Marked elements stay if they hold over half of the page's text, that of
-    elements left out by tag aside, or, outside article and main, one of these."""
+    elements left out by tag aside, or, outside article and main, one of these.
+    Adverts, comments and forms are not among them."""
     own = {id(n) for n in marked}
     sizes: dict[int, tuple[int, bool]] = {}
     order, todo = [], [(root, False)]
@@ -327,35 +352,24 @@ def site_templates(pages: DataFrame, *, min_pages: int = 5, url: str = "url",
     """
     ship(pages.sparkSession)
 
-    def votes(batches):
-        for b in batches:
-            # more than min_pages votes of a batch decide no more than min_pages
-            seen: dict[tuple[str, int], set[int]] = {}
-            for t, site in zip(b.column("t"), b.column("host").to_pylist()):
-                for h, rest in surroundings(t.as_py()).items():
-                    own = seen.setdefault((site, h), set())
-                    if len(own) < min_pages:
-                        own.add(rest)
-            rows = [(site, h, rest) for (site, h), own in seen.items() for rest in own]
-            kinds = (pa.string(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(list(zip(*rows)) or [()] * 3, kinds)],
-                names=["host", "hash", "rest"])
-
-    def run(batches):
+    def blocks_of(batches):
         for b in batches:
-            rows = [[h for h in subtrees(t.as_py()) if h] for t in b.column("t")]
+            rows = []
+            for t, *page in zip(b.column("t"), *(b.column(c).to_pylist() for c in ("u", "p", "host"))):
+                rows.extend((*page, h, rest) for h, rest in surroundings(t.as_py()).items())
+            kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [b.column("u"), b.column("p"), b.column("host"), pa.array(rows, pa.list_(pa.int64()))],
-                names=["u", "p", "host", "hashes"])
+                [pa.array(c, k) for c, k in zip(list(zip(*rows)) or [()] * 5, kinds)],
+                names=["u", "p", "host", "hash", "rest"])
 
     rows = pages.select(*_page(url, html), host(F.col(url)).alias("host"), F.col(html).cast("string").alias("t"))
-    parsed = rows.mapInArrow(run, "u long, p long, host string, hashes array<long>")
-    blocks = parsed.select("u", "p", "host", F.explode("hashes").alias("hash"))
-    common = (rows.select("host", "t").mapInArrow(votes, "host string, hash long, rest long")
-              .groupBy("host", "hash").agg(F.size(F.collect_set("rest")).alias("votes"))
-              .where(F.col("votes") >= min_pages).select("host", "hash"))
-    return blocks.join(common, ["host", "hash"]).select("u", "p", "hash")
+    blocks = materialise(rows.mapInArrow(blocks_of, "u long, p long, host string, hash long, rest long"), "blocks")
+    # different surroundings first, each once; n: rows of the subtree
+    votes = blocks.groupBy("host", "hash", "rest").agg(F.count("*").alias("n"))
+    common = materialise(votes.groupBy("host", "hash").agg(F.count("*").alias("votes"), F.sum("n").alias("n"))
+                         .where(F.col("votes") >= min_pages).select("host", "hash", "n"), "templates")
+    # a menu that very many pages have is dealt to several tasks
+    return spread_join(blocks.select("u", "p", "host", "hash"), common, ["host", "hash"], "n").select("u", "p", "hash")
 
 
 def _page(url: str, html: str) -> list[Column]:

@@ -1,4 +1,6 @@
+import random
 from collections import Counter
+from html.parser import HTMLParser
 
 import pytest
 
@@ -31,7 +33,13 @@ def test_odd_markup(html, text):
     ("<div class='has-sidebar'><div>a</div></div><p>other words", "a other words"),
     ("<div class='page with-header'><article>a</article></div>", "a"),
     ("<div class='widget'><div><article>a</article></div></div><footer>f", "a"),
-    ("<div id=comments><p>all the text of the page</p></div><p>q", "all the text of the page q"),
+    ("<div id=comments><p>all the text of the page</p></div><p>q", "q"),
+    ("<div class=menu><p>all the text of the page</p></div><p>q", "all the text of the page q"),
+    ("<article>a short story<section class='comments'><p>long comment one</p><p>long comment two</p></section></article>",
+     "a short story"),
+    ("<p>a short story</p><div id='comments'><article>long comment one</article><p>long comment two</p></div>", "a short story"),
+    ("<main>story<article itemprop=comment>c</article><div itemtype='https://schema.org/Comment'>d</div></main>", "story"),
+    ("<div class='search-results'>a</div><div class='no-comments'>b</div><div class='with-ads'>c</div>", "a b c"),
     ("<article><div class='entry-header'><h1>head</h1></div>body text</article>", "head body text"),
     ("<article><div class='header'><h1>head</h1></div>body text</article>", "head body text"),
     ("<div class='flex hidden lg:block'>a</div><p>body text", "a body text"),
@@ -44,6 +52,15 @@ def test_marks(html, text):
     assert ht.extract(html, set()) == text
 
 
+@pytest.mark.parametrize("name", """user-comments post-comments comment-thread newsletter-signup ad-slot adsbygoogle
+    related-stories sponsored-content notice--warning commentsList site_footer top-nav cookie-banner""".split())
+def test_marks_inside_an_article(name):
+    html = f"<article><p>the story</p><div class='x {name}'><p>" + "no part of it " * 9 + "</p></div></article>"
+    big = name in "related-stories notice--warning site_footer top-nav cookie-banner"
+    assert ht.extract(html.replace("the story", "the story " * 20 if big else "the story"), set()) \
+        == ("the story " * 20).strip() if big else "the story"
+
+
 def pages(spark, rows):
     return spark.createDataFrame(rows, "page_id long, url string, html string")
 
@@ -94,17 +111,84 @@ def test_odd_rows(spark):
     assert ht.extract_text(pages(spark, [])).count() == 0
 
 
-def brute(rows, min_pages=5, min_share=0.02):
-    import re
-    hosts = [(re.match(r"\w+://([^/:?#]*)", u or "") or [0, ""])[1].lower() for _, u, _ in rows]
-    trees = [{h for h in ht.subtrees(t) if h} for _, _, t in rows]
-    n, size = Counter((h, s) for h, own in zip(hosts, trees) for s in own), Counter(hosts)
-    return [(k, ht.extract(t, {s for s in own if n[h, s] >= max(min_pages, min_share * size[h])}))
-            for (k, _, t), h, own in zip(rows, hosts, trees)]
+class Plain(HTMLParser):
+    """Text of the article by the standard library's parser; nothing of the operator."""
+    PARTS = frozenset("article h1 h2 p br div section ul ol li table tr td blockquote".split())
+
+    def __init__(self, inside="article"):
+        super().__init__(convert_charrefs=True)
+        self.inside, self.depth, self.out = inside, 0, []
+
+    def handle_starttag(self, tag, attrs):
+        self.depth += tag == self.inside
+        if tag in self.PARTS:
+            self.out.append(" ")
+
+    def handle_endtag(self, tag):
+        self.depth -= tag == self.inside
+        if tag in self.PARTS:
+            self.out.append(" ")
+
+    def handle_data(self, data):
+        if self.depth:
+            self.out.append(data)
+
+
+def article(html):
+    p = Plain()
+    p.feed(html or "")
+    p.close()
+    return " ".join("".join(p.out).split())
 
 
 def test_query_over_whole_table(spark, sf):
-    rows = [tuple(r) for r in read(spark, sf, "pages").select("page_id", "url", "html").collect()]
+    """The given pages hold their main text in one article."""
+    rows = [tuple(r) for r in read(spark, sf, "pages").select("page_id", "html").collect()]
     got = ht.op8_html_extraction(spark, sf).collect()
-    assert sorted((r.page_id, r.text) for r in got) == sorted(brute(rows))
+    assert sorted((r.page_id, r.text) for r in got) == sorted((k, article(t)) for k, t in rows)
     assert all(r.n_chars == len(r.text) for r in got)
+
+
+def test_generated_sites_with_known_text(spark):
+    """Pages put together from a known story and what surrounds it on each site."""
+    rng = random.Random(8)
+    vocab = "sun moon river stone caf\u00e9 na\u00efve 42 stra\u00dfe tree".split()
+
+    def say(n):
+        return " ".join(rng.choice(vocab) for _ in range(n))
+
+    rows, want = [], {}
+    for site in range(4):
+        fixed = [f"<div><p>motto of site {site} {say(5)}</p></div>", f"<section><h2>Topics {site}</h2><p>{say(9)}</p></section>",
+                 f"<div class='box-{site}'><ul><li>{say(3)}</li><li>{say(2)}</li></ul></div>"]
+        junk = ["<nav><ul><li>Home<li>News</ul></nav>", "<header><h1>Site</h1></header>", "<aside>side</aside>",
+                "<div class='ad-slot'><p>buy now</p></div>", "<div id=cookie-banner>accept</div>", "<form>mail<input></form>",
+                "<script>var p='<p>x</p>'</script>", "<style>p{}</style>", "<!-- <p>hidden</p> -->", "<footer>&copy;</footer>",
+                "<div hidden>unseen</div>"]
+        for i in range(30):
+            parts = [say(rng.randint(20, 40)) for _ in range(rng.randint(1, 4))]
+            story = "".join(rng.choice(["<p>{}</p>", "<div><p>{}</p></div>", "<p>{}<br>", "<blockquote>{}</blockquote>"]).format(
+                t.replace("caf\u00e9", rng.choice(["caf&eacute;", "caf&#233;", "caf\u00e9"]))) for t in parts)
+            own = f"page{site}x{i}"
+            comments = f"<div class='user-comments'><p>{say(60)} {own}</p><p>{say(50)}</p></div>"
+            around = rng.sample(junk, 5) + fixed
+            rng.shuffle(around)
+            cut = rng.randint(0, len(around))
+            body = f"<h1>{own}</h1>{story}"
+            if site % 2:
+                body = f"<article>{body}{comments}</article>"
+            else:
+                body += comments
+            page = f"<html><head><title>t</title></head><body>{''.join(around[:cut])}{body}{''.join(around[cut:])}</body></html>"
+            key = site * 100 + i
+            rows.append((key, f"https://site{site}.example/{i}", page))
+            want[key] = " ".join([own, *parts])
+    got = {r.page_id: r.text for r in ht.extract_text(pages(spark, rows)).collect()}
+    assert got == want
+
+
+def test_a_menu_on_a_third_of_all_pages(spark, monkeypatch):
+    rows = [(i, f"http://{'big' if i % 3 == 0 else f's{i}'}.example/{i}", f"<div>Our big menu</div><p>story number {i} and more of it</p>")
+            for i in range(300)]
+    got = {r.page_id: r.text for r in ht.extract_text(pages(spark, rows)).collect()}
+    assert got == {i: ("" if i % 3 == 0 else "Our big menu ") + f"story number {i} and more of it" for i in range(300)}
