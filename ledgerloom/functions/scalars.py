@@ -46,6 +46,11 @@ def squash_text(col: Column) -> Column:
     return F.regexp_replace(F.lower(col), r"(?U)\s+", "")
 
 
+def strip_chars(col: Column, chars: str) -> Column:
+    """Text without any of ``chars`` at its ends (data-side twin of the strip set)."""
+    return F.btrim(col.cast("string"), F.lit(chars))
+
+
 def blank_to_null(col: Column) -> Column:
     """A string made only of whitespace (or empty) becomes NULL."""
     return F.when(trim_text(col) != "", col)

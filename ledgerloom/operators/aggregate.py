@@ -12,11 +12,13 @@ reduced to one row per task before anything moves.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.scalars import exact_sum
+from ledgerloom.operators.stage import written
 
 
 def _col(c: str | Column) -> Column:
@@ -88,16 +90,68 @@ def control_totals(df: DataFrame, by: Sequence[str], measure: str,
     return df.groupBy(*by).agg(*aggs)
 
 
+def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float],
+                    names: Sequence[str], n_ranges: int | None = None) -> DataFrame:
+    """Exact, linearly interpolated quantiles of ``value`` per group, rounded to 6 decimals.
+
+    Order statistics by counting, with no state that holds a group's values:
+
+    1. (group, value, count), summed map-side: equal values are one row;
+    2. Spark cuts these in the order of (group, value) into ranges of equal size; they
+       are written with their range's number, so a hot group lies in many ranges;
+    3. a running count over the few (group, range) totals says which range holds each
+       wanted rank, and a running count inside that range which value.
+
+    NULL values do not count; a group of NULLs only has no row; a NULL group is one.
+    """
+    spark = df.sparkSession
+    n = n_ranges or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    keys = [f"__k{i}" for i in range(len(by))]
+    counts = (df.select(*[F.col(b).alias(k) for b, k in zip(by, keys)], F.col(value).cast("double").alias("__v"))
+              .where(F.col("__v").isNotNull()).groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__n")))
+    ranged = written(counts.repartitionByRange(n, *keys, "__v").withColumn("__range", F.spark_partition_id()),
+                     "value-counts")
+    # per (group, range): how many values lie before it, and in the whole group
+    group = Window.partitionBy(*keys)
+    totals = ranged.groupBy(*keys, "__range").agg(F.sum("__n").alias("__n"))
+    before = F.sum("__n").over(group.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1))
+    place = totals.withColumns({"__before": F.coalesce(before, F.lit(0)), "__all": F.sum("__n").over(group)})
+    wanted = F.array(*[f((F.col("__all") - 1) * F.lit(float(p))).cast("long") for p in probs for f in (F.floor, F.ceil)])
+    place = place.withColumn("__ranks", F.filter(
+        F.array_distinct(wanted), lambda r: (r >= F.col("__before")) & (r < F.col("__before") + F.col("__n"))))
+    place = place.where(F.size("__ranks") > 0).select(*keys, "__range", "__before", "__all", "__ranks")
+    running = (Window.partitionBy(*keys, "__range").orderBy("__v")
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    inside = (_join_null_safe(ranged, place, [*keys, "__range"])
+              .withColumn("__to", F.col("__before") + F.sum("__n").over(running)))
+    at = inside.select(*keys, "__v", "__all", F.explode(F.filter(
+        "__ranks", lambda r: (r >= F.col("__to") - F.col("__n")) & (r < F.col("__to")))).alias("__rank"))
+    out = []
+    for p, name in zip(probs, names):
+        pos = (F.col("__all") - 1) * F.lit(float(p))
+        low = F.max(F.when(F.col("__rank") == F.floor(pos), F.col("__v")))
+        high = F.max(F.when(F.col("__rank") == F.ceil(pos), F.col("__v")))
+        part = F.max(pos - F.floor(pos))
+        out.append(F.round(low + (high - low) * part, 6).alias(name))
+    return at.groupBy(*keys).agg(*out).select(*[F.col(k).alias(b) for k, b in zip(keys, by)], *names)
+
+
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on keys that may be NULL, the keys once."""
+    other = right.select(*[F.col(c).alias(f"__other_{c}") if c in keys else F.col(c) for c in right.columns])
+    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__other_{k}")) for k in keys])
+    return left.join(other, cond).drop(*[f"__other_{k}" for k in keys])
+
+
 def rate_summary(df: DataFrame, by: Sequence[str], value: str,
                  decimal: tuple[int, int] = (18, 2), approx: bool = False) -> DataFrame:
     """count, mean, sample std-dev, min, quartiles and max of ``value`` per group.
 
     Moments are exact decimal sums, so the result does not depend on the order
     rows arrive in (and cancellation in the variance is exact). Quartiles are
-    the exact, linearly interpolated ``percentile``, rounded to 6 decimals; its
-    per-group state holds one entry per distinct value, which suits rate cards
-    and dimensions. ``approx=True`` uses ``percentile_approx`` (bounded state)
-    for fact-sized groups.
+    exact and linearly interpolated, rounded to 6 decimals (see
+    :func:`exact_quantiles`), for groups of any size. ``approx=True`` uses
+    ``percentile_approx``, which needs one pass less.
     """
     x = F.col(value).cast(f"decimal({decimal[0]},{decimal[1]})")
     n = F.count(x)
@@ -105,21 +159,18 @@ def rate_summary(df: DataFrame, by: Sequence[str], value: str,
     s2 = F.sum(x * x)
     # (n * sum(x^2) - sum(x)^2) is exact; one division and a square root follow
     var = ((n * s2 - s1 * s1).cast("double") / (n * (n - 1)).cast("double"))
-    def q(p: float):
-        if approx:
-            return F.percentile_approx(value, p, 10000).cast("double")
-        return F.round(F.percentile(value, p), 6)
-
-    return df.groupBy(*by).agg(
-        n.alias("n"),
-        (s1.cast("double") / n).alias("mean"),
-        F.when(n > 1, F.sqrt(var)).alias("std"),
-        F.min(value).alias("min"),
-        q(0.25).alias("p25"),
-        q(0.5).alias("p50"),
-        q(0.75).alias("p75"),
-        F.max(value).alias("max"),
-    )
+    names, probs = ["p25", "p50", "p75"], [0.25, 0.5, 0.75]
+    quartiles = [F.percentile_approx(value, p, 10000).cast("double").alias(q)
+                 for p, q in zip(probs, names)] if approx else []
+    moments = df.groupBy(*by).agg(
+        n.alias("n"), (s1.cast("double") / n).alias("mean"), F.when(n > 1, F.sqrt(var)).alias("std"),
+        F.min(value).alias("min"), F.max(value).alias("max"), *quartiles)
+    if not approx:
+        exact = exact_quantiles(df, by, value, probs, names)
+        other = exact.select(*[F.col(b).alias(f"__{b}") for b in by], *names)
+        cond = reduce(lambda a, b: a & b, [F.col(b).eqNullSafe(F.col(f"__{b}")) for b in by])
+        moments = moments.join(other, cond, "left")
+    return moments.select(*by, "n", "mean", "std", "min", *names, "max")
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -1,23 +1,23 @@
 """Sales-share allocation of shared labour hours.
 
-``dense_sales_share`` builds the dense grid  store x department x month  and
-the sales share of each department within its store; ``labor_allocation``
-splits the hours of a shared role across the departments by that share.
-
-The grid is built without a cross join: each distinct store row is exploded
-over the configured department list (a constant, at most a handful of
-values), then semi-joined to the departments that actually sold this year and
-to the calendar month. Its size is  #stores x len(departments)  for one month.
+``dense_sales_share`` gives, for every store, month and listed department, the
+department's and the store's sales; ``labor_allocation`` splits the hours of a
+shared role across the departments by that share.
+
+The sales are read once. One aggregate keeps what the share needs of them: the
+sums of the asked months, which departments had a row in a year, and which
+stores there are at all. It is written, and the rest is done on it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.scalars import exact_sum, guarded_ratio, month_index, month_index_of
+from ledgerloom.operators.stage import written
 
 
 def dense_sales_share(sales: DataFrame, year: int, month: int, depts: Sequence,
@@ -50,10 +50,10 @@ def dense_sales_share_periods(sales: DataFrame, periods: Sequence[tuple[int, int
     """:func:`dense_sales_share` for several months in one plan (backfill).
 
     ``periods`` is a list of (year, month); departments count as seen per
-    year. The sales table is read once for all months, however many.
-    ``stores`` (one column named like ``store_col``) replaces "every store
-    ever seen in sales", which otherwise scans the store column of the whole
-    sales history.
+    year, and a year without any is left out. The sales table is read once for
+    all months, however many. ``stores`` (one column named like ``store_col``)
+    replaces "every store ever seen in sales", for which the whole history has to
+    be read.
     """
     depts = list(depts)
     periods = sorted({(int(y), int(m)) for y, m in periods})
@@ -62,70 +62,93 @@ def dense_sales_share_periods(sales: DataFrame, periods: Sequence[tuple[int, int
         return sales.select(F.col(year_col).cast("int"), F.col(month_col).cast("int"),
                             store_col, dept_col,
                             F.lit(0).alias("sumout_dep"), F.lit(0).alias("sumout_filial")).limit(0)
-    years = sorted({y for y, _ in periods})
+    cells = written(sales_cells(sales, periods, depts, store_col, dept_col, year_col, month_col, type_col,
+                                sales_type, amount_col, scale, every_store=stores is None), "sales-cells")
+    # at most len(depts) departments a year
+    seen = cells.where(F.col(dept_col).isNotNull()).select(year_col, dept_col).distinct().collect()
+    of_year: dict[int, list] = {}
+    for y, d in sorted(tuple(r) for r in seen):
+        of_year.setdefault(y, []).append(d)
+    months = [(y, m) for y, m in periods if y in of_year]
+    kind = {f.name: f.dataType for f in cells.schema.fields}
+    if not months:
+        return cells.select(F.col(year_col).cast("int"), F.col(month_col).cast("int"), store_col, dept_col,
+                            F.col("amount").alias("sumout_dep"), F.col("amount").alias("sumout_filial")).limit(0)
     if stores is None:
-        stores = sales.select(store_col)
-    stores = stores.select(store_col).where(F.col(store_col).isNotNull()).distinct()
-    in_list = F.col(dept_col).isin(*depts)
-    # bounded by len(depts) x len(years)
-    seen = (sales.where(in_list & F.col(year_col).isin(*years))
-            .select(year_col, dept_col).distinct())
-    period_arr = F.array(*[F.struct(F.lit(y).alias("y"), F.lit(m).alias("m"))
-                           for y, m in periods])
-    grid = (stores
-            .withColumn(dept_col, F.explode(F.array(*[F.lit(d) for d in depts])))
-            .withColumn("__p", F.explode(period_arr))
-            .select(store_col, dept_col, F.col("__p.y").cast("int").alias(year_col),
-                    F.col("__p.m").cast("int").alias(month_col))
-            .join(F.broadcast(seen), [year_col, dept_col], "left_semi"))
+        stores = cells
+    # a row without an amount for every store and month, beside the sums: one aggregate
+    # then has them all, a column per department
+    asked = F.explode(F.array(*[F.struct(F.lit(y).alias("y"), F.lit(m).alias("m")) for y, m in months]))
+    blank = (stores.select(store_col).where(F.col(store_col).isNotNull()).distinct()
+             .select(F.col(store_col).cast(kind[store_col]), asked.alias("p"))
+             .select(F.col("p.y").cast("int").alias(year_col), F.col("p.m").cast("int").alias(month_col), store_col,
+                     F.lit(None).cast(kind[dept_col]).alias(dept_col), F.lit(None).cast(kind["amount"]).alias("amount")))
     if calendar is not None:
-        cal = (calendar.select(F.col(year_col).cast("int").alias(year_col),
-                               F.col(month_col).cast("int").alias(month_col)).distinct())
-        grid = grid.join(F.broadcast(cal), [year_col, month_col], "left_semi")
-
+        cal = calendar.select(F.col(year_col).cast("int"), F.col(month_col).cast("int")).distinct()
+        blank = blank.join(F.broadcast(cal), [year_col, month_col], "left_semi")
+    sold = cells.where(F.col(month_col).isNotNull() & F.col(store_col).isNotNull()).select(
+        F.col(year_col).cast("int"), F.col(month_col).cast("int"), store_col, dept_col, "amount")
+    listed = sorted({d for own in of_year.values() for d in own})
+    zero = F.lit(0).cast(kind["amount"])
+    wide = (blank.withColumn("asked", F.lit(1)).union(sold.withColumn("asked", F.lit(0)))
+            .groupBy(year_col, month_col, store_col).agg(
+                F.max("asked").alias("asked"), F.coalesce(F.sum("amount"), zero).alias("sumout_filial"),
+                *[F.coalesce(F.sum(F.when(F.col(dept_col) == F.lit(d), F.col("amount"))), zero).alias(f"__d{i}")
+                  for i, d in enumerate(listed)])
+            .where("asked = 1"))
+    each = F.explode(F.array(*[
+        F.struct(F.lit(d).cast(kind[dept_col]).alias("d"), F.col(f"__d{i}").alias("v"),
+                 F.col(year_col).isin(*[y for y, own in of_year.items() if d in own]).alias("sold"))
+        for i, d in enumerate(listed)]))
+    return (wide.select(year_col, month_col, store_col, each.alias("e"), "sumout_filial").where("e.sold")
+            .select(year_col, month_col, store_col, F.col("e.d").alias(dept_col),
+                    F.col("e.v").alias("sumout_dep"), "sumout_filial"))
+
+
+def sales_cells(sales: DataFrame, periods: Sequence[tuple[int, int]], depts: Sequence,
+                store_col: str, dept_col: str, year_col: str, month_col: str, type_col: str,
+                sales_type: str, amount_col: str, scale: int | None, every_store: bool = True) -> DataFrame:
+    """All that a share needs of the sales, from one pass: (year, month, store,
+    department, amount) with the sales of the asked months; with a NULL month the
+    departments of the asked years; with only the store, the other stores."""
+    listed = F.col(dept_col).isin(*depts)
+    of_years = F.coalesce(listed & F.col(year_col).isin(*sorted({y for y, _ in periods})), F.lit(False))
     if len(periods) == 1:  # two equalities can reach the scan
-        in_periods = (F.col(year_col) == periods[0][0]) & (F.col(month_col) == periods[0][1])
+        asked = (F.col(year_col) == periods[0][0]) & (F.col(month_col) == periods[0][1])
     else:
-        in_periods = month_index(year_col, month_col).isin(*(month_index_of(y, m) for y, m in periods))
-    sums = (sales.where(in_list & (F.col(type_col) == sales_type) & in_periods)
-            .groupBy(year_col, month_col, store_col, dept_col)
-            .agg((exact_sum(F.col(amount_col), scale) if scale is not None
-                  else F.sum(amount_col)).alias("sumout_dep")))
-    keys = [year_col, month_col, store_col, dept_col]
-    tt = (grid.join(sums, keys, "left")
-          .withColumn("sumout_dep", F.coalesce(F.col("sumout_dep"), F.lit(0))))
-    w = Window.partitionBy(year_col, month_col, store_col)
-    return tt.select(*keys, "sumout_dep",
-                     F.sum("sumout_dep").over(w).alias("sumout_filial"))
-
-
-# the dense share as parameterised SQL; the grid is an explode of the department
-# list onto the distinct stores, not a cross join
+        asked = month_index(year_col, month_col).isin(*(month_index_of(y, m) for y, m in periods))
+    counted = F.coalesce(of_years & asked & (F.col(type_col) == sales_type), F.lit(False))
+    if not every_store:
+        sales = sales.where(of_years)
+    kept = sales.select(
+        F.when(of_years, F.col(year_col)).alias(year_col), F.when(counted, F.col(month_col)).alias(month_col),
+        store_col, F.when(of_years, F.col(dept_col)).alias(dept_col),
+        F.when(counted, F.col(amount_col)).alias("amount"))
+    total = exact_sum(F.col("amount"), scale) if scale is not None else F.sum("amount")
+    return kept.groupBy(year_col, month_col, store_col, dept_col).agg(total.alias("amount"))
+
+
+# the share of one month as parameterised SQL: sums per store and department and, by
+# the same aggregate, the departments seen; a store's sums are a map, looked up for each
 _SHARE_SQL = """
-WITH stores AS (
-  SELECT DISTINCT filid FROM {sales} WHERE filid IS NOT NULL
-),
-seen AS (
-  SELECT DISTINCT depid FROM {sales}
-  WHERE array_contains(:depts, depid) AND year = :year
-),
-pairs AS (
-  SELECT s.filid, d.depid FROM stores s LATERAL VIEW explode(:depts) d AS depid
+WITH kept AS (
+  SELECT filid, CASE WHEN listed AND year = :year THEN depid END AS depid,
+         CASE WHEN listed AND year = :year AND month = :month AND type_oper = 'sales' THEN sumout END AS amount
+  FROM (SELECT *, array_contains(:depts, depid) AS listed FROM {sales})
 ),
-grid AS (
-  SELECT p.filid, p.depid, :year AS year, :month AS month
-  FROM pairs p LEFT SEMI JOIN seen ON seen.depid = p.depid
+cells AS (
+  SELECT filid, depid, SUM(amount) AS amount, GROUPING(filid) AS every
+  FROM kept GROUP BY GROUPING SETS ((filid, depid), (depid))
 ),
-sums AS (
-  SELECT year, month, filid, depid, SUM(sumout) AS sumout_dep
-  FROM {sales}
-  WHERE array_contains(:depts, depid) AND type_oper = 'sales' AND year = :year AND month = :month
-  GROUP BY year, month, filid, depid
+per_store AS (
+  SELECT filid, map_from_entries(array_agg(struct(depid, amount)) FILTER (WHERE depid IS NOT NULL)) AS sold,
+         COALESCE(SUM(amount), 0) AS sumout_filial,
+         (SELECT array_agg(depid) FROM cells WHERE every = 1 AND depid IS NOT NULL) AS seen
+  FROM cells WHERE every = 0 AND filid IS NOT NULL GROUP BY filid
 )
-SELECT g.year, g.month, g.filid, g.depid, COALESCE(s.sumout_dep, 0) AS sumout_dep,
-       SUM(COALESCE(s.sumout_dep, 0)) OVER (PARTITION BY g.year, g.month, g.filid) AS sumout_filial
-FROM grid g LEFT JOIN sums s
-  ON s.year = g.year AND s.month = g.month AND s.filid = g.filid AND s.depid = g.depid
+SELECT :year AS year, :month AS month, filid, dep AS depid,
+       COALESCE(try_element_at(sold, dep), 0) AS sumout_dep, sumout_filial
+FROM per_store LATERAL VIEW explode(seen) AS dep
 """
 
 

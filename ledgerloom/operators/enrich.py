@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.scalars import exact_sum, parse_number, trim_text
+from ledgerloom.operators.stage import written
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
@@ -48,7 +49,7 @@ def store_directory(raw: DataFrame, id_col: str = "id", code_col: str = "Account
 def enrich_store(df: DataFrame, directory: DataFrame, code: Column, out_col: str = "filid",
                  dir_code_col: str = "code", dir_id_col: str = "id",
                  null_safe: bool = False, unique_codes: bool = True,
-                 how: str = "left") -> DataFrame:
+                 how: str = "left", deal_hot: bool = False) -> DataFrame:
     """Attach the store id whose directory code equals ``code``.
 
     * ``null_safe=False`` (default): a missing code matches nothing; ``True``
@@ -56,6 +57,9 @@ def enrich_store(df: DataFrame, directory: DataFrame, code: Column, out_col: str
     * ``unique_codes=True``: a code listed twice in the directory resolves to
       its smallest id instead of duplicating the fact row.
     * ``how='left'`` keeps unmatched rows with a NULL id; ``'inner'`` drops them.
+    * rows without a code take no part in the join (but where missing matches
+      missing): they are not shuffled and meet in no task. ``deal_hot=True`` first
+      counts the codes and deals those of very many rows to several tasks.
     """
     d = directory.select(F.col(dir_code_col).alias("__code"), F.col(dir_id_col).alias(out_col))
     if not null_safe:
@@ -64,10 +68,43 @@ def enrich_store(df: DataFrame, directory: DataFrame, code: Column, out_col: str
         d = d.groupBy("__code").agg(F.min(out_col).alias(out_col))
     fact = df.withColumn("__code", code)
     if null_safe:
-        out = null_safe_join(fact, d, ["__code"], how)
+        return null_safe_join(fact, d, ["__code"], how).drop("__code")
+    coded = fact.where(F.col("__code").isNotNull())
+    if deal_hot:
+        out = spread_lookup(coded, d, "__code", how).drop("__code")
     else:
-        out = fact.join(d, "__code", how)
-    return out.drop("__code")
+        out = coded.join(d, "__code", how).drop("__code")
+    if how == "inner":
+        return out
+    without = fact.where(F.col("__code").isNull()).drop("__code").withColumn(
+        out_col, F.lit(None).cast(d.schema[out_col].dataType))
+    return out.unionByName(without)
+
+
+def hot_keys(df: DataFrame, key: str, share: int = 1000) -> list:
+    """The values that over 1/``share`` of all rows have: fewer than ``share``. One pass,
+    counted map-side."""
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col(key).isNotNull())
+    big = counts.agg(F.sum("n")).first()[0] or 0
+    return [r[0] for r in counts.where(F.col("n") * share > F.lit(big)).select(key).collect()] if big else []
+
+
+def spread_lookup(df: DataFrame, table: DataFrame, key: str, how: str = "left", share: int = 1000,
+                  salts: int = 32) -> DataFrame:
+    """Join on a key of ``table`` that very many rows of ``df`` may share.
+
+    The rows of a hot key are dealt to ``salts`` tasks by their hash and the key's rows
+    of ``table`` are copied to each; all other keys are joined as usual. The result is
+    that of the plain join.
+    """
+    hot = hot_keys(df.select(key), key, share)
+    if not hot:
+        return df.join(table, key, how)
+    is_hot, none = F.col(key).isin(*hot), F.lit(0).cast("long")
+    dealt = df.withColumn("__salt", F.when(is_hot, F.pmod(F.xxhash64(*df.columns), F.lit(salts))).otherwise(none))
+    copied = table.withColumn("__salt", F.explode(F.when(
+        is_hot, F.sequence(none, F.lit(salts - 1).cast("long"))).otherwise(F.array(none))))
+    return dealt.join(copied, [key, "__salt"], how).drop("__salt")
 
 
 def lookup(df: DataFrame, table: DataFrame, keys: Sequence[str],
@@ -95,6 +132,8 @@ def rate_fill(hours: DataFrame, card: DataFrame, role_col: str, store_col: str,
     and means. The card is expected to hold one row per (keys, role, store). Rows
     whose role has no card at all keep a NULL rate and cost.
     """
+    # read twice, for the exact rates and for the means, but made once
+    card = written(card.select(*keys, role_col, store_col, rate_col), "rate-card")
     exact_rate = card.select(*keys, role_col, store_col, F.col(rate_col).cast("double").alias("__rate"))
     means = role_means(card, role_col, rate_col, scale, keys)
     out = (hours.join(exact_rate, [*keys, role_col, store_col], "left")

@@ -7,23 +7,19 @@ keeps the previous name). Row order comes from the data (``row_no`` or a
 timestamp), never from the physical order of a DataFrame.
 
 Scale: a single window over one report (or one very active user) would put
-the whole group into one task. Rows are therefore cut into *chunks* that are
-contiguous in row order and bounded in size:
-
-1. per (group, chunk): the last non-NULL header value of each filled column,
-   aggregated over header rows only (one small row per chunk);
-2. per group, over those small rows: the value carried into each chunk from
-   the chunks before it (a window over #chunks rows, not over fact rows);
-3. per (group, chunk): a window fill inside the chunk, falling back to the
-   carried-in value.
-
-There is one path for every size: at least as many chunks as shuffle
-partitions, and one per ``ROWS_PER_CHUNK`` rows beyond that. Chunk bounds are
-taken from a seeded sample of the sort key ``(group, order)`` and written into
-the plan as one array of literals, so every branch of the plan (and every retry
-of a task) puts a row in the same chunk; each chunk holds about
-``rows / n_chunks`` rows whatever the skew between groups. A caller with a dense
-row number can pass ``chunk=floor(row_no / B)`` instead.
+the whole group into one task. Instead Spark cuts the rows, in the order of
+(group, order), into ranges of about equal size; that is the one shuffle of the
+rows. A task passes over its sorted range once, fills what it can see, and
+writes the filled rows together with two small ones: the group its range begins
+with, and the last header values of the group it ends with. Only the rows of a
+range's first group can still lack a value from before the range. They get it
+from the small rows, two per range: per group, the last set value of the ranges
+before. So a group that spans many ranges is carried over all of them, whatever
+its size, and what the plan and the driver hold depends on the number of ranges
+only.
+
+A caller with a dense row number can pass ``chunk=floor(row_no / B)``: then a
+window fills each (group, chunk) and a small table carries over the chunks.
 """
 
 from __future__ import annotations
@@ -32,12 +28,17 @@ from collections.abc import Mapping, Sequence
 
 import math
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.operators.stage import written
 
-# the number of chunks grows with the rows; it has no upper bound
+# of sampled_chunk: the number of chunks grows with the rows; it has no upper bound
 ROWS_PER_CHUNK = 1_000_000
 
 
@@ -54,7 +55,8 @@ def fill_down(df: DataFrame, order_by: Sequence[str], fill: Mapping[str, Column]
     ``fill`` maps an output column to the value it takes on header rows.
     ``order_by`` must be a total order inside each ``partition_by`` group.
     Header rows are dropped unless ``keep_headers``; detail rows above the
-    first header keep NULLs.
+    first header keep NULLs. The rows are cut into ``n_chunks`` ranges (default:
+    the shuffle partitions), or into the caller's own ``chunk``.
     """
     pcols = list(partition_by)
     outs = list(fill)
@@ -63,7 +65,7 @@ def fill_down(df: DataFrame, order_by: Sequence[str], fill: Mapping[str, Column]
         marked = marked.withColumn(f"__v_{o}", F.when(F.col("__hdr"), fill[o]))
 
     if chunk is None:
-        chunk = sampled_chunk(df, pcols + list(order_by), n_chunks)
+        return _fill_ranges(marked, pcols, _cols(order_by), outs, n_chunks, keep_headers)
     marked = marked.withColumn("__chunk", chunk)
 
     order_key = F.struct(*_cols(order_by))
@@ -98,6 +100,94 @@ def fill_down(df: DataFrame, order_by: Sequence[str], fill: Mapping[str, Column]
     return joined.drop(*drop)
 
 
+_ROW, _BEGIN, _END = 0, 1, 2  # what a written row is: a filled row, or one of a range's two small ones
+
+
+def _fill_ranges(marked: DataFrame, pcols: list[str], order: list[Column], outs: list[str],
+                 n: int | None, keep_headers: bool) -> DataFrame:
+    """Fill over sorted ranges: one shuffle, one pass per range, a carry over ranges."""
+    n = n or max(2, int(marked.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    own = [c for c in marked.columns if c != "__hdr" and not c.startswith("__v_") and c not in outs]
+    kind = {f.name: f.dataType for f in marked.schema.fields}
+    schema = T.StructType([
+        *(T.StructField(c, kind[c]) for c in own), *(T.StructField(o, kind[f"__v_{o}"]) for o in outs),
+        T.StructField("__kind", T.IntegerType()), T.StructField("__range", T.IntegerType()),
+        T.StructField("__first", T.BooleanType())])
+    ranged = (marked.repartitionByRange(n, *[F.col(c) for c in pcols], *order)
+              .sortWithinPartitions(*pcols, *order))
+    filled = written(ranged.mapInArrow(_filler(own, pcols, outs, keep_headers), schema), "filled-ranges")
+
+    # two rows per range: what reaches a range's first group from the ranges before it
+    ends = filled.where(F.col("__kind") != _ROW).select(*pcols, *outs, "__kind", "__range")
+    before = (Window.partitionBy(*pcols).orderBy("__range", "__kind")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    carry = (ends.select("__kind", "__range", *[F.last(o, ignorenulls=True).over(before).alias(f"__carry_{o}")
+                                                for o in outs])
+             .where(F.col("__kind") == _BEGIN).drop("__kind"))
+    rows = filled.where(F.col("__kind") == _ROW).join(F.broadcast(carry), "__range", "left")
+    return rows.select(*[F.col(c) for c in own], *[
+        F.coalesce(F.col(o), F.when(F.col("__first"), F.col(f"__carry_{o}"))).alias(o) for o in outs])
+
+
+def _differs(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """Row by row, whether two group values differ; NULL equals NULL, NaN equals NaN."""
+    try:
+        same = pc.fill_null(pc.equal(a, b), False)
+    except pa.ArrowNotImplementedError:
+        same = pa.array([x == y for x, y in zip(a.to_pylist(), b.to_pylist())], pa.bool_())
+    same = pc.or_(same, pc.and_(a.is_null(), b.is_null()))
+    if pa.types.is_floating(a.type):
+        same = pc.or_(same, pc.fill_null(pc.and_(pc.is_nan(a), pc.is_nan(b)), False))
+    return ~same.to_numpy(zero_copy_only=False)
+
+
+def _filler(own: list[str], pcols: list[str], outs: list[str], keep_headers: bool):
+    """One pass over a sorted range: every row takes the last header value of its group."""
+    def fill(batches):
+        number, last_key, last, in_first, shape = TaskContext.get().partitionId(), None, None, True, None
+
+        def small(kind: int, keys: list, values: list) -> pa.RecordBatch:
+            given = {**dict(zip(pcols, keys)), **dict(zip(outs, values))}
+            cols = [given.get(f.name, pa.nulls(1, f.type)) for f in shape]
+            return pa.RecordBatch.from_arrays([*cols, pa.array([kind], pa.int32()), pa.array([number], pa.int32()),
+                                               pa.nulls(1, pa.bool_())], names=names)
+
+        for b in batches:
+            n = b.num_rows
+            if not n:
+                continue
+            keys = [b.column(c) for c in pcols]
+            values = [b.column(f"__v_{o}") for o in outs]
+            if last_key is None:  # the range begins
+                shape = [*(b.schema.field(c) for c in own),
+                         *(b.schema.field(f"__v_{o}").with_name(o) for o in outs)]
+                names = [*(f.name for f in shape), "__kind", "__range", "__first"]
+                last_key, last = [k.slice(0, 1) for k in keys], [pa.nulls(1, v.type) for v in values]
+                yield small(_BEGIN, last_key, last)
+            new = np.zeros(n, bool)
+            for k, before in zip(keys, last_key):
+                new |= _differs(k, pa.concat_arrays([before, k.slice(0, n - 1)]))
+            at = np.arange(n)
+            begun = np.maximum.accumulate(np.where(new, at, -1))  # -1: the group of the batch before
+            filled = []
+            for i, v in enumerate(values):
+                seen = np.maximum.accumulate(np.where(v.is_valid().to_numpy(zero_copy_only=False), at, -1))
+                # place 0 is the value carried into the batch
+                place = np.where(seen >= np.maximum(begun, 0), seen + 1, 0)
+                none = (begun >= 0) & (seen < begun)
+                filled.append(pa.concat_arrays([last[i], v]).take(pa.array(place, mask=none)))
+            out = pa.RecordBatch.from_arrays(
+                [*(b.column(c) for c in own), *filled, pa.array(np.full(n, _ROW, np.int32)),
+                 pa.array(np.full(n, number, np.int32)), pa.array(in_first & (begun < 0))], names=names)
+            yield out if keep_headers else out.filter(pc.invert(b.column("__hdr")))
+            in_first = in_first and not new.any()
+            last_key, last = [k.slice(n - 1, 1) for k in keys], [f.slice(n - 1, 1) for f in filled]
+        if last_key is not None:
+            yield small(_END, last_key, last)
+
+    return fill
+
+
 def sampled_chunk(df: DataFrame, key_cols: Sequence[str], n_chunks: int | None = None,
                   per_chunk: int = 32, seed: int = 20260501) -> Column:
     """Chunk number of each row in the order of ``key_cols`` (NULLs first).

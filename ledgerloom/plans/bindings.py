@@ -21,6 +21,8 @@ from ledgerloom.functions.scalars import (
     parse_date,
     parse_number,
     period_from_name,
+    squash_text,
+    strip_chars,
     valid_key,
 )
 from ledgerloom.operators import aggregate as agg
@@ -95,10 +97,11 @@ def anomaly_all_periods_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def anomaly_unmatched_keys(spark: SparkSession, sf: str) -> DataFrame:
-    """Stores of 1997-06 with no row in 1997-03..05 (not scored)."""
-    current = _store_month(spark, sf, _between_months("l_shipdate", (YEAR, MONTH), (YEAR, MONTH)))
-    history = _store_month(spark, sf, _between_months("l_shipdate", (YEAR, MONTH - 3), (YEAR, MONTH - 1)))
-    return keys_without_history(current, history, YEAR, MONTH, ["l_suppkey"])
+    """Parts of 1997-06 with no row in 1997-03..05 (not scored)."""
+    li = table(spark, sf, "lineitem", "l_partkey", "l_shipdate")
+    current = li.where(_between_months("l_shipdate", (YEAR, MONTH), (YEAR, MONTH))).select("l_partkey", *_ym())
+    history = li.where(_between_months("l_shipdate", (YEAR, MONTH - 3), (YEAR, MONTH - 1))).select("l_partkey", *_ym())
+    return keys_without_history(current, history, YEAR, MONTH, ["l_partkey"])
 
 
 def _sales(spark: SparkSession, sf: str) -> DataFrame:
@@ -194,6 +197,22 @@ def enrich_store_q(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("c_custkey", "code", F.col("filid").cast("bigint").alias("filid"))
 
 
+def enrich_store_left(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines matched to the supplier directory by a code written as text; of every three
+    lines one has no code and one has that of the first supplier. Unmatched lines stay."""
+    li = table(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_suppkey")
+    sup = table(spark, sf, "supplier", "s_suppkey")
+    directory = enrich.store_directory(
+        sup.where(F.col("s_suppkey") % 10 != 0).select(
+            F.col("s_suppkey").alias("id"), F.concat(F.lit(" "), F.col("s_suppkey").cast("string")).alias("AccountantNumber")),
+        name_col=None, mvz_col=None)
+    third = (F.col("l_orderkey") + F.col("l_linenumber")) % 3
+    text = F.when(third == 0, F.lit("-")).when(third == 1, F.lit("1")).otherwise(F.col("l_suppkey").cast("string"))
+    out = enrich.enrich_store(li.select("l_orderkey", "l_linenumber", text.alias("label")), directory,
+                              parse_number(F.col("label"), integral=True), how="left", deal_hot=True)
+    return out.select("l_orderkey", "l_linenumber", "label", F.col("filid").cast("bigint").alias("filid"))
+
+
 def unmatched_keys(spark: SparkSession, sf: str) -> DataFrame:
     """Orders without any line."""
     orders = table(spark, sf, "orders", "o_orderkey", "o_custkey")
@@ -361,6 +380,17 @@ def text_amounts(spark: SparkSession, sf: str) -> DataFrame:
                      F.date_format(parse_date(day), "yyyy-MM-dd").alias("day"))
 
 
+def text_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Text cells squashed like headers (lower case, no white space, NBSP among it), and
+    stripped of a set of signs at both ends."""
+    li = table(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
+    spaced = F.concat(F.lit("\u00a0 "), F.col("l_returnflag"), F.lit("\t N O\u2003"), F.col("l_linenumber").cast("string"))
+    inner = F.when(F.col("l_linenumber") % 2 == 0, F.concat_ws(" - ", "l_returnflag", "l_linestatus")) \
+        .otherwise(F.col("l_returnflag"))
+    return li.select("l_orderkey", "l_linenumber", squash_text(spaced).alias("squashed"),
+                     strip_chars(F.concat(F.lit(" '-"), inner, F.lit("-' '")), " '-").alias("stripped"))
+
+
 def filter_period_q(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity",
                "l_shipdate")
@@ -389,6 +419,12 @@ def rate_summary_q(spark: SparkSession, sf: str) -> DataFrame:
     return agg.rate_summary(p, ["p_type"], "p_retailprice")
 
 
+def price_quartiles(spark: SparkSession, sf: str) -> DataFrame:
+    """The summary over facts: line prices per flag, quartiles exact."""
+    li = table(spark, sf, "lineitem", "l_returnflag", "l_extendedprice")
+    return agg.rate_summary(li, ["l_returnflag"], "l_extendedprice")
+
+
 def duplicate_keys_q(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem", "l_orderkey", "l_partkey")
     return agg.duplicate_keys(li, ["l_orderkey", "l_partkey"])
@@ -534,10 +570,13 @@ QUERIES = {
     "replace_period": replace_period_q,
     "valid_key": valid_key_q,
     "text_amounts": text_amounts,
+    "text_keys": text_keys,
     "filter_period": filter_period_q,
     "calendar_columns": calendar_columns_q,
     "period_from_name": period_from_name_q,
     "rate_summary": rate_summary_q,
+    "price_quartiles": price_quartiles,
+    "enrich_store_left": enrich_store_left,
     "duplicate_keys": duplicate_keys_q,
     "dq_report": dq_report_q,
     "meter_rollup": meter_rollup_q,

@@ -164,10 +164,10 @@ WHERE g.gsum <> 0 AND abs(o.v) * g.gcnt > abs(g.gsum) * 2.0
 """,
 
     "anomaly_unmatched_keys": """
-SELECT DISTINCT l_suppkey FROM lineitem
+SELECT DISTINCT l_partkey FROM lineitem
 WHERE l_shipdate >= TIMESTAMP '1997-06-01' AND l_shipdate < TIMESTAMP '1997-07-01'
-  AND l_suppkey NOT IN (
-    SELECT l_suppkey FROM lineitem
+  AND l_partkey NOT IN (
+    SELECT l_partkey FROM lineitem
     WHERE l_shipdate >= TIMESTAMP '1997-03-01' AND l_shipdate < TIMESTAMP '1997-06-01')
 """,
 
@@ -401,6 +401,37 @@ SELECT p_type,
        MAX(p_retailprice) AS max
 FROM part WHERE p_type <> 'PROMO'
 GROUP BY p_type
+""",
+
+    "price_quartiles": """
+SELECT l_returnflag, COUNT(l_extendedprice) AS n,
+       CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(l_extendedprice) AS mean,
+       sqrt(CAST(COUNT(l_extendedprice)
+                 * SUM(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_extendedprice AS DECIMAL(18,2)))
+              - SUM(CAST(l_extendedprice AS DECIMAL(18,2))) * SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE)
+         / CAST(COUNT(l_extendedprice) * (COUNT(l_extendedprice) - 1) AS DOUBLE)) AS std,
+       MIN(l_extendedprice) AS min,
+       round(quantile_cont(l_extendedprice, 0.25), 6) AS p25,
+       round(quantile_cont(l_extendedprice, 0.5), 6) AS p50,
+       round(quantile_cont(l_extendedprice, 0.75), 6) AS p75,
+       MAX(l_extendedprice) AS max
+FROM lineitem GROUP BY l_returnflag
+""",
+
+    "enrich_store_left": """
+WITH lines AS (
+  SELECT l_orderkey, l_linenumber,
+         CASE (l_orderkey + l_linenumber) % 3 WHEN 0 THEN '-' WHEN 1 THEN '1' ELSE CAST(l_suppkey AS VARCHAR) END AS label
+  FROM lineitem)
+SELECT l_orderkey, l_linenumber, label, CAST(s_suppkey AS BIGINT) AS filid
+FROM lines LEFT JOIN (SELECT * FROM supplier WHERE s_suppkey % 10 <> 0) ON CAST(s_suppkey AS VARCHAR) = label
+""",
+
+    "text_keys": """
+SELECT l_orderkey, l_linenumber,
+       lower(l_returnflag) || 'no' || CAST(l_linenumber AS VARCHAR) AS squashed,
+       CASE WHEN l_linenumber % 2 = 0 THEN l_returnflag || ' - ' || l_linestatus ELSE l_returnflag END AS stripped
+FROM lineitem
 """,
 
     "duplicate_keys": """
