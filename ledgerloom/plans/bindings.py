@@ -12,6 +12,8 @@ number of decimals and leave as doubles, so results do not depend on row order.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,7 +36,9 @@ from ledgerloom.operators.allocate import (
 )
 from ledgerloom.operators.anomaly import anomaly_all_periods, anomaly_one_period, keys_without_history
 from ledgerloom.operators.filldown import fill_down
+from ledgerloom.operators.history import HistoryCells
 from ledgerloom.plans.contracts import METER_GROUPS, METER_OUTPUT_GROUPS, normalized_groups
+from ledgerloom.session import checkpoint_dir
 from ledgerloom.sources.tables import table
 
 # the month every one-period binding scores / loads
@@ -96,6 +100,21 @@ def anomaly_all_periods_q(spark: SparkSession, sf: str) -> DataFrame:
     return anomaly_all_periods(_store_month(spark, sf), FLAGS, ["l_suppkey"])
 
 
+def anomaly_from_history(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores from kept cells after a correction: all months are loaded, then 1997-06 comes
+    again with the prices of every fifth store times three; the facts are not scored."""
+    li = table(spark, sf, "lineitem", "l_suppkey", "l_returnflag", "l_extendedprice", "l_shipdate")
+    kept = HistoryCells(spark, f"{checkpoint_dir(spark).rstrip('/')}/history-{uuid.uuid4().hex}", ["l_suppkey"], FLAGS)
+    kept.replace(_store_month(spark, sf))
+    again = li.where(_between_months("l_shipdate", (YEAR, MONTH), (YEAR, MONTH))).withColumn(
+        "l_extendedprice", F.when(F.col("l_suppkey") % 5 == 0, F.col("l_extendedprice") * 3)
+        .otherwise(F.col("l_extendedprice")))
+    wide = again.select("l_suppkey", *_ym(), *[
+        F.when(F.col("l_returnflag") == f, F.col("l_extendedprice")).alias(f) for f in FLAGS])
+    kept.replace(agg.grouped_sum(wide, ["l_suppkey", "year", "month"], FLAGS, scale=2), [(YEAR, MONTH)])
+    return kept.score_all()
+
+
 def anomaly_unmatched_keys(spark: SparkSession, sf: str) -> DataFrame:
     """Parts of 1997-06 with no row in 1997-03..05 (not scored)."""
     li = table(spark, sf, "lineitem", "l_partkey", "l_shipdate")
@@ -550,6 +569,7 @@ QUERIES = {
     "tariff_by_cost_centre": tariff_by_cost_centre,
     "anomaly_one_period": anomaly_one_period_q,
     "anomaly_all_periods": anomaly_all_periods_q,
+    "anomaly_from_history": anomaly_from_history,
     "anomaly_unmatched_keys": anomaly_unmatched_keys,
     "dense_sales_share": dense_sales_share_q,
     "rate_fill": rate_fill_q,

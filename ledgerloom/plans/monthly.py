@@ -57,12 +57,15 @@ from ledgerloom.plans.contracts import (
     FeedContract,
     normalized_groups,
 )
+from ledgerloom.operators.stage import written
 from ledgerloom.sources.scans import (
     DC_COSTS_SCHEMA,
+    REJECT_COLUMNS,
     STORE_COSTS_SCHEMA,
     scan_monthly_csv,
     scan_by_header,
     scan_monthly_table,
+    scan_with_rejects,
 )
 
 
@@ -74,7 +77,8 @@ class FeedRun:
     the load job runs (returned by :func:`load`, no extra pass); ``headers``
     are findings about the drop's header rows (metadata); ``dq`` recomputes
     every finding on its own, for inspecting a drop without loading it;
-    ``periods`` are the months of the drop's files, whatever rows they hold.
+    ``periods`` are the months of the drop's files, whatever rows they hold;
+    ``rejected`` are the lines that a drop read with ``quarantine=True`` sets aside.
     """
     contract: FeedContract
     result: DataFrame
@@ -82,6 +86,7 @@ class FeedRun:
     checks: quality.ObservedChecks | None = None
     headers: DataFrame | None = None
     periods: Sequence[tuple[int, int]] = ()
+    rejected: DataFrame | None = None
 
 
 def _period_cols(df: DataFrame, year_col: str = "year", month_col: str = "month") -> DataFrame:
@@ -111,11 +116,25 @@ def _bad_number(cells: Sequence[str]) -> Column:
 
 
 def _cost_drop(spark: SparkSession, c: FeedContract, path, schema: str, keys: list[str],
-               amounts: list[str], build) -> FeedRun:
+               amounts: list[str], build, quarantine: bool = False) -> FeedRun:
     """A headerless cost drop: cells come as text; what is no number becomes NULL
-    and is counted, so ``12,5`` is neither 125 nor a silent 0."""
-    text = scan_monthly_csv(spark, path, schema)
+    and is counted, so ``12,5`` is neither 125 nor a silent 0. With ``quarantine``
+    such lines, and lines with too many or too few fields, are rejected as they stand:
+    the drop is parsed once into a written table, of which one part is loaded and the
+    other goes to the quarantine."""
     whole = [k for k in keys if k != "proekt"]
+    rejected = None
+    if quarantine:
+        names = [f.split()[0] for f in schema.split(", ")]
+        lines = scan_with_rejects(spark, path, names, least=max(names.index(n) for n in (*keys, *amounts)) + 1,
+                                  numeric=[*whole, *amounts])
+        every = written(lines, f"{c.name}-lines")
+        text = every.where(F.col("reason").isNull()).drop("reason", "line")
+        rejected = every.where(F.col("reason").isNotNull()).select(*REJECT_COLUMNS)
+        months = drop_periods(spark, lines)
+    else:
+        text = scan_monthly_csv(spark, path, schema)
+        months = drop_periods(spark, text)
     raw = text.select(
         *[F.col(k).alias(f"__raw_{k}") for k in (*whole, *amounts)],
         *[parse_number(F.col(k), integral=True).cast("int").alias(k) for k in whole],
@@ -134,8 +153,17 @@ def _cost_drop(spark: SparkSession, c: FeedContract, path, schema: str, keys: li
         quality.count_finding(raw, bad, "bad_number", ",".join([*whole, *amounts]), c.name),
         quality.duplicate_count(build(ok, keys), keys, c.name),
     ])
-    return FeedRun(c, conform_schema(result, c.target_schema), dq, checks,
-                   periods=drop_periods(spark, text))
+    if rejected is not None:
+        dq = quality.dq_report([dq, rejected_counts(rejected, c.name)])
+    return FeedRun(c, conform_schema(result, c.target_schema), dq, checks, periods=months, rejected=rejected)
+
+
+def rejected_counts(rejected: DataFrame, feed: str) -> DataFrame:
+    """Findings: how many lines of each file were rejected, by reason."""
+    return (rejected.groupBy("file_name", "file_year", "file_month", "reason").agg(F.count(F.lit(1)).alias("n"))
+            .select(F.lit(feed).alias("feed"), F.col("file_year").alias("year"), F.col("file_month").alias("month"),
+                    F.lit("rejected").alias("check"), F.col("file_name").alias("subject"), "n",
+                    F.col("reason").alias("detail")))
 
 
 # ---------------------------------------------------------------------------
@@ -143,16 +171,16 @@ def _cost_drop(spark: SparkSession, c: FeedContract, path, schema: str, keys: li
 # ---------------------------------------------------------------------------
 
 
-def store_costs_drop(spark: SparkSession, path: str | Sequence[str]) -> FeedRun:
+def store_costs_drop(spark: SparkSession, path: str | Sequence[str], quarantine: bool = False) -> FeedRun:
     return _cost_drop(spark, CONTRACTS["store_costs"], path, STORE_COSTS_SCHEMA,
                       ["year", "month", "ym", "rcid", "filid", "lagerid", "proekt"], ["costs"],
-                      composite.store_costs)
+                      composite.store_costs, quarantine)
 
 
-def dc_costs_drop(spark: SparkSession, path: str | Sequence[str]) -> FeedRun:
+def dc_costs_drop(spark: SparkSession, path: str | Sequence[str], quarantine: bool = False) -> FeedRun:
     return _cost_drop(spark, CONTRACTS["dc_costs"], path, DC_COSTS_SCHEMA,
                       ["year", "month", "ym", "rcid", "postid", "lagerid"],
-                      ["costsLogistics", "costsOther"], composite.dc_costs)
+                      ["costsLogistics", "costsOther"], composite.dc_costs, quarantine)
 
 
 def _headered(spark: SparkSession, path, fmt: str, template: Sequence[str], feed: str,
@@ -396,14 +424,25 @@ def drop_periods(spark: SparkSession, df: DataFrame) -> list[tuple[int, int]]:
 
 
 def load(run: FeedRun, root: str | PeriodTable, year: int | None = None,
-         month: int | None = None) -> DataFrame | None:
+         month: int | None = None, quarantine: str | PeriodTable | None = None) -> DataFrame | None:
     """Replace the month ``(year, month)`` - or, without one, every month of the
     drop's files, clearing those without a row left.
 
+    ``quarantine`` is the target of the rejected lines, replaced by month like the
+    rows, so a reload of a mended drop also empties its months' quarantine.
+
     Returns the findings observed during the load (row counts, header
     findings), or ``None`` for a feed without observed checks.
     """
     c = run.contract
+    if quarantine is not None:
+        if run.rejected is None:
+            raise ValueError("the drop was not read with quarantine=True")
+        aside = run.rejected.withColumnsRenamed({"file_year": "year", "file_month": "month"})
+        months = run.periods
+        if year is not None and month is not None:
+            aside, months = aside.where((F.col("year") == year) & (F.col("month") == month)), [(year, month)]
+        write_periods(aside, quarantine, periods=months)
     if year is not None and month is not None:
         write_period(run.result, root, year, month, c.year_col, c.month_col)
     else:
@@ -411,6 +450,8 @@ def load(run: FeedRun, root: str | PeriodTable, year: int | None = None,
     parts = [p for p in (run.headers,) if p is not None]
     if run.checks is not None:
         parts.append(run.checks.report(run.result.sparkSession, year, month))
+    if run.rejected is not None:
+        parts.append(rejected_counts(run.rejected, c.name))
     return quality.dq_report(parts) if parts else None
 
 

@@ -544,3 +544,11 @@ SELECT l_orderkey, l_linenumber,
 FROM lineitem
 """,
 }
+
+# the same scores over the lines as they are after the correction of 1997-06
+ORACLE_SQL["anomaly_from_history"] = """
+WITH corrected AS (
+  SELECT * REPLACE (CASE WHEN l_suppkey % 5 = 0 AND year(l_shipdate) = 1997 AND month(l_shipdate) = 6
+                         THEN l_extendedprice * 3 ELSE l_extendedprice END AS l_extendedprice)
+  FROM lineitem),
+""" + ORACLE_SQL["anomaly_all_periods"].replace("lineitem", "corrected").strip().removeprefix("WITH")

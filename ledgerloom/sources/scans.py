@@ -15,7 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ledgerloom.functions.scalars import drop_name, named, normalize_header, parse_number, period_from_name
+from ledgerloom.functions.scalars import (
+    drop_name,
+    named,
+    normalize_header,
+    parse_number,
+    period_from_name,
+    trim_text,
+)
 from ledgerloom.operators.reshape import merge_repeated_columns, normalize_headers
 
 # fixed values: positional layouts of the two headerless CSV drops
@@ -59,6 +66,41 @@ def scan_monthly_csv(spark: SparkSession, path: str | Sequence[str], schema: str
     return with_file_period(df) if with_period else df
 
 
+#: Columns of a quarantine table: the line as it stands in the file, and what is wrong.
+REJECT_COLUMNS = ["file_drop", "file_name", "file_year", "file_month", "reason", "line"]
+
+
+def scan_with_rejects(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str], *,
+                      least: int | None = None, numeric: Collection[str] = (), sep: str = ";") -> DataFrame:
+    """Headerless drop whose every line is kept: its cells by position as text, and in
+    ``reason`` why it is rejected (NULL: it is not).
+
+    * ``too many fields`` / ``too few fields``: more than ``columns``, or fewer than ``least``;
+    * ``no number in <column>``: a cell of ``numeric`` that holds text but no number.
+
+    ``line`` is the line itself, for rejected lines only. Empty lines are no rows. Quoted
+    cells may hold the separator and doubled quotes, but no line break.
+    """
+    width, least = len(columns), len(columns) if least is None else least
+    lines = with_file_period(spark.read.text(path)).where(trim_text(F.col("value")) != "")
+    mark = "\ufeff"  # a byte-order mark before the first line
+    raw = F.when(F.col("value").startswith(mark), F.substring(F.col("value"), 2, 2**31 - 1)).otherwise(F.col("value"))
+    schema = ", ".join(f"c{i} string" for i in range(width))
+    split = (lines.withColumn("line", raw)
+             .withColumn("cells", F.from_csv("line", F.lit(schema), {"sep": sep, "escape": '"', "mode": "PERMISSIVE"}))
+             # a quoted cell counts as one field whatever it holds
+             .withColumn("fields", F.size(F.split(F.regexp_replace("line", '"(?:[^"]|"")*"', "q"), "\\Q" + sep + "\\E", -1))))
+    named_cells = split.select("line", "fields", *FILE_COLUMNS, *[
+        F.nullif(F.col(f"cells.c{i}"), F.lit("")).alias(c) for i, c in enumerate(columns)])
+    wrong = F.when(F.col("fields") > width, F.lit("too many fields")).when(F.col("fields") < least, F.lit("too few fields"))
+    for c in columns:
+        if c in numeric:
+            text = trim_text(named(c))
+            wrong = wrong.when((text != "") & parse_number(named(c)).isNull(), F.lit(f"no number in {c}"))
+    return (named_cells.withColumn("reason", wrong).drop("fields")
+            .withColumn("line", F.when(F.col("reason").isNotNull(), F.col("line"))))
+
+
 def scan_monthly_table(spark: SparkSession, path: str | Sequence[str], fmt: str = "csv",
                        normalize: bool = True, strip_chars: str | None = None,
                        with_period: bool = True, schema: str | StructType | None = None,
