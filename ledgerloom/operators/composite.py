@@ -9,7 +9,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
@@ -86,31 +86,48 @@ def meter_rollup(df: DataFrame, groups: Mapping[str, Sequence[str]], name_col: s
     return out.select(*keys, *[F.col(g).cast("double").alias(g) for g in groups])
 
 
-def accounts_by_store(report: DataFrame, directory: DataFrame, code_col: str, name_col: str,
-                      uah_col: str, share_col: str, order_col: str,
-                      partition_by: Sequence[str] = (), chunk: Column | None = None,
-                      keys: Sequence[str] = ()) -> DataFrame:
-    """Hierarchical account report -> (filid, account, name, sum, share_TO).
+def filled_report(report: DataFrame, code_col: str, name_col: str, order_col: str,
+                  partition_by: Sequence[str] = (), chunk: Column | None = None) -> DataFrame:
+    """The store rows of a hierarchical account report with the ``account`` and ``name``
+    of the article rows (code starting ``840``) above them, each filled down on its own;
+    rows above the first article have a NULL account."""
+    is_article = F.col(code_col).cast("string").startswith(ARTICLE_PREFIX)
+    return fill_down(report, [order_col],
+                     {"account": F.col(code_col).cast("string"), "name": F.col(name_col)},
+                     is_header=is_article, partition_by=partition_by, chunk=chunk)
+
+
+def accounts_of(filled: DataFrame, directory: DataFrame, code_col: str, uah_col: str, share_col: str,
+                order_col: str, keys: Sequence[str] = (),
+                watch: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Filled report rows -> (filid, account, name, sum, share_TO).
 
-    Article rows (code starting ``840``) are header rows: their code and name
-    are filled down onto the store rows beneath them (independently). Store
-    rows are joined to the directory on the trimmed cost-centre text, money is
-    parsed strictly, and rows are summed per (store, account, name) with the
-    first non-NULL share in report order.
+    Store rows are joined to the directory on the trimmed cost-centre text, money is
+    parsed strictly, and rows are summed per (store, account, name) with the first
+    non-NULL share in report order. ``watch`` sees all rows after the join, those
+    without a store (``filid`` NULL) or an article (``account`` NULL) among them.
     """
-    code = F.col(code_col).cast("string")
-    is_article = code.startswith(ARTICLE_PREFIX)
-    filled = fill_down(report, [order_col],
-                       {"account": F.col(code_col).cast("string"), "name": F.col(name_col)},
-                       is_header=is_article, partition_by=partition_by, chunk=chunk)
     rows = (filled
             .withColumn("uah_value", parse_money(F.col(uah_col)))
             .withColumn("mvz_code", trim_text(F.col(code_col))))
-    joined = enrich_store(rows, directory, F.col("mvz_code"), out_col="filid",
-                          dir_code_col="mvz", how="inner")
+    joined = enrich_store(rows, directory, F.col("mvz_code"), out_col="filid", dir_code_col="mvz",
+                          how="left" if watch else "inner")
+    if watch:
+        joined = watch(joined).where(F.col("filid").isNotNull())
     joined = joined.withColumn("account", F.col("account").cast("bigint"))
     out = sum_and_first(joined, ["filid", "account", "name", *keys], ["uah_value"], [share_col],
                         order=F.col(order_col), scale=9)
     return out.select("filid", "account", "name", *keys,
                       F.col("uah_value").cast("double").alias("sum"),
                       F.col(share_col).cast("double").alias("share_TO"))
+
+
+def accounts_by_store(report: DataFrame, directory: DataFrame, code_col: str, name_col: str,
+                      uah_col: str, share_col: str, order_col: str,
+                      partition_by: Sequence[str] = (), chunk: Column | None = None,
+                      keys: Sequence[str] = ()) -> DataFrame:
+    """Hierarchical account report -> (filid, account, name, sum, share_TO): the report's
+    headers are filled down (:func:`filled_report`), then its rows are matched to stores
+    and summed (:func:`accounts_of`)."""
+    filled = filled_report(report, code_col, name_col, order_col, partition_by, chunk)
+    return accounts_of(filled, directory, code_col, uah_col, share_col, order_col, keys)

@@ -125,15 +125,17 @@ def role_means(card: DataFrame, role_col: str, rate_col: str, scale: int = 9,
 def rate_fill(hours: DataFrame, card: DataFrame, role_col: str, store_col: str,
               rate_col: str, hours_col: str, out_rate: str = "cost_hour",
               out_cost: str = "cost_labor", scale: int = 9,
-              keys: Sequence[str] = ()) -> DataFrame:
+              keys: Sequence[str] = (), kept: bool = False) -> DataFrame:
     """Rate per (role, store) from the card, else the role's mean rate; cost = rate * hours.
 
     ``keys`` (e.g. the month) belong to both tables: every month has its own card
     and means. The card is expected to hold one row per (keys, role, store). Rows
-    whose role has no card at all keep a NULL rate and cost.
+    whose role has no card at all keep a NULL rate and cost. The card is read twice, for
+    the exact rates and for the means; it is written first, unless it is ``kept`` (a
+    table already).
     """
-    # read twice, for the exact rates and for the means, but made once
-    card = written(card.select(*keys, role_col, store_col, rate_col), "rate-card")
+    if not kept:
+        card = written(card.select(*keys, role_col, store_col, rate_col), "rate-card")
     exact_rate = card.select(*keys, role_col, store_col, F.col(rate_col).cast("double").alias("__rate"))
     means = role_means(card, role_col, rate_col, scale, keys)
     out = (hours.join(exact_rate, [*keys, role_col, store_col], "left")

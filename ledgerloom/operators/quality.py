@@ -125,22 +125,26 @@ class ObservedChecks:
 
     def __init__(self, feed: str):
         self.feed = feed
-        self.observation = Observation(f"dq_{feed}_{uuid.uuid4().hex[:12]}")
-        self.specs: list[tuple[str, str, str]] = []
+        self.watched: list[tuple[Observation, list[tuple[str, str, str]]]] = []
 
     def watch(self, df: DataFrame, checks: Sequence[tuple[str, str, Column]]) -> DataFrame:
-        """``checks``: (check, subject, condition) - rows where the condition holds are counted."""
-        exprs = [F.count(F.lit(1)).alias("rows")]
-        for i, (check, subject, cond) in enumerate(checks):
-            name = f"m{i}"
-            self.specs.append((name, check, subject))
-            exprs.append(F.count(F.when(cond, F.lit(1))).alias(name))
-        return df.observe(self.observation, *exprs)
+        """``checks``: (check, subject, condition) - rows where the condition holds are
+        counted. May be called at several places of a plan that each see a row once (not
+        above a range partitioning, which reads its input twice)."""
+        observation = Observation(f"dq_{self.feed}_{uuid.uuid4().hex[:12]}")
+        specs = [(f"m{i}", check, subject) for i, (check, subject, _) in enumerate(checks)]
+        self.watched.append((observation, specs))
+        return df.observe(observation, F.count(F.lit(1)).alias("rows"), *[
+            F.count(F.when(cond, F.lit(1))).alias(name) for (name, _, _), (_, _, cond) in zip(specs, checks)])
 
     def report(self, spark: SparkSession, year=None, month=None) -> DataFrame:
-        """The findings of the finished action, as rows of the report table."""
-        got = observed(self.observation)
-        rows = [(self.feed, year, month, "rows", "input", got.get("rows") or 0, None)]
-        rows += [(self.feed, year, month, check, subject, got.get(name) or 0, None)
-                 for name, check, subject in self.specs]
+        """The findings of the finished action, as rows of the report table; the rows
+        read are those of the first place watched."""
+        rows = []
+        for i, (observation, specs) in enumerate(self.watched):
+            got = observed(observation)
+            if not i:
+                rows.append((self.feed, year, month, "rows", "input", got.get("rows") or 0, None))
+            rows += [(self.feed, year, month, check, subject, got.get(name) or 0, None)
+                     for name, check, subject in specs]
         return spark.createDataFrame(rows, DQ_SCHEMA)

@@ -12,7 +12,7 @@ returns a :class:`FeedRun` of lazy DataFrames; :func:`load` writes the result
 (one month: that partition is replaced; many months: dynamic overwrite) and
 :func:`score` / :func:`score_history` produce the anomaly tables.
 
-Workbooks are expected landed as CSV or Parquet (first sheet, same headers).
+Headered drops are CSV, Parquet or workbooks (``fmt="xlsx"``: the first sheet).
 """
 
 from __future__ import annotations
@@ -67,6 +67,7 @@ from ledgerloom.sources.scans import (
     scan_monthly_table,
     scan_with_rejects,
 )
+from ledgerloom.sources.workbooks import scan_workbooks
 
 
 @dataclass
@@ -188,10 +189,14 @@ def _headered(spark: SparkSession, path, fmt: str, template: Sequence[str], feed
               sep: str = ",", decimal_comma: bool = False) -> tuple[DataFrame, DataFrame]:
     """Rows of a headered drop with every template column, and its header findings.
 
-    Parquet drops match by name as they are; CSV drops by each file's own header.
+    Parquet drops match by name as they are; CSV drops and workbooks (``xlsx``: the
+    first sheet) by each file's own header.
     """
     wanted = [*template, *extra]
-    if fmt == "csv":
+    if fmt == "xlsx":
+        rows, layouts = scan_workbooks(spark, path, wanted, numeric, strip_chars, decimal_comma)
+        headers = [[normalize_header(h, strip_chars) for h in header] for header, _ in layouts]
+    elif fmt == "csv":
         rows, layouts = scan_by_header(spark, path, wanted, numeric, sep, strip_chars, decimal_comma)
         headers = [[normalize_header(h, strip_chars) for h in header] for header, _ in layouts]
     else:
@@ -238,11 +243,11 @@ def tariff_drop(spark: SparkSession, path: str | Sequence[str], fmt: str = "csv"
 
 
 def meter_drop(spark: SparkSession, paths: str | Sequence[str], directory: DataFrame,
-               sep: str = ",") -> FeedRun:
-    """Meter drops (CSV) -> kitchen-group consumption per store and month."""
+               sep: str = ",", fmt: str = "csv") -> FeedRun:
+    """Meter drops (CSV or workbooks) -> kitchen-group consumption per store and month."""
     c = CONTRACTS["meter"]
     meters = sorted({normalize_header(t) for t in METER_TEMPLATE[3:]})
-    rows, headers = _headered(spark, paths, "csv", METER_TEMPLATE, c.name, meters, sep=sep,
+    rows, headers = _headered(spark, paths, fmt, METER_TEMPLATE, c.name, meters, sep=sep,
                               decimal_comma=True)
     periods = drop_periods(spark, rows)
     day = parse_date(F.col(METER_DATE))
@@ -281,21 +286,21 @@ def accounts_drop(spark: SparkSession, path: str | Sequence[str], directory: Dat
     raw, headers = _headered(spark, path, fmt, ACCOUNTS_TEMPLATE, c.name, extra=[row_no])
     code, name = normalize_header("Стаття/МВЗ"), normalize_header("Назва")
     report = raw.withColumn(row_no, F.col(row_no).cast("long"))
-    result = composite.accounts_by_store(
-        _period_cols(report), directory, code, name, "uah", "percent", row_no,
-        partition_by=["file_drop"], keys=["year", "month"])
+    filled = composite.filled_report(_period_cols(report), code, name, row_no, ["file_drop"])
+    checks = quality.ObservedChecks(c.name)
     # rows above the first article row of their report have no article (dropped)
-    is_article = F.col(code).cast("string").startswith(composite.ARTICLE_PREFIX)
-    first = report.groupBy("file_drop").agg(F.min(F.when(is_article, F.col(row_no))).alias("__f"))
-    above = report.join(first, "file_drop").where(
-        F.col("__f").isNull() | (F.col(row_no) < F.col("__f")))
+    found = [("no_article", "row_no", F.col("account").isNull()), ("unmatched", "store", F.col("filid").isNull())]
+
+    def accounts(watch=None) -> DataFrame:
+        return composite.accounts_of(filled, directory, code, "uah", "percent", row_no, ["year", "month"], watch)
+
     dq = quality.dq_report([
         headers,
-        quality.count_finding(above, F.lit(True), "no_article", "row_no", c.name),
-        quality.duplicate_count(result, ["filid", "account", "name", "year", "month"], c.name),
+        quality.count_finding(filled, F.col("account").isNull(), "no_article", "row_no", c.name),
+        quality.duplicate_count(accounts(), ["filid", "account", "name", "year", "month"], c.name),
     ])
-    return FeedRun(c, conform_schema(result, c.target_schema), dq, headers=headers,
-                   periods=drop_periods(spark, raw))
+    result = accounts(lambda rows: checks.watch(rows, found))
+    return FeedRun(c, conform_schema(result, c.target_schema), dq, checks, headers, drop_periods(spark, raw))
 
 
 # ---------------------------------------------------------------------------
@@ -327,9 +332,14 @@ def labor_drop(spark: SparkSession, hours_path: str | Sequence[str], roles: Data
     # a row whose own month differs from its file's is set aside (and counted)
     own_month = F.coalesce(F.col("mm") == F.col("file_month"), F.lit(False))
     month_mismatch = quality.count_finding(hours, ~own_month, "period_mismatch", "mm", c.name)
-    hours = grouped_sum(hours.where(own_month),
-                        ["filid", "mm", "region", "filialname", "file_year", "file_month"],
-                        ["h"], scale=9)
+    checks = quality.ObservedChecks(c.name)
+    hour_keys = ["filid", "mm", "region", "filialname"]
+    watched = checks.watch(hours, [("period_mismatch", "mm", ~own_month),
+                                   ("null_key", ",".join(hour_keys), own_month & _any_null(hour_keys))])
+
+    def summed(rows: DataFrame) -> DataFrame:
+        return grouped_sum(rows.where(own_month),
+                           [*hour_keys, "file_year", "file_month"], ["h"], scale=9)
 
     r = roles.toDF(*[normalize_header(x) for x in roles.columns])
     role_dict = r.select(F.col(normalize_header("посада з годин")).alias("region"),
@@ -342,11 +352,22 @@ def labor_drop(spark: SparkSession, hours_path: str | Sequence[str], roles: Data
                        parse_number(F.col(normalize_header(rate_col))).alias("rate"))
     card = enrich_store(card, directory, F.col("code"), out_col="filid")
 
-    main = hours.join(role_dict, "region", "left")
-    filled = rate_fill(main, card, "pay_role", "filid", "rate", "h")
-    labor = filled.select(F.col("file_year").alias("y"), F.col("mm").alias("m"),
-                          F.col("filid").cast("long").alias("filid"), "depid",
-                          F.col("h").cast("double").alias("hours"), "cost_hour", "cost_labor")
+    card = written(card, "rate-card")
+
+    def priced(main: DataFrame) -> DataFrame:
+        return rate_fill(main, card, "pay_role", "filid", "rate", "h", kept=True)
+
+    def rows_of(filled: DataFrame) -> DataFrame:
+        return filled.select(F.col("file_year").alias("y"), F.col("mm").alias("m"),
+                             F.col("filid").cast("long").alias("filid"), "depid",
+                             F.col("h").cast("double").alias("hours"), "cost_hour", "cost_labor")
+
+    main = summed(hours).join(role_dict, "region", "left")
+    filled = priced(main)
+    labor = rows_of(filled)
+    # the same once more for the load, watched on the way
+    loaded = checks.watch(priced(summed(watched).join(role_dict, "region", "left")), [
+        ("unmatched", "role", F.col("pay_role").isNull()), ("no_rate", "pay_role", F.col("cost_hour").isNull())])
 
     # the months of the drop, from its file names (a listing, no data read)
     periods = drop_periods(spark, raw)
@@ -355,12 +376,14 @@ def labor_drop(spark: SparkSession, hours_path: str | Sequence[str], roles: Data
     share = share.select(F.col("filid").cast("long").alias("filid"),
                          F.col("depid").cast("string").alias("depid"),
                          "year", "month", "sumout_dep", "sumout_filial")
-    out = labor_allocation(labor, share, SHARED_DEPT, period_cols=[("y", "year"), ("m", "month")])
+    share = written(share, "sales-share")
+    split = [("y", "year"), ("m", "month")]
+    out = labor_allocation(labor, share, SHARED_DEPT, period_cols=split)
     shared = labor.where(F.col("depid") == SHARED_DEPT)
     store_month = share.select("filid", F.col("year").alias("y"), F.col("month").alias("m"),
                                "sumout_filial").distinct()
-    result = out.select("y", "m", "filid", F.col("depid").try_cast("int").alias("depid"),
-                        "hours", "cost_hour", "cost_labor")
+    result = labor_allocation(rows_of(loaded), share, SHARED_DEPT, period_cols=split).select(
+        "y", "m", "filid", F.col("depid").try_cast("int").alias("depid"), "hours", "cost_hour", "cost_labor")
     dq = quality.dq_report([
         headers,
         month_mismatch,
@@ -382,7 +405,7 @@ def labor_drop(spark: SparkSession, hours_path: str | Sequence[str], roles: Data
         quality.count_finding(out, F.col("depid").isNotNull() & F.col("depid").try_cast("int").isNull(),
                               "bad_number", "depid", c.name),
     ])
-    return FeedRun(c, conform_schema(result, c.target_schema), dq, headers=headers, periods=periods)
+    return FeedRun(c, conform_schema(result, c.target_schema), dq, checks, headers, periods)
 
 
 # ---------------------------------------------------------------------------
