@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -35,6 +36,47 @@ def test_batches_do_not_change_a_document():
         assert abs(p.sum() - bool(t)) < 1e-4
 
 
+def _plain(w, text):
+    """The network byte by byte with Python's floats: label probabilities of every
+    position, and their mean."""
+    size = w["Uf"].shape[1]
+
+    def dot(row, v):
+        return sum(float(a) * b for a, b in zip(row, v))
+
+    def run(d, order):
+        h, out = [0.0] * size, {}
+        for t in order:
+            e = [float(x) for x in w[f"E{d}"][text[t]]]
+            gate = [min(1.0, max(0.0, 0.2 * (dot(w[f"U{d}"][k], h) + e[k]) + 0.5)) for k in range(2 * size)]
+            r, u = gate[:size], gate[size:]
+            rh = [a * b for a, b in zip(r, h)]
+            n = [math.tanh(dot(w[f"N{d}"][k], rh) + e[2 * size + k]) for k in range(size)]
+            h = [u[k] * h[k] + (1 - u[k]) * n[k] for k in range(size)]
+            out[t] = h
+        return out
+
+    total = [0.0] * len(w["c"])
+    for a in range(0, len(text), la.WINDOW):
+        part = range(a, min(a + la.WINDOW, len(text)))
+        f, b = run("f", part), run("b", reversed(part))
+        for t in part:
+            z = [dot(w["Vf"][k], f[t]) + dot(w["Vb"][k], b[t]) + float(w["c"][k, 0]) for k in range(len(total))]
+            top = sum(math.exp(x - max(z)) for x in z)
+            total = [s + math.exp(x - max(z)) / top for s, x in zip(total, z)]
+    return [s / max(1, len(text)) for s in total]
+
+
+def test_pass_and_pooling_equal_a_plain_loop():
+    rng = np.random.default_rng(7)
+    w = {k: (3 * v + rng.normal(0, 0.3, v.shape)).astype(np.float32) if k != "c" else v + np.float32(0.2)
+         for k, v in la.init(4, 5, rng).items()}
+    texts = [b"", b"a", "é日k".encode(), bytes(range(256)), b"the quick brown fox " * 20]
+    got = la.document_probabilities(w, texts, block=3)
+    for t, p in zip(texts, got):
+        assert np.allclose(p, _plain(w, t), atol=2e-4), t
+
+
 def test_odd_rows(spark):
     rng = random.Random(1)
     rows = []
