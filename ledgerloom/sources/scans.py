@@ -8,12 +8,13 @@ history; the period of each row comes from its own file name via the hidden
 from __future__ import annotations
 
 import csv
+import io
 from collections.abc import Collection, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import NumericType, StructType
 
 from ledgerloom.functions.scalars import (
     drop_name,
@@ -23,6 +24,7 @@ from ledgerloom.functions.scalars import (
     period_from_name,
     trim_text,
 )
+from ledgerloom.operators.periods import files_below
 from ledgerloom.operators.reshape import merge_repeated_columns, normalize_headers
 
 # fixed values: positional layouts of the two headerless CSV drops
@@ -110,8 +112,13 @@ def scan_monthly_table(spark: SparkSession, path: str | Sequence[str], fmt: str
     Without a schema every CSV column is read as text; convert with the
     parse helpers so bad cells become NULL instead of failing the scan.
     Headers are normalised (lower case, no whitespace) unless ``normalize=False``.
+    Parquet drops of differing layouts are read together: columns that one of them
+    lacks are NULL there, and columns whose headers differ in case and spacing only
+    are one.
     """
     reader = spark.read.format(fmt)
+    if fmt == "parquet" and schema is None:
+        reader = reader.option("mergeSchema", "true")
     if fmt == "csv":
         reader = reader.option("header", "true").option("inferSchema", "false")
     if schema is not None:
@@ -119,23 +126,76 @@ def scan_monthly_table(spark: SparkSession, path: str | Sequence[str], fmt: str
     for k, v in options.items():
         reader = reader.option(k, v)
     df = reader.load(path)
-    if normalize:
-        df = normalize_headers(df, strip_chars)
-    return with_file_period(df) if with_period else df
-
-
-def header_rows(spark: SparkSession, path: str | Sequence[str]) -> dict[str, list[str]]:
-    """First line of every file -> the files that begin with it, in one job.
-
-    What comes back is one row per distinct first line and the file names.
+    if with_period:
+        df = with_file_period(df)
+    if not normalize:
+        return df
+    plain = [normalize_header(c, strip_chars) for c in df.columns]
+    if fmt == "parquet" and len(set(plain)) < len(plain):
+        return _one_of_each(df, plain)
+    return normalize_headers(df, strip_chars)
+
+
+def _one_of_each(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Columns of one name as one. Numbers are added up, so that a header that one drop
+    repeats counts like a repeated CSV header; what no drop has stays NULL."""
+    pos = df.toDF(*[f"__c{i}" for i in range(len(names))])
+    own: dict[str, list[int]] = {}
+    for i, n in enumerate(names):
+        own.setdefault(n, []).append(i)
+    cols = []
+    for n, at in own.items():
+        each = [F.col(f"__c{i}") for i in at]
+        if len(at) > 1 and all(isinstance(df.schema.fields[i].dataType, NumericType) for i in at):
+            total = reduce(lambda a, b: a + b, [F.coalesce(c, F.lit(0)) for c in each])
+            cols.append(F.when(F.coalesce(*each).isNotNull(), total).alias(n))
+        else:
+            cols.append(F.coalesce(*each).alias(n))
+    return pos.select(*cols)
+
+
+def header_rows(spark: SparkSession, path: str | Sequence[str], sep: str = ",") -> dict[str, list[str]]:
+    """First record of every file -> the files that begin with it.
+
+    Only the first kilobytes of a file are read, more if its first record is longer;
+    a record goes on over a line break that stands in quotes. Compressed files are
+    unpacked as far. What is held are the distinct headers and the file names.
     """
-    lines = spark.read.text(path).select(
-        "value", F.col("_metadata.file_path").alias("file"),
-        F.struct(F.col("_metadata.file_block_start").alias("block"),
-                 F.monotonically_increasing_id().alias("at")).alias("place"))
-    firsts = lines.groupBy("file").agg(F.min_by("value", "place").alias("line"))
-    got = firsts.groupBy("line").agg(F.array_sort(F.collect_list("file")).alias("files")).collect()
-    return {r["line"].lstrip("\ufeff"): r["files"] for r in got}
+    got: dict[str, list[str]] = {}
+    for file in sorted(f for p in ([path] if isinstance(path, str) else path) for f in files_below(spark, p)):
+        record = _first_record(spark, file)
+        if record is not None:
+            got.setdefault(record, []).append(file)
+    return got
+
+
+def _first_record(spark: SparkSession, file: str, start: int = 1 << 13) -> str | None:
+    """The first record of a text file without a byte-order mark; None if it is empty."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(file)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(p)
+    size = start
+    while True:
+        stream = p.getFileSystem(conf).open(p)
+        try:
+            source = codec.createInputStream(stream) if codec is not None else stream
+            data = bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(
+                jvm.org.apache.commons.io.input.BoundedInputStream(source, size)))
+        finally:
+            stream.close()
+        text = data.decode("utf-8", "ignore").lstrip("\ufeff")
+        end, quoted = None, False
+        for i, c in enumerate(text):
+            if c == '"':
+                quoted = not quoted
+            elif c in "\r\n" and not quoted:
+                end = i
+                break
+        if end is not None:
+            return text[:end]
+        if len(data) < size:
+            return text or None
+        size *= 8
 
 
 def scan_by_header(spark: SparkSession, path: str | Sequence[str], template: Sequence[str],
@@ -151,17 +211,19 @@ def scan_by_header(spark: SparkSession, path: str | Sequence[str], template: Seq
     """
     wanted = [normalize_header(t, strip_chars) for t in template]
     numbers = {normalize_header(n, strip_chars) for n in numeric}
-    layouts: dict[tuple[str, ...], tuple[list[str], list[str]]] = {}
-    for line, files in header_rows(spark, path).items():
-        header = next(csv.reader([line], delimiter=sep), [])
+    layouts: dict[tuple[tuple[str, ...], bool], tuple[list[str], list[str]]] = {}
+    for record, files in header_rows(spark, path, sep).items():
+        header = next(csv.reader(io.StringIO(record, newline=""), delimiter=sep), [])
         names = tuple(normalize_header(h, strip_chars) for h in header)
-        layouts.setdefault(names, (header, []))[1].extend(files)
+        layouts.setdefault((names, "\n" in record or "\r" in record), (header, []))[1].extend(files)
     parts = []
-    for names, (_, files) in sorted(layouts.items()):
+    for (names, broken), (_, files) in sorted(layouts.items()):
         if not names:
             continue
         schema = ", ".join(f"__c{i} string" for i in range(len(names)))
         raw = with_file_period(spark.read.schema(schema).option("sep", sep).option("header", "true")
+                               # a header over several lines needs a reader that joins them
+                               .option("multiLine", str(broken).lower())
                                .option("enforceSchema", "true").csv(files))
         cells = raw.select(*[
             (parse_number(F.col(f"__c{i}"), decimal_comma=decimal_comma) if n in numbers
