@@ -7,6 +7,7 @@ helpers that take plain ``str`` work on column *names* (metadata) only.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from decimal import Decimal
 
 from pyspark.sql import Column
@@ -79,7 +80,7 @@ def valid_key(col: Column, bad_values: tuple[str, ...] = ("", "-")) -> Column:
 
 def code_before_comma(col: Column) -> Column:
     """Text before the first comma with spaces removed: ``'002, Kyiv'`` -> ``'002'``."""
-    return F.replace(F.split_part(col, F.lit(","), F.lit(1)), F.lit(" "), F.lit(""))
+    return F.replace(F.substring_index(col, ",", 1), F.lit(" "), F.lit(""))
 
 
 # ---------------------------------------------------------------------------
@@ -102,20 +103,27 @@ def parse_number(col: Column, integral: bool = False, decimal_comma: bool = Fals
     text = trim_text(col)
     if decimal_comma:
         text = F.replace(text, F.lit(","), F.lit("."))
+    return _once(text, lambda t: _parsed(t, integral))
+
+
+def _parsed(text: Column, integral: bool) -> Column:
     value = F.when(text.rlike(_NUMBER_RE), text.try_cast("double"))
     return whole_number(value) if integral else value
 
 
 def whole_number(value: Column) -> Column:
-    """A double as a bigint; NULL if it is not whole or does not fit. The value is
-    parsed once, however often the test and the cast look at it."""
-    return F.get(F.transform(F.array(value), lambda v: F.when(v == F.floor(v), v.try_cast("bigint"))), F.lit(0))
+    """A double as a bigint; NULL if it is not whole or does not fit."""
+    return _once(value, lambda v: F.when(v == F.floor(v), v.try_cast("bigint")))
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often it is looked at."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def non_integral(col: Column, decimal_comma: bool = False) -> Column:
     """True where a value parses as a number but not as a whole one."""
-    value = parse_number(col, decimal_comma=decimal_comma)
-    return F.coalesce(value != F.floor(value), F.lit(False))
+    return F.coalesce(_once(parse_number(col, decimal_comma=decimal_comma), lambda v: v != F.floor(v)), F.lit(False))
 
 
 def parse_money(col: Column, currency: str = "UAH") -> Column:
