@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.operators.stage import written
+from ledgerloom.session import ship_package
 
 # of sampled_chunk: the number of chunks grows with the rows; it has no upper bound
 ROWS_PER_CHUNK = 1_000_000
@@ -106,6 +107,7 @@ _ROW, _BEGIN, _END = 0, 1, 2  # what a written row is: a filled row, or one of a
 def _fill_ranges(marked: DataFrame, pcols: list[str], order: list[Column], outs: list[str],
                  n: int | None, keep_headers: bool) -> DataFrame:
     """Fill over sorted ranges: one shuffle, one pass per range, a carry over ranges."""
+    ship_package(marked.sparkSession)
     n = n or max(2, int(marked.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     own = [c for c in marked.columns if c != "__hdr" and not c.startswith("__v_") and c not in outs]
     kind = {f.name: f.dataType for f in marked.schema.fields}

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -68,6 +69,24 @@ def apply_defaults(spark: SparkSession) -> None:
             spark.conf.set(key, value)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's source to the executors, once per application: their Python
+    tasks import it. A session in one process has it already."""
+    sc = spark.sparkContext
+    if sc.master.split("[")[0] == "local" or getattr(sc, "_ledgerloom_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="ledgerloom-src-"), "ledgerloom_src.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(package):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    sc.addPyFile(path)
+    sc._ledgerloom_shipped = True
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.scalars import drop_name, normalize_header, parse_number, period_from_name
+from ledgerloom.session import ship_package
 
 _BATCH = 5000
 # fixed values: number formats of the file format that show a date or a time
@@ -162,6 +163,7 @@ def read_workbooks(spark: SparkSession, path: str | Sequence[str], strip_chars:
     """(file_path, file_mtime, row_no, names, cells) of every row below the header row of
     each workbook's first sheet; ``names`` are its normalised headers. With
     ``headers_only`` the header row itself, as ``cells``; nothing below it is read."""
+    ship_package(spark)
     files = spark.read.format("binaryFile").load(path).select("path", "modificationTime", "content")
 
     def run(batches):
