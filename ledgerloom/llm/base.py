@@ -6,6 +6,8 @@ the session, never replaced), so a lost executor never loses a finished step.
 
 from __future__ import annotations
 
+import functools
+import gc
 import os
 import tempfile
 import uuid
@@ -52,6 +54,27 @@ def ship(spark: SparkSession) -> None:
     sc._ledgerloom_shipped = True
 
 
+def lean(task):
+    """A function of batches that gives memory back at its end: workers live on between
+    tasks, and allocators keep what a task has freed."""
+    @functools.wraps(task)
+    def run(batches):
+        import ctypes
+
+        import pyarrow as pa
+
+        try:
+            yield from task(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder; nothing is written yet."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

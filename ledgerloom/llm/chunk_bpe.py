@@ -114,7 +114,7 @@ def _bitmap(shared: DataFrame) -> np.ndarray:
     """One bit for each value of a digest's low bits; made by Spark, of fixed size."""
     bit = F.col("x").bitwiseAND(F.lit((1 << MAP_BITS) - 1))
     words = (shared.select((F.shiftright(bit, 6)).alias("w"),
-                           F.expr(f"shiftleft(1L, cast(x & 63 as int))").alias("b"))
+                           F.expr("shiftleft(1L, cast(x & 63 as int))").alias("b"))
              .groupBy("w").agg(F.bit_or("b").alias("b")).toArrow())  # at most 2**19 rows
     out = np.zeros(1 << (MAP_BITS - 6), np.int64)
     out[words.column("w").to_numpy()] = words.column("b").to_numpy()

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.base import materialise, read, ship, spread_join, unused
+from ledgerloom.llm.base import lean, materialise, read, ship, spread_join, unused
 
 #: bytes -> bytes: A-Z in lower case, other ASCII signs but digits and letters to a space.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32
@@ -76,6 +76,7 @@ def build_index(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
         where = (order & 0xFFFFFFFF).astype("<i4")
         return (number, keys, hashes, counts, b" ".join(ids), starts.tobytes(), where.tobytes())
 
+    @lean
     def run(batches):
         import uuid
 
@@ -161,6 +162,7 @@ def windows_of(items: DataFrame, *, key: str = "item_id", text: str = "text", wi
     """(words, item): every window of every item, its words parted by a space; distinct."""
     ship(items.sparkSession)
 
+    @lean
     def run(batches):
         for b in batches:
             out = []
@@ -236,6 +238,7 @@ def _search_block(index: DataFrame, windows: list[tuple[int, list[bytes]]], slop
         table[i, :len(words)] = [number[w] for w in words]
     sent = index.sparkSession.sparkContext.broadcast((vocab, table, [w for w, _ in windows]))
 
+    @lean
     def run(batches):
         vocab, table, numbers = sent.value
         lengths = (table < len(vocab)).sum(axis=1)

@@ -283,7 +283,7 @@ class WordEncoder:
         return next(self.encode_column(pa.array([text], pa.string())))
 
 
-def larger(batches, most: int = 8 << 20):
+def larger(batches, most: int = 4 << 20):
     """The batches joined to about ``most`` bytes, so that a word form that stands in
     many texts is handled once for all of them."""
     held, size = [], 0

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.base import read, ship, unused
+from ledgerloom.llm.base import lean, read, ship, unused
 
 UNKNOWN = "und"
 PAD = 256
@@ -246,6 +246,7 @@ def predict(docs: DataFrame, model: tuple[list[str], dict], *, text: str = "text
     names, weights = model
     ship(docs.sparkSession)
 
+    @lean
     def run(batches):
         for b in batches:
             texts = [t.as_py() for t in b.column(text)]

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.base import materialise, read, ship
+from ledgerloom.llm.base import lean, materialise, read, ship
 from ledgerloom.llm.encoding import encoder, larger, public_path
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -32,6 +32,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, *, key: str = "doc_id", text: st
     ship(docs.sparkSession)
     end = np.array([end_id], "<u4").tobytes()
 
+    @lean
     def run(batches):
         with encoder(tokenizer) as enc:
             for b in larger(batches):

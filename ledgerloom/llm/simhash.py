@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.base import materialise, read, ship, spread_join, unused
+from ledgerloom.llm.base import lean, materialise, read, ship, spread_join, unused
 from ledgerloom.llm.components import components
 
 
@@ -54,6 +54,7 @@ def with_fingerprints(docs: DataFrame, *, key: str = "doc_id", text: str = "text
     """(doc_id, text_hash, fp) of whole texts; fp as a signed long."""
     ship(docs.sparkSession)
 
+    @lean
     def run(batches):
         for b in batches:
             fps = np.array([fingerprint(t.as_py(), shingle) for t in b.column("t")], np.uint64)
@@ -160,6 +161,7 @@ def links(fps: DataFrame, *, radius: int = 3, tile: int = 4096, tiles: int = 64)
     pairs = (near.join(cuts.select(F.col("tile").alias("a"), F.col("fps").alias("x")), "a")
              .join(cuts.select(F.col("tile").alias("b"), F.col("fps").alias("y")), "b"))
 
+    @lean
     def compare(batches):
         for b in batches:
             for a, c, x, y in zip(*(b.column(k).to_pylist() for k in "abxy")):

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import files
-from ledgerloom.llm.base import range_edges, range_of, scratch, ship, shuffle_width
+from ledgerloom.llm.base import lean, range_edges, range_of, scratch, ship, shuffle_width
 from ledgerloom.llm.encoding import encoder, larger, public_path
 
 #: Keys of one displacement bucket, on average. Few, so that many buckets hold one
@@ -155,6 +155,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str | None = None
             .repartition(parts, "r").sortWithinPartitions("r", "k", "t"))
     end = np.array([end_id], "<u4").tobytes()
 
+    @lean
     def write(batches):
         done = []
         with encoder(path) as enc:
